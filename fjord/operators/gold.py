@@ -14,7 +14,8 @@ from fjord.operators.prefix import group_rank
 
 # Per-account windows: ordered by time with tr_id as tie-break so ties on
 # tr_timestamp are deterministic (the reference leaves them arbitrary).
-_ACCOUNT = Window.partitionBy("account_hash").orderBy("tr_timestamp", "tr_id")
+def _account() -> Window:
+    return Window.partitionBy("account_hash").orderBy("tr_timestamp", "tr_id")
 
 
 def account_features(txn: DataFrame) -> DataFrame:
@@ -22,8 +23,8 @@ def account_features(txn: DataFrame) -> DataFrame:
     return txn.select(
         "tr_id", "tr_date", "tr_timestamp", "account_hash", "merchant_hash", "amount",
         "is_fraud", "transaction_type", "location",
-        F.lag("amount").over(_ACCOUNT).alias("prev_amount"),
-        F.avg("amount").over(_ACCOUNT.rowsBetween(-6, 0)).alias("rolling_avg_amount_7"),
+        F.lag("amount").over(_account()).alias("prev_amount"),
+        F.avg("amount").over(_account().rowsBetween(-6, 0)).alias("rolling_avg_amount_7"),
     )
 
 
@@ -34,10 +35,10 @@ def ml_features(txn: DataFrame, rank_buckets: int = 64) -> DataFrame:
     use ``PARTITION BY tr_date`` — a day is a hot group by construction (every
     row of the day in one task) — but ``group_rank``'s bucketed prefix counts.
     """
-    ranked = group_rank(account_features(txn), ["tr_date"], [("amount", False)], rank_col="daily_amount_rank",
+    ranked = group_rank(account_features(txn), ["tr_date"], [("amount", True)],
+                        {"daily_amount_rank": "rank_reverse",
+                         "daily_amount_percent_rank": "percent_rank"},
                         buckets=rank_buckets)
-    ranked = group_rank(ranked, ["tr_date"], [("amount", True)], rank_col=None,
-                        percent_rank_col="daily_amount_percent_rank", buckets=rank_buckets)
     return ranked.select(
         "tr_id", "tr_date", "account_hash", "merchant_hash", "amount", "is_fraud",
         "transaction_type", "location", "prev_amount", "rolling_avg_amount_7",
@@ -51,8 +52,8 @@ def ml_features_windowed(txn: DataFrame) -> DataFrame:
     return txn.select(
         "tr_id", "tr_date", "account_hash", "merchant_hash", "amount", "is_fraud",
         "transaction_type", "location",
-        F.lag("amount").over(_ACCOUNT).alias("prev_amount"),
-        F.avg("amount").over(_ACCOUNT.rowsBetween(-6, 0)).alias("rolling_avg_amount_7"),
+        F.lag("amount").over(_account()).alias("prev_amount"),
+        F.avg("amount").over(_account().rowsBetween(-6, 0)).alias("rolling_avg_amount_7"),
         F.rank().over(day.orderBy(F.col("amount").desc())).alias("daily_amount_rank"),
         F.percent_rank().over(day.orderBy("amount")).alias("daily_amount_percent_rank"),
     )
@@ -62,7 +63,7 @@ def lead_amount(txn: DataFrame) -> DataFrame:
     """Next amount per account (documented in the reference, built here)."""
     return txn.select(
         "tr_id", "account_hash", "tr_timestamp", "amount",
-        F.lead("amount").over(_ACCOUNT).alias("next_amount"),
+        F.lead("amount").over(_account()).alias("next_amount"),
     )
 
 
@@ -89,7 +90,7 @@ def merchant_summary(txn: DataFrame, amount_scale: int = 6, rank_buckets: int =
         F.sum("is_fraud").cast("bigint").alias("fraud_count"),
     )
     return group_rank(agg, [], [("fraud_count", False), ("total_amount", False)],
-                      rank_col="fraud_rank", buckets=rank_buckets)
+                      {"fraud_rank": "rank"}, buckets=rank_buckets)
 
 
 def user_risk_score(summary: DataFrame) -> DataFrame:
@@ -115,7 +116,7 @@ def region_risk(txn: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("transaction_count"),
         F.sum("is_fraud").cast("bigint").alias("fraud_count"),
     ).withColumn("fraud_rate", F.round(safe_ratio(F.col("fraud_count"), F.col("transaction_count")), 6))
-    return group_rank(agg, [], [("fraud_rate", False), ("fraud_count", False)], rank_col="risk_rank")
+    return group_rank(agg, [], [("fraud_rate", False), ("fraud_count", False)], {"risk_rank": "rank"})
 
 
 def rising_velocity(features: DataFrame) -> DataFrame:

@@ -47,6 +47,10 @@ def ordered_prefix(
     the same key group, ``<w>_through`` includes the row itself. Rows must be
     distinct on ``keys`` + order columns. The leading order column must be
     numeric (it is bucketed); later ones only break ties inside a bucket.
+
+    Shuffles: one small one for the split points, one on (keys, bucket) for the
+    local prefix; bucket totals come out of that same window, and the offsets
+    table (groups × buckets rows) is broadcast by AQE once its size is known.
     """
     keys = list(keys)
     lead, lead_asc = order[0]
@@ -54,32 +58,36 @@ def ordered_prefix(
     fractions = [i / buckets for i in range(1, buckets)]
 
     splits = df.groupBy(*keys).agg(
-        F.percentile_approx(lead_d, fractions, accuracy).alias("__splits")
-    )
+        F.percentile_approx(lead_d, fractions, accuracy).alias("__splits"))
     if lead_asc:
         bucket = F.when(lead_d.isNull(), F.lit(0)).otherwise(
             F.size(F.filter("__splits", lambda s: s < lead_d)))
     else:
         bucket = F.when(lead_d.isNull(), F.lit(buckets)).otherwise(
             F.size(F.filter("__splits", lambda s: s > lead_d)))
+    # One row per key group; with no keys it is a single row, so broadcasting is bounded.
     joined = df.join(splits, keys, "inner") if keys else df.crossJoin(F.broadcast(splits))
     tagged = joined.withColumn(_BUCKET, bucket).drop("__splits")
 
-    totals = tagged.groupBy(*keys, _BUCKET).agg(*[F.sum(w).alias(f"__bt_{w}") for w in weights])
+    part = Window.partitionBy(*keys, _BUCKET)
+    wb = part.orderBy(*[_order_expr(c, a) for c, a in order]) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = tagged.select(
+        "*",
+        *[F.sum(w).over(wb).alias(f"__loc_{w}") for w in weights],
+        *[F.sum(w).over(part).alias(f"__bt_{w}") for w in weights],
+    )
+    totals = local.groupBy(*keys, _BUCKET).agg(*[F.max(f"__bt_{w}").alias(f"__bt_{w}") for w in weights])
     wk = Window.partitionBy(*keys).orderBy(_BUCKET)
     offsets = totals.select(
-        *keys, _BUCKET,
+        *[F.col(k).alias(f"__o_{k}") for k in keys], F.col(_BUCKET).alias("__o_bucket"),
         *[F.coalesce(F.sum(f"__bt_{w}").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
           .alias(f"__off_{w}") for w in weights],
         *[F.sum(f"__bt_{w}").over(Window.partitionBy(*keys)).alias(f"{w}_total") for w in weights],
     )
-
-    wb = Window.partitionBy(*keys, _BUCKET).orderBy(*[_order_expr(c, a) for c, a in order]) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = tagged.select(
-        "*", *[F.sum(w).over(wb).alias(f"__loc_{w}") for w in weights])
-    out = local.join(offsets, [*keys, _BUCKET], "inner")
-    cols = [c for c in df.columns]
+    cond = [F.col(k).eqNullSafe(F.col(f"__o_{k}")) for k in keys] + [F.col(_BUCKET) == F.col("__o_bucket")]
+    out = local.join(offsets, cond, "inner")
+    cols = list(df.columns)
     for w in weights:
         out = out.withColumn(f"{w}_through", F.col(f"__off_{w}") + F.col(f"__loc_{w}"))
         out = out.withColumn(f"{w}_before", F.col(f"{w}_through") - F.col(w))
@@ -90,12 +98,16 @@ def group_rank(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[tuple[str, bool]],
-    rank_col: str | None = "rank",
-    percent_rank_col: str | None = None,
+    outputs: dict[str, str],
     buckets: int = 64,
 ) -> DataFrame:
     """SQL ``rank()`` / ``percent_rank()`` over (keys, order) for every row of ``df``.
 
+    ``outputs`` maps a new column name to ``rank``, ``percent_rank``,
+    ``rank_reverse`` or ``percent_rank_reverse``; the reverse kinds rank by the
+    exactly opposite order (every direction and NULL placement flipped), so one
+    pass serves both ``ORDER BY v DESC`` and ``ORDER BY v``.
+
     Rows are first reduced to distinct (keys, order values) with their counts —
     a partially aggregated shuffle, so a value repeated in a third of the rows
     costs one row — then ranked with ``ordered_prefix`` and joined back.
@@ -104,18 +116,23 @@ def group_rank(
     ocols = [c for c, _ in order]
     vc = df.groupBy(*keys, *ocols).agg(F.count(F.lit(1)).alias("__n"))
     ranked = ordered_prefix(vc, keys, order, ["__n"], buckets=buckets)
-    sel = [*keys, *ocols]
-    if rank_col:
-        sel.append((F.col("__n_before") + 1).cast("int").alias(rank_col))
-    if percent_rank_col:
-        sel.append(
-            F.when(F.col("__n_total") <= 1, F.lit(0.0))
-            .otherwise(F.col("__n_before") / (F.col("__n_total") - 1)).cast("double")
-            .alias(percent_rank_col))
+    before = F.col("__n_before")
+    after = F.col("__n_total") - F.col("__n_through")
+    denom = F.col("__n_total") - 1
+
+    def pct(c):
+        return F.when(F.col("__n_total") <= 1, F.lit(0.0)).otherwise(c / denom).cast("double")
+
+    kinds = {
+        "rank": (before + 1).cast("int"),
+        "rank_reverse": (after + 1).cast("int"),
+        "percent_rank": pct(before),
+        "percent_rank_reverse": pct(after),
+    }
     # Rename the join keys on the ranked side so the self-derived join is unambiguous.
-    ranked = ranked.select(*sel).select(
+    ranked = ranked.select(
         *[F.col(c).alias(f"__r_{c}") for c in keys + ocols],
-        *[c for c in (rank_col, percent_rank_col) if c])
+        *[kinds[kind].alias(name) for name, kind in outputs.items()])
     cond = [F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in keys + ocols]
     out = df.join(ranked, cond, "inner")
-    return out.select(*df.columns, *[c for c in (rank_col, percent_rank_col) if c])
+    return out.select(*df.columns, *outputs)

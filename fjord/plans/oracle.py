@@ -146,3 +146,212 @@ FROM (SELECT account_hash, tr_id, amount,
              row_number() OVER (PARTITION BY account_hash ORDER BY tr_timestamp DESC, tr_id DESC) AS rn
       FROM txn)
 WHERE rn = 1 AND amount > rolling_avg_amount_7""")
+
+
+# ---------------------------------------------------------------- cleaning (silver)
+def _q(c: str) -> str:
+    return '"' + c + '"'
+
+
+RAW_COLS = [
+    "TransactionID", "AccountID", "TransactionAmount", "TransactionDate",
+    "TransactionType", "Location", "DeviceID", "IP Address", "MerchantID",
+    "Channel", "CustomerAge", "CustomerOccupation", "TransactionDuration",
+    "LoginAttempts", "AccountBalance", "PreviousTransactionDate",
+]
+SILVER_TYPES = {"TransactionAmount": "DOUBLE", "TransactionDate": "DATE", "CustomerAge": "INTEGER",
+                "LoginAttempts": "INTEGER", "AccountBalance": "DOUBLE", "TransactionDuration": "INTEGER",
+                "PreviousTransactionDate": "DATE"}
+
+
+def _typed_select(types: dict[str, str], rnd: bool = True) -> str:
+    out = []
+    for c in RAW_COLS:
+        if c in types:
+            e = f"TRY_CAST({_q(c)} AS {types[c]})"
+            if rnd and types[c] == "DOUBLE":
+                e = f"round({e}, 6)"
+            out.append(f"{e} AS {_q(c)}")
+        else:
+            out.append(_q(c))
+    return ", ".join(out)
+
+
+GOOD_COND = """TRY_CAST("TransactionAmount" AS DOUBLE) IS NOT NULL
+  AND TRY_CAST("TransactionAmount" AS DOUBLE) > 0
+  AND TRY_CAST("TransactionDate" AS DATE) IS NOT NULL
+  AND TRY_CAST("TransactionDate" AS DATE) <= DATE '2026-12-01'"""
+BAD_COND = """"TransactionAmount" IS NULL OR "TransactionDate" IS NULL
+  OR "TransactionID" IS NULL OR "AccountID" IS NULL"""
+
+register("silver_try_cast", with_ctes(RAW_CTE) + f"SELECT {_typed_select(SILVER_TYPES)} FROM raw")
+
+register("silver_good", with_ctes(RAW_CTE) + f"""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY "TransactionID", "AccountID"
+                               ORDER BY {", ".join(_q(c) + " NULLS FIRST" for c in RAW_COLS)}) AS rn
+  FROM (SELECT {_typed_select(SILVER_TYPES)} FROM raw WHERE {GOOD_COND}))
+WHERE rn = 1""")
+
+register("silver_quarantine", with_ctes(RAW_CTE) + f"SELECT * FROM raw WHERE {BAD_COND}")
+
+register("silver_quarantine_strict", with_ctes(RAW_CTE) + f"""
+SELECT * FROM raw
+WHERE NOT coalesce({GOOD_COND} AND NOT isnan(TRY_CAST("TransactionAmount" AS DOUBLE)), false)""")
+
+register("silver_reconcile", with_ctes(RAW_CTE) + f"""
+, flags AS (SELECT coalesce({GOOD_COND}, false) AS g, coalesce({BAD_COND}, false) AS b,
+                   "TransactionID", "AccountID" FROM raw)
+SELECT count(*) AS rows_in,
+       CAST(count_if(g) AS BIGINT) AS good_rows,
+       CAST(count_if(b) AS BIGINT) AS quarantined,
+       CAST(count_if(g AND NOT b) AS BIGINT) AS good_only,
+       CAST(count_if(NOT g AND b) AS BIGINT) AS bad_only,
+       CAST(count_if(g AND b) AS BIGINT) AS both,
+       CAST(count_if(NOT g AND NOT b) AS BIGINT) AS neither,
+       (SELECT count(*) FROM (SELECT 1 FROM flags WHERE g GROUP BY "TransactionID", "AccountID")) AS good_after_dedup
+FROM flags""".replace("\n, flags", ", flags"))
+
+LINEITEM_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                 "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+register("dedup_business_key", f"""
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, round(l_quantity, 6) AS l_quantity,
+       round(l_extendedprice, 6) AS l_extendedprice, round(l_discount, 6) AS l_discount,
+       round(l_tax, 6) AS l_tax, l_returnflag, l_linestatus, l_shipdate
+FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                           ORDER BY {", ".join(c + " NULLS FIRST" for c in LINEITEM_COLS)}) = 1""")
+
+RULES_SQL = [
+    ('"TransactionID" IS NULL', "TransactionID IS NULL"),
+    ('"TransactionAmount" IS NULL', "TransactionAmount IS NULL"),
+    ('"TransactionDate" IS NULL', "TransactionDate IS NULL"),
+    ('"AccountID" IS NULL', "AccountID IS NULL"),
+    ('TRY_CAST("TransactionAmount" AS DOUBLE) < 0', "CAST(TransactionAmount AS DOUBLE) < 0"),
+    ('TRY_CAST("LoginAttempts" AS INTEGER) < 0', "CAST(LoginAttempts AS INT) < 0"),
+]
+register("quarantine_by_rules", with_ctes(RAW_CTE) + """
+SELECT * FROM raw WHERE coalesce(""" + " OR ".join(f"({e})" for e, _ in RULES_SQL) + ", false)")
+
+register("quarantine_reason", with_ctes(RAW_CTE) + """
+SELECT "TransactionID", "AccountID", "TransactionAmount", "TransactionDate",
+       CASE """ + " ".join(f"WHEN coalesce({e}, false) THEN '{t}'" for e, t in RULES_SQL)
+         + """ ELSE NULL END AS quarantine_reason
+FROM raw""")
+
+register("sample_rows", with_ctes(RAW_CTE) + f"""
+SELECT "TransactionID", "AccountID", "TransactionAmount", "TransactionDate", "CustomerAge",
+       "LoginAttempts", "AccountBalance"
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY "TransactionID", "AccountID"
+                               ORDER BY {", ".join(_q(c) + " NULLS FIRST" for c in RAW_COLS)}) AS rn
+  FROM (SELECT {_typed_select(SILVER_TYPES)} FROM raw WHERE {GOOD_COND}))
+WHERE rn = 1
+ORDER BY "TransactionID" NULLS LAST, "AccountID" NULLS FIRST LIMIT 5""")
+
+_ALL_TABLES = ("region nation customer supplier part orders lineitem events documents "
+               "embeddings pages benchmark labels conversations").split()
+register("row_counts", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _ALL_TABLES))
+
+# ---------------------------------------------------------------- landing
+_BUSINESS = {"transactionid": "transaction_id", "accountid": "account_id", "transactionamount": "amount",
+             "transactiondate": "transaction_date", "transactiontype": "transaction_type",
+             "merchantid": "merchant_id"}
+MAPPED = {c: _BUSINESS.get(c.lower().replace(" ", "_"), c.lower().replace(" ", "_")) for c in RAW_COLS}
+RENAMED_CTE = "renamed AS (SELECT " + ", ".join(f"{_q(c)} AS {MAPPED[c]}" for c in RAW_COLS) + " FROM raw)"
+COERCED_CTE = """coerced AS (
+  SELECT * REPLACE (coalesce(try_strptime(transaction_date, '%Y-%m-%d %H:%M:%S'),
+                             try_strptime(transaction_date, '%Y-%m-%d')) AS transaction_date,
+                    TRY_CAST(amount AS DOUBLE) AS amount)
+  FROM renamed),
+parsed AS (SELECT *, strftime(transaction_date, '%Y-%m-%d') AS landing_partition FROM coerced)"""
+LANDED_CTE = """as_text AS (SELECT * REPLACE (CAST(CAST(amount AS DECIMAL(18,2)) AS VARCHAR) AS amount) FROM parsed),
+head AS (SELECT *, row_number() OVER (ORDER BY transaction_id NULLS LAST, transaction_date NULLS LAST,
+                                               amount NULLS LAST) AS i
+         FROM (SELECT * FROM as_text ORDER BY transaction_id NULLS LAST, transaction_date NULLS LAST,
+                                              amount NULLS LAST LIMIT 2)),
+landed AS (
+  SELECT * FROM as_text
+  UNION ALL BY NAME
+  SELECT * EXCLUDE (i) REPLACE (CASE WHEN i = 1 THEN NULL ELSE 'bad-amount' END AS amount,
+                                CAST(NULL AS TIMESTAMP) AS transaction_date)
+  FROM head)"""
+
+register("rename_mapped", with_ctes(RAW_CTE, RENAMED_CTE) + "SELECT * FROM renamed")
+register("coerce_parse", with_ctes(RAW_CTE, RENAMED_CTE, COERCED_CTE) + """
+SELECT transaction_id, account_id, round(amount, 6) AS amount, transaction_date, landing_partition FROM parsed""")
+register("inject_bad_records", with_ctes(RAW_CTE, RENAMED_CTE, COERCED_CTE, LANDED_CTE) + """
+SELECT transaction_id, account_id, amount, transaction_date, landing_partition FROM landed""")
+register("landing_day_counts", with_ctes(RAW_CTE, RENAMED_CTE, COERCED_CTE, LANDED_CTE) + """
+SELECT coalesce(landing_partition, 'unknown-date') AS landing_partition, count(*) AS row_count
+FROM landed GROUP BY 1""")
+register("landing_payload", with_ctes(RAW_CTE, RENAMED_CTE, COERCED_CTE, LANDED_CTE) + """
+SELECT coalesce(landing_partition, 'unknown-date') AS landing_partition,
+       * EXCLUDE (landing_partition) REPLACE (strftime(transaction_date, '%Y-%m-%dT%H:%M:%S.%g') AS transaction_date)
+FROM landed""")
+
+# ---------------------------------------------------------------- schema
+HINT_TYPES = {"TransactionAmount": "DOUBLE", "TransactionDate": "TIMESTAMP", "CustomerAge": "INTEGER",
+              "TransactionDuration": "INTEGER", "LoginAttempts": "INTEGER", "AccountBalance": "DOUBLE",
+              "PreviousTransactionDate": "TIMESTAMP"}
+register("schema_hint_cast", with_ctes(RAW_CTE) + f"SELECT {_typed_select(HINT_TYPES)} FROM raw")
+
+_rescue_items = ", ".join(
+    f"""CASE WHEN {_q(c)} IS NOT NULL AND TRY_CAST({_q(c)} AS {t}) IS NULL
+             THEN '"{c}":' || CAST(to_json({_q(c)}) AS VARCHAR) END"""
+    for c, t in HINT_TYPES.items())
+register("rescue_type_drift", with_ctes(RAW_CTE) + f"""
+SELECT "TransactionID", "AccountID", round(TRY_CAST("TransactionAmount" AS DOUBLE), 6) AS "TransactionAmount",
+       TRY_CAST("TransactionDate" AS TIMESTAMP) AS "TransactionDate",
+       CASE WHEN len(list_filter([{_rescue_items}], lambda x: x IS NOT NULL)) > 0
+            THEN '{{' || array_to_string(list_filter([{_rescue_items}], lambda x: x IS NOT NULL), ',') || '}}'
+       END AS _rescued_data
+FROM raw""")
+
+register("schema_merge_union", """
+SELECT event_id, ts, user_id, round(value, 6) AS value FROM events WHERE ts < TIMESTAMP '2024-01-16'
+UNION ALL BY NAME
+SELECT event_id, ts, user_id, round(value, 6) AS value, 'D' || CAST(user_id % 40 AS VARCHAR) AS device_id
+FROM events WHERE ts >= TIMESTAMP '2024-01-16'""")
+
+# ---------------------------------------------------------------- quality / monitoring
+register("null_profile", with_ctes(RAW_CTE) + "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS column_name, CAST({i} AS INTEGER) AS ordinal,
+       CAST(count_if({_q(c)} IS NULL) AS BIGINT) AS null_count,
+       round(CASE WHEN count(*) > 0 THEN count_if({_q(c)} IS NULL) / count(*) ELSE 0.0 END, 6) AS null_ratio
+FROM raw""" for i, c in enumerate(RAW_COLS)))
+
+_HINT_NAMES = {"TransactionAmount": "double", "TransactionDate": "timestamp", "CustomerAge": "integer",
+               "TransactionDuration": "integer", "LoginAttempts": "integer", "AccountBalance": "double",
+               "PreviousTransactionDate": "timestamp"}
+_PII = {"AccountID", "MerchantID", "Location", "DeviceID", "IP Address"}
+register("column_profile", with_ctes(RAW_CTE) + "\nUNION ALL\n".join(
+    f"""SELECT count(*) AS record_count, CAST({len(RAW_COLS)} AS INTEGER) AS column_count,
+       '{c}' AS column_name, CAST({i} AS INTEGER) AS ordinal,
+       '{c.lower().replace(" ", "_")}' AS mapped_name, '{_HINT_NAMES.get(c, "string")}' AS schema_hint,
+       {"true" if c in _PII else "false"} AS is_pii, CAST(count_if({_q(c)} IS NULL) AS BIGINT) AS null_count
+FROM raw""" for i, c in enumerate(RAW_COLS)))
+
+FLAGS_CTE = """flags AS (
+  SELECT tr_date, fraud_amount, threshold, coalesce(fraud_amount > threshold, false) AS alert
+  FROM daily, (SELECT avg(fraud_amount) + 2.0 * stddev_samp(fraud_amount) AS threshold FROM daily))"""
+register("anomaly_threshold", with_ctes(TXN_CTE, DAILY_SQL, FLAGS_CTE) + """
+SELECT tr_date, round(fraud_amount, 6) AS fraud_amount, round(threshold, 6) AS threshold, alert FROM flags""")
+register("anomaly_days", with_ctes(TXN_CTE, DAILY_SQL, FLAGS_CTE) + """
+SELECT tr_date, round(fraud_amount, 6) AS fraud_amount, round(threshold, 6) AS threshold FROM flags WHERE alert""")
+register("alert_payload", with_ctes(TXN_CTE, DAILY_SQL, FLAGS_CTE) + """
+SELECT round(threshold, 6) AS threshold, alert_count, flagged_days,
+       CASE WHEN alert_count > 0
+            THEN format('Fraud amount breached the control limit of {} on {} day(s): {}.',
+                        CAST(CAST(threshold AS DECIMAL(18,2)) AS VARCHAR), alert_count, flagged_days)
+            ELSE 'No day breached the fraud control limit.' END AS executive_summary
+FROM (SELECT max(threshold) AS threshold, CAST(count_if(alert) AS BIGINT) AS alert_count,
+             coalesce(array_to_string(list_sort(list(strftime(tr_date, '%Y-%m-%d') || '='
+                        || CAST(CAST(fraud_amount AS DECIMAL(18,2)) AS VARCHAR)) FILTER (WHERE alert)), ';'), '')
+               AS flagged_days
+      FROM flags)""")
+register("class_weight", with_ctes(TXN_CTE) + """
+SELECT negatives, positives, round(CAST(negatives AS DOUBLE) / greatest(positives, 1), 6) AS scale_pos_weight
+FROM (SELECT CAST(count_if(is_fraud = 0) AS BIGINT) AS negatives, CAST(count_if(is_fraud = 1) AS BIGINT) AS positives
+      FROM txn)""")

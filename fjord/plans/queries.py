@@ -10,10 +10,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fjord.operators import gold
+from fjord.functions.constants import QUARANTINE_RULES, SCHEMA_HINTS
+from fjord.operators import clean, gold, landing, quality
 from fjord.plans.normalize import rounded
-from fjord.sources.tables import txn
+from fjord.sources import schema
+from fjord.sources.tables import TABLES, raw_txn, table, txn
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -87,3 +90,179 @@ def _region_risk(spark, d):
 def _rising_velocity(spark, d):
     """Demo question: accounts whose latest amount exceeds their 7-row mean."""
     return gold.rising_velocity(gold.account_features(txn(spark, d)))
+
+
+# ---------------------------------------------------------------- cleaning (silver)
+AS_OF = "2026-12-01"  # pinned "today" for deterministic good-row selection
+
+
+@query("silver_try_cast")
+def _silver_try_cast(spark, d):
+    """Defensive casts over the raw feed."""
+    return clean.defensive_cast(raw_txn(spark, d))
+
+
+@query("silver_good")
+def _silver_good(spark, d):
+    """P6 + L1: good rows, typed, deduplicated by business key."""
+    return clean.silver_good(raw_txn(spark, d), as_of=AS_OF)
+
+
+@query("silver_quarantine")
+def _silver_quarantine(spark, d):
+    """Rows sent to quarantine (default predicate)."""
+    return clean.silver_quarantine(raw_txn(spark, d), as_of=AS_OF)
+
+
+@query("silver_quarantine_strict")
+def _silver_quarantine_strict(spark, d):
+    """D2 strict mode: quarantine = every row that is not good."""
+    return clean.silver_quarantine(raw_txn(spark, d), as_of=AS_OF, strict=True)
+
+
+@query("silver_reconcile")
+def _silver_reconcile(spark, d):
+    """A18 + U3: good / bad / both / neither totals of one batch."""
+    return clean.reconcile(raw_txn(spark, d), as_of=AS_OF)
+
+
+@query("dedup_business_key")
+def _dedup_business_key(spark, d):
+    """L1 on lineitem (l_orderkey, l_linenumber), smallest row survives."""
+    return clean.dedup_first(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query("quarantine_by_rules")
+def _quarantine_by_rules(spark, d):
+    """Rows matching any profile rule (CAST made ANSI-safe)."""
+    return clean.quarantine_by_rules(raw_txn(spark, d))
+
+
+@query("quarantine_reason")
+def _quarantine_reason(spark, d):
+    """First matching rule per row."""
+    r = raw_txn(spark, d)
+    return r.select("TransactionID", "AccountID", "TransactionAmount", "TransactionDate",
+                    clean.quarantine_reason(QUARANTINE_RULES).alias("quarantine_reason"))
+
+
+@query("sample_rows")
+def _sample_rows(spark, d):
+    """P12 + L2: five good rows for inspection (limit is the feature)."""
+    g = clean.silver_good(raw_txn(spark, d), as_of=AS_OF)
+    return (g.select("TransactionID", "AccountID", "TransactionAmount", "TransactionDate",
+                     "CustomerAge", "LoginAttempts", "AccountBalance")
+             .orderBy(F.col("TransactionID").asc_nulls_last(), "AccountID").limit(5))
+
+
+@query("row_counts")
+def _row_counts(spark, d):
+    """A1: row count of every driver table."""
+    parts = [table(spark, d, t).agg(F.count(F.lit(1)).alias("row_count"))
+             .select(F.lit(t).alias("table_name"), "row_count") for t in TABLES]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# ---------------------------------------------------------------- landing
+def _landed(spark, d):
+    return landing.inject_bad_records(landing.coerce_parse(landing.rename_mapped(raw_txn(spark, d))))
+
+
+@query("rename_mapped")
+def _rename_mapped(spark, d):
+    """Normalised + business column names."""
+    return landing.rename_mapped(raw_txn(spark, d))
+
+
+@query("coerce_parse")
+def _coerce_parse(spark, d):
+    """P5 + P10: coercing date/number parse and the landing day."""
+    c = landing.coerce_parse(landing.rename_mapped(raw_txn(spark, d)))
+    return c.select("transaction_id", "account_id", "amount", "transaction_date", landing.DAY)
+
+
+@query("inject_bad_records")
+def _inject_bad_records(spark, d):
+    """The landed rows plus two broken copies."""
+    return _landed(spark, d).select("transaction_id", "account_id", "amount", "transaction_date", landing.DAY)
+
+
+@query("landing_day_counts")
+def _landing_day_counts(spark, d):
+    """A5 + P10: rows per landing day, NULL day as unknown-date."""
+    return landing.landing_day_counts(_landed(spark, d))
+
+
+@query("landing_payload")
+def _landing_payload(spark, d):
+    """K6 + P11: JSONL payload rows (ISO dates, day key apart)."""
+    return landing.landing_payload(_landed(spark, d))
+
+
+# ---------------------------------------------------------------- schema
+@query("schema_hint_cast")
+def _schema_hint_cast(spark, d):
+    """The profile's type hints applied to the all-string feed."""
+    return schema.apply_hints(raw_txn(spark, d), SCHEMA_HINTS)
+
+
+@query("rescue_type_drift")
+def _rescue_type_drift(spark, d):
+    """Typed feed plus the rescued-data JSON of values that did not fit."""
+    typed = schema.with_rescue(raw_txn(spark, d), SCHEMA_HINTS)
+    return typed.select("TransactionID", "AccountID", "TransactionAmount", "TransactionDate", "_rescued_data")
+
+
+@query("schema_merge_union")
+def _schema_merge_union(spark, d):
+    """An older feed and a newer one with an extra column, unioned by name."""
+    ev = table(spark, d, "events")
+    old = ev.filter(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")).select("event_id", "ts", "user_id", "value")
+    new = ev.filter(F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")).select(
+        "event_id", "ts", "user_id", "value",
+        F.concat(F.lit("D"), (F.col("user_id") % 40).cast("string")).alias("device_id"))
+    return schema.union_by_name([old, new])
+
+
+# ---------------------------------------------------------------- quality / monitoring
+@query("null_profile")
+def _null_profile(spark, d):
+    """Null count / ratio per column of the raw feed."""
+    return quality.null_profile(raw_txn(spark, d))
+
+
+@query("column_profile")
+def _column_profile(spark, d):
+    """A7 + P13: column profile with hints and PII flags."""
+    return quality.column_profile(raw_txn(spark, d))
+
+
+def _flags(spark, d):
+    return quality.anomaly_flags(gold.daily_fraud_metrics(txn(spark, d)))
+
+
+@query("anomaly_threshold")
+def _anomaly_threshold(spark, d):
+    """Mean + 2·std control limit per day."""
+    return _flags(spark, d).select("tr_date", "fraud_amount", "threshold", "alert")
+
+
+@query("anomaly_days")
+def _anomaly_days(spark, d):
+    """Days above the control limit."""
+    return _flags(spark, d).filter("alert").select("tr_date", "fraud_amount", "threshold")
+
+
+@query("alert_payload")
+def _alert_payload(spark, d):
+    """A9 + R5: alert record (threshold, count, flagged days, summary)."""
+    return quality.alert_payload(_flags(spark, d))
+
+
+@query("class_weight")
+def _class_weight(spark, d):
+    """Class counts and positive weight."""
+    return quality.class_weight(txn(spark, d))
