@@ -70,3 +70,10 @@ SILVER_CASTS = {
     "TransactionDuration": "int",
     "PreviousTransactionDate": "date",
 }
+
+# --- fixed values: the three demo questions asked of the retrieval stage ------
+DEMO_QUESTIONS = [
+    "Which merchant has the most fraud?",
+    "Which users have rising transaction velocity?",
+    "Summarize the highest-risk regions from the Gold tables.",
+]

@@ -104,7 +104,7 @@ def group_rank(
     """SQL ``rank()`` / ``percent_rank()`` over (keys, order) for every row of ``df``.
 
     ``outputs`` maps a new column name to ``rank``, ``percent_rank``,
-    ``rank_reverse`` or ``percent_rank_reverse``; the reverse kinds rank by the
+    ``rank_reverse``, ``percent_rank_reverse`` or ``count`` (group size); the reverse kinds rank by the
     exactly opposite order (every direction and NULL placement flipped), so one
     pass serves both ``ORDER BY v DESC`` and ``ORDER BY v``.
 
@@ -128,6 +128,7 @@ def group_rank(
         "rank_reverse": (after + 1).cast("int"),
         "percent_rank": pct(before),
         "percent_rank_reverse": pct(after),
+        "count": F.col("__n_total").cast("long"),
     }
     # Rename the join keys on the ranked side so the self-derived join is unambiguous.
     ranked = ranked.select(

@@ -355,3 +355,252 @@ register("class_weight", with_ctes(TXN_CTE) + """
 SELECT negatives, positives, round(CAST(negatives AS DOUBLE) / greatest(positives, 1), 6) AS scale_pos_weight
 FROM (SELECT CAST(count_if(is_fraud = 0) AS BIGINT) AS negatives, CAST(count_if(is_fraud = 1) AS BIGINT) AS positives
       FROM txn)""")
+
+
+# ---------------------------------------------------------------- model metrics
+SCORED_CTE = """scored AS (SELECT tr_id, is_fraud AS label, floor(amount / 5) / 100 AS score FROM txn),
+per_score AS (SELECT score AS threshold, CAST(sum(label) AS BIGINT) AS pos, CAST(sum(1 - label) AS BIGINT) AS neg
+              FROM scored WHERE score IS NOT NULL GROUP BY score),
+cum AS (SELECT threshold, pos, neg,
+               CAST(sum(pos) OVER (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS tp,
+               CAST(sum(neg) OVER (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS fp,
+               CAST(sum(pos) OVER () AS BIGINT) AS p_total
+        FROM per_score),
+curve AS (SELECT threshold, pos, neg, tp, fp, CAST(tp AS DOUBLE) / (tp + fp) AS precision,
+                 CASE WHEN p_total > 0 THEN CAST(tp AS DOUBLE) / p_total END AS recall FROM cum)"""
+
+register("pr_curve", with_ctes(TXN_CTE, SCORED_CTE) + """
+SELECT round(threshold, 6) AS threshold, pos, neg, tp, fp, round(precision, 6) AS precision,
+       round(recall, 6) AS recall FROM curve""")
+register("average_precision", with_ctes(TXN_CTE, SCORED_CTE) + """
+SELECT round(sum(pos * precision) / nullif(sum(pos), 0), 6) AS average_precision FROM curve""")
+register("best_f1_threshold", with_ctes(TXN_CTE, SCORED_CTE) + """
+, f AS (SELECT threshold, 2 * precision * recall / greatest(precision + recall, 1e-12) AS f1 FROM curve),
+best AS (SELECT threshold, f1 FROM f WHERE f1 IS NOT NULL ORDER BY f1 DESC, threshold ASC LIMIT 1)
+SELECT round(coalesce((SELECT threshold FROM best), 0.5), 6) AS threshold, round((SELECT f1 FROM best), 6) AS f1""".replace("\n, f AS", ", f AS"))
+
+CELLS_CTE = """cells AS (
+  SELECT CAST(count_if(label = 0 AND score < 0.1) AS BIGINT) AS tn,
+         CAST(count_if(label = 0 AND score >= 0.1) AS BIGINT) AS fp,
+         CAST(count_if(label = 1 AND score < 0.1) AS BIGINT) AS fn,
+         CAST(count_if(label = 1 AND score >= 0.1) AS BIGINT) AS tp
+  FROM scored)"""
+register("confusion_matrix", with_ctes(TXN_CTE, SCORED_CTE, CELLS_CTE) + """
+SELECT 0 AS actual, 0 AS predicted, tn AS row_count FROM cells UNION ALL
+SELECT 0, 1, fp FROM cells UNION ALL SELECT 1, 0, fn FROM cells UNION ALL SELECT 1, 1, tp FROM cells""")
+register("classification_report", with_ctes(TXN_CTE, SCORED_CTE, CELLS_CTE) + """
+, m AS (
+  SELECT CASE WHEN tn + fn > 0 THEN tn / (tn + fn) ELSE 0.0 END AS p0,
+         CASE WHEN tn + fp > 0 THEN tn / (tn + fp) ELSE 0.0 END AS r0,
+         CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS p1,
+         CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS r1,
+         tn + fp AS s0, fn + tp AS s1, tn + fp + fn + tp AS n,
+         CASE WHEN tn + fp + fn + tp > 0 THEN (tn + tp) / (tn + fp + fn + tp) ELSE 0.0 END AS acc
+  FROM cells),
+m2 AS (SELECT *, CASE WHEN p0 + r0 > 0 THEN 2 * p0 * r0 / (p0 + r0) ELSE 0.0 END AS f0,
+              CASE WHEN p1 + r1 > 0 THEN 2 * p1 * r1 / (p1 + r1) ELSE 0.0 END AS f1 FROM m)
+SELECT '0' AS label, round(p0, 6) AS precision, round(r0, 6) AS recall, round(f0, 6) AS f1_score, s0 AS support FROM m2
+UNION ALL SELECT '1', round(p1, 6), round(r1, 6), round(f1, 6), s1 FROM m2
+UNION ALL SELECT 'accuracy', NULL, NULL, round(acc, 6), n FROM m2
+UNION ALL SELECT 'macro avg', round((p0 + p1) / 2, 6), round((r0 + r1) / 2, 6), round((f0 + f1) / 2, 6), n FROM m2
+UNION ALL SELECT 'weighted avg', round(CASE WHEN n > 0 THEN (p0 * s0 + p1 * s1) / n ELSE 0.0 END, 6),
+                 round(CASE WHEN n > 0 THEN (r0 * s0 + r1 * s1) / n ELSE 0.0 END, 6),
+                 round(CASE WHEN n > 0 THEN (f0 * s0 + f1 * s1) / n ELSE 0.0 END, 6), n FROM m2""".replace("\n, m AS", ", m AS"))
+
+# ---------------------------------------------------------------- feature prep
+register("one_hot_counts", with_ctes(TXN_CTE) + """
+, cats AS (SELECT 'transaction_type' AS source_column, transaction_type AS category, count(*) AS row_count
+           FROM txn GROUP BY transaction_type
+           UNION ALL
+           SELECT 'location', location, count(*) FROM txn GROUP BY location),
+seen AS (SELECT source_column, category, row_count,
+                CAST(row_number() OVER (PARTITION BY source_column ORDER BY row_count DESC, category) - 1 AS INTEGER)
+                  AS category_index
+         FROM cats WHERE category IS NOT NULL),
+nulls AS (SELECT source_column, CAST(NULL AS VARCHAR) AS category,
+                 CAST(coalesce(sum(CASE WHEN category IS NULL THEN row_count END), 0) AS BIGINT) AS row_count,
+                 CAST(count_if(category IS NOT NULL) AS INTEGER) AS category_index
+          FROM cats GROUP BY source_column)
+SELECT *, source_column || '_' || coalesce(category, 'nan') AS feature
+FROM (SELECT * FROM seen UNION ALL SELECT * FROM nulls)""".replace("\n, cats AS", ", cats AS"))
+
+register("feature_align", with_ctes(TXN_CTE) + """
+SELECT tr_id, round(coalesce(amount, 0.0), 6) AS amount, round(coalesce(prev_amount, 0.0), 6) AS prev_amount,
+       round(coalesce(rolling_avg_amount_7, 0.0), 6) AS rolling_avg_amount_7,
+       coalesce(CAST(transaction_type = 'click' AS DOUBLE), 0.0) AS transaction_type_click,
+       coalesce(CAST(transaction_type = 'error' AS DOUBLE), 0.0) AS transaction_type_error,
+       0.0 AS transaction_type_refund,
+       coalesce(CAST(location = 'LOC_0' AS DOUBLE), 0.0) AS location_LOC_0,
+       CAST(location IS NULL AS DOUBLE) AS location_nan
+FROM (SELECT *, lag(amount) OVER (PARTITION BY account_hash ORDER BY tr_timestamp, tr_id) AS prev_amount,
+             avg(amount) OVER (PARTITION BY account_hash ORDER BY tr_timestamp, tr_id
+                               ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS rolling_avg_amount_7
+      FROM txn)""")
+
+register("stratified_split", with_ctes(TXN_CTE) + """
+, h AS (SELECT tr_id, is_fraud,
+               CAST(('0x' || substr(sha256('42:' || CAST(tr_id AS VARCHAR)), 1, 12)) AS BIGINT) AS u FROM txn),
+r AS (SELECT *, rank() OVER (PARTITION BY is_fraud ORDER BY u, tr_id) AS rk,
+             count(*) OVER (PARTITION BY is_fraud) AS n FROM h)
+SELECT tr_id, is_fraud, CASE WHEN rk <= ceil(n * 0.2) THEN 'test' ELSE 'train' END AS split FROM r""".replace("\n, h AS", ", h AS"))
+
+# ---------------------------------------------------------------- merge
+RISK_SRC_CTE = """s1 AS (SELECT account_hash, CAST(sum(is_fraud) AS DOUBLE) / CAST(nullif(count(*), 0) AS DOUBLE) AS risk_score
+       FROM txn WHERE tr_date < DATE '2024-01-16' GROUP BY account_hash),
+s2 AS (SELECT account_hash, CAST(sum(is_fraud) AS DOUBLE) / CAST(nullif(count(*), 0) AS DOUBLE) AS risk_score
+       FROM txn GROUP BY account_hash),
+t1 AS (SELECT account_hash, risk_score, TIMESTAMP '2024-01-16 00:00:00' AS valid_from,
+              TIMESTAMP '9999-12-31 00:00:00' AS valid_to, true AS is_current FROM s1)"""
+
+register("scd2_single_pass", with_ctes(TXN_CTE, RISK_SRC_CTE) + """
+, upd AS (
+  SELECT t.account_hash, t.risk_score, t.valid_from,
+         CASE WHEN s.account_hash IS NOT NULL AND t.is_current AND t.risk_score <> s.risk_score
+              THEN TIMESTAMP '2024-01-31 00:00:00' ELSE t.valid_to END AS valid_to,
+         CASE WHEN s.account_hash IS NOT NULL AND t.is_current AND t.risk_score <> s.risk_score
+              THEN false ELSE t.is_current END AS is_current
+  FROM t1 t LEFT JOIN s2 s ON t.account_hash = s.account_hash AND t.is_current),
+ins AS (
+  SELECT s.account_hash, s.risk_score, TIMESTAMP '2024-01-31 00:00:00' AS valid_from,
+         TIMESTAMP '9999-12-31 00:00:00' AS valid_to, true AS is_current
+  FROM s2 s WHERE NOT EXISTS (SELECT 1 FROM t1 t WHERE t.account_hash = s.account_hash AND t.is_current))
+SELECT account_hash, round(risk_score, 6) AS risk_score, valid_from, valid_to, is_current
+FROM (SELECT * FROM upd UNION ALL SELECT * FROM ins)""".replace("\n, upd AS", ", upd AS"))
+
+register("scd2_complete", with_ctes(TXN_CTE, RISK_SRC_CTE) + """
+, upd AS (
+  SELECT t.account_hash, t.risk_score, t.valid_from,
+         CASE WHEN s.present AND t.is_current AND t.risk_score IS DISTINCT FROM s.risk_score
+              THEN TIMESTAMP '2024-01-31 00:00:00' ELSE t.valid_to END AS valid_to,
+         CASE WHEN s.present AND t.is_current AND t.risk_score IS DISTINCT FROM s.risk_score
+              THEN false ELSE t.is_current END AS is_current
+  FROM t1 t LEFT JOIN (SELECT *, true AS present FROM s2) s
+    ON t.account_hash IS NOT DISTINCT FROM s.account_hash AND t.is_current),
+ins AS (
+  SELECT s.account_hash, s.risk_score, TIMESTAMP '2024-01-31 00:00:00' AS valid_from,
+         TIMESTAMP '9999-12-31 00:00:00' AS valid_to, true AS is_current
+  FROM s2 s
+  WHERE NOT EXISTS (SELECT 1 FROM t1 t WHERE t.account_hash IS NOT DISTINCT FROM s.account_hash AND t.is_current
+                    AND t.risk_score IS NOT DISTINCT FROM s.risk_score))
+SELECT account_hash, round(risk_score, 6) AS risk_score, valid_from, valid_to, is_current
+FROM (SELECT * FROM upd UNION ALL SELECT * FROM ins)""".replace("\n, upd AS", ", upd AS"))
+
+register("doc_upsert", """
+WITH upd AS (
+  SELECT doc_id, text || ' [rev2]' AS text, lang, source FROM documents WHERE lang = 'de'
+  UNION ALL
+  SELECT item_id + 1000000000 AS doc_id, text, 'xx' AS lang, 'benchmark' AS source FROM benchmark),
+res AS (
+  SELECT doc_id, text, lang, source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM upd u WHERE u.doc_id = d.doc_id)
+  UNION ALL SELECT doc_id, text, lang, source FROM upd)
+SELECT doc_id, lang, source, CAST(length(text) AS INTEGER) AS n_chars, sha256(text) AS text_sha FROM res""")
+
+# ---------------------------------------------------------------- retrieval
+register("vector_topk", """
+WITH cent AS (
+  SELECT label AS query_id, list(x ORDER BY pos) AS q
+  FROM (SELECT label, pos, avg(x) AS x
+        FROM (SELECT label, unnest(embedding) AS x, unnest(range(1, len(embedding) + 1)) AS pos FROM embeddings)
+        GROUP BY label, pos)
+  GROUP BY label),
+d AS (
+  SELECT c.query_id, e.vec_id, e.label,
+         list_reduce(list_transform(range(1, len(e.embedding) + 1),
+                                    lambda i: (CAST(e.embedding[i] AS DOUBLE) - c.q[i]) * (CAST(e.embedding[i] AS DOUBLE) - c.q[i])),
+                     lambda a, b: a + b) AS distance
+  FROM embeddings e, cent c)
+SELECT query_id, vec_id, label, round(distance, 6) AS distance, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(distance, 6), vec_id) AS rank FROM d)
+WHERE rank <= 3""")
+
+TFIDF_CTE = r"""qs AS (SELECT * FROM (VALUES (1, 'Which merchant has the most fraud?'),
+                               (2, 'Which users have rising transaction velocity?'),
+                               (3, 'Summarize the highest-risk regions from the Gold tables.')) AS t(question_id, question)),
+dt AS (SELECT doc_id, term, count(*) AS tf
+       FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS term FROM documents)
+       GROUP BY doc_id, term),
+idf AS (SELECT term, ln((n + 1.0) / (count(*) + 1.0)) AS idf
+        FROM dt, (SELECT count(*) AS n FROM documents) GROUP BY term, n),
+w AS (SELECT doc_id, term, tf * idf AS w FROM dt JOIN idf USING (term)),
+norms AS (SELECT doc_id, sqrt(sum(w * w)) AS dnorm FROM w GROUP BY doc_id),
+qt AS (SELECT question_id, term, count(*) AS tf
+       FROM (SELECT question_id, unnest(regexp_extract_all(lower(question), '[\p{L}\p{N}]+')) AS term FROM qs)
+       GROUP BY question_id, term),
+qw AS (SELECT question_id, term, tf * idf AS qw FROM qt JOIN idf USING (term)),
+qn AS (SELECT question_id, sqrt(sum(qw * qw)) AS qnorm FROM qw GROUP BY question_id),
+dots AS (SELECT question_id, doc_id, sum(w * qw) AS dot FROM w JOIN qw USING (term) GROUP BY question_id, doc_id),
+sc AS (SELECT question_id, doc_id, dot / nullif(qnorm * dnorm, 0) AS score
+       FROM dots JOIN qn USING (question_id) JOIN norms USING (doc_id)),
+top AS (SELECT question_id, doc_id, score, CAST(rank AS INTEGER) AS rank
+        FROM (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY round(score, 6) DESC, doc_id) AS rank FROM sc)
+        WHERE rank <= 3)"""
+
+register("tfidf_topk", with_ctes(TFIDF_CTE) + """
+SELECT question_id, doc_id, round(score, 6) AS score, rank FROM top""")
+
+register("answer_context", with_ctes(TFIDF_CTE) + """
+SELECT question_id,
+       string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY rank) AS context_ids,
+       'Fallback answer based on retrieved Gold summaries: '
+         || string_agg(CASE WHEN rank <= 2 THEN d.text END, ' ' ORDER BY rank)
+         || ' | Suggested next step: validate the top-risk merchants in the Gold merchant summary.' AS answer
+FROM top JOIN documents d USING (doc_id)
+GROUP BY question_id""")
+
+_FEAT_SQL = """feat AS (
+  SELECT tr_id, tr_date, account_hash, merchant_hash, amount, is_fraud, transaction_type, location,
+         lag(amount) OVER (PARTITION BY account_hash ORDER BY tr_timestamp, tr_id) AS prev_amount,
+         avg(amount) OVER (PARTITION BY account_hash ORDER BY tr_timestamp, tr_id
+                           ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS rolling_avg_amount_7,
+         CAST(rank() OVER (PARTITION BY tr_date ORDER BY amount DESC) AS INTEGER) AS daily_amount_rank,
+         percent_rank() OVER (PARTITION BY tr_date ORDER BY amount) AS daily_amount_percent_rank
+  FROM txn)"""
+
+
+def _doc_sql(name: str, src: str, cols: list[tuple[str, bool]], order: str) -> str:
+    fields = ", ".join(
+        f"{c} := CAST(CAST({c} AS DECIMAL(18,6)) AS VARCHAR)" if dbl else f"{c} := CAST({c} AS VARCHAR)"
+        for c, dbl in cols)
+    return f"""SELECT '{name}' AS id,
+       '[' || string_agg(to_json(struct_pack({fields})), ',' ORDER BY {order}) || ']' AS text,
+       'gold/{name}' AS source
+FROM (SELECT * FROM {src} ORDER BY {order} LIMIT 50)"""
+
+
+register("summary_documents", with_ctes(TXN_CTE, MERCHANT_SQL, _FEAT_SQL) + """
+, usr AS (SELECT account_hash, count(*) AS transaction_count, sum(amount) AS total_amount,
+                 avg(amount) AS avg_amount, CAST(sum(is_fraud) AS BIGINT) AS fraud_count
+          FROM txn GROUP BY account_hash)
+""".replace("\n, usr AS", ", usr AS") + "\nUNION ALL\n".join([
+    _doc_sql("merchant_summary", "merchant_ranked",
+             [("merchant_hash", False), ("transaction_count", False), ("total_amount", True),
+              ("fraud_count", False), ("fraud_rank", False)], "fraud_rank, merchant_hash"),
+    _doc_sql("user_summary", "usr",
+             [("account_hash", False), ("transaction_count", False), ("total_amount", True),
+              ("avg_amount", True), ("fraud_count", False)], "account_hash"),
+    _doc_sql("ml_features", "feat",
+             [("tr_id", False), ("tr_date", False), ("account_hash", False), ("merchant_hash", False),
+              ("amount", True), ("is_fraud", False), ("transaction_type", False), ("location", False),
+              ("prev_amount", True), ("rolling_avg_amount_7", True), ("daily_amount_rank", False),
+              ("daily_amount_percent_rank", True)], "tr_id"),
+]))
+
+register("gold_narrative", with_ctes(TXN_CTE, MERCHANT_SQL, DAILY_SQL) + """
+, m AS (SELECT * FROM merchant_ranked ORDER BY fraud_rank, merchant_hash LIMIT 1),
+u AS (SELECT account_hash, CAST(sum(is_fraud) AS DOUBLE) / CAST(nullif(count(*), 0) AS DOUBLE) AS risk_score
+      FROM txn GROUP BY account_hash ORDER BY risk_score DESC, account_hash LIMIT 1),
+dd AS (SELECT * FROM daily ORDER BY fraud_amount DESC, tr_date LIMIT 1)
+SELECT format('Top fraud merchant {} with {} fraud transactions; highest-risk account {} (risk {}); peak fraud day {} ({}).',
+              m.merchant_hash, m.fraud_count, u.account_hash,
+              CAST(CAST(u.risk_score AS DECIMAL(18,6)) AS VARCHAR), CAST(dd.tr_date AS VARCHAR),
+              CAST(CAST(dd.fraud_amount AS DECIMAL(18,2)) AS VARCHAR)) AS narrative
+FROM m, u, dd""".replace("\n, m AS", ", m AS"))
+
+# ---------------------------------------------------------------- scans / PII
+register("pii_hash", """
+SELECT event_id AS tr_id, sha256(CAST(user_id AS VARCHAR)) AS account_hash,
+       sha256('fjord|' || CAST(user_id AS VARCHAR)) AS account_hash_salted,
+       sha256(json_extract_string(props, '$.k')) AS merchant_hash
+FROM events""")
+
+register("scan_parquet", "SELECT event_id, ts, round(value, 6) AS value FROM events WHERE value > 100")

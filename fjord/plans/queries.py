@@ -12,8 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fjord.functions.constants import QUARANTINE_RULES, SCHEMA_HINTS
-from fjord.operators import clean, gold, landing, quality
+from fjord.functions.constants import DEMO_QUESTIONS, QUARANTINE_RULES, SCHEMA_HINTS
+from fjord.functions.exprs import pii_hash
+from fjord.operators import clean, features, gold, landing, merge, metrics, quality, retrieve
 from fjord.plans.normalize import rounded
 from fjord.sources import schema
 from fjord.sources.tables import TABLES, raw_txn, table, txn
@@ -266,3 +267,172 @@ def _alert_payload(spark, d):
 def _class_weight(spark, d):
     """Class counts and positive weight."""
     return quality.class_weight(txn(spark, d))
+
+
+# ---------------------------------------------------------------- model metrics
+def _scored(spark, d):
+    """A given score column (no model needed for the oracle): floor(amount / 5) / 100."""
+    t = txn(spark, d)
+    return t.select("tr_id", F.col("is_fraud").alias("label"), (F.floor(F.col("amount") / 5) / 100).alias("score"))
+
+
+@query("pr_curve")
+def _pr_curve(spark, d):
+    """precision/recall per distinct score."""
+    return metrics.pr_curve(_scored(spark, d))
+
+
+@query("average_precision")
+def _average_precision(spark, d):
+    """Average precision."""
+    return metrics.average_precision(metrics.pr_curve(_scored(spark, d)))
+
+
+@query("best_f1_threshold")
+def _best_f1_threshold(spark, d):
+    """A14 + L6: best-F1 threshold, lowest on ties."""
+    return metrics.best_f1_threshold(metrics.pr_curve(_scored(spark, d)))
+
+
+@query("confusion_matrix")
+def _confusion_matrix(spark, d):
+    """A15 + P17: confusion matrix at threshold 0.1."""
+    return metrics.confusion_matrix(_scored(spark, d), threshold=0.1)
+
+
+@query("classification_report")
+def _classification_report(spark, d):
+    """Per-class and averaged precision/recall/F1 at threshold 0.1."""
+    return metrics.classification_report(_scored(spark, d), threshold=0.1)
+
+
+# ---------------------------------------------------------------- feature prep
+@query("one_hot_counts")
+def _one_hot_counts(spark, d):
+    """M1: one-hot categories (frequency index, missing category) per column."""
+    return features.one_hot_counts(txn(spark, d))
+
+
+FEATURE_COLUMNS = ["amount", "prev_amount", "rolling_avg_amount_7", "transaction_type_click",
+                   "transaction_type_error", "transaction_type_refund", "location_LOC_0", "location_nan"]
+
+
+@query("feature_align")
+def _feature_align(spark, d):
+    """Align ml_features to a training column list (missing → 0)."""
+    return features.align_features(gold.ml_features(txn(spark, d)), FEATURE_COLUMNS)
+
+
+@query("stratified_split")
+def _stratified_split(spark, d):
+    """M2: exact per-class 80/20 split by seeded hash order."""
+    return features.stratified_split(txn(spark, d).select("tr_id", "is_fraud"))
+
+
+# ---------------------------------------------------------------- merge
+SCD_T1, SCD_T2 = "2024-01-16 00:00:00", "2024-01-31 00:00:00"
+
+
+def _scd2(spark, d, mode):
+    t = txn(spark, d)
+    s1 = gold.user_risk_score(gold.user_summary(t.filter(F.col("tr_date") < F.lit("2024-01-16").cast("date"))))
+    s2 = gold.user_risk_score(gold.user_summary(t))
+    empty = spark.createDataFrame([], merge.SCD2_SCHEMA)
+    run1 = merge.scd2_merge(empty, s1, SCD_T1, mode)
+    return merge.scd2_merge(run1, s2, SCD_T2, mode)
+
+
+@query("scd2_single_pass")
+def _scd2_single_pass(spark, d):
+    """J1/K10 single pass (reference MERGE) over two runs of account risk."""
+    return _scd2(spark, d, "single")
+
+
+@query("scd2_complete")
+def _scd2_complete(spark, d):
+    """J1 complete mode: close and insert in the same run."""
+    return _scd2(spark, d, "complete")
+
+
+@query("doc_upsert")
+def _doc_upsert(spark, d):
+    """Upsert revised German documents and new benchmark items by id."""
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang", "source")
+    revised = docs.filter(F.col("lang") == "de").withColumn("text", F.concat("text", F.lit(" [rev2]")))
+    new = table(spark, d, "benchmark").select(
+        (F.col("item_id") + 1_000_000_000).alias("doc_id"), "text",
+        F.lit("xx").alias("lang"), F.lit("benchmark").alias("source"))
+    res = merge.upsert(docs, revised.unionByName(new), "doc_id")
+    return res.select("doc_id", "lang", "source", F.length("text").alias("n_chars"),
+                      F.sha2("text", 256).alias("text_sha"))
+
+
+# ---------------------------------------------------------------- retrieval
+@query("vector_topk")
+def _vector_topk(spark, d):
+    """Exact top-3 nearest vectors (squared L2) to each label centroid."""
+    emb = table(spark, d, "embeddings")
+    q = retrieve.centroids(emb).withColumnRenamed("label", "query_id")
+    return retrieve.nearest_vectors(emb, q, k=3).select("query_id", "vec_id", "label", "distance", "rank")
+
+
+def _questions(spark):
+    return spark.createDataFrame(list(enumerate(DEMO_QUESTIONS, start=1)), "question_id int, question string")
+
+
+@query("tfidf_topk")
+def _tfidf_topk(spark, d):
+    """TF-IDF cosine top-3 documents for each demo question."""
+    return retrieve.tfidf_top_k(table(spark, d, "documents"), _questions(spark), k=3)
+
+
+@query("answer_context")
+def _answer_context(spark, d):
+    """Ranked context ids and the template answer from the first two texts."""
+    docs = table(spark, d, "documents")
+    return retrieve.answer_context(retrieve.tfidf_top_k(docs, _questions(spark), k=3), docs)
+
+
+@query("summary_documents")
+def _summary_documents(spark, d):
+    """R1 + A17: gold tables as JSON documents of their first 50 rows."""
+    t = txn(spark, d)
+    parts = [
+        retrieve.rows_document(gold.merchant_summary(t), "merchant_summary", ["fraud_rank", "merchant_hash"]),
+        retrieve.rows_document(gold.user_summary(t), "user_summary", ["account_hash"]),
+        retrieve.rows_document(gold.ml_features(t), "ml_features", ["tr_id"]),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("gold_narrative")
+def _gold_narrative(spark, d):
+    """One-line gold summary (top merchant, riskiest account, peak fraud day)."""
+    t = txn(spark, d)
+    m = gold.merchant_summary(t).orderBy("fraud_rank", "merchant_hash").limit(1)
+    u = gold.user_risk_score(gold.user_summary(t)).orderBy(F.col("risk_score").desc(), "account_hash").limit(1)
+    day = gold.daily_fraud_metrics(t).orderBy(F.col("fraud_amount").desc(), "tr_date").limit(1)
+    row = m.crossJoin(u).crossJoin(day)  # three one-row frames
+    return row.select(F.format_string(
+        "Top fraud merchant %s with %d fraud transactions; highest-risk account %s (risk %s); "
+        "peak fraud day %s (%s).",
+        "merchant_hash", m["fraud_count"], "account_hash", F.col("risk_score").cast("decimal(18,6)").cast("string"),
+        F.col("tr_date").cast("string"), F.col("fraud_amount").cast("decimal(18,2)").cast("string"),
+    ).alias("narrative"))
+
+
+# ---------------------------------------------------------------- scans / PII
+@query("pii_hash")
+def _pii_hash(spark, d):
+    """Unsalted and salted SHA-256 of the account id."""
+    ev = table(spark, d, "events")
+    return ev.select(F.col("event_id").alias("tr_id"),
+                     pii_hash(F.col("user_id").cast("string")).alias("account_hash"),
+                     pii_hash(F.col("user_id").cast("string"), salt="fjord|").alias("account_hash_salted"),
+                     pii_hash(F.get_json_object("props", "$.k")).alias("merchant_hash"))
+
+
+@query("scan_parquet")
+def _scan_parquet(spark, d):
+    """Pruned, filtered parquet scan (PushedFilters + 3-column ReadSchema)."""
+    return table(spark, d, "events").filter(F.col("value") > 100).select("event_id", "ts", "value")
