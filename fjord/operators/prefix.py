@@ -57,16 +57,22 @@ def ordered_prefix(
     lead_d = F.col(lead).cast("double")
     fractions = [i / buckets for i in range(1, buckets)]
 
-    splits = df.groupBy(*keys).agg(
-        F.percentile_approx(lead_d, fractions, accuracy).alias("__splits"))
-    if lead_asc:
-        bucket = F.when(lead_d.isNull(), F.lit(0)).otherwise(
-            F.size(F.filter("__splits", lambda s: s < lead_d)))
+    if fractions:
+        splits = df.groupBy(*keys).agg(
+            F.percentile_approx(lead_d, fractions, accuracy).alias("__splits"))
     else:
-        bucket = F.when(lead_d.isNull(), F.lit(buckets)).otherwise(
-            F.size(F.filter("__splits", lambda s: s > lead_d)))
+        splits = df.groupBy(*keys).agg(F.array().cast("array<double>").alias("__splits"))
+    # a group whose order values are all NULL has no split points: everything in bucket 0
+    below = F.coalesce(F.size(F.filter(F.coalesce("__splits", F.array().cast("array<double>")),
+                                       (lambda s: s < lead_d) if lead_asc else (lambda s: s > lead_d))), F.lit(0))
+    bucket = F.when(lead_d.isNull(), F.lit(0 if lead_asc else buckets)).otherwise(below)
     # One row per key group; with no keys it is a single row, so broadcasting is bounded.
-    joined = df.join(splits, keys, "inner") if keys else df.crossJoin(F.broadcast(splits))
+    if keys:  # NULL is a group too: join NULL-safely
+        splits = splits.select(*[F.col(k).alias(f"__s_{k}") for k in keys], "__splits")
+        joined = df.join(splits, [F.col(k).eqNullSafe(F.col(f"__s_{k}")) for k in keys], "inner") \
+            .drop(*[f"__s_{k}" for k in keys])
+    else:
+        joined = df.crossJoin(F.broadcast(splits))
     tagged = joined.withColumn(_BUCKET, bucket).drop("__splits")
 
     part = Window.partitionBy(*keys, _BUCKET)
