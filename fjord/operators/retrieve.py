@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fjord.functions.constants import ANSWER_PREFIX, ANSWER_SUFFIX
+from fjord.session import reliable_checkpoint
 
 MAX_BROADCAST_QUERIES = 10_000
 
@@ -130,22 +131,26 @@ def tfidf_top_k(docs: DataFrame, questions: DataFrame, k: int = 3, doc_key: str
     AQE's skew-join split handles it. The question side is small and broadcast
     after a size check; only shared terms are paired, never all documents.
     """
-    dt = term_counts(docs, doc_key, text)
+    # the doc-term table feeds three branches (df, norms, dots): materialise it once
+    dt = reliable_checkpoint(term_counts(docs, doc_key, text))
     n_docs = docs.agg(F.count(F.lit(1)).alias("n"))
     df_t = dt.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = df_t.crossJoin(F.broadcast(n_docs)).select(  # one-row side
         "term", F.log((F.col("n") + 1) / (F.col("df") + 1)).alias("idf"))
-    weighted = dt.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf"))
-    norms = weighted.groupBy(doc_key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("dnorm"))
-
-    qt = term_counts(questions, q_key, q_text)
-    qw = qt.join(idf, "term").select(q_key, "term", (F.col("tf") * F.col("idf")).alias("qw"))
+    norms = (dt.join(idf, "term")
+               .groupBy(doc_key).agg(F.sqrt(F.sum((F.col("tf") * F.col("idf")) * (F.col("tf") * F.col("idf")))).alias("dnorm")))
+
+    # size check on the question side alone (cheap: questions only); the weighted
+    # question terms derived from it can only be fewer rows
+    qt = F.broadcast(term_counts(questions, q_key, q_text))
+    _checked_broadcast(qt, max_queries * 64)
+    qw = qt.join(idf, "term").select(q_key, "term", "idf", (F.col("tf") * F.col("idf")).alias("qw"))
     qnorm = qw.groupBy(q_key).agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("qnorm"))
-    qw = qw.join(qnorm, q_key)
-    qw = _checked_broadcast(qw, max_queries * 64)
-    dots = (weighted.join(qw, "term")
-                    .groupBy(q_key, doc_key)
-                    .agg(F.sum(F.col("w") * F.col("qw")).alias("dot"), F.first("qnorm").alias("qnorm")))
+    qw = F.broadcast(qw.join(qnorm, q_key))
+    # only (document, question) pairs that share a term; the term's idf rides on the question side
+    dots = (dt.join(qw, "term")
+              .groupBy(q_key, doc_key)
+              .agg(F.sum(F.col("tf") * F.col("idf") * F.col("qw")).alias("dot"), F.first("qnorm").alias("qnorm")))
     scored = dots.join(norms, doc_key).select(
         q_key, doc_key, (F.col("dot") / F.nullif(F.col("qnorm") * F.col("dnorm"), F.lit(0.0))).alias("score"))
     order = [F.round(F.col("score"), 6).desc(), F.col(doc_key).asc()]
@@ -158,7 +163,7 @@ def answer_context(ranked: DataFrame, docs: DataFrame, q_key: str = "question_id
 
     The per-question list is at most k rows (bounded by the top-k above).
     """
-    joined = ranked.join(docs.select(doc_key, text), doc_key)
+    joined = docs.select(doc_key, text).join(F.broadcast(ranked), doc_key)  # ranked: ≤ k rows per question
     per_q = joined.groupBy(q_key).agg(
         F.array_sort(F.collect_list(F.struct("rank", F.col(doc_key).alias("id"), F.col(text).alias("t"))))
         .alias("ctx"))

@@ -61,3 +61,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+def reliable_checkpoint(df):
+    """Materialise ``df`` once into the shared checkpoint folder and cut its lineage.
+
+    Used where one intermediate feeds several branches of a plan: the branches
+    read the written files instead of recomputing it, and a lost executor costs
+    a re-read, not a recomputation from the source. Never a local checkpoint.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
