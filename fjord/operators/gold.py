@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from fjord.functions.exprs import safe_ratio
 from fjord.operators.prefix import group_rank
+from fjord.operators.sequence import sequential_features
 
 # Per-account windows: ordered by time with tr_id as tie-break so ties on
 # tr_timestamp are deterministic (the reference leaves them arbitrary).
@@ -18,14 +19,17 @@ def _account() -> Window:
     return Window.partitionBy("account_hash").orderBy("tr_timestamp", "tr_id")
 
 
-def account_features(txn: DataFrame) -> DataFrame:
-    """Previous amount and 7-row rolling mean per account (one exchange + sort)."""
-    return txn.select(
-        "tr_id", "tr_date", "tr_timestamp", "account_hash", "merchant_hash", "amount",
-        "is_fraud", "transaction_type", "location",
-        F.lag("amount").over(_account()).alias("prev_amount"),
-        F.avg("amount").over(_account().rowsBetween(-6, 0)).alias("rolling_avg_amount_7"),
-    )
+def account_features(txn: DataFrame, heavy_threshold: int = 2_000_000, chunk_rows: int = 500_000) -> DataFrame:
+    """Previous amount and 7-row rolling mean per account.
+
+    Light accounts share one exchange + sort; accounts above
+    ``heavy_threshold`` rows are split into ordered chunks with a halo
+    (``fjord.operators.sequence``), so no account fills one task.
+    """
+    cols = ["tr_id", "tr_date", "tr_timestamp", "account_hash", "merchant_hash", "amount",
+            "is_fraud", "transaction_type", "location"]
+    return sequential_features(txn.select(*cols), "account_hash", ["tr_timestamp", "tr_id"], "amount",
+                               heavy_threshold=heavy_threshold, chunk_rows=chunk_rows)
 
 
 def ml_features(txn: DataFrame, rank_buckets: int = 64) -> DataFrame:
@@ -59,12 +63,12 @@ def ml_features_windowed(txn: DataFrame) -> DataFrame:
     )
 
 
-def lead_amount(txn: DataFrame) -> DataFrame:
+def lead_amount(txn: DataFrame, heavy_threshold: int = 2_000_000, chunk_rows: int = 500_000) -> DataFrame:
     """Next amount per account (documented in the reference, built here)."""
-    return txn.select(
-        "tr_id", "account_hash", "tr_timestamp", "amount",
-        F.lead("amount").over(_account()).alias("next_amount"),
-    )
+    base = txn.select("tr_id", "account_hash", "tr_timestamp", "amount")
+    return sequential_features(base, "account_hash", ["tr_timestamp", "tr_id"], "amount", lag_col=None,
+                               roll_col=None, lead_col="next_amount",
+                               heavy_threshold=heavy_threshold, chunk_rows=chunk_rows)
 
 
 def user_summary(txn: DataFrame) -> DataFrame:

@@ -24,6 +24,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _BUCKET = "__bucket"
 
@@ -33,6 +34,19 @@ def _order_expr(name: str, ascending: bool) -> Column:
     return c.asc_nulls_first() if ascending else c.desc_nulls_last()
 
 
+def _as_number(df: DataFrame, name: str) -> Column:
+    """An order-preserving double for the bucketing column (timestamps as microseconds)."""
+    t = df.schema[name].dataType
+    c = F.col(name)
+    if isinstance(t, T.TimestampType):  # an instant: micros since the epoch are monotonic
+        return F.unix_micros(c).cast("double")
+    if isinstance(t, T.TimestampNTZType):  # wall-clock: difference to the epoch, no time zone involved
+        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{name}`)").cast("double")
+    if isinstance(t, T.DateType):
+        return F.unix_date(c).cast("double")
+    return c.cast("double")
+
+
 def ordered_prefix(
     df: DataFrame,
     keys: Sequence[str],
@@ -54,7 +68,7 @@ def ordered_prefix(
     """
     keys = list(keys)
     lead, lead_asc = order[0]
-    lead_d = F.col(lead).cast("double")
+    lead_d = _as_number(df, lead)
     fractions = [i / buckets for i in range(1, buckets)]
 
     if fractions:
