@@ -82,3 +82,26 @@ def log_run(report: DataFrame, runs_path: str, run_name: str, feature_count: int
            .withColumn("feature_count", F.lit(feature_count))
            .withColumn("logged_at", F.current_timestamp())
            .write.mode("append").parquet(runs_path))
+
+
+def evaluate(model: PipelineModel, df: DataFrame, threshold: float, numeric: Sequence[str],
+             label: str = "is_fraud") -> dict[str, DataFrame]:
+    """M5: score with a saved model and its threshold; PR points, AP, matrix, report.
+
+    Returns lazy DataFrames; ``save_evaluation`` writes them. The PR points
+    replace the reference's plot.
+    """
+    scored = score(model, prepare(df, label, numeric))
+    curve = metrics.pr_curve(scored, "label", "score")
+    return {
+        "pr_curve": curve,
+        "pr_auc": metrics.average_precision(curve),
+        "confusion_matrix": metrics.confusion_matrix(scored, "label", "score", threshold),
+        "classification_report": metrics.classification_report(scored, "label", "score", threshold),
+    }
+
+
+def save_evaluation(results: dict[str, DataFrame], path: str) -> None:
+    """K7: one small JSON output per evaluation artefact."""
+    for name, df in results.items():
+        df.coalesce(1).write.mode("overwrite").json(f"{path}/{name}")

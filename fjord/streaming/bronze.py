@@ -13,8 +13,11 @@ found with a distributed key scan, never by loading files on the driver.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,10 +31,18 @@ _TYPES = {"string": T.StringType(), "double": T.DoubleType(), "int": T.IntegerTy
           "date": T.DateType(), "boolean": T.BooleanType()}
 
 
-def observed_schema(spark: SparkSession, landing: str, hints: Mapping[str, str] | str) -> T.StructType:
-    """Keys present in the landing JSON files, typed by hint (else string), in first-seen order."""
+def observed_schema(spark: SparkSession, landing: str, hints: Mapping[str, str] | str,
+                    modified_after: str | None = None) -> T.StructType:
+    """Keys present in the landing JSON files, typed by hint (else string), in first-seen order.
+
+    ``modified_after`` limits the scan to files changed since the previous run,
+    so each run reads only the new part of the landing folder.
+    """
     h = S.parse_hints(hints)
-    lines = spark.read.text(landing, recursiveFileLookup=True)
+    reader = spark.read.option("recursiveFileLookup", "true")
+    if modified_after:
+        reader = reader.option("modifiedAfter", modified_after).option("timeZone", "UTC")
+    lines = reader.text(landing)
     m = F.from_json("value", "map<string,string>")
     entries = lines.select(F.posexplode(F.map_entries(m)).alias("pos", "e"))
     # nested objects / arrays never become columns: they stay in the rescue
@@ -44,8 +55,25 @@ def observed_schema(spark: SparkSession, landing: str, hints: Mapping[str, str]
 
 
 def evolve(spark: SparkSession, landing: str, memory: str, hints) -> T.StructType:
-    """Merge newly seen fields into the schema memory before the stream starts."""
-    return S.evolve_schema(spark, memory, observed_schema(spark, landing, hints))
+    """Merge newly seen fields into the schema memory before the stream starts.
+
+    The memory keeps the start time of the last scan; the next scan reads only
+    files modified after it. A file landing during a run is scanned next time
+    (its new keys meanwhile go to the rescue column, never lost).
+    """
+    started = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
+    last = _last_scan(spark, memory)
+    schema = S.evolve_schema(spark, f"{memory}/schema", observed_schema(spark, landing, hints, last))
+    spark.createDataFrame([(started,)], "value string").coalesce(1).write.mode("overwrite").text(f"{memory}/scanned")
+    return schema
+
+
+def _last_scan(spark: SparkSession, memory: str) -> str | None:
+    try:
+        row = spark.read.text(f"{memory}/scanned").first()
+    except AnalysisException:
+        return None
+    return row[0] if row else None
 
 
 def with_ingest_metadata(df: DataFrame, environment: str, version: str = PIPELINE_VERSION,

@@ -25,6 +25,11 @@ def test_planted_label(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "runs")).count() == 1
     reloaded = ml.PipelineModel.load(str(tmp_path / "bundle/model"))
     assert ml.score(reloaded, ml.prepare(feats.limit(5), "is_fraud", numeric)).count() == 5
+    res = ml.evaluate(reloaded, feats, r["best_threshold"], numeric)
+    ml.save_evaluation(res, str(tmp_path / "eval"))
+    cm = {(x["actual"], x["predicted"]): x["row_count"] for x in res["confusion_matrix"].collect()}
+    assert sum(cm.values()) == feats.count()
+    assert res["classification_report"].count() == 5
 
 
 def test_stratified_split_ratio(spark):
