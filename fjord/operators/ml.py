@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from fjord.operators import metrics
 from fjord.operators.features import CATEGORICAL, stratified_split
 from fjord.operators.quality import class_weight
+from fjord.session import reliable_checkpoint
 
 
 def feature_pipeline(categorical: Sequence[str], numeric: Sequence[str]) -> list:
@@ -48,7 +49,8 @@ def train(df: DataFrame, numeric: Sequence[str], label: str = "is_fraud",
 
     The weight is negatives / max(positives, 1) over the training split (A11).
     """
-    split = stratified_split(df, label=label, key=key, seed=seed)
+    # an iterative trainer reads its input many times: materialise it once (lineage cut)
+    split = reliable_checkpoint(stratified_split(df, label=label, key=key, seed=seed))
     train_df = split.filter(F.col("split") == "train")
     test_df = split.filter(F.col("split") == "test")
     w = class_weight(train_df, label).first()["scale_pos_weight"]  # one scalar
@@ -56,7 +58,7 @@ def train(df: DataFrame, numeric: Sequence[str], label: str = "is_fraud",
                         stepSize=step_size, maxDepth=max_depth, seed=seed)
     model = Pipeline(stages=[*feature_pipeline(categorical, numeric), gbt]).fit(
         prepare(train_df, label, numeric, w))
-    scored = score(model, prepare(test_df, label, numeric))
+    scored = reliable_checkpoint(score(model, prepare(test_df, label, numeric)))
     curve = metrics.pr_curve(scored, "label", "score")
     report = (metrics.average_precision(curve)
               .crossJoin(metrics.best_f1_threshold(curve))  # one row × one row
@@ -91,7 +93,7 @@ def evaluate(model: PipelineModel, df: DataFrame, threshold: float, numeric: Seq
     Returns lazy DataFrames; ``save_evaluation`` writes them. The PR points
     replace the reference's plot.
     """
-    scored = score(model, prepare(df, label, numeric))
+    scored = reliable_checkpoint(score(model, prepare(df, label, numeric)))
     curve = metrics.pr_curve(scored, "label", "score")
     return {
         "pr_curve": curve,
