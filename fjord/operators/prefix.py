@@ -114,12 +114,29 @@ def ordered_prefix(
     return out.select(*cols, *[f"{w}_{s}" for w in weights for s in ("before", "through", "total")])
 
 
+def _window_rank(df: DataFrame, keys: list[str], order: Sequence[tuple[str, bool]],
+                 outputs: dict[str, str]) -> DataFrame:
+    """The same outputs with ordinary windows (used when every group is small)."""
+    fwd = [_order_expr(c, a) for c, a in order]
+    rev = [(F.col(c).desc_nulls_last() if a else F.col(c).asc_nulls_first()) for c, a in order]
+    part = Window.partitionBy(*keys)
+    kinds = {
+        "rank": F.rank().over(part.orderBy(*fwd)),
+        "rank_reverse": F.rank().over(part.orderBy(*rev)),
+        "percent_rank": F.percent_rank().over(part.orderBy(*fwd)),
+        "percent_rank_reverse": F.percent_rank().over(part.orderBy(*rev)),
+        "count": F.count(F.lit(1)).over(part),
+    }
+    return df.select("*", *[kinds[k].alias(n) for n, k in outputs.items()])
+
+
 def group_rank(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[tuple[str, bool]],
     outputs: dict[str, str],
     buckets: int = 64,
+    window_max_rows: int = 1_000_000,
 ) -> DataFrame:
     """SQL ``rank()`` / ``percent_rank()`` over (keys, order) for every row of ``df``.
 
@@ -128,12 +145,21 @@ def group_rank(
     exactly opposite order (every direction and NULL placement flipped), so one
     pass serves both ``ORDER BY v DESC`` and ``ORDER BY v``.
 
-    Rows are first reduced to distinct (keys, order values) with their counts —
+    When the largest group has at most ``window_max_rows`` rows (one small
+    aggregate decides) ordinary windows are used. Otherwise rows are first
+    reduced to distinct (keys, order values) with their counts —
     a partially aggregated shuffle, so a value repeated in a third of the rows
     costs one row — then ranked with ``ordered_prefix`` and joined back.
     """
     keys = list(keys)
     ocols = [c for c, _ in order]
+    if window_max_rows > 0:
+        # one tiny aggregate picks the plan: if every group fits one task, the
+        # plain window is cheaper; otherwise the bucketed path bounds each task
+        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__g"))
+        largest = sizes.agg(F.max("__g")).first()[0] or 0
+        if largest <= window_max_rows:
+            return _window_rank(df, keys, order, outputs)
     vc = df.groupBy(*keys, *ocols).agg(F.count(F.lit(1)).alias("__n"))
     ranked = ordered_prefix(vc, keys, order, ["__n"], buckets=buckets)
     before = F.col("__n_before")

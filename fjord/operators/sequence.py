@@ -12,7 +12,9 @@ so the set is small by construction) take an exact chunked path instead:
    rows per task — and halo rows are dropped.
 
 Every row then sees exactly the same preceding/following rows as in the plain
-window, so results are identical. Light keys use the plain window.
+window, so results are identical. Light keys use the plain window; when no key
+is heavy (checked with one aggregate over the key column) only the plain
+window is planned.
 """
 
 from __future__ import annotations
@@ -47,12 +49,16 @@ def sequential_features(df: DataFrame, key: str, order: Sequence[str], value: st
     order = list(order)
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__cnt"))
     heavy = counts.filter(F.col("__cnt") > heavy_threshold).select(key)  # ≤ N / threshold keys
+    # one partially aggregated pass over the key column decides the plan: with no
+    # heavy key the plain window is already bounded by the threshold per task
+    if heavy.isEmpty():
+        return _features(df, [key], order, value, span, lag_col, roll_col, lead_col)
     light = df.join(heavy, key, "left_anti")
     hot = df.join(heavy, key, "left_semi")
 
     light_out = _features(light, [key], order, value, span, lag_col, roll_col, lead_col)
 
-    ranked = group_rank(hot, [key], [(c, True) for c in order], {"__rn": "rank"})
+    ranked = group_rank(hot, [key], [(c, True) for c in order], {"__rn": "rank"}, window_max_rows=0)
     ranked = ranked.withColumn("__pos", F.col("__rn") - 1) \
                    .withColumn("__chunk", F.floor(F.col("__pos") / chunk_rows))
     off = F.col("__pos") % chunk_rows
