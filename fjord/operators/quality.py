@@ -91,3 +91,22 @@ def class_weight(df: DataFrame, label: str = "is_fraud") -> DataFrame:
                  F.count_if(F.col(label) == 1).alias("positives"))
     return agg.withColumn("scale_pos_weight",
                           (F.col("negatives") / F.greatest(F.col("positives"), F.lit(1))).cast("double"))
+
+
+def override_profile(base: DataFrame, candidate: DataFrame, key: str = "column_name") -> DataFrame:
+    """a candidate profile's non-empty fields override the base profile's.
+
+    Joined per column (both sides one row per column); an empty or NULL
+    candidate value keeps the base value. Columns only in the base pass through.
+    """
+    fields = [c for c in base.columns if c != key and c in candidate.columns]
+    c = candidate.select(F.col(key).alias("__k"), *[F.col(f).alias(f"__c_{f}") for f in fields])
+    j = base.join(c, base[key] == c["__k"], "left")
+
+    def pick(f):
+        cand = F.col(f"__c_{f}")
+        if dict(candidate.dtypes)[f] == "string":
+            cand = F.nullif(F.trim(cand), F.lit(""))
+        return F.coalesce(cand.cast(dict(base.dtypes)[f]), F.col(f)).alias(f)
+
+    return j.select(*[pick(f) if f in fields else F.col(f) for f in base.columns])

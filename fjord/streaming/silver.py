@@ -49,9 +49,16 @@ def process_batch(batch: DataFrame, batch_id: int, good_path: str, quarantine_pa
 def run_silver(spark: SparkSession, bronze_path: str, good_path: str, quarantine_path: str,
                checkpoint: str, as_of=None, strict: bool = False,
                timeout: float | None = None) -> StreamingQuery:
-    """The bronze Parquet table read as a stream (schema from the table), availableNow."""
-    schema = spark.read.option("mergeSchema", "true").parquet(bronze_path).schema
-    src = spark.readStream.schema(schema).parquet(bronze_path)
+    """The bronze table read as a stream (schema from the table), availableNow.
+
+    ``bronze_path`` is a Parquet path, or ``table:<name>`` for a registered
+    table (S9, ``readStream.table``).
+    """
+    if bronze_path.startswith("table:"):
+        src = spark.readStream.table(bronze_path[len("table:"):])
+    else:
+        schema = spark.read.option("mergeSchema", "true").parquet(bronze_path).schema
+        src = spark.readStream.schema(schema).parquet(bronze_path)
     q = (src.writeStream
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
