@@ -60,10 +60,12 @@ def train(df: DataFrame, numeric: Sequence[str], label: str = "is_fraud",
         prepare(train_df, label, numeric, w))
     scored = reliable_checkpoint(score(model, prepare(test_df, label, numeric)))
     curve = metrics.pr_curve(scored, "label", "score")
-    report = (metrics.average_precision(curve)
-              .crossJoin(metrics.best_f1_threshold(curve))  # one row × one row
-              .select(F.col("average_precision").alias("pr_auc"), F.col("threshold").alias("best_threshold"),
-                      F.col("f1").alias("best_f1"), F.lit(float(w)).alias("scale_pos_weight")))
+    best = metrics.best_f1_threshold(curve)
+    report = metrics.average_precision(curve).select(
+        F.col("average_precision").alias("pr_auc"),
+        best.select("threshold").scalar().alias("best_threshold"),  # one-row scalar subqueries
+        best.select("f1").scalar().alias("best_f1"),
+        F.lit(float(w)).alias("scale_pos_weight"))
     return model, scored, report
 
 

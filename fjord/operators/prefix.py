@@ -80,13 +80,13 @@ def ordered_prefix(
     below = F.coalesce(F.size(F.filter(F.coalesce("__splits", F.array().cast("array<double>")),
                                        (lambda s: s < lead_d) if lead_asc else (lambda s: s > lead_d))), F.lit(0))
     bucket = F.when(lead_d.isNull(), F.lit(0 if lead_asc else buckets)).otherwise(below)
-    # One row per key group; with no keys it is a single row, so broadcasting is bounded.
+    # One row per key group (small); with no keys it is a single scalar.
     if keys:  # NULL is a group too: join NULL-safely
         splits = splits.select(*[F.col(k).alias(f"__s_{k}") for k in keys], "__splits")
         joined = df.join(splits, [F.col(k).eqNullSafe(F.col(f"__s_{k}")) for k in keys], "inner") \
             .drop(*[f"__s_{k}" for k in keys])
-    else:
-        joined = df.crossJoin(F.broadcast(splits))
+    else:  # one global row: a scalar subquery, no join
+        joined = df.withColumn("__splits", splits.scalar())
     tagged = joined.withColumn(_BUCKET, bucket).drop("__splits")
 
     part = Window.partitionBy(*keys, _BUCKET)

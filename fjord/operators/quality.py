@@ -55,12 +55,12 @@ def column_profile(df: DataFrame, hints: dict[str, str] = SCHEMA_HINTS,
 def anomaly_flags(daily: DataFrame, value: str = "fraud_amount", sigmas: float = 2.0) -> DataFrame:
     """A8 + P16: threshold = mean + 2·sample std over all days; alert when above.
 
-    The statistics are one global aggregate (a single row) joined back —
-    no unpartitioned window. One day or none gives a NULL std, hence a NULL
-    threshold and no alerts (SURVEY D11).
+    The statistics are one global aggregate (partial per task) evaluated once
+    as a scalar subquery — no join, no unpartitioned window. One day or none
+    gives a NULL std, hence a NULL threshold and no alerts (SURVEY D11).
     """
-    stats = daily.agg((F.avg(value) + F.lit(sigmas) * F.stddev_samp(value)).alias("threshold"))
-    return (daily.crossJoin(F.broadcast(stats))  # one row
+    threshold = daily.agg((F.avg(value) + F.lit(sigmas) * F.stddev_samp(value)).alias("threshold")).scalar()
+    return (daily.withColumn("threshold", threshold)
                  .withColumn("alert", F.coalesce(F.col(value) > F.col("threshold"), F.lit(False))))
 
 

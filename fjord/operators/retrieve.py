@@ -1,9 +1,9 @@
 """Retrieval over documents and vectors, as Spark jobs.
 
-* exact top-k nearest vectors: the (size-checked) query set is broadcast to
-  every vector partition, distances are JVM higher-order functions, and the
-  per-query top-k is taken in two bounded steps (per vector bucket, then
-  over k × buckets candidates);
+* exact top-k nearest vectors: the (size-checked) query batch is shipped to
+  every vector partition; each task computes distances with numpy and keeps
+  its own top k per query, then the candidates (queries × k × partitions) are
+  ranked in two bounded steps;
 * TF-IDF cosine top-k: terms exploded and counted once; only the terms the
   questions contain are joined, so work is linear in the corpus;
 * documents: gold tables rendered as JSON text (first 50 rows each).
@@ -14,6 +14,9 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,20 +26,6 @@ from fjord.session import reliable_checkpoint
 MAX_BROADCAST_QUERIES = 10_000
 
 
-def squared_l2(a: Column, b: Column) -> Column:
-    """Σ (aᵢ − bᵢ)² in double precision, left to right."""
-    diffs = F.zip_with(a.cast("array<double>"), b.cast("array<double>"), lambda x, y: (x - y) * (x - y))
-    return F.aggregate(diffs, F.lit(0.0).cast("double"), lambda acc, x: acc + x)
-
-
-def cosine(a: Column, b: Column) -> Column:
-    a, b = a.cast("array<double>"), b.cast("array<double>")
-    dot = F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
-    na = F.sqrt(F.aggregate(F.transform(a, lambda x: x * x), F.lit(0.0), lambda acc, x: acc + x))
-    nb = F.sqrt(F.aggregate(F.transform(b, lambda x: x * x), F.lit(0.0), lambda acc, x: acc + x))
-    return dot / F.nullif(na * nb, F.lit(0.0))
-
-
 def centroids(vectors: DataFrame, group: str = "label", vec: str = "embedding") -> DataFrame:
     """Per-group mean vector (one row per group): the query set for the demo."""
     exploded = vectors.select(group, F.posexplode(vec).alias("pos", "x"))
@@ -68,37 +57,114 @@ def _checked_broadcast(queries: DataFrame, limit: int) -> DataFrame:
     return F.broadcast(queries)
 
 
+def _query_matrix(queries: DataFrame, qid: str, vec: str, limit: int):
+    """The query batch as (ids, float64 matrix), after a count that bounds it.
+
+    Only a bounded question batch (≤ ``limit`` rows) travels to the tasks, as a
+    broadcast variable; the vector table never leaves its partitions.
+    """
+    q = queries.select(F.col(qid).alias("qid"), F.col(vec).cast("array<double>").alias("v"))
+    n = q.count()
+    if n > limit:
+        raise ValueError(f"{n} queries exceed the broadcast bound {limit}; use nearest_vectors_chunked")
+    rows = q.collect()  # ≤ limit rows, checked above
+    ids = np.array([r["qid"] for r in rows])
+    mat = np.array([r["v"] for r in rows], dtype=np.float64).reshape(len(rows), -1)
+    return ids, mat
+
+
+_BLOCK_ELEMENTS = 4_000_000  # bound on one numpy temporary (rows × queries × dims), ~32 MB
+
+
+def _distances(vm: np.ndarray, qm: np.ndarray, metric: str) -> np.ndarray:
+    """rows × queries distances: squared L2 (exact differences, in row blocks) or −cosine."""
+    if metric != "l2":
+        vn = np.linalg.norm(vm, axis=1)[:, None]
+        qn = np.linalg.norm(qm, axis=1)[None, :]
+        with np.errstate(invalid="ignore", divide="ignore"):
+            return -(vm @ qm.T) / np.where(vn * qn == 0, np.nan, vn * qn)
+    step = max(1, _BLOCK_ELEMENTS // max(1, qm.shape[0] * qm.shape[1]))
+    if step < 64:  # a very large query batch: one matrix product instead of differences
+        return np.maximum((vm * vm).sum(1)[:, None] + (qm * qm).sum(1)[None, :] - 2.0 * (vm @ qm.T), 0.0)
+    out = np.empty((vm.shape[0], qm.shape[0]))
+    for i in range(0, vm.shape[0], step):
+        diff = vm[i:i + step, None, :] - qm[None, :, :]
+        out[i:i + step] = np.einsum("vqd,vqd->vq", diff, diff)
+    return out
+
+
+def _partition_top_k(q_bc, k: int, vid: str, vec: str, keep: list[str], metric: str):
+    """A ``mapInPandas`` function: this task's k best vectors per query.
+
+    Distances are computed with numpy in row blocks; after every Arrow batch
+    only the running best k per query survive, in the final order
+    (rounded distance, vector id), so a task emits at most queries × k rows,
+    never queries × vectors. The global top k of a query is always inside the
+    top k of the task that holds it, so the cut is exact.
+    """
+
+    def run(batches):
+        ids, qm = q_bc.value
+        best = None  # DataFrame of running candidates
+        for pdf in batches:
+            if len(pdf) == 0 or len(ids) == 0:
+                continue
+            vm = np.stack(pdf[vec].map(lambda a: np.asarray(a, dtype=np.float64)).to_numpy())
+            dist = _distances(vm, qm, metric)
+            key = np.nan_to_num(np.round(dist, 6), nan=np.inf)
+            if len(key) > k:  # per query: everything at or below its k-th key (ties included)
+                kth = np.partition(key, k - 1, axis=0)[k - 1]
+                rows, qs = np.nonzero(key <= kth[None, :])
+            else:
+                rows, qs = np.nonzero(np.ones_like(key, dtype=bool))
+            part = pdf.iloc[rows][keep].reset_index(drop=True)
+            part.insert(0, "__qid", ids[qs])
+            part["distance"] = dist[rows, qs]
+            part["__key"] = key[rows, qs]
+            parts = [part]
+            cand = pd.concat(parts + ([best] if best is not None else []), ignore_index=True)
+            cand = cand.sort_values(["__qid", "__key", vid], na_position="last", kind="mergesort")
+            best = cand.groupby("__qid", sort=False).head(k)
+        if best is not None and len(best):
+            yield best.drop(columns="__key")
+
+    return run
+
+
 def nearest_vectors(vectors: DataFrame, queries: DataFrame, k: int = 3, qid: str = "query_id",
                     vid: str = "vec_id", vec: str = "embedding", metric: str = "l2",
-                    max_queries: int = MAX_BROADCAST_QUERIES, checked: bool = True) -> DataFrame:
+                    max_queries: int = MAX_BROADCAST_QUERIES) -> DataFrame:
     """Exact k nearest vectors for every query row.
 
-    Every query must meet every vector for an exact answer; the query side
-    (a question batch, bounded and counted) is broadcast so the vectors are
-    scanned once, in place, with no shuffle of the large side.
+    Every query must meet every vector for an exact answer. The query batch
+    (counted, at most ``max_queries`` rows) is shipped to the tasks; each task
+    scans its vector partitions in place and emits only its own top k per
+    query. The final cut ranks at most queries × k × partitions candidates,
+    so no query × vector pair is ever materialised or shuffled.
     """
-    q = queries.select(F.col(qid).alias("__qid"), F.col(vec).alias("__qvec"))
-    q = _checked_broadcast(q, max_queries) if checked else F.broadcast(q)
-    pairs = vectors.crossJoin(q)
-    if metric == "l2":
-        dist = squared_l2(F.col(vec), F.col("__qvec"))
-        order = [F.round(F.col("distance"), 6).asc(), F.col(vid).asc()]
-    else:
-        dist = -cosine(F.col(vec), F.col("__qvec"))
-        order = [F.round(F.col("distance"), 6).asc(), F.col(vid).asc()]
-    scored = pairs.select(F.col("__qid").alias(qid), *[c for c in vectors.columns if c != vec],
-                          dist.alias("distance"))
-    return top_k_per_group(scored, [qid], order, k, F.xxhash64(vid))
+    spark = vectors.sparkSession
+    ids, mat = _query_matrix(queries, qid, vec, max_queries)
+    q_bc = spark.sparkContext.broadcast((ids, mat))
+    keep = [c for c in vectors.columns if c != vec]
+    qtype = queries.schema[qid].dataType.simpleString()
+    out_schema = ", ".join([f"__qid {qtype}"] + [f"`{c}` {vectors.schema[c].dataType.simpleString()}" for c in keep]
+                           + ["distance double"])
+    cands = vectors.filter(F.col(vec).isNotNull()).mapInPandas(_partition_top_k(q_bc, k, vid, vec, keep, metric), out_schema)
+    cands = cands.withColumnRenamed("__qid", qid)
+    order = [F.round(F.col("distance"), 6).asc_nulls_last(), F.col(vid).asc()]
+    return top_k_per_group(cands, [qid], order, k, F.xxhash64(vid))
 
 
 def nearest_vectors_chunked(vectors: DataFrame, queries: DataFrame, k: int = 3, qid: str = "query_id",
                             chunk_rows: int = MAX_BROADCAST_QUERIES, **kw) -> DataFrame:
-    """Exact top-k for a query set of any size: broadcast it in bounded chunks."""
+    """Exact top-k for a query set of any size: the batch is shipped in bounded chunks."""
     n = queries.count()
     chunks = max(1, math.ceil(n / chunk_rows))
     tagged = queries.withColumn("__chunk", F.pmod(F.xxhash64(qid), F.lit(chunks)))
+    # a hash split is uneven: give each chunk headroom over the mean
+    bound = max(chunk_rows, 2 * math.ceil(n / chunks))
     parts = [nearest_vectors(vectors, tagged.filter(F.col("__chunk") == c).drop("__chunk"), k, qid,
-                             checked=False, **kw) for c in range(chunks)]
+                             max_queries=bound, **kw) for c in range(chunks)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -133,10 +199,9 @@ def tfidf_top_k(docs: DataFrame, questions: DataFrame, k: int = 3, doc_key: str
     """
     # the doc-term table feeds three branches (df, norms, dots): materialise it once
     dt = reliable_checkpoint(term_counts(docs, doc_key, text))
-    n_docs = docs.agg(F.count(F.lit(1)).alias("n"))
+    n_docs = docs.agg(F.count(F.lit(1))).scalar()  # evaluated once, no join
     df_t = dt.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = df_t.crossJoin(F.broadcast(n_docs)).select(  # one-row side
-        "term", F.log((F.col("n") + 1) / (F.col("df") + 1)).alias("idf"))
+    idf = df_t.select("term", F.log((n_docs + 1) / (F.col("df") + 1)).alias("idf"))
     norms = (dt.join(idf, "term")
                .groupBy(doc_key).agg(F.sqrt(F.sum((F.col("tf") * F.col("idf")) * (F.col("tf") * F.col("idf")))).alias("dnorm")))
 

@@ -409,15 +409,19 @@ def _summary_documents(spark, d):
 def _gold_narrative(spark, d):
     """One-line gold summary (top merchant, riskiest account, peak fraud day)."""
     t = txn(spark, d)
-    m = gold.merchant_summary(t).orderBy("fraud_rank", "merchant_hash").limit(1)
-    u = gold.user_risk_score(gold.user_summary(t)).orderBy(F.col("risk_score").desc(), "account_hash").limit(1)
-    day = gold.daily_fraud_metrics(t).orderBy(F.col("fraud_amount").desc(), "tr_date").limit(1)
-    row = m.crossJoin(u).crossJoin(day)  # three one-row frames
-    return row.select(F.format_string(
+    # each part is a top-1 over an aggregate: one row, attached as a scalar subquery
+    m = gold.merchant_summary(t).orderBy("fraud_rank", "merchant_hash").limit(1).select(
+        F.struct("merchant_hash", "fraud_count").alias("m")).scalar()
+    u = gold.user_risk_score(gold.user_summary(t)).orderBy(F.col("risk_score").desc(), "account_hash").limit(1) \
+        .select(F.struct("account_hash", "risk_score").alias("u")).scalar()
+    day = gold.daily_fraud_metrics(t).orderBy(F.col("fraud_amount").desc(), "tr_date").limit(1).select(
+        F.struct("tr_date", "fraud_amount").alias("d")).scalar()
+    return spark.range(1).select(F.format_string(
         "Top fraud merchant %s with %d fraud transactions; highest-risk account %s (risk %s); "
         "peak fraud day %s (%s).",
-        "merchant_hash", m["fraud_count"], "account_hash", F.col("risk_score").cast("decimal(18,6)").cast("string"),
-        F.col("tr_date").cast("string"), F.col("fraud_amount").cast("decimal(18,2)").cast("string"),
+        m["merchant_hash"], m["fraud_count"], u["account_hash"],
+        u["risk_score"].cast("decimal(18,6)").cast("string"),
+        day["tr_date"].cast("string"), day["fraud_amount"].cast("decimal(18,2)").cast("string"),
     ).alias("narrative"))
 
 
