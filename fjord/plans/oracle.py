@@ -517,10 +517,11 @@ TFIDF_CTE = r"""qs AS (SELECT * FROM (VALUES (1, 'Which merchant has the most fr
                                (2, 'Which users have rising transaction velocity?'),
                                (3, 'Summarize the highest-risk regions from the Gold tables.')) AS t(question_id, question)),
 dt AS (SELECT doc_id, term, count(*) AS tf
-       FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS term FROM documents)
+       FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS term
+             FROM documents WHERE doc_id IS NOT NULL)
        GROUP BY doc_id, term),
 idf AS (SELECT term, ln((n + 1.0) / (count(*) + 1.0)) AS idf
-        FROM dt, (SELECT count(*) AS n FROM documents) GROUP BY term, n),
+        FROM dt, (SELECT count(*) AS n FROM documents WHERE doc_id IS NOT NULL) GROUP BY term, n),
 w AS (SELECT doc_id, term, tf * idf AS w FROM dt JOIN idf USING (term)),
 norms AS (SELECT doc_id, sqrt(sum(w * w)) AS dnorm FROM w GROUP BY doc_id),
 qt AS (SELECT question_id, term, count(*) AS tf
