@@ -93,6 +93,42 @@ def class_weight(df: DataFrame, label: str = "is_fraud") -> DataFrame:
                           (F.col("negatives") / F.greatest(F.col("positives"), F.lit(1))).cast("double"))
 
 
+_INT_TEXT = r"^-?[0-9]{1,9}$"  # fits an int: no overflow question
+
+
+def inferred_candidate(df: DataFrame, business: dict[str, str] | None = None) -> DataFrame:
+    """A candidate profile derived from the data (stands in for the external LLM's).
+
+    Per column: ``mapped_name`` is the business name when one exists, else
+    empty; ``schema_hint`` is the first of integer / double / timestamp that
+    *every* non-NULL value of a text column parses as, else empty. Empty
+    fields never override (F15). One aggregate pass (partial per task).
+    """
+    from fjord.functions.constants import BUSINESS_MAPPING
+
+    business = BUSINESS_MAPPING if business is None else business
+    cols = df.columns
+    types = dict(df.dtypes)
+    aggs = []
+    for i, c in enumerate(cols):
+        x = F.col(ident(c))
+        if types[c] != "string":
+            aggs.append(F.lit("").alias(f"__h{i}"))
+            continue
+
+        def every(ok):
+            return F.count_if(x.isNotNull() & ~F.coalesce(ok, F.lit(False))) == 0
+
+        aggs.append(F.when(F.count(x) == 0, F.lit(""))
+                    .when(every(x.rlike(_INT_TEXT)), F.lit("integer"))
+                    .when(every(x.try_cast("double").isNotNull()), F.lit("double"))
+                    .when(every(x.try_cast("timestamp").isNotNull()), F.lit("timestamp"))
+                    .otherwise(F.lit("")).alias(f"__h{i}"))
+    mapped = normalized_names(cols, {})
+    rows = ", ".join(f"{_sql_str(c)}, {_sql_str(business.get(mapped[c], ''))}, __h{i}" for i, c in enumerate(cols))
+    return df.agg(*aggs).selectExpr(f"stack({len(cols)}, {rows}) AS (column_name, mapped_name, schema_hint)")
+
+
 def override_profile(base: DataFrame, candidate: DataFrame, key: str = "column_name") -> DataFrame:
     """a candidate profile's non-empty fields override the base profile's.
 

@@ -333,6 +333,33 @@ register("column_profile", with_ctes(RAW_CTE) + "\nUNION ALL\n".join(
        {"true" if c in _PII else "false"} AS is_pii, CAST(count_if({_q(c)} IS NULL) AS BIGINT) AS null_count
 FROM raw""" for i, c in enumerate(RAW_COLS)))
 
+def _inferred_hint(c: str) -> str:
+    x = _q(c)
+
+    def every(ok: str) -> str:
+        return f"count_if({x} IS NOT NULL AND NOT coalesce({ok}, false)) = 0"
+
+    return (f"CASE WHEN count({x}) = 0 THEN '' "
+            f"WHEN {every(f'regexp_full_match({x}, ' + chr(39) + '-?[0-9]{1,9}' + chr(39) + ')')} THEN 'integer' "
+            f"WHEN {every(f'TRY_CAST({x} AS DOUBLE) IS NOT NULL')} THEN 'double' "
+            f"WHEN {every(f'TRY_CAST({x} AS TIMESTAMP) IS NOT NULL')} THEN 'timestamp' ELSE '' END")
+
+
+register("profile_override", with_ctes(RAW_CTE) + """, base AS (""" + "\nUNION ALL\n".join(
+    f"""SELECT count(*) AS record_count, CAST({len(RAW_COLS)} AS INTEGER) AS column_count,
+       '{c}' AS column_name, CAST({i} AS INTEGER) AS ordinal,
+       '{c.lower().replace(" ", "_")}' AS mapped_name, '{_HINT_NAMES.get(c, "string")}' AS schema_hint,
+       {"true" if c in _PII else "false"} AS is_pii, CAST(count_if({_q(c)} IS NULL) AS BIGINT) AS null_count
+FROM raw""" for i, c in enumerate(RAW_COLS)) + """),
+cand AS (""" + "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS column_name, '{_BUSINESS.get(c.lower().replace(" ", "_"), "")}' AS mapped_name,
+       {_inferred_hint(c)} AS schema_hint FROM raw""" for c in RAW_COLS) + """)
+SELECT b.record_count, b.column_count, b.column_name, b.ordinal,
+       coalesce(nullif(trim(c.mapped_name), ''), b.mapped_name) AS mapped_name,
+       coalesce(nullif(trim(c.schema_hint), ''), b.schema_hint) AS schema_hint,
+       b.is_pii, b.null_count, 'data_inference' AS generated_by
+FROM base b LEFT JOIN cand c ON b.column_name = c.column_name""")
+
 FLAGS_CTE = """flags AS (
   SELECT tr_date, fraud_amount, threshold, coalesce(fraud_amount > threshold, false) AS alert
   FROM daily, (SELECT avg(fraud_amount) + 2.0 * stddev_samp(fraud_amount) AS threshold FROM daily))"""

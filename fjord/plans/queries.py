@@ -241,6 +241,14 @@ def _column_profile(spark, d):
     return quality.column_profile(raw_txn(spark, d))
 
 
+@query("profile_override")
+def _profile_override(spark, d):
+    """the deterministic column profile, overridden by a data-derived candidate's non-empty fields."""
+    raw = raw_txn(spark, d)
+    merged = quality.override_profile(quality.column_profile(raw), quality.inferred_candidate(raw))
+    return merged.withColumn("generated_by", F.lit("data_inference"))
+
+
 def _flags(spark, d):
     return quality.anomaly_flags(gold.daily_fraud_metrics(txn(spark, d)))
 

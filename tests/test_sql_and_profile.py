@@ -45,3 +45,19 @@ def test_silver_from_registered_table(spark, tmp_path):
     silver.run_silver(spark, "table:bronze_tbl", good, bad, str(tmp_path / "ck"))
     assert silver.read_silver(spark, good).count() == clean.silver_good(raw, as_of="2026-12-01").count()
     spark.sql("DROP TABLE bronze_tbl")
+
+
+def test_inferred_candidate_overrides_only_non_empty_fields(spark):
+    df = spark.createDataFrame(
+        [("1", "2.5", "2024-01-01 10:00:00", "x", None), ("-7", "1e3", "2024-01-02", "y", None),
+         (None, "bad", "2024-01-03 00:00:00", "3", None)],
+        "TransactionID string, Score string, TransactionDate string, Note string, Empty string")
+    cand = {r["column_name"]: (r["mapped_name"], r["schema_hint"]) for r in quality.inferred_candidate(df).collect()}
+    assert cand == {"TransactionID": ("transaction_id", "integer"), "Score": ("", ""),
+                    "TransactionDate": ("transaction_date", "timestamp"), "Note": ("", ""), "Empty": ("", "")}
+    merged = {r["column_name"]: (r["mapped_name"], r["schema_hint"])
+              for r in quality.override_profile(quality.column_profile(df), quality.inferred_candidate(df)).collect()}
+    # empty candidate fields keep the deterministic profile (lower-cased name, fixed hint or string)
+    assert merged["Score"] == ("score", "string") and merged["Note"] == ("note", "string")
+    assert merged["TransactionID"] == ("transaction_id", "integer")
+    assert merged["TransactionDate"] == ("transaction_date", "timestamp")
