@@ -9,12 +9,16 @@ ill-typed fields go to ``_rescued_data`` instead of being dropped (plain
 Spark JSON silently drops unknown fields). Before a run the schema memory is
 evolved additively from the keys actually present in the landing folder —
 found with a distributed key scan, never by loading files on the driver.
+
+CSV feeds whose header drifts between files go through ``run_bronze_csv``:
+each micro-batch binds every file by its own header.
 """
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 
@@ -103,16 +107,90 @@ def read_csv_stream(spark: SparkSession, landing: str, columns: list[str], hints
     """S4 for a fixed-header CSV feed: strings by header, then hints and rescue.
 
     CSV binds columns by position under an explicit schema, so this is only
-    for feeds whose header does not drift.
+    for feeds whose header does not drift; ``enforceSchema=false`` makes a
+    drifted header fail the batch instead of loading it silently wrong. A
+    drifting feed uses ``run_bronze_csv``.
     """
     string_schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    reader = spark.readStream.schema(string_schema).option("header", "true")
+    reader = spark.readStream.schema(string_schema).option("header", "true").option("enforceSchema", "false")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.csv(landing).withColumn("_source_file", F.col("_metadata.file_path"))
     return S.with_rescue(raw, hints)  # _source_file is unhinted: passes through
 
 
+def file_header(spark: SparkSession, path: str) -> list[str]:
+    """Column names from the first line of one CSV file.
+
+    Read through the Hadoop file system: one line per file reaches the
+    driver, no Spark job. Quoted names are parsed like CSV.
+    """
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stream = fs.open(p)
+    try:
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
+    return next(csv.reader([(line or "").lstrip("\ufeff")]), [])
+
+
+def read_csv_by_header(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
+    """CSV files bound by *their own* header, as strings, unioned by name.
+
+    Under an explicit schema Spark binds CSV columns by position and ignores
+    the header, so a file with swapped or added columns would load silently
+    wrong. Files are grouped by header; each group is one distributed read
+    with that header's names; groups are unioned by name (a column missing in
+    a file is NULL). Groups are few (one per header version).
+    """
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        groups.setdefault(tuple(file_header(spark, path)), []).append(path)
+    parts = []
+    for header, files in sorted(groups.items(), key=lambda kv: min(kv[1])):
+        if not header:
+            continue  # an empty file: no rows
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+        parts.append(spark.read.schema(schema).option("header", "true").option("enforceSchema", "false")
+                     .csv(files).withColumn("_source_file", F.col("_metadata.file_path")))
+    return S.union_by_name(parts) if parts else None
+
+
+def run_bronze_csv(spark: SparkSession, landing: str, table_path: str, checkpoint: str, hints,
+                   environment: str = "test", max_files_per_trigger: int | None = None,
+                   timeout: float | None = None) -> StreamingQuery:
+    """S4–S8 for a CSV feed whose header may drift between files.
+
+    The stream source lists files only (``binaryFile`` with just the path
+    selected never reads contents); its checkpoint remembers which files are
+    done. Each micro-batch reads its files by their own headers, applies the
+    hints with rescue, adds ingestion metadata and overwrites its own
+    ``_batch_id=<id>`` directory, so a replayed batch replaces exactly itself.
+    New columns appear as new Parquet columns; ``read_bronze`` merges schemas.
+    """
+    listing = "path string, modificationTime timestamp, length bigint, content binary"  # the format's fixed schema
+    reader = (spark.readStream.format("binaryFile").schema(listing).option("recursiveFileLookup", "true")
+                   .option("pathGlobFilter", "*.csv"))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    files = reader.load(landing).select("path")
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        paths = sorted(r["path"] for r in df.collect())  # this batch's file names (≤ maxFilesPerTrigger)
+        data = read_csv_by_header(spark, paths)
+        if data is None:
+            return
+        out = with_ingest_metadata(S.with_rescue(data, hints), environment)
+        out.write.mode("overwrite").parquet(f"{table_path}/_batch_id={batch_id}")
+
+    q = (files.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+              .queryName("bronze_csv").foreachBatch(batch).start())
+    q.awaitTermination(timeout)
+    return q
+
+
 def write_bronze(df: DataFrame, table_path: str, checkpoint: str, query_name: str = "bronze") -> StreamingQuery:
     """K1 + T1–T3 + T5: append to Parquet, own checkpoint, process what exists then stop."""
     return (df.writeStream.format("parquet")

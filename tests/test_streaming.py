@@ -76,3 +76,33 @@ def test_silver_stream_and_replay(spark, tmp_path):
     # a second batch id lands beside it
     silver.process_batch(raw, 1, good, bad)
     assert silver.read_silver(spark, good).filter("_batch_id = 1").count() == exp_good
+
+
+def _write_csv(path, lines):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as fh:
+        fh.write("\n".join(lines) + "\n")
+
+
+def test_csv_stream_binds_each_file_by_its_own_header(spark, tmp_path):
+    landing, table, ckpt = str(tmp_path / "landing"), str(tmp_path / "bronze"), str(tmp_path / "ckpt")
+    _write_csv(f"{landing}/d1/a.csv", ["TransactionID,Amount,TransactionDate",
+                                       "tx-1,10.5,2025-01-01 07:00:00", "tx-2,bad,2025-01-01 08:00:00"])
+    # drifted header: columns swapped and one added ("IP Address" is renamed on the way in)
+    _write_csv(f"{landing}/d2/b.csv", ['TransactionDate,"IP Address",TransactionID,Amount',
+                                       "2025-01-02 09:00:00,10.0.0.1,tx-3,7"])
+    bronze.run_bronze_csv(spark, landing, table, ckpt, HINTS)
+    rows = {r["TransactionID"]: r for r in bronze.read_bronze(spark, table).collect()}
+    assert set(rows) == {"tx-1", "tx-2", "tx-3"}
+    assert rows["tx-3"]["Amount"] == 7.0 and rows["tx-3"]["IP_Address"] == "10.0.0.1"
+    assert str(rows["tx-3"]["TransactionDate"]).startswith("2025-01-02 09:00")
+    assert rows["tx-1"]["IP_Address"] is None and rows["tx-1"]["Amount"] == 10.5
+    assert rows["tx-2"]["Amount"] is None and json.loads(rows["tx-2"]["_rescued_data"]) == {"Amount": "bad"}
+    assert rows["tx-3"]["_source_file"].endswith("b.csv")
+    # a second run sees no new file; a new file is ingested alone
+    bronze.run_bronze_csv(spark, landing, table, ckpt, HINTS)
+    assert bronze.read_bronze(spark, table).count() == 3
+    _write_csv(f"{landing}/d3/c.csv", ["Amount,TransactionID", "1.25,tx-4"])
+    bronze.run_bronze_csv(spark, landing, table, ckpt, HINTS)
+    rows = {r["TransactionID"]: r for r in bronze.read_bronze(spark, table).collect()}
+    assert len(rows) == 4 and rows["tx-4"]["Amount"] == 1.25 and rows["tx-4"]["TransactionDate"] is None
