@@ -34,6 +34,7 @@ def get_spark(
     """Return the active session, creating a local one when none exists."""
     active = SparkSession.getActiveSession()
     if active is not None:
+        fill_unset(active)
         return active
     master = master or f"local[{os.environ.get('BENCH_CPUS', '8')}]"
     builder = SparkSession.builder.master(master).appName(app_name)
@@ -49,6 +50,18 @@ def get_spark(
     return spark
 
 
+def fill_unset(spark: SparkSession) -> None:
+    """Apply fjord's SQL defaults that the session (a cluster's) left unset.
+
+    ``conf.get(key, None)`` is None only for keys nobody set, so a value the
+    cluster chose is never overridden; static settings (UI) are skipped.
+    """
+    for k, v in _DEFAULTS.items():
+        if spark.conf.isModifiable(k) and spark.conf.get(k, None) is None:
+            spark.conf.set(k, v)
+    ensure_checkpoint_dir(spark)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; set a scratch one only when unset.
 
