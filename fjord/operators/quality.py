@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fjord.functions.constants import PII_COLUMNS, SCHEMA_HINTS
+from fjord.functions.constants import BUSINESS_MAPPING, PII_COLUMNS, SCHEMA_HINTS
 from fjord.functions.exprs import ident
 from fjord.operators.landing import normalized_names
 
@@ -33,17 +33,13 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
         .cast("double").alias("null_ratio"))
 
 
-def column_profile(df: DataFrame, hints: dict[str, str] = SCHEMA_HINTS,
-                   pii: Sequence[str] = PII_COLUMNS) -> DataFrame:
-    """A7 + P13: one row per column with mapped name, hint, PII flag, counts.
+def _null_count_aggs(df: DataFrame) -> list[Column]:
+    return [F.count(F.lit(1)).alias("record_count"),
+            *[F.count_if(F.col(ident(c)).isNull()).alias(f"__c{i}") for i, c in enumerate(df.columns)]]
 
-    Schema facts (names, hints, PII) are per-column literals; the counts come
-    from the same single aggregate pass over the data.
-    """
-    cols = df.columns
-    mapped = normalized_names(cols, {})
-    counts = df.agg(F.count(F.lit(1)).alias("record_count"),
-                    *[F.count_if(F.col(ident(c)).isNull()).alias(f"__c{i}") for i, c in enumerate(cols)])
+
+def _profile_rows(counts: DataFrame, cols: Sequence[str], hints: dict[str, str], pii: Sequence[str]) -> DataFrame:
+    mapped = normalized_names(list(cols), {})
     rows = ", ".join(
         f"{_sql_str(c)}, CAST({i} AS INT), {_sql_str(mapped[c])}, {_sql_str(hints.get(c, 'string'))}, "
         f"{'true' if c in pii else 'false'}, __c{i}" for i, c in enumerate(cols))
@@ -52,6 +48,16 @@ def column_profile(df: DataFrame, hints: dict[str, str] = SCHEMA_HINTS,
         f"stack({len(cols)}, {rows}) AS (column_name, ordinal, mapped_name, schema_hint, is_pii, null_count)")
 
 
+def column_profile(df: DataFrame, hints: dict[str, str] = SCHEMA_HINTS,
+                   pii: Sequence[str] = PII_COLUMNS) -> DataFrame:
+    """A7 + P13: one row per column with mapped name, hint, PII flag, counts.
+
+    Schema facts (names, hints, PII) are per-column literals; the counts come
+    from the same single aggregate pass over the data.
+    """
+    return _profile_rows(df.agg(*_null_count_aggs(df)), df.columns, hints, pii)
+
+
 def anomaly_flags(daily: DataFrame, value: str = "fraud_amount", sigmas: float = 2.0) -> DataFrame:
     """A8 + P16: threshold = mean + 2·sample std over all days; alert when above.
 
@@ -96,27 +102,17 @@ def class_weight(df: DataFrame, label: str = "is_fraud") -> DataFrame:
 _INT_TEXT = r"^-?[0-9]{1,9}$"  # fits an int: no overflow question
 
 
-def inferred_candidate(df: DataFrame, business: dict[str, str] | None = None) -> DataFrame:
-    """A candidate profile derived from the data (stands in for the external LLM's).
-
-    Per column: ``mapped_name`` is the business name when one exists, else
-    empty; ``schema_hint`` is the first of integer / double / timestamp that
-    *every* non-NULL value of a text column parses as, else empty. Empty
-    fields never override (F15). One aggregate pass (partial per task).
-    """
-    from fjord.functions.constants import BUSINESS_MAPPING
-
-    business = BUSINESS_MAPPING if business is None else business
-    cols = df.columns
+def _hint_aggs(df: DataFrame) -> list[Column]:
+    """Per column: the first of integer / double / timestamp every non-NULL text value parses as, else ''."""
     types = dict(df.dtypes)
     aggs = []
-    for i, c in enumerate(cols):
+    for i, c in enumerate(df.columns):
         x = F.col(ident(c))
         if types[c] != "string":
             aggs.append(F.lit("").alias(f"__h{i}"))
             continue
 
-        def every(ok):
+        def every(ok, x=x):
             return F.count_if(x.isNotNull() & ~F.coalesce(ok, F.lit(False))) == 0
 
         aggs.append(F.when(F.count(x) == 0, F.lit(""))
@@ -124,9 +120,52 @@ def inferred_candidate(df: DataFrame, business: dict[str, str] | None = None) ->
                     .when(every(x.try_cast("double").isNotNull()), F.lit("double"))
                     .when(every(x.try_cast("timestamp").isNotNull()), F.lit("timestamp"))
                     .otherwise(F.lit("")).alias(f"__h{i}"))
-    mapped = normalized_names(cols, {})
+    return aggs
+
+
+def _candidate_rows(hinted: DataFrame, cols: Sequence[str], business: dict[str, str]) -> DataFrame:
+    mapped = normalized_names(list(cols), {})
     rows = ", ".join(f"{_sql_str(c)}, {_sql_str(business.get(mapped[c], ''))}, __h{i}" for i, c in enumerate(cols))
-    return df.agg(*aggs).selectExpr(f"stack({len(cols)}, {rows}) AS (column_name, mapped_name, schema_hint)")
+    return hinted.selectExpr(f"stack({len(cols)}, {rows}) AS (column_name, mapped_name, schema_hint)")
+
+
+def inferred_candidate(df: DataFrame, business: dict[str, str] | None = None) -> DataFrame:
+    """A candidate profile derived from the data (stands in for the external LLM's).
+
+    Per column: ``mapped_name`` is the business name when one exists, else
+    empty; ``schema_hint`` is the first of integer / double / timestamp that
+    *every* non-NULL value of a text column parses as, else empty. Empty
+    fields never override (F15). One aggregate pass (partial per task).
+    """
+    return _candidate_rows(df.agg(*_hint_aggs(df)), df.columns,
+                           BUSINESS_MAPPING if business is None else business)
+
+
+def profile_with_candidate(df: DataFrame, hints: dict[str, str] = SCHEMA_HINTS, pii: Sequence[str] = PII_COLUMNS,
+                           business: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """``column_profile`` and ``inferred_candidate`` from ONE aggregate pass.
+
+    Both are projections of one stacked frame over one aggregate (the stack
+    uses every aggregate output, so column pruning cannot split it): the plan
+    scans the input once and the second branch reuses the first one's exchange.
+    """
+    business = BUSINESS_MAPPING if business is None else business
+    cols = df.columns
+    one = df.agg(*_null_count_aggs(df), *_hint_aggs(df))
+    mapped = normalized_names(list(cols), {})
+    rows = ", ".join(
+        f"record_count, {_sql_str(c)}, CAST({i} AS INT), {_sql_str(mapped[c])}, {_sql_str(hints.get(c, 'string'))}, "
+        f"{'true' if c in pii else 'false'}, __c{i}, {_sql_str(business.get(mapped[c], ''))}, __h{i}"
+        for i, c in enumerate(cols))
+    both = one.selectExpr(
+        f"CAST({len(cols)} AS INT) AS column_count",
+        f"stack({len(cols)}, {rows}) AS (record_count, column_name, ordinal, mapped_name, schema_hint, is_pii, "
+        "null_count, cand_mapped_name, cand_schema_hint)")
+    base = both.select("record_count", "column_count", "column_name", "ordinal", "mapped_name", "schema_hint",
+                       "is_pii", "null_count")
+    candidate = both.select("column_name", F.col("cand_mapped_name").alias("mapped_name"),
+                            F.col("cand_schema_hint").alias("schema_hint"))
+    return base, candidate
 
 
 def override_profile(base: DataFrame, candidate: DataFrame, key: str = "column_name") -> DataFrame:

@@ -244,8 +244,8 @@ def _column_profile(spark, d):
 @query("profile_override")
 def _profile_override(spark, d):
     """the deterministic column profile, overridden by a data-derived candidate's non-empty fields."""
-    raw = raw_txn(spark, d)
-    merged = quality.override_profile(quality.column_profile(raw), quality.inferred_candidate(raw))
+    base, candidate = quality.profile_with_candidate(raw_txn(spark, d))  # one pass over the feed
+    merged = quality.override_profile(base, candidate)
     return merged.withColumn("generated_by", F.lit("data_inference"))
 
 
