@@ -89,24 +89,36 @@ def silver_quarantine(batch: DataFrame, as_of=None, strict: bool = False) -> Dat
 
 
 def reconcile(batch: DataFrame, as_of=None, keys: Sequence[str] = BUSINESS_KEY) -> DataFrame:
-    """One row of totals; adds the good-and-bad / neither counts."""
+    """One row of totals; adds the good-and-bad / neither counts.
+
+    One pass: per business key (NULLs as one key, like ``dropDuplicates``)
+    the rows of each good/bad combination are counted — a partial aggregate,
+    so a hot key is one row per task — and one global aggregate sums them;
+    the distinct good keys are the keys with a good row.
+    """
     g = F.coalesce(good_condition(batch, as_of), F.lit(False))
     b = F.coalesce(quarantine_condition(batch), F.lit(False))
-    flags = batch.select(g.alias("g"), b.alias("b"))
-    totals = flags.agg(
-        F.count(F.lit(1)).alias("rows_in"),
-        F.count_if(F.col("g")).alias("good_rows"),
-        F.count_if(F.col("b")).alias("quarantined"),
-        F.count_if(F.col("g") & ~F.col("b")).alias("good_only"),
-        F.count_if(~F.col("g") & F.col("b")).alias("bad_only"),
-        F.count_if(F.col("g") & F.col("b")).alias("both"),
-        F.count_if(~F.col("g") & ~F.col("b")).alias("neither"),
+    flags = batch.select(*[F.col(ident(k)).alias(f"__k{i}") for i, k in enumerate(keys)], g.alias("g"), b.alias("b"))
+    per_key = flags.groupBy(*[f"__k{i}" for i in range(len(keys))]).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("g")).alias("ng"),
+        F.count_if(F.col("b")).alias("nb"),
+        F.count_if(F.col("g") & ~F.col("b")).alias("n_good_only"),
+        F.count_if(~F.col("g") & F.col("b")).alias("n_bad_only"),
+        F.count_if(F.col("g") & F.col("b")).alias("n_both"),
+        F.count_if(~F.col("g") & ~F.col("b")).alias("n_neither"),
+    )
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")  # noqa: E731 - 0 on an empty batch
+    return per_key.agg(
+        total("n").alias("rows_in"),
+        total("ng").alias("good_rows"),
+        total("nb").alias("quarantined"),
+        total("n_good_only").alias("good_only"),
+        total("n_bad_only").alias("bad_only"),
+        total("n_both").alias("both"),
+        total("n_neither").alias("neither"),
+        F.count_if(F.col("ng") > 0).alias("good_after_dedup"),
     )
-    # distinct keys among good rows (NULLs as one key, like dropDuplicates)
-    deduped = (batch.filter(good_condition(batch, as_of))
-               .groupBy(*[F.col(ident(k)) for k in keys]).agg(F.lit(1).alias("one"))
-               .agg(F.count(F.lit(1)).alias("good_after_dedup")))
-    return totals.withColumn("good_after_dedup", deduped.scalar())  # a scalar subquery, evaluated once
 
 
 _CAST_RE = re.compile(r"(?<![A-Za-z_])CAST\s*\(", re.IGNORECASE)
