@@ -133,19 +133,45 @@ def upsert_documents(spark: SparkSession, store: str, new_docs: DataFrame, key:
     return version
 
 
-def gold_documents(spark: SparkSession, gold_dir: str, names: list[str]) -> DataFrame:
-    """R1 + S11: one document per gold table (parquet / csv / json by suffix), sorted by name."""
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    """Entry names of one folder (Hadoop file system listing: names only), hidden ones left out."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [st.getPath().getName() for st in fs.listStatus(p)]
+    return sorted(n for n in names if not n.startswith(("_", ".")))
+
+
+def _is_dir(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
+
+
+def gold_documents(spark: SparkSession, gold_dir: str, names: list[str] | None = None) -> DataFrame | None:
+    """R1 + S11: one document per gold export (parquet / csv / json by suffix), sorted by name.
+
+    With no ``names`` the folder is listed; entries with another suffix are
+    skipped. A single ``.json`` file is one JSON array of records; a ``.json``
+    folder (Spark's output) is JSON lines. Each document is the export's first
+    50 rows (``rows_document``), its source the export's path.
+    """
+    readers = {
+        ".parquet": lambda path: spark.read.parquet(path),
+        ".csv": lambda path: spark.read.option("header", True).option("inferSchema", True).csv(path),
+        ".json": lambda path: (spark.read.json(path) if _is_dir(spark, path)
+                               else spark.read.option("multiLine", True).json(path)),
+    }
     parts = []
-    for name in sorted(names):
+    for name in sorted(names if names is not None else list_names(spark, gold_dir)):
+        stem, dot, suffix = name.rpartition(".")
+        if not dot or f".{suffix}" not in readers:
+            continue
         path = f"{gold_dir}/{name}"
-        if name.endswith(".csv"):
-            df = spark.read.option("header", True).option("inferSchema", True).csv(path)
-        elif name.endswith(".json"):
-            df = spark.read.json(path)
-        else:
-            df = spark.read.parquet(path)
-        stem = name.rsplit(".", 1)[0] if "." in name else name
-        parts.append(retrieve.rows_document(df, stem, df.columns[:1]))
+        df = readers[f".{suffix}"](path)
+        parts.append(retrieve.rows_document(df, stem, df.columns[:1]).withColumn("source", F.lit(path)))
+    if not parts:
+        return None
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

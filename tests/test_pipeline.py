@@ -69,6 +69,14 @@ def test_end_to_end(spark, tmp_path):
     gd = str(tmp_path / "exports")
     spark.read.parquet(paths.gold("user_summary")).write.parquet(f"{gd}/user_summary.parquet")
     spark.read.parquet(paths.gold("merchant_summary")).write.option("header", True).csv(f"{gd}/merchant_summary.csv")
+    with open(f"{gd}/daily_metrics.json", "w", encoding="utf-8") as fh:  # one JSON array document
+        fh.write('[{"tr_date": "2024-01-02", "fraud_amount": 5.5}, {"tr_date": "2024-01-01", "fraud_amount": 1.0}]')
+    with open(f"{gd}/notes.txt", "w", encoding="utf-8") as fh:  # another suffix: skipped
+        fh.write("not a gold export")
+    listed = {r["id"]: r for r in jobs.gold_documents(spark, gd).collect()}
+    assert sorted(listed) == ["daily_metrics", "merchant_summary", "user_summary"]
+    assert listed["daily_metrics"]["text"].startswith('[{"fraud_amount":"1.000000","tr_date":"2024-01-01"}')
+    assert listed["user_summary"]["source"].endswith("exports/user_summary.parquet")
     docs = jobs.gold_documents(spark, gd, ["user_summary.parquet", "merchant_summary.csv"])
     assert sorted(r["id"] for r in docs.collect()) == ["merchant_summary", "user_summary"]
     store = str(tmp_path / "docstore")
