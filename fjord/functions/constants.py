@@ -47,6 +47,7 @@ PIPELINE_VERSION = "1.0"
 
 ANSWER_PREFIX = "Fallback answer based on retrieved Gold summaries: "
 ANSWER_SUFFIX = " | Suggested next step: validate the top-risk merchants in the Gold merchant summary."
+GOLD_SUMMARY_FALLBACK = "Fallback summary: review merchant spikes, high-risk users, and rolling velocity anomalies."
 ALERT_FALLBACK = ("Fallback executive alert: fraud volume has breached the statistical control band "
                   "and requires analyst review.")
 # ------------------------------------------------------------------------------

@@ -623,7 +623,8 @@ dd AS (SELECT * FROM daily ORDER BY fraud_amount DESC, tr_date LIMIT 1)
 SELECT format('Top fraud merchant {} with {} fraud transactions; highest-risk account {} (risk {}); peak fraud day {} ({}).',
               m.merchant_hash, m.fraud_count, u.account_hash,
               CAST(CAST(u.risk_score AS DECIMAL(18,6)) AS VARCHAR), CAST(dd.tr_date AS VARCHAR),
-              CAST(CAST(dd.fraud_amount AS DECIMAL(18,2)) AS VARCHAR)) AS narrative
+              CAST(CAST(dd.fraud_amount AS DECIMAL(18,2)) AS VARCHAR)) AS narrative,
+       'Fallback summary: review merchant spikes, high-risk users, and rolling velocity anomalies.' AS summary
 FROM m, u, dd""".replace("\n, m AS", ", m AS"))
 
 # ---------------------------------------------------------------- scans / PII
