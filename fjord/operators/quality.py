@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fjord.functions.constants import ALERT_FALLBACK, BUSINESS_MAPPING, PII_COLUMNS, SCHEMA_HINTS
+from fjord.functions.constants import ALERT_FALLBACK, BUSINESS_MAPPING, PII_COLUMNS, QUARANTINE_RULES, SCHEMA_HINTS
 from fjord.functions.exprs import ident
 from fjord.operators.landing import normalized_names
 
@@ -58,6 +58,29 @@ def column_profile(df: DataFrame, hints: dict[str, str] = SCHEMA_HINTS,
     return _profile_rows(df.agg(*_null_count_aggs(df)), df.columns, hints, pii)
 
 
+def profile_record(prof: DataFrame, dataset_path: str, environment: str,
+                   rules: Sequence[str] = QUARANTINE_RULES, generated_by: str = "deterministic_fallback") -> DataFrame:
+    """A7 + K7: the per-column profile folded into the one config record the landing stage reads.
+
+    Fields as the reference's profile: dataset path, counts, column list, name
+    mapping, PII columns, schema hints, quarantine rules, producer, environment.
+    One row; its lists grow with the column count only.
+    """
+    c = F.array_sort(F.collect_list(F.struct("ordinal", "column_name", "mapped_name", "schema_hint", "is_pii")))
+    folded = prof.agg(F.max("record_count").alias("record_count"), F.max("column_count").alias("column_count"),
+                      c.alias("__c"))
+    return folded.select(
+        F.lit(dataset_path).alias("dataset_path"), "record_count", "column_count",
+        F.transform("__c", lambda e: e["column_name"]).alias("columns"),
+        F.map_from_entries(F.transform("__c", lambda e: F.struct(e["column_name"], e["mapped_name"])))
+        .alias("mapped_columns"),
+        F.transform(F.filter("__c", lambda e: e["is_pii"]), lambda e: e["column_name"]).alias("pii_columns"),
+        F.map_from_entries(F.transform("__c", lambda e: F.struct(e["column_name"], e["schema_hint"])))
+        .alias("schema_hints"),
+        F.array(*[F.lit(r) for r in rules]).alias("quarantine_rules"),
+        F.lit(generated_by).alias("generated_by"), F.lit(environment).alias("environment"))
+
+
 def anomaly_flags(daily: DataFrame, value: str = "fraud_amount", sigmas: float = 2.0) -> DataFrame:
     """A8 + P16: threshold = mean + 2·sample std over all days; alert when above.
 

@@ -42,6 +42,14 @@ def profile(spark: SparkSession, raw_csv: str, out_path: str) -> DataFrame:
     return prof
 
 
+def write_profile_config(spark: SparkSession, raw_csv: str, out_path: str, environment: str = "test") -> DataFrame:
+    """A7 + K7: the profile as one config record (one JSON document), as the landing stage reads it."""
+    df = spark.read.option("header", True).option("inferSchema", False).csv(raw_csv)
+    record = quality.profile_record(quality.column_profile(df), raw_csv, environment)
+    record.coalesce(1).write.mode("overwrite").json(out_path)
+    return record
+
+
 def load_profile(spark: SparkSession, path: str) -> DataFrame:
     """A saved profile; a missing one is a clear error, not an empty frame."""
     try:

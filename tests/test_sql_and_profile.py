@@ -61,3 +61,22 @@ def test_inferred_candidate_overrides_only_non_empty_fields(spark):
     assert merged["Score"] == ("score", "string") and merged["Note"] == ("note", "string")
     assert merged["TransactionID"] == ("transaction_id", "integer")
     assert merged["TransactionDate"] == ("transaction_date", "timestamp")
+
+
+def test_profile_config_record_round_trip(spark, tmp_path):
+    from fjord.functions.constants import QUARANTINE_RULES
+    from fjord.plans import jobs
+
+    raw = raw_txn(spark, SF_SMALL)
+    csv = str(tmp_path / "raw_csv")
+    raw.coalesce(2).write.option("header", True).csv(csv)
+    jobs.write_profile_config(spark, csv, str(tmp_path / "config"), environment="dev")
+    rec = jobs.load_profile(spark, str(tmp_path / "config")).collect()
+    assert len(rec) == 1
+    r = rec[0]
+    assert r["record_count"] == raw.count() and r["column_count"] == 16 and r["columns"] == raw.columns
+    assert r["mapped_columns"]["IP Address"] == "ip_address" and r["schema_hints"]["CustomerAge"] == "integer"
+    assert r["schema_hints"]["Channel"] == "string"
+    assert r["pii_columns"] == ["AccountID", "Location", "DeviceID", "IP Address", "MerchantID"]
+    assert r["quarantine_rules"] == QUARANTINE_RULES
+    assert (r["generated_by"], r["environment"], r["dataset_path"]) == ("deterministic_fallback", "dev", csv)
