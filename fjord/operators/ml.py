@@ -65,7 +65,8 @@ def train(df: DataFrame, numeric: Sequence[str], label: str = "is_fraud",
         F.col("average_precision").alias("pr_auc"),
         best.select("threshold").scalar().alias("best_threshold"),  # one-row scalar subqueries
         best.select("f1").scalar().alias("best_f1"),
-        F.lit(float(w)).alias("scale_pos_weight"))
+        F.lit(float(w)).alias("scale_pos_weight"),
+        F.array(*[F.lit(c) for c in [*categorical, *numeric]]).alias("feature_columns"))
     return model, scored, report
 
 

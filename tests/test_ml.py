@@ -17,6 +17,7 @@ def test_planted_label(spark, tmp_path):
     numeric = ["amount", "prev_amount", "rolling_avg_amount_7", "daily_amount_percent_rank"]
     model, scored, report = ml.train(feats, numeric, max_iter=15)
     r = report.first()
+    assert r["feature_columns"][:2] == ["transaction_type", "location"] and "amount" in r["feature_columns"]
     base = scored.agg(F.avg("label")).first()[0]
     assert r["pr_auc"] > base + 0.2
     assert 0.0 <= r["best_threshold"] <= 1.0
