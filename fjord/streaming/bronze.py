@@ -167,7 +167,9 @@ def run_bronze_csv(spark: SparkSession, landing: str, table_path: str, checkpoin
     selected never reads contents); its checkpoint remembers which files are
     done. Each micro-batch reads its files by their own headers, applies the
     hints with rescue, adds ingestion metadata and overwrites its own
-    ``_batch_id=<id>`` directory, so a replayed batch replaces exactly itself.
+    ``_bronze_batch_id=<id>`` directory, so a replayed batch replaces exactly
+    itself (the name differs from silver's ``_batch_id`` directories, so the
+    column passes through silver as lineage).
     New columns appear as new Parquet columns; ``read_bronze`` merges schemas.
     """
     listing = "path string, modificationTime timestamp, length bigint, content binary"  # the format's fixed schema
@@ -183,7 +185,7 @@ def run_bronze_csv(spark: SparkSession, landing: str, table_path: str, checkpoin
         if data is None:
             return
         out = with_ingest_metadata(S.with_rescue(data, hints), environment)
-        out.write.mode("overwrite").parquet(f"{table_path}/_batch_id={batch_id}")
+        out.write.mode("overwrite").parquet(f"{table_path}/_bronze_batch_id={batch_id}")
 
     q = (files.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
               .queryName("bronze_csv").foreachBatch(batch).start())

@@ -106,3 +106,20 @@ def test_csv_stream_binds_each_file_by_its_own_header(spark, tmp_path):
     bronze.run_bronze_csv(spark, landing, table, ckpt, HINTS)
     rows = {r["TransactionID"]: r for r in bronze.read_bronze(spark, table).collect()}
     assert len(rows) == 4 and rows["tx-4"]["Amount"] == 1.25 and rows["tx-4"]["TransactionDate"] is None
+
+
+def test_csv_bronze_feeds_silver(spark, tmp_path):
+    from fjord.functions.constants import SCHEMA_HINTS
+
+    landing, table = str(tmp_path / "landing"), str(tmp_path / "bronze")
+    _write_csv(f"{landing}/d1/a.csv", ["TransactionID,AccountID,TransactionAmount,TransactionDate",
+                                       "tx-1,ac-1,10.5,2025-01-01 07:00:00", "tx-2,ac-1,oops,2025-01-01 08:00:00"])
+    _write_csv(f"{landing}/d2/b.csv", ["TransactionDate,TransactionAmount,AccountID,TransactionID",
+                                       "2025-01-02 09:00:00,7,ac-2,tx-3"])
+    bronze.run_bronze_csv(spark, landing, table, str(tmp_path / "ck_b"), SCHEMA_HINTS)
+    good, bad = str(tmp_path / "good"), str(tmp_path / "bad")
+    silver.run_silver(spark, table, good, bad, str(tmp_path / "ck_s"), as_of="2026-12-01")
+    g = silver.read_silver(spark, good)
+    assert sorted(r["TransactionID"] for r in g.collect()) == ["tx-1", "tx-3"]
+    assert "_bronze_batch_id" in g.columns  # bronze lineage passes through; silver's own batch dirs stay distinct
+    assert [r["TransactionID"] for r in silver.read_silver(spark, bad).collect()] == ["tx-2"]
