@@ -59,9 +59,17 @@ def load_profile(spark: SparkSession, path: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ bronze / silver
-def run_bronze(spark: SparkSession, paths: Paths, hints=SCHEMA_HINTS):
-    return bronze.run_bronze(spark, paths.landing, paths.bronze, paths.schema_memory,
-                             paths.checkpoint("bronze_autoloader_stream"), hints, paths.environment)
+def run_bronze(spark: SparkSession, paths: Paths, hints=SCHEMA_HINTS, fmt: str = "json"):
+    """The landing folder into bronze — JSONL (the landing stage's output) or a CSV feed.
+
+    A CSV feed is bound file by file by its own header (``bronze.run_bronze_csv``).
+    """
+    ckpt = paths.checkpoint("bronze_autoloader_stream")
+    if fmt == "csv":
+        return bronze.run_bronze_csv(spark, paths.landing, paths.bronze, ckpt, hints, paths.environment)
+    if fmt != "json":
+        raise ValueError(f"unknown landing format {fmt!r}")
+    return bronze.run_bronze(spark, paths.landing, paths.bronze, paths.schema_memory, ckpt, hints, paths.environment)
 
 
 def run_silver(spark: SparkSession, paths: Paths, as_of=None, strict: bool = False):
