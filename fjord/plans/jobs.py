@@ -64,7 +64,7 @@ def run_bronze(spark: SparkSession, paths: Paths, hints=SCHEMA_HINTS, fmt: str =
 
     A CSV feed is bound file by file by its own header (``bronze.run_bronze_csv``).
     """
-    ckpt = paths.checkpoint("bronze_autoloader_stream")
+    ckpt = paths.checkpoint("bronze_stream")
     if fmt == "csv":
         return bronze.run_bronze_csv(spark, paths.landing, paths.bronze, ckpt, hints, paths.environment)
     if fmt != "json":
@@ -74,7 +74,7 @@ def run_bronze(spark: SparkSession, paths: Paths, hints=SCHEMA_HINTS, fmt: str =
 
 def run_silver(spark: SparkSession, paths: Paths, as_of=None, strict: bool = False):
     return silver.run_silver(spark, paths.bronze, paths.silver_good, paths.silver_quarantine,
-                             paths.checkpoint("silver_cleaning_stream"), as_of=as_of, strict=strict)
+                             paths.checkpoint("silver_stream"), as_of=as_of, strict=strict)
 
 
 # ------------------------------------------------------------------ gold
