@@ -231,8 +231,9 @@ def tfidf_top_k(docs: DataFrame, questions: DataFrame, k: int = 3, doc_key: str
     return top_k_per_group(scored, [q_key], order, k)
 
 
-def answer_context(ranked: DataFrame, docs: DataFrame, q_key: str = "question_id", doc_key: str = "doc_id",
-                   text: str = "text", n_answer_docs: int = 2,
+def answer_context(ranked: DataFrame, docs: DataFrame, questions: DataFrame | None = None,
+                   q_key: str = "question_id", doc_key: str = "doc_id", text: str = "text",
+                   q_text: str = "question", n_answer_docs: int = 2,
                    max_ranked_rows: int = MAX_BROADCAST_QUERIES * 10) -> DataFrame:
     """Context in rank order and the template answer from the first two texts.
 
@@ -240,14 +241,13 @@ def answer_context(ranked: DataFrame, docs: DataFrame, q_key: str = "question_id
     checked here). Its rows are materialised once and their document ids go
     into the scan as an ``IN`` filter, so only the row groups holding those
     documents are read for their text — not the whole corpus a second time.
+    With ``questions`` every question gets a row and its text, as in the
+    reference: one without context gets an empty context and the bare template.
     """
     picked = ranked.select(q_key, doc_key, "rank").limit(max_ranked_rows + 1).collect()  # bound check
     if len(picked) > max_ranked_rows:
         raise ValueError(f"more than {max_ranked_rows} ranked rows; answer the questions in batches")
     spark = docs.sparkSession
-    if not picked:
-        schema = f"{q_key} {ranked.schema[q_key].dataType.simpleString()}, context_ids string, answer string"
-        return spark.createDataFrame([], schema)
     ids = sorted({r[doc_key] for r in picked})
     ranked_rows = spark.createDataFrame(picked, ranked.select(q_key, doc_key, "rank").schema)
     texts = docs.select(doc_key, text).filter(F.col(doc_key).isin(ids))  # pushed into the parquet scan
@@ -255,9 +255,14 @@ def answer_context(ranked: DataFrame, docs: DataFrame, q_key: str = "question_id
     per_q = joined.groupBy(q_key).agg(
         F.array_sort(F.collect_list(F.struct("rank", F.col(doc_key).alias("id"), F.col(text).alias("t"))))
         .alias("ctx"))
-    ids_text = F.array_join(F.transform("ctx", lambda e: e["id"].cast("string")), ",")
-    first = F.array_join(F.transform(F.slice("ctx", 1, n_answer_docs), lambda e: e["t"]), " ")
-    return per_q.select(q_key, ids_text.alias("context_ids"),
+    keep = [q_key]
+    if questions is not None:
+        per_q = questions.select(q_key, q_text).join(per_q, q_key, "left")
+        keep.append(q_text)
+    ctx = F.coalesce(F.col("ctx"), F.array().cast(per_q.schema["ctx"].dataType))
+    ids_text = F.array_join(F.transform(ctx, lambda e: e["id"].cast("string")), ",")
+    first = F.array_join(F.transform(F.slice(ctx, 1, n_answer_docs), lambda e: e["t"]), " ")
+    return per_q.select(*keep, ids_text.alias("context_ids"),
                         F.concat(F.lit(ANSWER_PREFIX), first, F.lit(ANSWER_SUFFIX)).alias("answer"))
 
 

@@ -569,13 +569,15 @@ register("tfidf_topk", with_ctes(TFIDF_CTE) + """
 SELECT question_id, doc_id, round(score, 6) AS score, rank FROM top""")
 
 register("answer_context", with_ctes(TFIDF_CTE) + """
-SELECT question_id,
-       string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY rank) AS context_ids,
-       'Fallback answer based on retrieved Gold summaries: '
-         || string_agg(CASE WHEN rank <= 2 THEN d.text END, ' ' ORDER BY rank)
+, ctx AS (SELECT question_id,
+                 string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY rank) AS context_ids,
+                 string_agg(CASE WHEN rank <= 2 THEN d.text END, ' ' ORDER BY rank) AS first_two
+          FROM top JOIN documents d USING (doc_id)
+          GROUP BY question_id)
+SELECT q.question_id, q.question, coalesce(c.context_ids, '') AS context_ids,
+       'Fallback answer based on retrieved Gold summaries: ' || coalesce(c.first_two, '')
          || ' | Suggested next step: validate the top-risk merchants in the Gold merchant summary.' AS answer
-FROM top JOIN documents d USING (doc_id)
-GROUP BY question_id""")
+FROM qs q LEFT JOIN ctx c USING (question_id)""".replace("\n, ctx AS", ", ctx AS"))
 
 _FEAT_SQL = """feat AS (
   SELECT tr_id, tr_date, account_hash, merchant_hash, amount, is_fraud, transaction_type, location,

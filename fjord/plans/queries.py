@@ -396,9 +396,10 @@ def _tfidf_topk(spark, d):
 
 @query("answer_context")
 def _answer_context(spark, d):
-    """Ranked context ids and the template answer from the first two texts."""
+    """Every question with its ranked context ids and the template answer from the first two texts."""
     docs = table(spark, d, "documents")
-    return retrieve.answer_context(retrieve.tfidf_top_k(docs, _questions(spark), k=3), docs)
+    qs = _questions(spark)
+    return retrieve.answer_context(retrieve.tfidf_top_k(docs, qs, k=3), docs, questions=qs)
 
 
 @query("summary_documents")
