@@ -15,7 +15,7 @@ def pii_hash(c: Column, salt: str | None = None) -> Column:
 
 def money_text(c: Column) -> Column:
     """Render a double as a 2-decimal string, same text in Spark and DuckDB."""
-    return c.cast("decimal(18,2)").cast("string")
+    return c.cast("decimal(38,2)").cast("string")
 
 
 def try_cast(c: Column | str, to: str) -> Column:

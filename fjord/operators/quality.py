@@ -101,7 +101,7 @@ def alert_payload(flags: DataFrame, value: str = "fraud_amount", key: str = "tr_
     Flagged days are listed as sorted ``day=amount`` text so the payload is
     order-independent; the list holds only alert days (bounded by the calendar).
     """
-    item = F.concat(F.date_format(key, "yyyy-MM-dd"), F.lit("="), F.col(value).cast("decimal(18,2)").cast("string"))
+    item = F.concat(F.date_format(key, "yyyy-MM-dd"), F.lit("="), F.col(value).cast("decimal(38,2)").cast("string"))
     agg = flags.agg(
         F.max("threshold").alias("threshold"),
         F.count_if("alert").alias("alert_count"),
@@ -111,7 +111,7 @@ def alert_payload(flags: DataFrame, value: str = "fraud_amount", key: str = "tr_
         "alert_detail",
         F.when(F.col("alert_count") > 0,
                F.format_string("Fraud amount breached the control limit of %s on %d day(s): %s.",
-                               F.col("threshold").cast("decimal(18,2)").cast("string"),
+                               F.col("threshold").cast("decimal(38,2)").cast("string"),
                                F.col("alert_count"), F.col("flagged_days")))
         .otherwise(F.lit("No day breached the fraud control limit.")))
 

@@ -274,7 +274,7 @@ def rows_document(df: DataFrame, doc_id: str, order: Sequence[str], n: int = 50)
     lists, so the document costs n rows on one task, never the table.
     """
     cols = df.columns
-    as_text = [F.col(c).cast("decimal(18,6)").cast("string").alias(c)
+    as_text = [F.col(c).cast("decimal(38,6)").cast("string").alias(c)
                if dict(df.dtypes)[c] in ("double", "float") else F.col(c).cast("string").alias(c) for c in cols]
     head = df.orderBy(*order).limit(n)
     w = Window.orderBy(*order)  # over n rows only

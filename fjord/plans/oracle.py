@@ -36,7 +36,7 @@ raw_txn AS (
          CASE WHEN _kind = 'negative_amount' THEN '-5.0'
               WHEN _kind = 'bad_amount' THEN 'bad-amount'
               WHEN _kind = 'null_amount' THEN NULL
-              ELSE CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) END AS "TransactionAmount",
+              ELSE CAST(CAST(value AS DECIMAL(38,2)) AS VARCHAR) END AS "TransactionAmount",
          CASE WHEN _kind = 'future_date' THEN '2999-01-01'
               WHEN _kind = 'bad_date' THEN 'unknown'
               ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS "TransactionDate",
@@ -51,7 +51,7 @@ raw_txn AS (
               WHEN user_id % 4 = 2 THEN 'Student' ELSE 'Retired' END AS "CustomerOccupation",
          CAST(10 + event_id % 290 AS VARCHAR) AS "TransactionDuration",
          CAST(1 + event_id % 5 AS VARCHAR) AS "LoginAttempts",
-         CAST(CAST(value * 37 AS DECIMAL(18,2)) AS VARCHAR) AS "AccountBalance",
+         CAST(CAST(value * 37 AS DECIMAL(38,2)) AS VARCHAR) AS "AccountBalance",
          strftime(ts - INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS "PreviousTransactionDate",
          _kind
   FROM raw_base),
@@ -266,7 +266,7 @@ COERCED_CTE = """coerced AS (
                     TRY_CAST(amount AS DOUBLE) AS amount)
   FROM renamed),
 parsed AS (SELECT *, strftime(transaction_date, '%Y-%m-%d') AS landing_partition FROM coerced)"""
-LANDED_CTE = """as_text AS (SELECT * REPLACE (CAST(CAST(amount AS DECIMAL(18,2)) AS VARCHAR) AS amount) FROM parsed),
+LANDED_CTE = """as_text AS (SELECT * REPLACE (CAST(CAST(amount AS DECIMAL(38,2)) AS VARCHAR) AS amount) FROM parsed),
 head AS (SELECT *, row_number() OVER (ORDER BY transaction_id NULLS LAST, transaction_date NULLS LAST,
                                                amount NULLS LAST) AS i
          FROM (SELECT * FROM as_text ORDER BY transaction_id NULLS LAST, transaction_date NULLS LAST,
@@ -373,11 +373,11 @@ SELECT round(threshold, 6) AS threshold, alert_count, flagged_days,
          AS executive_summary,
        CASE WHEN alert_count > 0
             THEN format('Fraud amount breached the control limit of {} on {} day(s): {}.',
-                        CAST(CAST(threshold AS DECIMAL(18,2)) AS VARCHAR), alert_count, flagged_days)
+                        CAST(CAST(threshold AS DECIMAL(38,2)) AS VARCHAR), alert_count, flagged_days)
             ELSE 'No day breached the fraud control limit.' END AS alert_detail
 FROM (SELECT max(threshold) AS threshold, CAST(count_if(alert) AS BIGINT) AS alert_count,
              coalesce(array_to_string(list_sort(list(strftime(tr_date, '%Y-%m-%d') || '='
-                        || CAST(CAST(fraud_amount AS DECIMAL(18,2)) AS VARCHAR)) FILTER (WHERE alert)), ';'), '')
+                        || CAST(CAST(fraud_amount AS DECIMAL(38,2)) AS VARCHAR)) FILTER (WHERE alert)), ';'), '')
                AS flagged_days
       FROM flags)""")
 register("class_weight", with_ctes(TXN_CTE) + """
@@ -591,7 +591,7 @@ _FEAT_SQL = """feat AS (
 
 def _doc_sql(name: str, src: str, cols: list[tuple[str, bool]], order: str) -> str:
     fields = ", ".join(
-        f"{c} := CAST(CAST({c} AS DECIMAL(18,6)) AS VARCHAR)" if dbl else f"{c} := CAST({c} AS VARCHAR)"
+        f"{c} := CAST(CAST({c} AS DECIMAL(38,6)) AS VARCHAR)" if dbl else f"{c} := CAST({c} AS VARCHAR)"
         for c, dbl in cols)
     return f"""SELECT '{name}' AS id,
        '[' || string_agg(to_json(struct_pack({fields})), ',' ORDER BY {order}) || ']' AS text,
@@ -624,8 +624,8 @@ u AS (SELECT account_hash, CAST(sum(is_fraud) AS DOUBLE) / CAST(nullif(count(*),
 dd AS (SELECT * FROM daily ORDER BY fraud_amount DESC, tr_date LIMIT 1)
 SELECT format('Top fraud merchant {} with {} fraud transactions; highest-risk account {} (risk {}); peak fraud day {} ({}).',
               m.merchant_hash, m.fraud_count, u.account_hash,
-              CAST(CAST(u.risk_score AS DECIMAL(18,6)) AS VARCHAR), CAST(dd.tr_date AS VARCHAR),
-              CAST(CAST(dd.fraud_amount AS DECIMAL(18,2)) AS VARCHAR)) AS narrative,
+              CAST(CAST(u.risk_score AS DECIMAL(38,6)) AS VARCHAR), CAST(dd.tr_date AS VARCHAR),
+              CAST(CAST(dd.fraud_amount AS DECIMAL(38,2)) AS VARCHAR)) AS narrative,
        'Fallback summary: review merchant spikes, high-risk users, and rolling velocity anomalies.' AS summary
 FROM m, u, dd""".replace("\n, m AS", ", m AS"))
 

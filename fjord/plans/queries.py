@@ -430,8 +430,8 @@ def _gold_narrative(spark, d):
         "Top fraud merchant %s with %d fraud transactions; highest-risk account %s (risk %s); "
         "peak fraud day %s (%s).",
         m["merchant_hash"], m["fraud_count"], u["account_hash"],
-        u["risk_score"].cast("decimal(18,6)").cast("string"),
-        day["tr_date"].cast("string"), day["fraud_amount"].cast("decimal(18,2)").cast("string"),
+        u["risk_score"].cast("decimal(38,6)").cast("string"),
+        day["tr_date"].cast("string"), day["fraud_amount"].cast("decimal(38,2)").cast("string"),
     ).alias("narrative"), F.lit(GOLD_SUMMARY_FALLBACK).alias("summary"))
 
 

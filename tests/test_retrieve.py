@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from fjord.operators import retrieve
@@ -89,3 +90,13 @@ def test_term_table_is_tokenised_once(spark):
     final = df._jdf.queryExecution().executedPlan().toString()
     final = final.split("== Initial Plan ==")[0]
     assert final.count("Generate explode(split(lower(text") == 1
+
+
+def test_text_rendering_survives_large_amounts(spark):
+    """Amount sums past 10^12 render as text instead of overflowing a narrow decimal (ANSI)."""
+    from fjord.functions.exprs import money_text
+
+    df = spark.createDataFrame([(1, 123456789012345.678), (2, 2.5)], "k int, total double")
+    doc = retrieve.rows_document(df, "big", ["k"]).first()["text"]
+    assert '"total":"123456789012345.6' in doc and '"total":"2.500000"' in doc
+    assert df.select(money_text(F.col("total")).alias("t")).first()["t"].startswith("123456789012345.6")
