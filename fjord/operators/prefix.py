@@ -121,8 +121,8 @@ def _window_rank(df: DataFrame, keys: list[str], order: Sequence[tuple[str, bool
     rev = [(F.col(c).desc_nulls_last() if a else F.col(c).asc_nulls_first()) for c, a in order]
     part = Window.partitionBy(*keys)
     kinds = {
-        "rank": F.rank().over(part.orderBy(*fwd)),
-        "rank_reverse": F.rank().over(part.orderBy(*rev)),
+        "rank": F.rank().over(part.orderBy(*fwd)).cast("bigint"),
+        "rank_reverse": F.rank().over(part.orderBy(*rev)).cast("bigint"),
         "percent_rank": F.percent_rank().over(part.orderBy(*fwd)),
         "percent_rank_reverse": F.percent_rank().over(part.orderBy(*rev)),
         "count": F.count(F.lit(1)).over(part),
@@ -140,6 +140,9 @@ def group_rank(
 ) -> DataFrame:
     """SQL ``rank()`` / ``percent_rank()`` over (keys, order) for every row of ``df``.
 
+    Ranks are ``bigint``: one group (a day, the whole table) can exceed 2^31
+    rows at scale, where an ``int`` rank would overflow.
+
     ``outputs`` maps a new column name to ``rank``, ``percent_rank``,
     ``rank_reverse``, ``percent_rank_reverse`` or ``count`` (group size); the reverse kinds rank by the
     exactly opposite order (every direction and NULL placement flipped), so one
@@ -170,8 +173,8 @@ def group_rank(
         return F.when(F.col("__n_total") <= 1, F.lit(0.0)).otherwise(c / denom).cast("double")
 
     kinds = {
-        "rank": (before + 1).cast("int"),
-        "rank_reverse": (after + 1).cast("int"),
+        "rank": (before + 1).cast("bigint"),
+        "rank_reverse": (after + 1).cast("bigint"),
         "percent_rank": pct(before),
         "percent_rank_reverse": pct(after),
         "count": F.col("__n_total").cast("long"),

@@ -86,7 +86,7 @@ SELECT tr_id, tr_date, account_hash, merchant_hash, round(amount, 6) AS amount,
        round(lag(amount) OVER (PARTITION BY account_hash ORDER BY tr_timestamp, tr_id), 6) AS prev_amount,
        round(avg(amount) OVER (PARTITION BY account_hash ORDER BY tr_timestamp, tr_id
                                ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS rolling_avg_amount_7,
-       CAST(rank() OVER (PARTITION BY tr_date ORDER BY amount DESC) AS INTEGER) AS daily_amount_rank,
+       CAST(rank() OVER (PARTITION BY tr_date ORDER BY amount DESC) AS BIGINT) AS daily_amount_rank,
        round(percent_rank() OVER (PARTITION BY tr_date ORDER BY amount), 6) AS daily_amount_percent_rank
 FROM txn""")
 
@@ -105,7 +105,7 @@ MERCHANT_SQL = """merchant AS (
          CAST(sum(is_fraud) AS BIGINT) AS fraud_count
   FROM txn GROUP BY merchant_hash),
 merchant_ranked AS (
-  SELECT *, CAST(rank() OVER (ORDER BY fraud_count DESC, total_amount DESC) AS INTEGER) AS fraud_rank
+  SELECT *, CAST(rank() OVER (ORDER BY fraud_count DESC, total_amount DESC) AS BIGINT) AS fraud_rank
   FROM merchant)"""
 
 register("merchant_summary", with_ctes(TXN_CTE, MERCHANT_SQL) + """
@@ -132,7 +132,7 @@ SELECT tr_date, round(fraud_amount, 6) AS fraud_amount, fraud_count, transaction
 
 register("region_risk", with_ctes(TXN_CTE) + """
 SELECT location, transaction_count, fraud_count, fraud_rate,
-       CAST(rank() OVER (ORDER BY fraud_rate DESC, fraud_count DESC) AS INTEGER) AS risk_rank
+       CAST(rank() OVER (ORDER BY fraud_rate DESC, fraud_count DESC) AS BIGINT) AS risk_rank
 FROM (SELECT location, count(*) AS transaction_count, CAST(sum(is_fraud) AS BIGINT) AS fraud_count,
              round(CAST(sum(is_fraud) AS DOUBLE) / CAST(nullif(count(*), 0) AS DOUBLE), 6) AS fraud_rate
       FROM txn GROUP BY location)""")
@@ -584,7 +584,7 @@ _FEAT_SQL = """feat AS (
          lag(amount) OVER (PARTITION BY account_hash ORDER BY tr_timestamp, tr_id) AS prev_amount,
          avg(amount) OVER (PARTITION BY account_hash ORDER BY tr_timestamp, tr_id
                            ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS rolling_avg_amount_7,
-         CAST(rank() OVER (PARTITION BY tr_date ORDER BY amount DESC) AS INTEGER) AS daily_amount_rank,
+         CAST(rank() OVER (PARTITION BY tr_date ORDER BY amount DESC) AS BIGINT) AS daily_amount_rank,
          percent_rank() OVER (PARTITION BY tr_date ORDER BY amount) AS daily_amount_percent_rank
   FROM txn)"""
 
