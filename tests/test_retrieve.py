@@ -100,3 +100,15 @@ def test_text_rendering_survives_large_amounts(spark):
     doc = retrieve.rows_document(df, "big", ["k"]).first()["text"]
     assert '"total":"123456789012345.6' in doc and '"total":"2.500000"' in doc
     assert df.select(money_text(F.col("total")).alias("t")).first()["t"].startswith("123456789012345.6")
+
+
+def test_answer_texts_are_fetched_with_a_pushed_in_filter(spark):
+    df = E.queries()["answer_context"](spark, SF_SMALL)
+    assert "PushedFilters: [In(doc_id" in _plan(df)
+
+
+def test_profile_override_aggregates_once(spark):
+    df = E.queries()["profile_override"](spark, SF_SMALL)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final and final.count("partial_count(1)") == 1
