@@ -112,3 +112,20 @@ def test_profile_override_aggregates_once(spark):
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "ReusedExchange" in final and final.count("partial_count(1)") == 1
+
+
+def test_top_k_above_the_group_limit_threshold_is_exact(spark):
+    rows = [(g, i, float((i * 37) % 101)) for g in range(2) for i in range(400)]
+    df = spark.createDataFrame(rows, "g int, i int, v double")
+    order = [F.col("v").desc(), F.col("i").asc()]
+    old = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "5")
+    try:
+        got = {(r["g"], r["i"], r["rank"]) for r in retrieve.top_k_per_group(df, ["g"], order, 50, buckets=8).collect()}
+    finally:
+        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", old)
+    want = set()
+    for g in range(2):
+        ranked = sorted((r for r in rows if r[0] == g), key=lambda r: (-r[2], r[1]))[:50]
+        want |= {(g, r[1], n + 1) for n, r in enumerate(ranked)}
+    assert got == want
