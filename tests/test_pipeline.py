@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from fjord.config import Paths
-from fjord.functions.constants import SCHEMA_HINTS
 from fjord.operators import clean, gold, landing
 from fjord.plans import jobs
 from fjord.sources.tables import raw_txn
