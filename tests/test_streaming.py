@@ -123,3 +123,15 @@ def test_csv_bronze_feeds_silver(spark, tmp_path):
     assert sorted(r["TransactionID"] for r in g.collect()) == ["tx-1", "tx-3"]
     assert "_bronze_batch_id" in g.columns  # bronze lineage passes through; silver's own batch dirs stay distinct
     assert [r["TransactionID"] for r in silver.read_silver(spark, bad).collect()] == ["tx-2"]
+
+
+def test_bronze_job_takes_a_csv_feed(spark, tmp_path):
+    from fjord.config import Paths
+    from fjord.functions.constants import SCHEMA_HINTS
+    from fjord.plans import jobs
+
+    paths = Paths(str(tmp_path / "lake"), "test")
+    _write_csv(f"{paths.landing}/d1/a.csv", ["TransactionID,TransactionAmount", "tx-1,3.5"])
+    jobs.run_bronze(spark, paths, SCHEMA_HINTS, fmt="csv")
+    r = bronze.read_bronze(spark, paths.bronze).first()
+    assert (r["TransactionID"], r["TransactionAmount"], r["_environment"]) == ("tx-1", 3.5, "test")
