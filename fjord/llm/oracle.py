@@ -3,6 +3,19 @@
 from __future__ import annotations
 
 ORACLE: dict[str, str] = {
+    "op6_nearest": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        p AS (
+            SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.e, v.e) AS score
+            FROM v AS q JOIN v ON q.vec_id <> v.vec_id
+            WHERE q.vec_id % 20 = 0),
+        r AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+        SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20""",
     "op8_exact_dedup": """
         WITH t AS (
             SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',

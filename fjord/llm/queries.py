@@ -7,10 +7,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fjord.llm import exactdup, simhash
+from fjord.llm import blockann, exactdup, linkgraph, quality, simhash, toxicity
 from fjord.llm.common import ascii_lower, table
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).drop("__x")
+
+
+def op4_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = linkgraph.judge(table(spark, sf_dir, "pages"))
+    return out.withColumns({c: F.round(c, 9) for c in ("trust", "distrust")})
+
+
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blockann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).drop("__x")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = F.sha2(ascii_lower(F.coalesce(F.col("text"), F.lit(""))), 256)
     out = exactdup.exact_groups(table(spark, sf_dir, "documents"), carry={"text_sha256": digest})
@@ -23,6 +44,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
+    "op4_url_verdicts": op4_url_verdicts,
+    "op6_nearest": op6_nearest,
+    "op7_toxicity": op7_toxicity,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_simhash": op10_simhash,
 }
