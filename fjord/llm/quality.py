@@ -159,99 +159,6 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: st
     return model
 
 
-def score(self, x: np.ndarray) -> np.ndarray:
-        m = self.model
-        return sigmoid((x - m.centre) / m.spread @ m.weights[:-1] + m.weights[-1])
-
-
-def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
-    if not dictionary:
-        return zstandard.ZstdCompressor(level=LEVEL)
-    d = zstandard.ZstdCompressionDict(dictionary)
-    d.precompute_compress(level=LEVEL)
-    return zstandard.ZstdCompressor(level=LEVEL, dict_data=d)
-
-
-def sigmoid(z: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(z, -35, 35)))
-
-
-def build_dictionary(texts: list[bytes], size: int) -> bytes:
-    """A trained dictionary; plain content where there is too little text to train one."""
-    texts = [t for t in texts if t]
-    try:
-        return zstandard.train_dictionary(min(size, max(1024, sum(map(len, texts)) // 8)), texts).as_bytes()
-    except (zstandard.ZstdError, ValueError):
-        return b"\n".join(texts)[-size:]
-
-
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> np.ndarray:
-    """Weights and constant of a ridge logistic regression, by Newton's method."""
-    a = np.c_[x, np.ones(len(x))]
-    w = np.zeros(a.shape[1])
-    for _ in range(steps):
-        p = sigmoid(a @ w)
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + ridge * np.eye(len(w)), a.T @ (p - y) + ridge * w)
-        w -= step
-        if np.abs(step).max() < 1e-9:
-            break
-    return w
-
-
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, id_col: str = "doc_id",
-                  text_col: str = "text") -> DataFrame:
-    """Labelled rows that may be learnt from: id, text, y (0 or 1) and a stable order o."""
-    y = labels.select(F.col("doc_id").alias("__l"), F.col(label).cast("int").alias("y")).filter("y in (0, 1)")
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return (rows.filter(~held_out(F.col("id"))).join(y, F.col("id") == F.col("__l")).drop("__l")
-            .withColumn("o", F.xxhash64("id", row_key("text"))))
-
-
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text",
-          dict_size: int = 256 << 10, dict_bytes: int = 8 << 20, fit_rows: int = 10_000) -> Model:
-    """Fit the two dictionaries and the logistic weights on a bounded sample of labelled rows."""
-    spark = docs.sparkSession
-    ship(spark)
-    rows = training_rows(docs, labels, label, id_col, text_col)
-    narrow = stage(rows.select("id", "y", "o", F.octet_length("text").alias("n")))
-    # the first rows by hash that fill dict_bytes; a text may take a 64th of that
-    small = narrow.filter((F.col("n") <= dict_bytes // 64) & (F.pmod("o", F.lit(4)) != 0))
-    mean = {r.y: (r.m or 1) for r in small.groupBy("y").agg(F.avg("n").alias("m")).collect()}
-    dictionaries = {}
-    for y in (1, 0):
-        some = small.filter(F.col("y") == y).orderBy("o").limit(int(dict_bytes // max(mean.get(y, 1), 64)) + 1)
-        keys = some.select("o").distinct()
-        texts = [r.text.encode("utf-8") for r in rows.filter(F.col("y") == y).join(F.broadcast(keys), "o")
-                 .select("o", "text").orderBy("o").toLocalIterator()]
-        total, used = 0, []
-        for t in texts:
-            total += len(t)
-            if total > dict_bytes:
-                break
-            used.append(t)
-        dictionaries[y] = build_dictionary(used, dict_size)
-    blank = Model(dictionaries[1], dictionaries[0], np.zeros(5), np.zeros(4), np.ones(4))
-
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = blank.scorer()
-        for b in batches:
-            x = np.array([scorer.features(t) for t in b["text"]]).reshape(-1, 4)
-            yield pd.DataFrame({"o": b["o"], "y": b["y"], **{f"f{i}": x[:, i] for i in range(4)}})
-
-    fit = narrow.filter(F.col("o") % 2 != 0).orderBy("o").limit(fit_rows).select("o").distinct()
-    got = (rows.join(F.broadcast(fit), "o").select("o", "y", "text")
-           .mapInPandas(measure, "o long, y int, f0 double, f1 double, f2 double, f3 double").orderBy("o").toPandas())
-    y = got["y"].to_numpy(float)
-    if len(set(y)) < 2:  # nothing to tell apart: the smoothed share
-        share = narrow.agg((F.sum("y") + 1) / (F.count("*") + 2)).first()[0] or 0.5
-        blank.weights[-1] = np.log(share / (1 - share))
-        return blank
-    x = got[[f"f{i}" for i in range(4)]].to_numpy()
-    blank.centre, blank.spread = x.mean(axis=0), x.std(axis=0) + 1e-9
-    blank.weights = logistic((x - blank.centre) / blank.spread, y)
-    return blank
-
-
 def score(docs: DataFrame, model: Model, threshold: float = 0.3, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
     """Per document: id, __x (row_key), held_out, score (0 to 1) and predicted (1 from ``threshold``)."""

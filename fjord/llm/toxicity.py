@@ -261,131 +261,6 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
     return model
 
 
-def score(self, top: np.ndarray) -> np.ndarray:
-        return sigmoid(top @ self.weights[:2] + self.weights[2])
-
-
-class Reader:
-    """Margins of whole texts; a bounded memory of words saves computing them again."""
-
-    def __init__(self, model: Model):
-        self.model, self.known = model, {}
-
-    def top(self, texts: list[str | None]) -> np.ndarray:
-        """The two largest margins of distinct words of every text."""
-        bags = [set(words(t)) for t in texts]
-        if len(self.known) > KEEP_WORDS:
-            self.known.clear()
-        new = list(set().union(*bags).difference(self.known)) if bags else []
-        for at in range(0, len(new), 20_000):
-            part = new[at:at + 20_000]
-            self.known.update(zip(part, self.model.margins(part).tolist(), strict=True))
-        out = np.full((len(texts), 2), FLOOR)
-        for row, bag in zip(out, bags, strict=True):
-            if bag:
-                m = np.fromiter(map(self.known.__getitem__, bag), np.float64, len(bag))
-                row[0] = m.max()
-                if len(m) > 1:
-                    row[1] = np.partition(m, -2)[-2]
-        return np.maximum(out, FLOOR)
-
-
-def choose_landmarks(candidates: list[str], m: int) -> list[str]:
-    """Greedy (pivoted Cholesky): each landmark is the word that those before explain least."""
-    rest, chosen, rows = np.ones(len(candidates)), [], []
-    for _ in range(min(m, len(candidates))):
-        i = int(rest.argmax())
-        if rest[i] < 1e-6:
-            break
-        row = kernel([candidates[i]], candidates)[0]
-        for r in rows:
-            row = row - r[i] * r
-        row = row / np.sqrt(rest[i])
-        rows.append(row)
-        rest = rest - row * row
-        rest[i] = 0
-        chosen.append(candidates[i])
-    return chosen
-
-
-def squared_hinge(x: np.ndarray, y: np.ndarray, cost: np.ndarray, steps: int = 30) -> tuple[np.ndarray, float]:
-    """Linear support vector machine (y: -1 or 1), by Newton steps on the primal."""
-    a = np.c_[x, np.ones(len(x))]
-    w = np.zeros(a.shape[1])
-    keep = np.eye(len(w))
-    keep[-1, -1] = 1e-6
-    for _ in range(steps):
-        inside = y * (a @ w) < 1
-        b = a[inside] * cost[inside, None]
-        new = np.linalg.solve(keep + 2 * b.T @ a[inside], 2 * b.T @ y[inside])
-        done = np.abs(new - w).max() < 1e-6
-        w = new
-        if done:
-            break
-    return w[:-1], float(w[-1])
-
-
-def fit_words(toxic: list[str], clean: list[str], landmarks: int) -> tuple[np.ndarray, float]:
-    """Table and constant of the machine that tells toxic from clean words."""
-    m = choose_landmarks(toxic, landmarks // 2) + choose_landmarks(clean[:4 * landmarks], landmarks // 2)
-    values, vectors = np.linalg.eigh(kernel(m, m))
-    good = values > 1e-6
-    root = vectors[:, good] / np.sqrt(values[good])  # K_mm^(-1/2), up to a rotation
-    x = kernel(toxic + clean, m) @ root
-    y = np.r_[np.ones(len(toxic)), -np.ones(len(clean))]
-    cost = np.where(y > 0, 4.0, 4.0 * max(1, len(toxic)) / max(1, len(clean)) * 3)
-    w, constant = squared_hinge(x, y, cost)
-    who, slot, weight = occurrences(m)
-    return np.bincount(slot, weight * (root @ w)[who], SLOTS), constant
-
-
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text",
-          fit_docs: int = 12_000, landmarks: int = 256, word_rows: int = 4_000) -> Model:
-    """Fit the machine and the logistic weights on a bounded sample of labelled rows."""
-    ship(docs.sparkSession)
-    rows = labelled(docs, labels, label, id_col, text_col)
-    rows = stage(rows)
-    sample = stage(rows.orderBy("o").limit(fit_docs))
-    total = {r.y: r.n for r in sample.filter(F.col("o") % 2 == 0).groupBy("y").agg(F.count("*").alias("n")).collect()}
-    share = rows.agg((F.coalesce(F.sum("y"), F.lit(0)) + 1) / (F.count("*") + 2)).first()[0]
-    prior = Model(np.zeros(SLOTS), 0.0, np.array([0.0, 0.0, np.log(share / (1 - share))]))
-    if len(total) < 2:
-        return prior
-
-    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            bags = [sorted({EDGE.sub("", w) for w in words(t)}) for t in b["text"]]
-            yield pd.DataFrame({"w": [w for x in bags for w in x], "y": np.repeat(b["y"].to_numpy(), [len(x) for x in bags])})
-
-    texts = stage(with_texts(docs, sample, id_col, text_col))
-    tox, n1, n0 = F.col("a"), float(total[1]), float(total[0])
-    counted = stage(texts.filter(F.col("o") % 2 == 0).mapInPandas(split, "w string, y int").groupBy("w")
-                    .agg(F.sum("y").cast("double").alias("a"), F.sum(1 - F.col("y")).cast("double").alias("b"))
-                    .filter("length(w) between 3 and 64"))
-    # z: how far the share of toxic texts with the word stands above what clean texts have
-    expected = (tox + F.col("b")) * (n1 / (n1 + n0))
-    counted = counted.withColumn("z", (tox - expected) / F.sqrt(expected * (n0 / (n1 + n0))))
-    suspect = counted.filter((F.col("a") >= 2) & (F.col("z") > 3.5) & (tox / n1 > 4 * F.col("b") / n0))
-    toxic = [r.w for r in suspect.orderBy(F.desc("z"), "w").limit(word_rows).collect()]
-    other = counted.filter("b >= 1 and z < 1")
-    common = [r.w for r in other.orderBy(F.desc("b"), "w").limit(word_rows // 2).collect()]
-    chance = [r.w for r in other.orderBy(F.xxhash64("w"), "w").limit(word_rows).collect()]
-    clean = list(dict.fromkeys(common + chance))
-    if not toxic or not clean:
-        return prior
-    model = Model(*fit_words(toxic, clean, landmarks), prior.weights)
-
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader = Reader(model)
-        for b in batches:
-            top = reader.top(list(b["text"]))
-            yield pd.DataFrame({"o": b["o"], "y": b["y"], "f0": top[:, 0], "f1": top[:, 1]})
-
-    got = texts.mapInPandas(measure, "o long, y int, f0 double, f1 double").toPandas().sort_values(["o", "y"])
-    model.weights = logistic(got[["f0", "f1"]].to_numpy(), got["y"].to_numpy(float))
-    return model
-
-
 def score(docs: DataFrame, model: Model, threshold: float = 0.5, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
     """Per document: id, __x (row_key), held_out, score (0 to 1) and predicted (1 from ``threshold``)."""
