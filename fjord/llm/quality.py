@@ -6,15 +6,18 @@ compressed-size differences, normalised:
 
 * (bad - good) / raw size        * (bad - good) / (bad + good)
 * plain size / raw size          * log of the raw size
+* the least and the mean of (bad - good) / raw size over pieces of the text,
+  each compressed alone, and the mean of good / raw size over them
 
 where good, bad and plain are the sizes with either dictionary and with none;
-a logistic fit turns them into a probability (the calibrated score).
+a logistic fit turns them into a probability (the calibrated score). The least
+piece finds junk in the middle of good text.
 
 The fit uses a bounded sample of labelled rows: at most ``dict_bytes`` of text
 per class for the dictionaries and ``fit_rows`` rows for the logistic fit, both
 taken in order of a hash of the id, from disjoint parts (three quarters and one). Scoring covers whole
 texts of all rows; the model is two dictionaries of at most ``dict_size`` bytes
-and five numbers, whatever the size of the data.
+and a few numbers, whatever the size of the data.
 
 Defined cases: a null text counts as empty; an empty text is scored like any
 other; a null label or a label without a document is not learnt from, several
@@ -37,6 +40,8 @@ from pyspark.sql import functions as F
 from fjord.llm.common import held_out, row_key, ship, stage
 
 LEVEL = 3
+WINDOW = 1500
+FEATURES = 7
 
 
 @dataclass
@@ -61,7 +66,13 @@ class Scorer:
         raw = (text or "").encode("utf-8", "surrogatepass")
         good, bad, plain = (len(c.compress(raw)) for c in self.sizes)
         n = len(raw) + 1
-        return [(bad - good) / n, (bad - good) / (bad + good), plain / n, float(np.log(n))]
+        # pieces of about WINDOW bytes of the whole text, each compressed alone, so that the dictionary counts
+        step = max(1, -(-len(raw) // max(1, round(len(raw) / WINDOW))))
+        pieces = [raw[i:i + step] for i in range(0, len(raw), step)] or [b""]
+        g = np.array([len(self.sizes[0].compress(p)) / (len(p) + 1) for p in pieces])
+        b = np.array([len(self.sizes[1].compress(p)) / (len(p) + 1) for p in pieces])
+        return [(bad - good) / n, (bad - good) / (bad + good), plain / n, float(np.log(n)),
+                float((b - g).min()), float((b - g).mean()), float(g.mean())]
 
     def score(self, x: np.ndarray) -> np.ndarray:
         m = self.model
@@ -119,7 +130,7 @@ def with_texts(docs: DataFrame, sample: DataFrame, id_col: str = "doc_id", text_
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text",
-          dict_size: int = 256 << 10, dict_bytes: int = 8 << 20, fit_rows: int = 10_000) -> Model:
+          dict_size: int = 112 << 10, dict_bytes: int = 8 << 20, fit_rows: int = 10_000) -> Model:
     """Fit the two dictionaries and the logistic weights on a bounded sample of labelled rows."""
     ship(docs.sparkSession)
     rows = stage(labelled(docs, labels, label, id_col, text_col))
@@ -136,24 +147,24 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: st
             if total > dict_bytes:
                 break
         dictionaries[y] = build_dictionary(texts, dict_size)
-    model = Model(dictionaries[1], dictionaries[0], np.zeros(5), np.zeros(4), np.ones(4))
+    model = Model(dictionaries[1], dictionaries[0], np.zeros(FEATURES + 1), np.zeros(FEATURES), np.ones(FEATURES))
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = model.scorer()
         for b in batches:
-            x = np.array([scorer.features(t) for t in b["text"]]).reshape(-1, 4)
-            yield pd.DataFrame({"o": b["o"], "y": b["y"], **{f"f{i}": x[:, i] for i in range(4)}})
+            x = np.array([scorer.features(t) for t in b["text"]]).reshape(-1, FEATURES)
+            yield pd.DataFrame({"o": b["o"], "y": b["y"], **{f"f{i}": x[:, i] for i in range(FEATURES)}})
 
     sample = stage(rows.filter(F.pmod("o", F.lit(4)) == 0).orderBy("o").limit(fit_rows))
     got = (with_texts(docs, sample, id_col, text_col)
-           .mapInPandas(measure, "o long, y int, f0 double, f1 double, f2 double, f3 double")
+           .mapInPandas(measure, "o long, y int, " + ", ".join(f"f{i} double" for i in range(FEATURES)))
            .toPandas().sort_values(["o", "y"]))
     y = got["y"].to_numpy(float)
     if len(set(y)) < 2:  # nothing to tell apart: the smoothed share
         share = rows.agg((F.coalesce(F.sum("y"), F.lit(0)) + 1) / (F.count("*") + 2)).first()[0]
         model.weights[-1] = np.log(share / (1 - share))
         return model
-    x = got[[f"f{i}" for i in range(4)]].to_numpy()
+    x = got[[f"f{i}" for i in range(FEATURES)]].to_numpy()
     model.centre, model.spread = x.mean(axis=0), x.std(axis=0) + 1e-9
     model.weights = logistic((x - model.centre) / model.spread, y)
     return model
@@ -169,7 +180,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3, id_col: str = "
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = shared.value.scorer()
         for b in batches:
-            x = np.array([scorer.features(t) for t in b["text"]]).reshape(-1, 4)
+            x = np.array([scorer.features(t) for t in b["text"]]).reshape(-1, FEATURES)
             yield pd.DataFrame({"i": b["i"], "__x": b["__x"], "held_out": b["held_out"], "score": scorer.score(x)})
 
     rows = docs.select(F.col(id_col).cast("string").alias("i"), row_key(text_col).alias("__x"),
