@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fjord.llm import blockann, exactdup, linkgraph, quality, simhash, toxicity
-from fjord.llm.common import ascii_lower, table
+from fjord.llm import blockann, chunkbpe, exactdup, linkgraph, quality, simhash, tokenfiles, toxicity
+from fjord.llm.common import ascii_lower, shared_folder, table
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,11 +18,29 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model).drop("__x")
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark)
+    written = tokenfiles.write(table(spark, sf_dir, "documents"), folder,
+                               public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return tokenfiles.read_back(spark, folder, written)
+
+
 def op4_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = linkgraph.judge(table(spark, sf_dir, "pages"))
     return out.withColumns({c: F.round(c, 9) for c in ("trust", "distrust")})
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digest(chunkbpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
+
+
+def bpe_digest(encoded: DataFrame) -> DataFrame:
+    return encoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blockann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -45,7 +64,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op3_token_files": op3_token_files,
     "op4_url_verdicts": op4_url_verdicts,
+    "op5_bpe": op5_bpe,
     "op6_nearest": op6_nearest,
     "op7_toxicity": op7_toxicity,
     "op8_exact_dedup": op8_exact_dedup,
