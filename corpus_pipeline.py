@@ -6,10 +6,18 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fjord.llm import exactdup, simhash
+from fjord.llm import chunkbpe, exactdup, mixing, quality, simhash
 from fjord.llm.common import stage, table
+from fjord.llm.queries import bpe_digest
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the compression classifier rejects (score below 0.3) go."""
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.keep_good(docs, model)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,7 +30,23 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.drop_near_copies(docs)
 
 
-STAGES = [("exact dedup", exact), ("SimHash near-dedup", near)]
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A sample of the documents, 70 % of the tokens, raked to tempered source, language and topic shares."""
+    return mixing.sample(docs)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document: their number and digest, and that of the decoded text."""
+    return bpe_digest(chunkbpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json")))
+
+
+STAGES = [
+    ("quality classifier", good),
+    ("exact dedup", exact),
+    ("SimHash near-dedup", near),
+    ("mixing to target weights", mixed),
+    ("BPE encoding", encoded),
+]
 
 # Classifier, fingerprints and tokeniser have no SQL form.
 ORACLE_SQL: str | None = None

@@ -33,6 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -188,3 +189,19 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3, id_col: str = "
     return (rows.mapInPandas(run, "i string, __x long, held_out boolean, score double")
             .select(F.col("i").cast("long").alias(id_col), "__x", "held_out", "score",
                     (F.col("score") >= threshold).cast("int").alias("predicted")))
+
+
+def keep_good(docs: DataFrame, model: Model, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score ``threshold`` or more, unchanged and in place: nothing is shuffled."""
+    spark = docs.sparkSession
+    ship(spark)
+    shared = spark.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = shared.value.scorer()
+        for b in batches:
+            texts = b.column(b.schema.get_field_index(text_col)).to_pylist()
+            x = np.array([scorer.features(t) for t in texts]).reshape(-1, FEATURES)
+            yield b.filter(pa.array(scorer.score(x) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fjord.llm import blockann, chunkbpe, exactdup, linkgraph, quality, simhash, tokenfiles, toxicity
+from fjord.llm import blockann, chunkbpe, credentials, exactdup, linkgraph, mixing, quality, simhash, tokenfiles, toxicity
 from fjord.llm.common import ascii_lower, shared_folder, table
 
 
@@ -18,6 +18,15 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model).drop("__x")
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, all_spans = credentials.spans(table(spark, sf_dir, "documents")), F.col("spans")
+    count = lambda kind: F.size(F.filter(all_spans, lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter(all_spans, lambda s: s["kind"].isin(credentials.STRONG))
+    return found.select(
+        "doc_id", *[count(k).alias(f"n_{k}") for k in credentials.STRONG],
+        F.sha2(credentials.listing(base), 256).alias("base_sha256"), credentials.listing(all_spans).alias("spans"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark)
     written = tokenfiles.write(table(spark, sf_dir, "documents"), folder,
@@ -57,6 +66,14 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mix(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.col("__source").alias("source"), F.col("__lang").alias("lang"),
+                      F.col("__topic").alias("topic"), F.col("__tokens").alias("tokens"),
+                      F.round("__weight", 6).alias("weight"), F.round("__p", 6).alias("probability"),
+                      F.col("__selected").alias("selected"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_groups(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -64,11 +81,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_secrets": op2_secrets,
     "op3_token_files": op3_token_files,
     "op4_url_verdicts": op4_url_verdicts,
     "op5_bpe": op5_bpe,
     "op6_nearest": op6_nearest,
     "op7_toxicity": op7_toxicity,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_mixing": op9_mixing,
     "op10_simhash": op10_simhash,
 }
