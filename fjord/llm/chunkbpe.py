@@ -44,6 +44,7 @@ CUT_BITS = 10  # a cut every 1,024 bytes on average, beyond the least size
 LEAST, MOST = 256, 16_384
 PIECE = re.compile(rb"\s*\S+|\s+")
 MULTIPLIER = 0x9E3779B1
+ROWS = 500  # texts handed on at once
 
 
 def cuts(raw: bytes) -> list[int]:
@@ -184,6 +185,16 @@ def shared_chunks(docs: DataFrame, tokenizer: str, text_col: str) -> DataFrame:
     return found.select("key", "h").join(once, "h").select("key", "h", "ids")
 
 
+def text_ids(text: str, refs, enc: ByteEncoder) -> np.ndarray:
+    """Ids of a text; those of chunks in ``refs`` (rows h, ids) are taken from there."""
+    known = {bytes(x["h"]): x["ids"] for x in refs} if refs is not None else {}
+    parts = []
+    for c in chunks(text.encode("utf-8")):
+        got = known.get(_digest(c)) if known else None
+        parts.append(np.frombuffer(got if got is not None else enc.encode(c.decode("utf-8")), enc.dtype))
+    return assemble(parts, enc)
+
+
 def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
            carry: tuple[str, ...] = ()) -> DataFrame:
     """Per document: id, ids (array of int), decoded (the text decoded from the ids) and the ``carry`` columns.
@@ -207,19 +218,14 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(tokenizer)
-        for b in batches:
-            ids = []
-            shared = b["refs"] if "refs" in b else [None] * len(b)
-            for t, r in zip(b["t"], shared, strict=True):
-                known = {bytes(x["h"]): x["ids"] for x in r} if r is not None else {}
-                parts = []
-                for c in chunks(t.encode("utf-8")):
-                    got = known.get(_digest(c)) if known else None
-                    parts.append(np.frombuffer(got if got is not None else enc.encode(c.decode("utf-8")), enc.dtype))
-                ids.append(assemble(parts, enc))
-            out = {"i": b["i"], "ids": [x.astype(np.int32) for x in ids],
-                   "decoded": [enc.decode(x).decode("utf-8", "replace") for x in ids]}
-            yield pd.DataFrame(out | {c: b[c] for c in kept})
+        for batch in batches:
+            for at in range(0, len(batch), ROWS):
+                b = batch.iloc[at:at + ROWS]
+                shared = b["refs"] if "refs" in b else [None] * len(b)
+                ids = [text_ids(t, r, enc) for t, r in zip(b["t"], shared, strict=True)]
+                out = {"i": b["i"].to_numpy(), "ids": [x.astype(np.int32) for x in ids],
+                       "decoded": [enc.decode(x).decode("utf-8", "replace") for x in ids]}
+                yield pd.DataFrame(out | {c: b[c].to_numpy() for c in kept})
 
     alone = rows.filter("not hit").select("i", "t", *kept).mapInPandas(run, schema)
     joined = (rows.filter("hit").join(refs, "key", "left").select("i", "t", "refs", *kept).mapInPandas(run, schema))
