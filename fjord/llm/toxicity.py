@@ -8,8 +8,9 @@ sets, normalised. Subsequences are hashed into ``SLOTS`` table places.
 
 Labels belong to whole texts, so a toxic text is a bag of words of which some
 are insults. Instances are words of labelled sentences: toxic instances are
-words that stand significantly more often in toxic texts, and the same words
-with a character put in; the others come from clean texts. Landmarks are chosen among them greedily, each the word worst
+words that stand significantly more often in toxic texts, words of toxic texts
+only with a run of five characters that does, and the same words with a
+character put in; the others come from clean texts. Landmarks are chosen among them greedily, each the word worst
 covered so far; phi(x) = K_mm^(-1/2) k(x, landmarks) and a linear support vector
 machine (squared hinge) on phi decides. As k is linear in the weighted set, the
 machine folds into one weight per table place: scoring a word is a table lookup
@@ -52,6 +53,7 @@ STEPS = [(i, j) for j in range(2, 5) for i in range(1, j)]  # places of the 2nd
 EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 SPACED = re.compile(r"(?<!\w)(?:[^\W\d_][\W_]{1,2}){3,}[^\W\d_](?!\w)")
 KEEP_WORDS = 400_000
+STEM = "\n"
 FLOOR = -3.0  # margin of a text without words
 
 
@@ -176,6 +178,12 @@ def squared_hinge(x: np.ndarray, y: np.ndarray, cost: np.ndarray, steps: int = 3
     return w[:-1], float(w[-1])
 
 
+def stems(word: str) -> list[str]:
+    """Runs of five characters of the marked word, told from words by a first character no word has."""
+    marked = f"^{word}$"
+    return [STEM + marked[i:i + 5] for i in range(len(marked) - 4)]
+
+
 def inserted(word: str) -> list[str]:
     """The word with one character put in, at two places."""
     marks = "x.*-_"
@@ -214,9 +222,14 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            bags = [sorted({EDGE.sub("", w) for w in words(t)}) for t in b["text"]]
-            yield pd.DataFrame({"w": [w for x in bags for w in x],
-                                "y": np.repeat(b["y"].to_numpy(), [len(x) for x in bags])})
+            for at in range(0, len(b), 200):
+                part = b.iloc[at:at + 200]
+                bags = [{EDGE.sub("", w) for w in words(t)} for t in part["text"]]
+                bags = [{w for w in x if 2 < len(w) <= 64} for x in bags]
+                grams = [{g for w in x for g in stems(w)} for x in bags]
+                found = [[*sorted(x), *sorted(y)] for x, y in zip(bags, grams, strict=True)]
+                yield pd.DataFrame({"w": [w for x in found for w in x],
+                                    "y": np.repeat(part["y"].to_numpy(), [len(x) for x in found])})
 
     texts = stage(with_texts(docs, sample, id_col, text_col))
     learn = texts.filter(F.pmod("o", F.lit(4)) != 0)
@@ -225,19 +238,27 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
     total = {r.y: float(r.n) for r in one.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if len(total) < 2:
         return prior
-    counted = stage(learn.join(F.broadcast(one), ["o", "y"]).select("text", "y").mapInPandas(split, "w string, y int")
-                    .groupBy("w").agg(F.sum("y").cast("double").alias("a"), F.sum(1 - F.col("y")).cast("double").alias("b")))
-    # Chernoff's bound on the chance that a word that tells nothing stands in so many toxic texts, against
-    # the number of words that were tried
+    # Chernoff's bound on the chance that something that tells nothing stands in so many toxic texts, against
+    # the number of words and stems that were tried
     a, b, rate = F.col("a"), F.col("b"), total[1] / (total[0] + total[1])
     surprise = (F.when(a > 0, a * F.log(a / ((a + b) * rate))).otherwise(0.0)
                 + F.when(b > 0, b * F.log(b / ((a + b) * (1 - rate)))).otherwise(0.0))
-    counted = counted.withColumn("g", F.when(a > (a + b) * rate, surprise).otherwise(0.0)).filter(
-        "length(w) between 3 and 64")
-    tried = np.log(max(2, counted.count()))
-    suspect = counted.filter((F.col("g") > tried) & (a / total[1] > 4 * b / total[0]))
-    found = suspect.orderBy(F.desc("g"), "w").limit(word_rows).collect()
-    other = counted.filter("b >= 1 and g < 1")
+    counted = stage(learn.join(F.broadcast(one), ["o", "y"]).select("text", "y").mapInPandas(split, "w string, y int")
+                    .groupBy("w").agg(F.sum("y").cast("double").alias("a"), F.sum(1 - F.col("y")).cast("double").alias("b"))
+                    .withColumn("g", F.when(a > (a + b) * rate, surprise).otherwise(0.0)))
+    tried = float(np.log(max(2, counted.count())))
+    telling = (F.col("g") > tried) & (a / total[1] > 10 * b / total[0])
+    whole = counted.filter(~F.col("w").startswith(STEM))
+    grams = stage(counted.filter(F.col("w").startswith(STEM) & telling).orderBy(F.desc("g"), "w").limit(word_rows)
+                  .select(F.substring("w", 2, 99).alias("gram")))
+    # toxic words tell by themselves, or hold a telling stem and stand in no clean text
+    marked = F.concat(F.lit("^"), F.col("w"), F.lit("$"))
+    held = (whole.filter("a > 0 and b = 0").select("w", "a", F.explode(F.transform(
+        F.sequence(F.lit(1), F.length(marked) - 4), lambda i: marked.substr(i, F.lit(5)))).alias("gram"))
+        .join(F.broadcast(grams), "gram").select("w", "a").distinct())
+    found = (whole.filter(telling).select("w", "a").union(held).distinct().orderBy(F.desc("a"), "w")
+             .limit(word_rows).collect())
+    other = whole.filter("b >= 1 and g < 1")
     common = [r.w for r in other.orderBy(F.desc("b"), "w").limit(word_rows // 2).collect()]
     chance = [r.w for r in other.orderBy(F.xxhash64("w"), "w").limit(word_rows).collect()]
     clean = list(dict.fromkeys(common + chance))
