@@ -10,8 +10,8 @@ share yields the same chunks in all of them.
    text key they belong to. Chunks that really repeat are encoded once, whoever
    shares them.
 3. Texts with such chunks are joined with the ids of theirs; other texts never
-   move. Each text's chunks are taken from the shared ids or encoded on the
-   spot, and joined.
+   move. Shared chunks take the shared ids, what lies between them is encoded on
+   the spot, and the parts are joined.
 
 Encoding chunks apart can differ from encoding the text at the joins only. A
 join is repaired by encoding again from the last cut before it that both sides
@@ -92,7 +92,7 @@ def join(left: np.ndarray, right: np.ndarray, enc: ByteEncoder) -> np.ndarray:
     """Ids of the text of ``left`` followed by that of ``right``, repaired where they meet."""
     if not len(left) or not len(right):
         return np.concatenate([left, right])
-    reach = 64
+    reach = 24
     while True:
         a, z = left[-reach:], right[:reach]
         whole = len(a) == len(left) and len(z) == len(right)
@@ -186,12 +186,25 @@ def shared_chunks(docs: DataFrame, tokenizer: str, text_col: str) -> DataFrame:
 
 
 def text_ids(text: str, refs, enc: ByteEncoder) -> np.ndarray:
-    """Ids of a text; those of chunks in ``refs`` (rows h, ids) are taken from there."""
-    known = {bytes(x["h"]): x["ids"] for x in refs} if refs is not None else {}
-    parts = []
+    """Ids of a text; those of chunks in ``refs`` (rows h, ids) are taken from there, the rest in runs."""
+    if refs is None or not len(refs):
+        return enc.ids(text)
+    known = {bytes(x["h"]): x["ids"] for x in refs}
+    parts, run = [], []
+
+    def flush() -> None:
+        if run:
+            parts.append(enc.ids(b"".join(run).decode("utf-8")))
+            run.clear()
+
     for c in chunks(text.encode("utf-8")):
-        got = known.get(_digest(c)) if known else None
-        parts.append(np.frombuffer(got if got is not None else enc.encode(c.decode("utf-8")), enc.dtype))
+        got = known.get(_digest(c))
+        if got is None:
+            run.append(c)
+        else:
+            flush()
+            parts.append(np.frombuffer(got, enc.dtype))
+    flush()
     return assemble(parts, enc)
 
 
