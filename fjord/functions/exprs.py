@@ -14,21 +14,10 @@ def pii_hash(c: Column, salt: str | None = None) -> Column:
 
 
 def money_text(c: Column) -> Column:
-    """Render a double as a 2-decimal string, same text in Spark and DuckDB."""
+    """An amount for display: 2 decimals. Never used where a value is stored or compared."""
     return c.cast("decimal(38,2)").cast("string")
 
 
-def try_cast(c: Column | str, to: str) -> Column:
-    """ANSI-safe cast: NULL instead of an error (F1, F2)."""
-    col = F.col(c) if isinstance(c, str) else c
-    return col.try_cast(to)
-
-
-def day_key(ts: Column, unknown: str = "unknown-date") -> Column:
-    """Landing day key ``yyyy-MM-dd``; NULL day becomes ``unknown-date`` (P10)."""
-    return F.coalesce(F.date_format(ts, "yyyy-MM-dd"), F.lit(unknown))
-
-
 def safe_ratio(num: Column, den: Column) -> Column:
     """num / den as double, NULL when den is 0 (nullif guard; ANSI would raise)."""
     return (num.cast("double") / F.nullif(den, F.lit(0)).cast("double")).cast("double")

@@ -146,10 +146,3 @@ def quarantine_reason(rules: Sequence[str] | None = None) -> Column:
         cond = F.coalesce(F.expr(ansi_safe(r)), F.lit(False))
         expr = F.when(cond, F.lit(r)) if expr is None else expr.when(cond, F.lit(r))
     return expr.otherwise(F.lit(None).cast("string"))
-
-
-def reason_case_sql(rules: Sequence[str] | None = None) -> str:
-    """The same logic rendered as a SQL CASE (quotes in rule text escaped)."""
-    rules = list(rules) if rules else list(DEFAULT_REASON_RULES)
-    parts = " ".join(f"WHEN {r} THEN '{r.replace(chr(39), chr(39) * 2)}'" for r in rules)
-    return f"CASE {parts} ELSE NULL END"

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fjord.functions.constants import BUSINESS_MAPPING
-from fjord.functions.exprs import ident, money_text
+from fjord.functions.exprs import ident
 
 DAY = "landing_partition"
 
@@ -41,10 +41,10 @@ def inject_bad_records(df: DataFrame, order: list[str] | None = None, n: int = 2
     """Copy the first ``n`` rows with amount NULL / 'bad-amount' and no date.
 
     The copies keep the landing day computed before injection. ``amount``
-    becomes text so the unparsable value survives the union.
+    becomes text (all its digits) so the unparsable value survives the union.
     """
     order = order or ["transaction_id", "transaction_date", "amount"]
-    as_text = df.withColumn("amount", money_text(F.col("amount")))
+    as_text = df.withColumn("amount", F.col("amount").cast("string"))
     head = as_text.orderBy(*[F.col(c).asc_nulls_last() for c in order]).limit(n)  # top-n, not a sort
     rn = F.row_number().over(Window.orderBy(*[F.col(c).asc_nulls_last() for c in order]))  # n rows
     broken = (head.withColumn("__i", rn)
@@ -80,5 +80,6 @@ def write_landing(df: DataFrame, path: str, max_records_per_file: int = 1_000_00
     out = landing_payload(df)
     (out.write.mode("append").partitionBy(DAY)
         .option("maxRecordsPerFile", max_records_per_file)
+        .option("ignoreNullFields", False)  # a missing value lands as null, not as a missing field
         .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSS")
         .json(path))

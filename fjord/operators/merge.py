@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fjord.functions.exprs import ident
+
 SCD2_SCHEMA = T.StructType([
     T.StructField("account_hash", T.StringType()),
     T.StructField("risk_score", T.DoubleType()),
@@ -83,5 +85,13 @@ def scd2_merge(target: DataFrame, source: DataFrame, now, mode: str = "single",
 
 
 def upsert(existing: DataFrame, updates: DataFrame, key: str) -> DataFrame:
-    """Insert new keys, replace rows whose key exists (left-anti + union)."""
-    return existing.join(updates.select(key), key, "left_anti").unionByName(updates)
+    """Insert new keys, replace rows whose key exists; one row per key afterwards.
+
+    Of several updates of one key the greatest row (columns compared in order) wins, whatever their order;
+    NULL is a key like any other.
+    """
+    rest = [c for c in updates.columns if c != key]
+    one = updates.groupBy(key).agg(F.max(F.struct(*[F.col(ident(c)) for c in rest])).alias("__r")) \
+        .select(key, *[F.col("__r")[c].alias(c) for c in rest]) if rest else updates.distinct()
+    keys = one.select(F.col(key).alias("__k"))
+    return existing.join(keys, existing[key].eqNullSafe(F.col("__k")), "left_anti").unionByName(one.select(*updates.columns))

@@ -124,11 +124,11 @@ def class_weight(df: DataFrame, label: str = "is_fraud") -> DataFrame:
                           (F.col("negatives") / F.greatest(F.col("positives"), F.lit(1))).cast("double"))
 
 
-_INT_TEXT = r"^-?[0-9]{1,9}$"  # fits an int: no overflow question
+_INT_TEXT = r"^-?[0-9]+$"
 
 
 def _hint_aggs(df: DataFrame) -> list[Column]:
-    """Per column: the first of integer / double / timestamp every non-NULL text value parses as, else ''."""
+    """Per column: the first of integer / bigint / double / timestamp every non-NULL text value parses as, else ''."""
     types = dict(df.dtypes)
     aggs = []
     for i, c in enumerate(df.columns):
@@ -141,34 +141,23 @@ def _hint_aggs(df: DataFrame) -> list[Column]:
             return F.count_if(x.isNotNull() & ~F.coalesce(ok, F.lit(False))) == 0
 
         aggs.append(F.when(F.count(x) == 0, F.lit(""))
-                    .when(every(x.rlike(_INT_TEXT)), F.lit("integer"))
+                    .when(every(x.rlike(_INT_TEXT) & x.try_cast("int").isNotNull()), F.lit("integer"))
+                    .when(every(x.rlike(_INT_TEXT) & x.try_cast("bigint").isNotNull()), F.lit("bigint"))
+                    .when(every(x.rlike(_INT_TEXT)), F.lit(""))  # longer whole numbers stay text: a double loses digits
                     .when(every(x.try_cast("double").isNotNull()), F.lit("double"))
                     .when(every(x.try_cast("timestamp").isNotNull()), F.lit("timestamp"))
                     .otherwise(F.lit("")).alias(f"__h{i}"))
     return aggs
 
 
-def _candidate_rows(hinted: DataFrame, cols: Sequence[str], business: dict[str, str]) -> DataFrame:
-    mapped = normalized_names(list(cols), {})
-    rows = ", ".join(f"{_sql_str(c)}, {_sql_str(business.get(mapped[c], ''))}, __h{i}" for i, c in enumerate(cols))
-    return hinted.selectExpr(f"stack({len(cols)}, {rows}) AS (column_name, mapped_name, schema_hint)")
-
-
-def inferred_candidate(df: DataFrame, business: dict[str, str] | None = None) -> DataFrame:
-    """A candidate profile derived from the data (stands in for the external LLM's).
-
-    Per column: ``mapped_name`` is the business name when one exists, else
-    empty; ``schema_hint`` is the first of integer / double / timestamp that
-    *every* non-NULL value of a text column parses as, else empty. Empty
-    fields never override (F15). One aggregate pass (partial per task).
-    """
-    return _candidate_rows(df.agg(*_hint_aggs(df)), df.columns,
-                           BUSINESS_MAPPING if business is None else business)
-
-
 def profile_with_candidate(df: DataFrame, hints: dict[str, str] = SCHEMA_HINTS, pii: Sequence[str] = PII_COLUMNS,
                            business: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """``column_profile`` and ``inferred_candidate`` from ONE aggregate pass.
+    """``column_profile`` and a candidate profile derived from the data, from ONE aggregate pass.
+
+    The candidate's ``mapped_name`` is the business name when one exists, else
+    empty; its ``schema_hint`` is the first type that *every* non-NULL value
+    of a text column parses as, else empty. Empty fields never override (F15).
+
 
     Both are projections of one stacked frame over one aggregate (the stack
     uses every aggregate output, so column pruning cannot split it): the plan

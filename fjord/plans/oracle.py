@@ -36,6 +36,7 @@ raw_txn AS (
          CASE WHEN _kind = 'negative_amount' THEN '-5.0'
               WHEN _kind = 'bad_amount' THEN 'bad-amount'
               WHEN _kind = 'null_amount' THEN NULL
+              WHEN value > 0 THEN CAST(CAST(value AS DECIMAL(38,2)) AS VARCHAR) || CAST(event_id % 10 AS VARCHAR)
               ELSE CAST(CAST(value AS DECIMAL(38,2)) AS VARCHAR) END AS "TransactionAmount",
          CASE WHEN _kind = 'future_date' THEN '2999-01-01'
               WHEN _kind = 'bad_date' THEN 'unknown'
@@ -266,7 +267,7 @@ COERCED_CTE = """coerced AS (
                     TRY_CAST(amount AS DOUBLE) AS amount)
   FROM renamed),
 parsed AS (SELECT *, strftime(transaction_date, '%Y-%m-%d') AS landing_partition FROM coerced)"""
-LANDED_CTE = """as_text AS (SELECT * REPLACE (CAST(CAST(amount AS DECIMAL(38,2)) AS VARCHAR) AS amount) FROM parsed),
+LANDED_CTE = """as_text AS (SELECT * REPLACE (CAST(amount AS VARCHAR) AS amount) FROM parsed),
 head AS (SELECT *, row_number() OVER (ORDER BY transaction_id NULLS LAST, transaction_date NULLS LAST,
                                                amount NULLS LAST) AS i
          FROM (SELECT * FROM as_text ORDER BY transaction_id NULLS LAST, transaction_date NULLS LAST,
@@ -335,12 +336,15 @@ FROM raw""" for i, c in enumerate(RAW_COLS)))
 
 def _inferred_hint(c: str) -> str:
     x = _q(c)
+    whole = f"regexp_full_match({x}, '-?[0-9]+')"
 
     def every(ok: str) -> str:
         return f"count_if({x} IS NOT NULL AND NOT coalesce({ok}, false)) = 0"
 
     return (f"CASE WHEN count({x}) = 0 THEN '' "
-            f"WHEN {every(f'regexp_full_match({x}, ' + chr(39) + '-?[0-9]{1,9}' + chr(39) + ')')} THEN 'integer' "
+            f"WHEN {every(f'{whole} AND TRY_CAST({x} AS INTEGER) IS NOT NULL')} THEN 'integer' "
+            f"WHEN {every(f'{whole} AND TRY_CAST({x} AS BIGINT) IS NOT NULL')} THEN 'bigint' "
+            f"WHEN {every(whole)} THEN '' "
             f"WHEN {every(f'TRY_CAST({x} AS DOUBLE) IS NOT NULL')} THEN 'double' "
             f"WHEN {every(f'TRY_CAST({x} AS TIMESTAMP) IS NOT NULL')} THEN 'timestamp' ELSE '' END")
 

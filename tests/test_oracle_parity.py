@@ -4,11 +4,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from fjord.plans.oracle import ORACLE
+from fjord.plans.queries import QUERIES
 from fjord.sources.tables import TABLES
 from tools.oracle_check import digest
 from tests.conftest import SF_SMALL
 
-NAMES = sorted(E.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +23,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(QUERIES) - set(ORACLE)
     assert not missing, missing
 
 
@@ -33,9 +35,9 @@ def test_entry_smoke(spark):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]
-    cur = con.execute(E.oracle_sql()[name])
+    cur = con.execute(ORACLE[name])
     ocols = [d[0] for d in cur.description]
     orows = cur.fetchall()
     assert sorted(df.columns) == sorted(ocols)

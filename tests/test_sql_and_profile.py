@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from fjord.operators import clean, gold, quality
-from fjord.plans import gold_sql
 from fjord.sources.tables import raw_txn, txn
 from fjord.streaming import silver
 from tests.conftest import SF_SMALL
@@ -13,18 +12,12 @@ def _rows(df, cols):
     return sorted(tuple(round(r[c], 6) if isinstance(r[c], float) else r[c] for c in cols) for r in df.collect())
 
 
-def test_gold_sql_matches_dataframe(spark, tmp_path):
+def test_operators_over_a_path_addressed_scan(spark, tmp_path):
     path = str(tmp_path / "txn")
     txn(spark, SF_SMALL).write.parquet(path)
-    t = spark.read.parquet(path)
-    cols = ["tr_id", "prev_amount", "rolling_avg_amount_7", "daily_amount_rank", "daily_amount_percent_rank"]
-    assert _rows(gold_sql.ml_features_sql(spark, path), cols) == _rows(gold.ml_features(t), cols)
-    cols = ["merchant_hash", "transaction_count", "total_amount", "fraud_count", "fraud_rank"]
-    assert _rows(gold_sql.merchant_summary_sql(spark, path), cols) == _rows(gold.merchant_summary(t), cols)
-    us = str(tmp_path / "us")
-    gold_sql.user_summary_sql(spark, path).write.parquet(us)
-    cols = ["account_hash", "risk_score"]
-    assert _rows(gold_sql.user_risk_sql(spark, us), cols) == _rows(gold.user_risk_score(gold.user_summary(t)), cols)
+    by_path = spark.sql(f"SELECT * FROM parquet.`{path}`")  # S10
+    cols = ["account_hash", "transaction_count", "total_amount"]
+    assert _rows(gold.user_summary(by_path), cols) == _rows(gold.user_summary(txn(spark, SF_SMALL)), cols)
 
 
 def test_override_profile(spark):
@@ -47,16 +40,17 @@ def test_silver_from_registered_table(spark, tmp_path):
     spark.sql("DROP TABLE bronze_tbl")
 
 
-def test_inferred_candidate_overrides_only_non_empty_fields(spark):
+def test_derived_candidate_overrides_only_non_empty_fields(spark):
     df = spark.createDataFrame(
-        [("1", "2.5", "2024-01-01 10:00:00", "x", None), ("-7", "1e3", "2024-01-02", "y", None),
-         (None, "bad", "2024-01-03 00:00:00", "3", None)],
-        "TransactionID string, Score string, TransactionDate string, Note string, Empty string")
-    cand = {r["column_name"]: (r["mapped_name"], r["schema_hint"]) for r in quality.inferred_candidate(df).collect()}
+        [("1", "2.5", "2024-01-01 10:00:00", "x", None, "9876543210", "1" * 30), ("-7", "1e3", "2024-01-02", "y", None, "1", "2"),
+         (None, "bad", "2024-01-03 00:00:00", "3", None, None, None)],
+        "TransactionID string, Score string, TransactionDate string, Note string, Empty string, Big string, Huge string")
+    base, candidate = quality.profile_with_candidate(df)
+    cand = {r["column_name"]: (r["mapped_name"], r["schema_hint"]) for r in candidate.collect()}
     assert cand == {"TransactionID": ("transaction_id", "integer"), "Score": ("", ""),
-                    "TransactionDate": ("transaction_date", "timestamp"), "Note": ("", ""), "Empty": ("", "")}
-    merged = {r["column_name"]: (r["mapped_name"], r["schema_hint"])
-              for r in quality.override_profile(quality.column_profile(df), quality.inferred_candidate(df)).collect()}
+                    "TransactionDate": ("transaction_date", "timestamp"), "Note": ("", ""), "Empty": ("", ""),
+                    "Big": ("", "bigint"), "Huge": ("", "")}
+    merged = {r["column_name"]: (r["mapped_name"], r["schema_hint"]) for r in quality.override_profile(base, candidate).collect()}
     # empty candidate fields keep the deterministic profile (lower-cased name, fixed hint or string)
     assert merged["Score"] == ("score", "string") and merged["Note"] == ("note", "string")
     assert merged["TransactionID"] == ("transaction_id", "integer")
