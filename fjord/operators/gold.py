@@ -26,7 +26,7 @@ def account_features(txn: DataFrame, heavy_threshold: int = 2_000_000, chunk_row
                                heavy_threshold=heavy_threshold, chunk_rows=chunk_rows)
 
 
-def ml_features(txn: DataFrame, rank_buckets: int = 64) -> DataFrame:
+def ml_features(txn: DataFrame, rank_buckets: int | None = None) -> DataFrame:
     """Previous amount, 7-row rolling mean, daily rank / percent rank.
 
     The two account windows share one exchange + sort. The daily ranks do not
@@ -62,7 +62,7 @@ def user_summary(txn: DataFrame) -> DataFrame:
     )
 
 
-def merchant_summary(txn: DataFrame, amount_scale: int = 6, rank_buckets: int = 64) -> DataFrame:
+def merchant_summary(txn: DataFrame, amount_scale: int = 6, rank_buckets: int | None = None) -> DataFrame:
     """A3 + W5: per-merchant totals and a global fraud rank.
 
     ``sum(amount)`` is rounded before ranking: float addition order changes

@@ -16,7 +16,7 @@ from fjord.operators.prefix import ordered_prefix
 _EPS = 1e-12  # the reference's floor on precision + recall in the F1 denominator
 
 
-def pr_curve(df: DataFrame, label: str = "label", score: str = "score", buckets: int = 64) -> DataFrame:
+def pr_curve(df: DataFrame, label: str = "label", score: str = "score", buckets: int | None = None) -> DataFrame:
     """One (threshold, tp, fp, precision, recall) row per distinct score.
 
     Row for threshold t counts rows with score >= t. The extra (P=1, R=0)

@@ -27,6 +27,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _BUCKET = "__bucket"
+STEP = 64
+
+
+def bucket_count(df: DataFrame) -> int:
+    """As many ranges per group as a shuffle has partitions: the cluster's own measure of how finely to deal work."""
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _order_expr(name: str, ascending: bool) -> Column:
@@ -52,8 +58,7 @@ def ordered_prefix(
     keys: Sequence[str],
     order: Sequence[tuple[str, bool]],
     weights: Sequence[str],
-    buckets: int = 64,
-    accuracy: int = 10000,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Add ``<w>_before`` / ``<w>_through`` and ``<w>_total`` for every weight.
 
@@ -69,16 +74,24 @@ def ordered_prefix(
     keys = list(keys)
     lead, lead_asc = order[0]
     lead_d = _as_number(df, lead)
-    fractions = [i / buckets for i in range(1, buckets)]
-
-    if fractions:
-        splits = df.groupBy(*keys).agg(
-            F.percentile_approx(lead_d, fractions, accuracy).alias("__splits"))
-    else:
-        splits = df.groupBy(*keys).agg(F.array().cast("array<double>").alias("__splits"))
+    buckets = buckets or bucket_count(df)
+    none = F.array().cast("array<double>")
+    points = F.lit(None).cast("array<double>")
+    if buckets > 1:
+        points = F.percentile_approx(lead_d, [i / buckets for i in range(1, buckets)], max(10_000, 10 * buckets))
     # a group whose order values are all NULL has no split points: everything in bucket 0
-    below = F.coalesce(F.size(F.filter(F.coalesce("__splits", F.array().cast("array<double>")),
-                                       (lambda s: s < lead_d) if lead_asc else (lambda s: s > lead_d))), F.lit(0))
+    splits = df.groupBy(*keys).agg(F.coalesce(points, none).alias("__splits"))
+    # sorted the way the bucket numbers run, and every STEP-th point apart: a row looks at two short lists
+    splits = splits.withColumn("__splits", F.sort_array("__splits", asc=lead_asc))
+    coarse = F.transform(F.filter(F.transform("__splits", lambda s, i: F.struct(s.alias("s"), i.alias("i"))),
+                                  lambda e: e["i"] % STEP == STEP - 1), lambda e: e["s"])
+    splits = splits.select(*keys, F.struct("__splits", coarse.alias("__coarse")).alias("__splits"))
+
+    def passed(points: Column) -> Column:
+        return F.size(F.filter(points, (lambda s: s < lead_d) if lead_asc else (lambda s: s > lead_d)))
+
+    first = passed(F.col("__splits.__coarse")) * STEP
+    below = first + passed(F.slice(F.col("__splits.__splits"), first + 1, F.lit(STEP)))
     bucket = F.when(lead_d.isNull(), F.lit(0 if lead_asc else buckets)).otherwise(below)
     # One row per key group (small); with no keys it is a single scalar.
     if keys:  # NULL is a group too: join NULL-safely
@@ -114,29 +127,12 @@ def ordered_prefix(
     return out.select(*cols, *[f"{w}_{s}" for w in weights for s in ("before", "through", "total")])
 
 
-def _window_rank(df: DataFrame, keys: list[str], order: Sequence[tuple[str, bool]],
-                 outputs: dict[str, str]) -> DataFrame:
-    """The same outputs with ordinary windows (used when every group is small)."""
-    fwd = [_order_expr(c, a) for c, a in order]
-    rev = [(F.col(c).desc_nulls_last() if a else F.col(c).asc_nulls_first()) for c, a in order]
-    part = Window.partitionBy(*keys)
-    kinds = {
-        "rank": F.rank().over(part.orderBy(*fwd)).cast("bigint"),
-        "rank_reverse": F.rank().over(part.orderBy(*rev)).cast("bigint"),
-        "percent_rank": F.percent_rank().over(part.orderBy(*fwd)),
-        "percent_rank_reverse": F.percent_rank().over(part.orderBy(*rev)),
-        "count": F.count(F.lit(1)).over(part),
-    }
-    return df.select("*", *[kinds[k].alias(n) for n, k in outputs.items()])
-
-
 def group_rank(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[tuple[str, bool]],
     outputs: dict[str, str],
-    buckets: int = 64,
-    window_max_rows: int = 1_000_000,
+    buckets: int | None = None,
 ) -> DataFrame:
     """SQL ``rank()`` / ``percent_rank()`` over (keys, order) for every row of ``df``.
 
@@ -148,21 +144,13 @@ def group_rank(
     exactly opposite order (every direction and NULL placement flipped), so one
     pass serves both ``ORDER BY v DESC`` and ``ORDER BY v``.
 
-    When the largest group has at most ``window_max_rows`` rows (one small
-    aggregate decides) ordinary windows are used. Otherwise rows are first
-    reduced to distinct (keys, order values) with their counts —
-    a partially aggregated shuffle, so a value repeated in a third of the rows
-    costs one row — then ranked with ``ordered_prefix`` and joined back.
+    One plan serves every size: rows are reduced to distinct (keys, order
+    values) with their counts — a partially aggregated shuffle, so a value
+    repeated in a third of the rows costs one row — ranked with
+    ``ordered_prefix`` and joined back.
     """
     keys = list(keys)
     ocols = [c for c, _ in order]
-    if window_max_rows > 0:
-        # one tiny aggregate picks the plan: if every group fits one task, the
-        # plain window is cheaper; otherwise the bucketed path bounds each task
-        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__g"))
-        largest = sizes.agg(F.max("__g")).first()[0] or 0
-        if largest <= window_max_rows:
-            return _window_rank(df, keys, order, outputs)
     vc = df.groupBy(*keys, *ocols).agg(F.count(F.lit(1)).alias("__n"))
     ranked = ordered_prefix(vc, keys, order, ["__n"], buckets=buckets)
     before = F.col("__n_before")

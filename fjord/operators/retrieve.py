@@ -4,8 +4,8 @@
   every vector partition; each task computes distances with numpy and keeps
   its own top k per query, then the candidates (queries × k × partitions) are
   ranked once;
-* TF-IDF cosine top-k: terms exploded and counted once; only the terms the
-  questions contain are joined, so work is linear in the corpus;
+* TF-IDF cosine top-k: terms exploded and counted once, weighed with common
+  terms broadcast, scored per document;
 * documents: gold tables rendered as JSON text (first 50 rows each).
 """
 
@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fjord.functions.constants import ANSWER_PREFIX, ANSWER_SUFFIX
+from fjord.functions.exprs import ident
 
 MAX_BROADCAST_QUERIES = 10_000
 
@@ -56,26 +57,18 @@ def top_k_per_group(cands: DataFrame, group: Sequence[str], order: Sequence[Colu
     return cands.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def _checked_broadcast(queries: DataFrame, limit: int) -> DataFrame:
-    n = queries.count()  # one small action: the size check that licenses the broadcast
-    if n > limit:
-        raise ValueError(f"{n} queries exceed the broadcast bound {limit}; use nearest_vectors_chunked")
-    return F.broadcast(queries)
-
-
 def _query_matrix(queries: DataFrame, qid: str, vec: str, limit: int):
-    """The query batch as (ids, float64 matrix), after a count that bounds it.
+    """The query batch as (ids, float64 matrix), or None when it has more than ``limit`` rows.
 
-    Only a bounded question batch (≤ ``limit`` rows) travels to the tasks, as a
-    broadcast variable; the vector table never leaves its partitions.
+    Only a bounded batch travels to the tasks, as a broadcast variable; the
+    vector table never leaves its partitions.
     """
     q = queries.select(F.col(qid).alias("qid"), F.col(vec).cast("array<double>").alias("v"))
-    n = q.count()
-    if n > limit:
-        raise ValueError(f"{n} queries exceed the broadcast bound {limit}; use nearest_vectors_chunked")
-    rows = q.collect()  # ≤ limit rows, checked above
+    rows = q.limit(limit + 1).collect()
+    if len(rows) > limit:
+        return None
     ids = np.array([r["qid"] for r in rows])
-    mat = np.array([r["v"] for r in rows], dtype=np.float64).reshape(len(rows), -1)
+    mat = np.array([r["v"] for r in rows], dtype=np.float64).reshape(len(rows), -1 if rows else 0)
     return ids, mat
 
 
@@ -90,8 +83,6 @@ def _distances(vm: np.ndarray, qm: np.ndarray, metric: str) -> np.ndarray:
         with np.errstate(invalid="ignore", divide="ignore"):
             return -(vm @ qm.T) / np.where(vn * qn == 0, np.nan, vn * qn)
     step = max(1, _BLOCK_ELEMENTS // max(1, qm.shape[0] * qm.shape[1]))
-    if step < 64:  # a very large query batch: one matrix product instead of differences
-        return np.maximum((vm * vm).sum(1)[:, None] + (qm * qm).sum(1)[None, :] - 2.0 * (vm @ qm.T), 0.0)
     out = np.empty((vm.shape[0], qm.shape[0]))
     for i in range(0, vm.shape[0], step):
         diff = vm[i:i + step, None, :] - qm[None, :, :]
@@ -104,7 +95,7 @@ def _partition_top_k(q_bc, k: int, vid: str, vec: str, keep: list[str], metric:
 
     Distances are computed with numpy in row blocks; after every Arrow batch
     only the running best k per query survive, in the final order
-    (rounded distance, vector id), so a task emits at most queries × k rows,
+    (distance, vector id), so a task emits at most queries × k rows,
     never queries × vectors. The global top k of a query is always inside the
     top k of the task that holds it, so the cut is exact.
     """
@@ -117,7 +108,7 @@ def _partition_top_k(q_bc, k: int, vid: str, vec: str, keep: list[str], metric:
                 continue
             vm = np.stack(pdf[vec].map(lambda a: np.asarray(a, dtype=np.float64)).to_numpy())
             dist = _distances(vm, qm, metric)
-            key = np.nan_to_num(np.round(dist, 6), nan=np.inf)
+            key = np.where(np.isnan(dist), np.inf, dist)
             if len(key) > k:  # per query: everything at or below its k-th key (ties included)
                 kth = np.partition(key, k - 1, axis=0)[k - 1]
                 rows, qs = np.nonzero(key <= kth[None, :])
@@ -143,21 +134,23 @@ def nearest_vectors(vectors: DataFrame, queries: DataFrame, k: int = 3, qid: str
     """Exact k nearest vectors for every query row.
 
     Every query must meet every vector for an exact answer. The query batch
-    (counted, at most ``max_queries`` rows) is shipped to the tasks; each task
+    (at most ``max_queries`` rows at once, larger sets go in chunks) is shipped to the tasks; each task
     scans its vector partitions in place and emits only its own top k per
     query. The final cut ranks at most queries × k × partitions candidates,
     so no query × vector pair is ever materialised or shuffled.
     """
     spark = vectors.sparkSession
-    ids, mat = _query_matrix(queries, qid, vec, max_queries)
-    q_bc = spark.sparkContext.broadcast((ids, mat))
+    batch = _query_matrix(queries, qid, vec, max_queries)
+    if batch is None:
+        return nearest_vectors_chunked(vectors, queries, k, qid, max_queries, vid=vid, vec=vec, metric=metric)
+    q_bc = spark.sparkContext.broadcast(batch)
     keep = [c for c in vectors.columns if c != vec]
     qtype = queries.schema[qid].dataType.simpleString()
     out_schema = ", ".join([f"__qid {qtype}"] + [f"`{c}` {vectors.schema[c].dataType.simpleString()}" for c in keep]
                            + ["distance double"])
     cands = vectors.filter(F.col(vec).isNotNull()).mapInPandas(_partition_top_k(q_bc, k, vid, vec, keep, metric), out_schema)
     cands = cands.withColumnRenamed("__qid", qid)
-    order = [F.round(F.col("distance"), 6).asc_nulls_last(), F.col(vid).asc()]
+    order = [F.col("distance").asc_nulls_last(), F.col(vid).asc()]
     return top_k_per_group(cands, [qid], order, k)
 
 
@@ -202,67 +195,65 @@ def term_counts(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 def tfidf_top_k(docs: DataFrame, questions: DataFrame, k: int = 3, doc_key: str = "doc_id",
                 text: str = "text", q_key: str = "question_id", q_text: str = "question",
-                max_queries: int = MAX_BROADCAST_QUERIES) -> DataFrame:
+                common: float = 0.001) -> DataFrame:
     """R2 + R3: cosine similarity of TF-IDF vectors, top-k documents per question.
 
-    idf = ln((N + 1) / (df + 1)). Document norms need every term's weight: the
-    (term → idf) join is a shuffle on ``term`` where a stop word is a hot key;
-    AQE's skew-join split handles it. The question side is small and broadcast
-    after a size check; only shared terms are paired, never all documents.
+    idf = ln((N + 1) / (df + 1)). Each term's row carries its idf and the
+    questions that ask for it. Terms that stand in more than ``common`` of the
+    documents (at most 1 / ``common`` times the mean number of terms of a
+    document) meet the document terms in a broadcast join; the others, none of
+    which is hot, in a shuffled one. A document's weighted terms then come
+    together once: norm and dot products are sums over one array in order of
+    the term, so equal texts score exactly equal, whatever the partitioning.
+    Documents and questions pair up inside a task, where each question's best
+    k survive, before anything is shuffled again.
 
     The corpus is the documents with an id (a document without one cannot be
-    returned). The doc-term table feeds three branches (df, norms, dots); with
-    the same filter in every branch they share one shuffle of it
-    (ReusedExchange), so the corpus is tokenised once.
+    returned).
     """
     docs = docs.filter(F.col(doc_key).isNotNull())
     dt = term_counts(docs, doc_key, text)
     n_docs = docs.agg(F.count(F.lit(1))).scalar()  # evaluated once, no join
-    # count_if(tf > 0) equals count(*) (tf ≥ 1), but keeps tf in use: this
+    # count_if(tf > 0) equals count(*) (tf >= 1), but keeps tf in use: this
     # branch's doc-term aggregate stays identical to the others, so its shuffle is reused
-    df_t = dt.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
-    idf = df_t.select("term", F.log((n_docs + 1) / (F.col("df") + 1)).alias("idf"))
-    norms = (dt.join(idf, "term")
-               .groupBy(doc_key).agg(F.sqrt(F.sum((F.col("tf") * F.col("idf")) * (F.col("tf") * F.col("idf")))).alias("dnorm")))
-
-    # size check on the question side alone (cheap: questions only); the weighted
-    # question terms derived from it can only be fewer rows
-    qt = F.broadcast(term_counts(questions, q_key, q_text))
-    _checked_broadcast(qt, max_queries * 64)
-    qw = qt.join(idf, "term").select(q_key, "term", "idf", (F.col("tf") * F.col("idf")).alias("qw"))
+    idf = (dt.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
+             .select("term", "df", F.log((n_docs + 1) / (F.col("df") + 1)).alias("idf")))
+
+    qw = term_counts(questions, q_key, q_text).join(idf, "term").select(
+        q_key, "term", (F.col("tf") * F.col("idf")).alias("qw"))
     qnorm = qw.groupBy(q_key).agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("qnorm"))
-    qw = F.broadcast(qw.join(qnorm, q_key))
-    # only (document, question) pairs that share a term; the term's idf rides on the question side
-    dots = (dt.join(qw, "term")
-              .groupBy(q_key, doc_key)
-              .agg(F.sum(F.col("tf") * F.col("idf") * F.col("qw")).alias("dot"), F.first("qnorm").alias("qnorm")))
-    scored = dots.join(norms, doc_key).select(
-        q_key, doc_key, (F.col("dot") / F.nullif(F.col("qnorm") * F.col("dnorm"), F.lit(0.0))).alias("score"))
-    order = [F.round(F.col("score"), 6).desc(), F.col(doc_key).asc()]
-    return top_k_per_group(scored, [q_key], order, k)
+    asked = (qw.join(qnorm, q_key).groupBy("term")
+               .agg(F.collect_list(F.struct(F.col(q_key).alias("q"), "qw", "qnorm")).alias("asked")))
+    terms = idf.join(asked, "term", "left")
+    hot = F.col("df") > F.lit(common) * n_docs
+    weigh = lambda t: dt.join(t, "term").select(
+        doc_key, "term", (F.col("tf") * F.col("idf")).alias("w"), "asked")
+    weighed = weigh(F.broadcast(terms.filter(hot))).unionByName(weigh(terms.filter(~hot)))
+
+    per_doc = weighed.groupBy(doc_key).agg(F.array_sort(F.collect_list(F.struct("term", "w", "asked"))).alias("ts"))
+    squares = F.aggregate("ts", F.lit(0.0), lambda acc, t: acc + t["w"] * t["w"])
+    hits = F.filter("ts", lambda t: t["asked"].isNotNull())
+    pairs = (per_doc.select(doc_key, F.sqrt(squares).alias("dnorm"), F.explode(hits).alias("t"))
+             .select(doc_key, "dnorm", F.col("t.w").alias("w"), F.explode("t.asked").alias("a")))
+    # already together by document: no shuffle, and rows arrive in order of the term
+    scored = (pairs.groupBy(doc_key, F.col("a.q").alias(q_key))
+              .agg(F.sum(F.col("w") * F.col("a.qw")).alias("dot"), F.first("a.qnorm").alias("qnorm"),
+                   F.first("dnorm").alias("dnorm"))
+              .select(q_key, doc_key, (F.col("dot") / F.nullif(F.col("qnorm") * F.col("dnorm"), F.lit(0.0))).alias("score")))
+    return top_k_per_group(scored, [q_key], [F.col("score").desc(), F.col(doc_key).asc()], k)
 
 
 def answer_context(ranked: DataFrame, docs: DataFrame, questions: DataFrame | None = None,
                    q_key: str = "question_id", doc_key: str = "doc_id", text: str = "text",
-                   q_text: str = "question", n_answer_docs: int = 2,
-                   max_ranked_rows: int = MAX_BROADCAST_QUERIES * 10) -> DataFrame:
+                   q_text: str = "question", n_answer_docs: int = 2) -> DataFrame:
     """Context in rank order and the template answer from the first two texts.
 
-    The ranked list is at most k rows per question (bounded by the top-k,
-    checked here). Its rows are materialised once and their document ids go
-    into the scan as an ``IN`` filter, so only the row groups holding those
-    documents are read for their text — not the whole corpus a second time.
-    With ``questions`` every question gets a row and its text, as in the
+    The ranked list has k rows per question of the batch; it travels to the
+    texts (broadcast join), so the texts stay where they are but for the ranked
+    ones. With ``questions`` every question gets a row and its text, as in the
     reference: one without context gets an empty context and the bare template.
     """
-    picked = ranked.select(q_key, doc_key, "rank").limit(max_ranked_rows + 1).collect()  # bound check
-    if len(picked) > max_ranked_rows:
-        raise ValueError(f"more than {max_ranked_rows} ranked rows; answer the questions in batches")
-    spark = docs.sparkSession
-    ids = sorted({r[doc_key] for r in picked})
-    ranked_rows = spark.createDataFrame(picked, ranked.select(q_key, doc_key, "rank").schema)
-    texts = docs.select(doc_key, text).filter(F.col(doc_key).isin(ids))  # pushed into the parquet scan
-    joined = texts.join(F.broadcast(ranked_rows), doc_key)
+    joined = docs.select(doc_key, text).join(F.broadcast(ranked.select(q_key, doc_key, "rank")), doc_key)
     per_q = joined.groupBy(q_key).agg(
         F.array_sort(F.collect_list(F.struct("rank", F.col(doc_key).alias("id"), F.col(text).alias("t"))))
         .alias("ctx"))
@@ -279,17 +270,14 @@ def answer_context(ranked: DataFrame, docs: DataFrame, questions: DataFrame | No
 
 # ------------------------------------------------------------------ documents
 def rows_document(df: DataFrame, doc_id: str, order: Sequence[str], n: int = 50) -> DataFrame:
-    """A17 + L3: first ``n`` rows by ``order`` as one JSON array text (values as text).
+    """A17 + L3: first ``n`` rows by ``order`` as one JSON array text; numbers stay numbers, all their digits.
 
     ``orderBy().limit(n)`` is a per-partition top-n then a merge of n-row
     lists, so the document costs n rows on one task, never the table.
     """
-    cols = df.columns
-    as_text = [F.col(c).cast("decimal(38,6)").cast("string").alias(c)
-               if dict(df.dtypes)[c] in ("double", "float") else F.col(c).cast("string").alias(c) for c in cols]
     head = df.orderBy(*order).limit(n)
     w = Window.orderBy(*order)  # over n rows only
-    numbered = head.select(F.row_number().over(w).alias("__i"), F.to_json(F.struct(*as_text), {"ignoreNullFields": "false"}).alias("__j"))
+    numbered = head.select(F.row_number().over(w).alias("__i"), F.to_json(F.struct(*[F.col(ident(c)) for c in df.columns]), {"ignoreNullFields": "false"}).alias("__j"))
     return numbered.agg(
         F.concat(F.lit("["), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__i", "__j"))),
                                                        lambda e: e["__j"]), ","), F.lit("]")).alias("text")

@@ -4,16 +4,19 @@
 Keys above ``heavy_threshold`` rows (there are at most N / threshold of them,
 so the set is small by construction) take an exact chunked path instead:
 
-1. row number per key from ``group_rank`` (bucketed, no whole-key sort);
+1. position per key: ``group_rank`` (bucketed, no whole-key sort) over the
+   order columns and the value, and a row number among rows that agree in all
+   of them, so every row has a position of its own even under ties;
 2. chunk = (rn - 1) div ``chunk_rows``; the last ``span`` rows of each chunk
    are copied into the next chunk and the first row into the previous one
    as halo rows;
 3. the ordinary window runs per (key, chunk) — at most chunk_rows + span + 1
    rows per task — and halo rows are dropped.
 
-Every row then sees exactly the same preceding/following rows as in the plain
-window, so results are identical. Light keys use the plain window; when no key
-is heavy (checked with one aggregate over the key column) only the plain
+Ties in the order columns are broken by the value on both paths, so rows that
+still tie are interchangeable and both paths give the same values. Light keys
+use the plain window. One partially aggregated pass over the key column runs
+when the plan is built and looks for heavy keys; without any, only the plain
 window is planned.
 """
 
@@ -46,20 +49,23 @@ def sequential_features(df: DataFrame, key: str, order: Sequence[str], value: st
                         heavy_threshold: int = 2_000_000, chunk_rows: int = 500_000) -> DataFrame:
     if chunk_rows <= span:
         raise ValueError("chunk_rows must exceed the window span")
-    order = list(order)
+    order = [*order, *([value] if value not in order else [])]
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__cnt"))
     heavy = counts.filter(F.col("__cnt") > heavy_threshold).select(key)  # ≤ N / threshold keys
     # one partially aggregated pass over the key column decides the plan: with no
     # heavy key the plain window is already bounded by the threshold per task
     if heavy.isEmpty():
         return _features(df, [key], order, value, span, lag_col, roll_col, lead_col)
-    light = df.join(heavy, key, "left_anti")
-    hot = df.join(heavy, key, "left_semi")
+    heavy = heavy.select(F.col(key).alias("__heavy"))
+    is_heavy = F.col(key).eqNullSafe(F.col("__heavy"))  # NULL is a key like any other
+    light = df.join(heavy, is_heavy, "left_anti")
+    hot = df.join(heavy, is_heavy, "left_semi")
 
     light_out = _features(light, [key], order, value, span, lag_col, roll_col, lead_col)
 
-    ranked = group_rank(hot, [key], [(c, True) for c in order], {"__rn": "rank"}, window_max_rows=0)
-    ranked = ranked.withColumn("__pos", F.col("__rn") - 1) \
+    ranked = group_rank(hot, [key], [(c, True) for c in order], {"__rank": "rank"})
+    twins = Window.partitionBy(key, *order).orderBy(F.lit(0))  # rows that agree in everything that orders them
+    ranked = ranked.withColumn("__pos", F.col("__rank") + F.row_number().over(twins) - 2) \
                    .withColumn("__chunk", F.floor(F.col("__pos") / chunk_rows))
     off = F.col("__pos") % chunk_rows
     own = ranked.withColumn("__halo", F.lit(False))
@@ -68,6 +74,6 @@ def sequential_features(df: DataFrame, key: str, order: Sequence[str], value: st
     to_prev = ranked.filter((off == 0) & (F.col("__chunk") > 0)) \
                     .withColumn("__chunk", F.col("__chunk") - 1).withColumn("__halo", F.lit(True))
     halo = own.unionByName(to_next).unionByName(to_prev)
-    hot_out = (_features(halo, [key, "__chunk"], ["__rn"], value, span, lag_col, roll_col, lead_col)
-               .filter(~F.col("__halo")).drop("__rn", "__pos", "__chunk", "__halo"))
+    hot_out = (_features(halo, [key, "__chunk"], ["__pos"], value, span, lag_col, roll_col, lead_col)
+               .filter(~F.col("__halo")).drop("__rank", "__pos", "__chunk", "__halo"))
     return light_out.unionByName(hot_out)

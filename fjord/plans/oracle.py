@@ -543,7 +543,7 @@ d AS (
                      lambda a, b: a + b) AS distance
   FROM embeddings e, cent c)
 SELECT query_id, vec_id, label, round(distance, 6) AS distance, CAST(rank AS INTEGER) AS rank
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(distance, 6), vec_id) AS rank FROM d)
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(distance, 12), vec_id) AS rank FROM d)
 WHERE rank <= 3""")
 
 TFIDF_CTE = r"""qs AS (SELECT * FROM (VALUES (1, 'Which merchant has the most fraud?'),
@@ -566,7 +566,7 @@ dots AS (SELECT question_id, doc_id, sum(w * qw) AS dot FROM w JOIN qw USING (te
 sc AS (SELECT question_id, doc_id, dot / nullif(qnorm * dnorm, 0) AS score
        FROM dots JOIN qn USING (question_id) JOIN norms USING (doc_id)),
 top AS (SELECT question_id, doc_id, score, CAST(rank AS INTEGER) AS rank
-        FROM (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY round(score, 6) DESC, doc_id) AS rank FROM sc)
+        FROM (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY round(score, 12) DESC, doc_id) AS rank FROM sc)
         WHERE rank <= 3)"""
 
 register("tfidf_topk", with_ctes(TFIDF_CTE) + """
@@ -594,11 +594,12 @@ _FEAT_SQL = """feat AS (
 
 
 def _doc_sql(name: str, src: str, cols: list[tuple[str, bool]], order: str) -> str:
-    fields = ", ".join(
-        f"{c} := CAST(CAST({c} AS DECIMAL(38,6)) AS VARCHAR)" if dbl else f"{c} := CAST({c} AS VARCHAR)"
-        for c, dbl in cols)
+    texts = {"merchant_hash", "account_hash", "tr_date", "transaction_type", "location"}
+    value = lambda c, dbl: (f"CAST(CAST({c} AS DECIMAL(38,6)) AS VARCHAR)" if dbl else
+                            f"CAST(to_json(CAST({c} AS VARCHAR)) AS VARCHAR)" if c in texts else f"CAST({c} AS VARCHAR)")
+    fields = " || ',' || ".join(f"""'"{c}":' || coalesce({value(c, dbl)}, 'null')""" for c, dbl in cols)
     return f"""SELECT '{name}' AS id,
-       '[' || string_agg(to_json(struct_pack({fields})), ',' ORDER BY {order}) || ']' AS text,
+       '[' || string_agg('{{' || {fields} || '}}', ',' ORDER BY {order}) || ']' AS text,
        'gold/{name}' AS source
 FROM (SELECT * FROM {src} ORDER BY {order} LIMIT 50)"""
 

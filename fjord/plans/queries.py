@@ -406,10 +406,14 @@ def _answer_context(spark, d):
 def _summary_documents(spark, d):
     """R1 + A17: gold tables as JSON documents of their first 50 rows."""
     t = txn(spark, d)
+
+    def fixed(df):  # doubles to six decimals, for comparison only
+        return df.select(*[F.col(c).cast("decimal(38,6)").alias(c) if k == "double" else F.col(c) for c, k in df.dtypes])
+
     parts = [
-        retrieve.rows_document(gold.merchant_summary(t), "merchant_summary", ["fraud_rank", "merchant_hash"]),
-        retrieve.rows_document(gold.user_summary(t), "user_summary", ["account_hash"]),
-        retrieve.rows_document(gold.ml_features(t), "ml_features", ["tr_id"]),
+        retrieve.rows_document(fixed(gold.merchant_summary(t)), "merchant_summary", ["fraud_rank", "merchant_hash"]),
+        retrieve.rows_document(fixed(gold.user_summary(t)), "user_summary", ["account_hash"]),
+        retrieve.rows_document(fixed(gold.ml_features(t)), "ml_features", ["tr_id"]),
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 

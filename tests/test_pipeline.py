@@ -74,7 +74,7 @@ def test_end_to_end(spark, tmp_path):
         fh.write("not a gold export")
     listed = {r["id"]: r for r in jobs.gold_documents(spark, gd).collect()}
     assert sorted(listed) == ["daily_metrics", "merchant_summary", "user_summary"]
-    assert listed["daily_metrics"]["text"].startswith('[{"fraud_amount":"1.000000","tr_date":"2024-01-01"}')
+    assert listed["daily_metrics"]["text"].startswith('[{"fraud_amount":1.0,"tr_date":"2024-01-01"}')
     assert listed["user_summary"]["source"].endswith("exports/user_summary.parquet")
     docs = jobs.gold_documents(spark, gd, ["user_summary.parquet", "merchant_summary.csv"])
     assert sorted(r["id"] for r in docs.collect()) == ["merchant_summary", "user_summary"]

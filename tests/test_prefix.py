@@ -11,8 +11,7 @@ from fjord.operators.prefix import group_rank
 def _check(spark, rows, buckets):
     df = spark.createDataFrame(rows, "id int, g string, v double")
     got = group_rank(df, ["g"], [("v", True)],
-                     {"r_desc": "rank_reverse", "pr": "percent_rank", "r": "rank"}, buckets=buckets,
-                     window_max_rows=0)
+                     {"r_desc": "rank_reverse", "pr": "percent_rank", "r": "rank"}, buckets=buckets)
     w = Window.partitionBy("g")
     ref = df.select("id",
                     F.rank().over(w.orderBy(F.col("v").desc())).alias("r_desc"),
@@ -37,16 +36,17 @@ def test_hot_group_and_global_rank(spark):
     rows = [(i, "hot" if i % 10 else "cold", float(i % 3 == 0 and 5 or i % 97)) for i in range(3000)]
     _check(spark, rows, 8)
     df = spark.createDataFrame(rows, "id int, g string, v double")
-    got = group_rank(df, [], [("v", False), ("id", True)], {"r": "rank"}, buckets=8, window_max_rows=0)
+    got = group_rank(df, [], [("v", False), ("id", True)], {"r": "rank"}, buckets=8)
     ref = df.select("id", F.rank().over(Window.orderBy(F.col("v").desc(), "id")).alias("r"))
     assert sorted(map(tuple, got.select("id", "r").collect())) == sorted(map(tuple, ref.collect()))
 
 
-def test_window_path_equals_bucketed_path(spark):
-    rows = [(i, "g%d" % (i % 3), float(i % 17)) for i in range(500)]
+def test_many_buckets_and_plan(spark):
+    # more buckets than one coarse step, and the plan that is really used
+    rows = [(i, "g%d" % (i % 3), float(i * 37 % 1009)) for i in range(3000)]
+    _check(spark, rows, 300)
     df = spark.createDataFrame(rows, "id int, g string, v double")
-    outs = {"a": "rank", "b": "percent_rank_reverse", "c": "count"}
-    x = group_rank(df, ["g"], [("v", True), ("id", False)], outs, buckets=4, window_max_rows=0)
-    y = group_rank(df, ["g"], [("v", True), ("id", False)], outs)
-    key = lambda r: (r["id"], r["a"], round(r["b"], 9), r["c"])
-    assert sorted(map(key, x.collect())) == sorted(map(key, y.collect()))
+    plan = group_rank(df, ["g"], [("v", True)], {"r": "rank"})._jdf.queryExecution().executedPlan().toString()
+    ranked = [line for line in plan.splitlines() if "Window [sum" in line and "specifiedwindowframe(RowFrame" in line]
+    assert any("__bucket" in line for line in ranked)  # every window over rows runs per (group, bucket)
+    assert "SinglePartition" not in plan

@@ -1,5 +1,7 @@
 """The hot-key chunked path gives exactly the plain window's lag / rolling mean / lead."""
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -10,8 +12,8 @@ from tests.conftest import SF_SMALL
 
 
 def _rows(df, cols):
-    return sorted(tuple(None if r[c] is None else round(r[c], 9) if isinstance(r[c], float) else r[c]
-                        for c in cols) for r in df.collect())
+    return sorted((tuple(None if r[c] is None else round(r[c], 9) if isinstance(r[c], float) else r[c]
+                         for c in cols) for r in df.collect()), key=str)
 
 
 def test_hot_key_chunks_match_window(spark):
@@ -27,6 +29,20 @@ def test_hot_key_chunks_match_window(spark):
     assert _rows(got, cols) == _rows(ref, cols)
 
 
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["hot", "hot", "hot", "k", None]), st.sampled_from([None, 1, 2, 3]),
+                          st.sampled_from([1.0, 2.0, 3.0, 5.0])), min_size=1, max_size=120),
+       st.sampled_from([7, 10, 25]))
+def test_tied_and_null_order_keys(spark, rows, chunk):
+    df = spark.createDataFrame([(k, t, v) for k, t, v in rows], "k string, t long, v double")
+    got = sequential_features(df, "k", ["t"], "v", "lag", "roll", "lead", span=6, heavy_threshold=12, chunk_rows=chunk)
+    w = Window.partitionBy("k").orderBy("t", "v")  # rows that still tie are interchangeable
+    ref = df.select("*", F.lag("v").over(w).alias("lag"), F.avg("v").over(w.rowsBetween(-6, 0)).alias("roll"),
+                    F.lead("v").over(w).alias("lead"))
+    cols = ["k", "t", "v", "lag", "roll", "lead"]
+    assert sorted(map(str, _rows(got, cols))) == sorted(map(str, _rows(ref, cols)))
+
+
 def test_ml_features_with_forced_split(spark):
     t = txn(spark, SF_SMALL)
     a = gold.account_features(t, heavy_threshold=5, chunk_rows=8)  # every account is "heavy"
