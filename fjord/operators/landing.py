@@ -73,12 +73,11 @@ def write_landing(df: DataFrame, path: str, max_records_per_file: int = 1_000_00
     """K6 sink: one directory per day, immutable uniquely named JSON files.
 
     Spark names each part file with a per-write UUID, so ``append`` never
-    overwrites an earlier landing. No repartition by day: a hot day would land
-    in one task; instead every task writes its own files for the days it holds,
-    capped in size by ``maxRecordsPerFile``.
+    overwrites an earlier landing. Rows are rebalanced by day: few files per
+    day, and a hot day is split over several tasks.
     """
     out = landing_payload(df)
-    (out.write.mode("append").partitionBy(DAY)
+    (out.hint("rebalance", DAY).write.mode("append").partitionBy(DAY)
         .option("maxRecordsPerFile", max_records_per_file)
         .option("ignoreNullFields", False)  # a missing value lands as null, not as a missing field
         .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSS")

@@ -107,6 +107,7 @@ def evaluate(model: PipelineModel, df: DataFrame, threshold: float, numeric: Seq
 
 
 def save_evaluation(results: dict[str, DataFrame], path: str) -> None:
-    """K7: one small JSON output per evaluation artefact."""
+    """K7: one JSON output per evaluation artefact; the PR curve has a row per distinct score and keeps its partitions."""
     for name, df in results.items():
-        df.coalesce(1).write.mode("overwrite").json(f"{path}/{name}")
+        small = df if name == "pr_curve" else df.coalesce(1)
+        small.write.mode("overwrite").json(f"{path}/{name}")

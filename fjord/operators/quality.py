@@ -116,6 +116,14 @@ def alert_payload(flags: DataFrame, value: str = "fraud_amount", key: str = "tr_
         .otherwise(F.lit("No day breached the fraud control limit.")))
 
 
+def alert_report(flags: DataFrame, key: str = "tr_date") -> DataFrame:
+    """A9 as one record: threshold, alert_count, the flagged rows in full (sorted by day) and the summary."""
+    row = F.struct(key, *[F.col(ident(c)) for c in flags.columns if c != key])
+    return flags.agg(F.max("threshold").alias("threshold"), F.count_if("alert").alias("alert_count"),
+                     F.array_sort(F.collect_list(F.when(F.col("alert"), row))).alias("alerts")) \
+        .withColumn("executive_summary", F.lit(ALERT_FALLBACK))
+
+
 def class_weight(df: DataFrame, label: str = "is_fraud") -> DataFrame:
     """Class counts and the positive weight negatives / max(positives, 1)."""
     agg = df.agg(F.count_if(F.col(label) == 0).alias("negatives"),

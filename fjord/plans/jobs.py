@@ -4,9 +4,9 @@
 
 Every job takes a ``Paths`` object (one environment, one root) so the
 stages agree on locations (SURVEY D10). Gold snapshots are idempotent
-overwrites; the SCD2 table is rewritten into a new version directory and a
-pointer file names the current one — the table being read is never
-overwritten, and the written version is what cuts the lineage.
+overwrites; the SCD2 table and the document store are rewritten into a new
+version directory each time, and the newest complete one is current — nothing
+that is read is overwritten, and the written version is what cuts the lineage.
 """
 
 from __future__ import annotations
@@ -14,23 +14,39 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.errors import AnalysisException
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fjord.config import Paths
-from fjord.functions.constants import SCHEMA_HINTS
-from fjord.functions.exprs import pii_hash
-from fjord.operators import gold, landing, merge, quality, retrieve
+from fjord.functions.constants import BUSINESS_MAPPING, SCHEMA_HINTS
+from fjord.functions.exprs import ident, pii_hash
+from fjord.operators import gold, landing, merge, ml, quality, retrieve
+from fjord.operators.features import CATEGORICAL, NUMERIC
 from fjord.streaming import bronze, silver
 
 
+# One contract of names: landing writes business names, silver and gold use the raw feed's.
+LANDING_NAMES = landing.normalized_names(list(SCHEMA_HINTS))  # raw name -> landed name
+RAW_NAMES = {v: k for k, v in LANDING_NAMES.items()}
+LANDING_HINTS = {LANDING_NAMES[c]: t for c, t in SCHEMA_HINTS.items()}
+
+
 # ------------------------------------------------------------------ landing
-def run_landing(raw_csv_or_df, paths: Paths, spark: SparkSession | None = None) -> None:
-    """K6 + S1/S2: raw CSV (or DataFrame) → daily JSONL files with two injected bad rows."""
+def run_landing(raw_csv_or_df, paths: Paths, spark: SparkSession | None = None, profile_path: str | None = None) -> None:
+    """K6 + S1/S2: raw CSV (or DataFrame) → daily JSONL files with two injected bad rows.
+
+    With ``profile_path`` the saved profile (S12) supplies the column mapping;
+    a business name it leaves out is filled in, as the stage needs them.
+    """
     df = raw_csv_or_df
     if isinstance(raw_csv_or_df, str):
         df = spark.read.option("header", True).option("inferSchema", False).csv(raw_csv_or_df)
-    landed = landing.inject_bad_records(landing.coerce_parse(landing.rename_mapped(df)))
+    mapping = None
+    if profile_path is not None:
+        saved = load_profile(spark or df.sparkSession, profile_path).select("mapped_columns").first()[0].asDict()
+        mapping = {c: BUSINESS_MAPPING.get(saved.get(c) or "", saved.get(c)) or c for c in df.columns}
+    landed = landing.inject_bad_records(landing.coerce_parse(landing.rename_mapped(df, mapping)))
     landing.write_landing(landed, paths.landing)
 
 
@@ -59,37 +75,47 @@ def load_profile(spark: SparkSession, path: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ bronze / silver
-def run_bronze(spark: SparkSession, paths: Paths, hints=SCHEMA_HINTS, fmt: str = "json"):
+def run_bronze(spark: SparkSession, paths: Paths, hints=None, fmt: str = "json",
+               max_files_per_trigger: int | None = 10_000):
     """The landing folder into bronze — JSONL (the landing stage's output) or a CSV feed.
 
-    A CSV feed is bound file by file by its own header (``bronze.run_bronze_csv``).
+    Hints default to the names the feed has: the landed ones in JSONL, the raw
+    ones in CSV. A CSV feed is bound file by file by its own header
+    (``bronze.run_bronze_csv``). A batch takes at most ``max_files_per_trigger`` files.
     """
     ckpt = paths.checkpoint("bronze_stream")
     if fmt == "csv":
-        return bronze.run_bronze_csv(spark, paths.landing, paths.bronze, ckpt, hints, paths.environment)
+        return bronze.run_bronze_csv(spark, paths.landing, paths.bronze, ckpt, hints or SCHEMA_HINTS,
+                                     paths.environment, max_files_per_trigger)
     if fmt != "json":
         raise ValueError(f"unknown landing format {fmt!r}")
-    return bronze.run_bronze(spark, paths.landing, paths.bronze, paths.schema_memory, ckpt, hints, paths.environment)
+    return bronze.run_bronze(spark, paths.landing, paths.bronze, paths.schema_memory, ckpt, hints or LANDING_HINTS,
+                             paths.environment, max_files_per_trigger=max_files_per_trigger)
 
 
-def run_silver(spark: SparkSession, paths: Paths, as_of=None, strict: bool = False):
+def run_silver(spark: SparkSession, paths: Paths, as_of=None, strict: bool = False,
+               max_files_per_trigger: int | None = 10_000):
+    """Bronze into silver's two tables, under the raw feed's names (landed names are turned back)."""
     return silver.run_silver(spark, paths.bronze, paths.silver_good, paths.silver_quarantine,
-                             paths.checkpoint("silver_stream"), as_of=as_of, strict=strict)
+                             paths.checkpoint("silver_stream"), as_of=as_of, strict=strict, names=RAW_NAMES,
+                             max_files_per_trigger=max_files_per_trigger)
 
 
 # ------------------------------------------------------------------ gold
 def silver_to_txn(silver_df: DataFrame, salt: str | None = None, fraud_col: str = "IsFraud") -> DataFrame:
     """The explicit silver → gold projection the reference leaves implicit.
 
-    Silver keeps the day only (its defensive cast is to date), so
-    ``tr_timestamp`` is midnight of that day and ``tr_id`` breaks ties.
+    Silver's ``TransactionDate`` is the day; the time of day comes from
+    ``TransactionTimestamp``, which ``silver.process_batch`` carries along.
+    Without that column ``tr_timestamp`` is midnight and ``tr_id`` breaks ties.
     """
+    time = "TransactionTimestamp" if "TransactionTimestamp" in silver_df.columns else "TransactionDate"
     fraud = (F.coalesce(F.col(fraud_col).cast("int"), F.lit(0)) if fraud_col in silver_df.columns
              else F.lit(0))
     return silver_df.select(
         F.col("TransactionID").alias("tr_id"),
         F.col("TransactionDate").cast("date").alias("tr_date"),
-        F.col("TransactionDate").cast("timestamp").alias("tr_timestamp"),
+        F.col(time).cast("timestamp").alias("tr_timestamp"),
         pii_hash(F.col("AccountID"), salt).alias("account_hash"),
         pii_hash(F.col("MerchantID"), salt).alias("merchant_hash"),
         F.col("TransactionAmount").cast("double").alias("amount"),
@@ -100,23 +126,41 @@ def silver_to_txn(silver_df: DataFrame, salt: str | None = None, fraud_col: str
 
 
 def write_gold(spark: SparkSession, txn: DataFrame, paths: Paths) -> None:
-    """K5: idempotent overwrite snapshots; ``txn`` is read once and cached for the three builds."""
-    txn = txn.persist()
-    try:
-        gold.ml_features(txn).write.mode("overwrite").parquet(paths.gold("ml_features"))
-        gold.user_summary(txn).write.mode("overwrite").parquet(paths.gold("user_summary"))
-        gold.merchant_summary(txn).write.mode("overwrite").parquet(paths.gold("merchant_summary"))
-        gold.daily_fraud_metrics(txn).write.mode("overwrite").parquet(paths.gold("daily_metrics"))
-    finally:
-        txn.unpersist()
+    """K5: idempotent overwrite snapshots; every build reads only the columns it needs."""
+    gold.ml_features(txn).write.mode("overwrite").parquet(paths.gold("ml_features"))
+    gold.user_summary(txn).write.mode("overwrite").parquet(paths.gold("user_summary"))
+    gold.merchant_summary(txn).write.mode("overwrite").parquet(paths.gold("merchant_summary"))
+    gold.daily_fraud_metrics(txn).write.mode("overwrite").parquet(paths.gold("daily_metrics"))
+
+
+def run_gold(spark: SparkSession, paths: Paths, salt: str | None = None) -> DataFrame:
+    """Silver into the gold tables; returns the transactions they were built from."""
+    txn = silver_to_txn(silver.read_silver(spark, paths.silver_good), salt)
+    write_gold(spark, txn, paths)
+    return txn
 
 
 def current_version(spark: SparkSession, table_root: str) -> str | None:
-    try:
-        row = spark.read.text(f"{table_root}/_current").first()
-    except AnalysisException:
+    """The newest complete version directory (``v=...`` with a ``_SUCCESS`` file), or None without any version.
+
+    Nothing is ever overwritten: a version counts from the moment its write
+    committed, so a job that dies leaves the previous one current. Versions
+    without a complete one mean damage and raise.
+    """
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(table_root)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
         return None
-    return row[0] if row else None
+    versions = sorted(n for n in list_names(spark, table_root) if n.startswith("v="))
+    done = [v for v in versions if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{table_root}/{v}/_SUCCESS"))]
+    if versions and not done:
+        raise RuntimeError(f"{table_root} has versions, but none was completely written")
+    return done[-1] if done else None
+
+
+def _new_version() -> str:
+    return "v=" + dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
 
 
 def read_scd2(spark: SparkSession, table_root: str) -> DataFrame:
@@ -127,25 +171,23 @@ def read_scd2(spark: SparkSession, table_root: str) -> DataFrame:
 
 
 def run_scd2(spark: SparkSession, paths: Paths, now=None, mode: str = "single") -> str:
-    """Merge the latest user risk into the SCD2 table, staged write + pointer swap."""
+    """Merge the latest user risk into the SCD2 table, written as a new version."""
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
     root = paths.gold("user_risk_scd2")
     target = read_scd2(spark, root)
     source = gold.user_risk_score(spark.read.parquet(paths.gold("user_summary")))
     merged = merge.scd2_merge(target, source, now, mode)
-    version = "v=" + dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
-    merged.write.mode("overwrite").parquet(f"{root}/{version}")
-    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(f"{root}/_current")
+    version = _new_version()
+    merged.write.mode("errorifexists").parquet(f"{root}/{version}")
     return version
 
 
 def upsert_documents(spark: SparkSession, store: str, new_docs: DataFrame, key: str = "id") -> str:
     """K9: keyed upsert into a Parquet document store, staged like the SCD2 table."""
     old = current_version(spark, store)
-    merged = new_docs if old is None else merge.upsert(spark.read.parquet(f"{store}/{old}"), new_docs, key)
-    version = "v=" + dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
-    merged.write.mode("overwrite").parquet(f"{store}/{version}")
-    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(f"{store}/_current")
+    before = spark.createDataFrame([], new_docs.schema) if old is None else spark.read.parquet(f"{store}/{old}")
+    version = _new_version()
+    merge.upsert(before, new_docs, key).write.mode("errorifexists").parquet(f"{store}/{version}")
     return version
 
 
@@ -195,11 +237,76 @@ def gold_documents(spark: SparkSession, gold_dir: str, names: list[str] | None =
 
 
 def register_tables(spark: SparkSession, paths: Paths) -> None:
-    """K8: database + external Parquet tables over the layer paths (drop + create = replace)."""
+    """K8: database + external Parquet tables over the layer paths (drop + create = replace).
+
+    Partitions are recovered, so the tables have the rows of their files. The
+    SCD2 table points at its current version.
+    """
     db = paths.database
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
-    for name, loc in [("silver_transactions", paths.silver_good), ("silver_quarantine", paths.silver_quarantine),
-                      ("ml_features", paths.gold("ml_features")), ("user_summary", paths.gold("user_summary")),
-                      ("merchant_summary", paths.gold("merchant_summary"))]:
+    places = {"bronze_transactions": paths.bronze, "silver_transactions": paths.silver_good,
+              "silver_quarantine": paths.silver_quarantine,
+              **{name: paths.gold(name) for name in ("ml_features", "user_summary", "merchant_summary", "daily_metrics")}}
+    scd2 = current_version(spark, paths.gold("user_risk_scd2"))
+    if scd2 is not None:
+        places["user_risk_scd2"] = f"{paths.gold('user_risk_scd2')}/{scd2}"
+    for name, place in places.items():
+        found = spark.read.option("mergeSchema", "true").parquet(place)
+        keys = _partition_keys(spark, place)
+        columns = ", ".join(f"{ident(f.name)} {f.dataType.simpleString()}" for f in found.schema.fields)
+        by = f" PARTITIONED BY ({', '.join(map(ident, keys))})" if keys else ""
         spark.sql(f"DROP TABLE IF EXISTS {db}.{name}")  # external: the data stays
-        spark.sql(f"CREATE TABLE {db}.{name} USING PARQUET LOCATION '{loc}'")
+        spark.sql(f"CREATE TABLE {db}.{name} ({columns}) USING PARQUET{by} LOCATION '{place}'")
+        if keys:
+            spark.sql(f"MSCK REPAIR TABLE {db}.{name}")
+
+
+def _partition_keys(spark: SparkSession, place: str) -> list[str]:
+    """Names of the ``key=value`` directories below a table, outermost first."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(place)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    keys = []
+    while True:
+        inner = [s.getPath() for s in fs.listStatus(path) if s.isDirectory() and "=" in s.getPath().getName()]
+        if not inner:
+            return keys
+        keys.append(inner[0].getName().split("=", 1)[0])
+        # an empty side of a batch has no directories of its own: take the deepest sibling
+        path = next((p for p in inner if any(s.isDirectory() for s in fs.listStatus(p))), inner[0])
+
+
+# ------------------------------------------------------------------ model, alerts, answers
+def run_train(spark: SparkSession, paths: Paths, **options) -> DataFrame:
+    """M1–M4, M6, M7: train on the gold features; the bundle and the run record go under the model folder."""
+    features_table = spark.read.parquet(paths.gold("ml_features"))
+    model, _, report = ml.train(features_table, NUMERIC, **options)
+    ml.save_bundle(model, report, paths.gold("model"))
+    ml.log_run(report, paths.gold("model_runs"), "train", len(CATEGORICAL) + len(NUMERIC))
+    return report
+
+
+def run_evaluate(spark: SparkSession, paths: Paths) -> dict[str, DataFrame]:
+    """M5: the saved model and its threshold on the gold features, one output per artefact."""
+    model = PipelineModel.load(f"{paths.gold('model')}/model")
+    threshold = spark.read.json(f"{paths.gold('model')}/metrics").first()["best_threshold"]
+    results = ml.evaluate(model, spark.read.parquet(paths.gold("ml_features")), threshold, NUMERIC)
+    ml.save_evaluation(results, paths.gold("evaluation"))
+    return results
+
+
+def run_alerts(spark: SparkSession, paths: Paths) -> DataFrame:
+    """Control limit over the daily table; one JSON report with the flagged rows in full."""
+    flags = quality.anomaly_flags(spark.read.parquet(paths.gold("daily_metrics")))
+    report = quality.alert_report(flags)
+    report.coalesce(1).write.mode("overwrite").json(paths.gold("alerts"))  # one row
+    return report
+
+
+def run_answers(spark: SparkSession, paths: Paths, questions: DataFrame, store: str, k: int = 3) -> DataFrame:
+    """Answers of a question batch from the current document store."""
+    docs = spark.read.parquet(f"{store}/{current_version(spark, store)}")
+    ranked = retrieve.tfidf_top_k(docs, questions, k=k, doc_key="id")
+    answers = retrieve.answer_context(ranked, docs, questions=questions, doc_key="id")
+    answers.write.mode("overwrite").json(paths.gold("answers"))
+    return answers

@@ -70,6 +70,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="fjord-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)

@@ -12,6 +12,7 @@ builds both from built-ins:
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 from collections.abc import Mapping, Sequence
 
@@ -101,15 +102,26 @@ def rescue_json_lines(lines: DataFrame, schema: T.StructType, rescue: str = "_re
 
 
 # ------------------------------------------------------------------ memory
-# The schema memory is a one-line text file written through Spark, so it lives
+# The schema memory is a folder of one-line text files written through Spark, so it lives
 # on whatever shared filesystem the path names (HDFS, object store, local).
 def load_schema(spark: SparkSession, path: str) -> T.StructType | None:
-    """Read the remembered schema, or None on the first run."""
+    """The remembered schema, or None on the first run.
+
+    Every version is appended as a line of its own and none is overwritten, so
+    a run that dies while saving leaves the earlier ones; the memory is their
+    merge, oldest first. A folder whose lines are gone raises.
+    """
     try:
-        row = spark.read.text(path).first()
+        lines = spark.read.text(path)
     except AnalysisException:
         return None
-    return T.StructType.fromJson(json.loads(row[0])) if row else None
+    rows = sorted(json.loads(r[0])["saved"] + "\n" + r[0] for r in lines.collect())  # a line per evolution: few
+    if not rows:
+        raise RuntimeError(f"the schema memory at {path} is empty; restore it before ingesting")
+    merged = None
+    for r in rows:
+        merged = merge_schemas(merged, T.StructType.fromJson(json.loads(r.split("\n", 1)[1])["schema"]))
+    return merged
 
 
 def merge_schemas(old: T.StructType | None, new: T.StructType) -> T.StructType:
@@ -121,8 +133,8 @@ def merge_schemas(old: T.StructType | None, new: T.StructType) -> T.StructType:
 
 
 def save_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    spark.createDataFrame([(json.dumps(schema.jsonValue()),)], "value string") \
-        .coalesce(1).write.mode("overwrite").text(path)
+    line = json.dumps({"saved": dt.datetime.now(dt.timezone.utc).isoformat(), "schema": schema.jsonValue()})
+    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(path)
 
 
 def evolve_schema(spark: SparkSession, path: str, observed: T.StructType) -> T.StructType:

@@ -68,16 +68,15 @@ def evolve(spark: SparkSession, landing: str, memory: str, hints) -> T.StructTyp
     started = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
     last = _last_scan(spark, memory)
     schema = S.evolve_schema(spark, f"{memory}/schema", observed_schema(spark, landing, hints, last))
-    spark.createDataFrame([(started,)], "value string").coalesce(1).write.mode("overwrite").text(f"{memory}/scanned")
+    spark.createDataFrame([(started,)], "value string").coalesce(1).write.mode("append").text(f"{memory}/scanned")
     return schema
 
 
 def _last_scan(spark: SparkSession, memory: str) -> str | None:
     try:
-        row = spark.read.text(f"{memory}/scanned").first()
+        return spark.read.text(f"{memory}/scanned").agg(F.max("value")).first()[0]  # nothing is overwritten
     except AnalysisException:
         return None
-    return row[0] if row else None
 
 
 def with_ingest_metadata(df: DataFrame, environment: str, version: str = PIPELINE_VERSION,
@@ -204,10 +203,11 @@ def write_bronze(df: DataFrame, table_path: str, checkpoint: str, query_name: st
 
 
 def run_bronze(spark: SparkSession, landing: str, table_path: str, memory: str, checkpoint: str,
-               hints, environment: str = "test", timeout: float | None = None) -> T.StructType:
+               hints, environment: str = "test", timeout: float | None = None,
+               max_files_per_trigger: int | None = None) -> T.StructType:
     """One bronze run: evolve schema memory, ingest new files, wait for the end."""
     schema = evolve(spark, landing, memory, hints)
-    stream = with_ingest_metadata(read_json_stream(spark, landing, schema), environment)
+    stream = with_ingest_metadata(read_json_stream(spark, landing, schema, max_files_per_trigger), environment)
     q = write_bronze(stream, table_path, checkpoint)
     q.awaitTermination(timeout)
     return schema

@@ -11,14 +11,21 @@ after midnight selects the same rows.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamReader, StreamingQuery
 
+from fjord.functions.exprs import ident
 from fjord.operators import clean
 
 
+def bounded(reader: DataStreamReader, max_files_per_trigger: int | None) -> DataStreamReader:
+    return reader.option("maxFilesPerTrigger", max_files_per_trigger) if max_files_per_trigger else reader
+
+
 def batch_as_of(batch: DataFrame, as_of=None):
     """The pinned 'today' of a batch: explicit, else the latest ingestion date it carries."""
     if as_of is not None:
@@ -31,14 +38,24 @@ def batch_as_of(batch: DataFrame, as_of=None):
 
 
 def process_batch(batch: DataFrame, batch_id: int, good_path: str, quarantine_path: str,
-                  as_of=None, strict: bool = False, partition_col: str = "TransactionDate") -> dict:
-    """K2: split one micro-batch into good (date-partitioned) and quarantine outputs."""
+                  as_of=None, strict: bool = False, partition_col: str = "TransactionDate",
+                  names: Mapping[str, str] | None = None) -> dict:
+    """K2: split one micro-batch into good (date-partitioned) and quarantine outputs.
+
+    ``names`` turns the names of the feed into those the rules use. The time of
+    day is kept as ``TransactionTimestamp``; the date column is a day. Rows are
+    rebalanced by day before the write: few files per day, and a hot day is
+    split over several tasks.
+    """
+    batch = batch.select(*[F.col(ident(c)).alias((names or {}).get(c, c)) for c in batch.columns])
+    if "TransactionDate" in batch.columns:
+        batch = batch.withColumn("TransactionTimestamp", F.col("TransactionDate").try_cast("timestamp"))
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         pinned = batch_as_of(batch, as_of)
         good = clean.silver_good(batch, as_of=pinned, strict=strict)
         bad = clean.silver_quarantine(batch, as_of=pinned, strict=strict)
-        (good.write.mode("overwrite").partitionBy(partition_col)
+        (good.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col)
              .parquet(f"{good_path}/_batch_id={batch_id}"))
         bad.write.mode("overwrite").parquet(f"{quarantine_path}/_batch_id={batch_id}")
         return {"batch_id": batch_id, "as_of": str(pinned)}
@@ -47,23 +64,24 @@ def process_batch(batch: DataFrame, batch_id: int, good_path: str, quarantine_pa
 
 
 def run_silver(spark: SparkSession, bronze_path: str, good_path: str, quarantine_path: str,
-               checkpoint: str, as_of=None, strict: bool = False,
-               timeout: float | None = None) -> StreamingQuery:
+               checkpoint: str, as_of=None, strict: bool = False, timeout: float | None = None,
+               names: Mapping[str, str] | None = None, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """The bronze table read as a stream (schema from the table), availableNow.
 
     ``bronze_path`` is a Parquet path, or ``table:<name>`` for a registered
     table (S9, ``readStream.table``).
     """
     if bronze_path.startswith("table:"):
-        src = spark.readStream.table(bronze_path[len("table:"):])
+        src = bounded(spark.readStream, max_files_per_trigger).table(bronze_path[len("table:"):])
     else:
         schema = spark.read.option("mergeSchema", "true").parquet(bronze_path).schema
-        src = spark.readStream.schema(schema).parquet(bronze_path)
+        src = bounded(spark.readStream, max_files_per_trigger).schema(schema).parquet(bronze_path)
     q = (src.writeStream
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .queryName("silver_processing")
-            .foreachBatch(lambda df, bid: process_batch(df, bid, good_path, quarantine_path, as_of, strict))
+            .foreachBatch(lambda df, bid: process_batch(df, bid, good_path, quarantine_path, as_of, strict,
+                                                         names=names))
             .start())
     q.awaitTermination(timeout)
     return q
