@@ -17,6 +17,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # A bit set of 2^24 bits in 64-bit words: at most 262,144 rows of two longs,
 # whatever the size of the data, so it can always be broadcast.
 SKETCH_BITS = 1 << 24
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,8 +41,14 @@ def stage(df: DataFrame) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the Python workers this package, once per Spark application."""
+    """Give the Python workers this package, once per Spark application, and rows in batches that fit them.
+
+    A row holds a whole text, so Arrow batches of 1,000 rows are used where the
+    session does not say otherwise.
+    """
     sc = spark.sparkContext
+    if spark.conf.get(BATCH, None) is None:
+        spark.conf.set(BATCH, "1000")
     if getattr(sc, "_fjord_shipped", False):
         return
     top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

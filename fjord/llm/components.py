@@ -21,7 +21,7 @@ def _with_minimum(edges: DataFrame) -> DataFrame:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return (_with_minimum(stage(both)).filter("v > u")
+    return (_with_minimum(both).filter("v > u")
             .select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct())
 
 

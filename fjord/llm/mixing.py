@@ -66,26 +66,26 @@ def described(docs: DataFrame, id_col: str, text_col: str, source_col: str, lang
 
 
 def rake(cells: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, temper: float = 0.7,
-         rounds: int = 100, tolerance: float = 1e-10) -> DataFrame:
+         rounds: int = 100, tolerance: float = 1e-8) -> DataFrame:
     """Cells (source, lang, topic, n) with w: shares of the total that meet the target marginals."""
-    goals = {}
+    now = cells.withColumn("w", F.col("n").cast("double"))
     for d in DIMS:
+        size = cells.groupBy(d).agg(F.sum("n").cast("double").alias("have"))
         if targets and d in targets:
-            share = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in targets[d].items() for x in kv]), d), F.lit(0.0))
-            goal = cells.groupBy(d).agg(F.sum("n").alias("n")).select(d, F.when(F.col("n") > 0, share).otherwise(0.0).alias("p"))
+            share = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in targets[d].items() for x in kv]), F.col(d)),
+                               F.lit(0.0))
         else:
-            goal = cells.groupBy(d).agg(F.sum("n").alias("n")).select(
-                d, F.when(F.col("n") > 0, F.pow(F.col("n").cast("double"), temper)).otherwise(0.0).alias("p"))
-        goal = stage(goal)
+            share = F.pow("have", temper)
+        goal = stage(size.select(d, F.when(F.col("have") > 0, share).otherwise(0.0).alias("p")))
         total = goal.agg(F.sum("p")).first()[0] or 1.0
-        goals[d] = goal.select(d, (F.col("p") / total).alias("goal"))
-    now = stage(cells.withColumn("w", F.col("n").cast("double")))
+        now = now.join(goal.select(d, (F.col("p") / total).alias(f"goal_{d}")), d)
+    now = stage(now)
     for _ in range(rounds):
         off = F.lit(0.0)
-        for d in DIMS:
-            marginal = now.groupBy(d).agg(F.sum("w").alias("have")).join(goals[d], d)
-            now = now.join(marginal, d).withColumn(f"f_{d}", F.when(F.col("have") > 0, F.col("goal") / F.col("have")).otherwise(0.0))
-            now = now.withColumn("w", F.col("w") * F.col(f"f_{d}")).drop("have", "goal")
+        for d in DIMS:  # a marginal of few values reaches the cells by broadcast, which Spark decides by its size
+            now = now.join(now.groupBy(d).agg(F.sum("w").alias("have")), d)
+            factor = F.when(F.col("have") > 0, F.col(f"goal_{d}") / F.col("have")).otherwise(0.0)
+            now = now.withColumn(f"f_{d}", factor).withColumn("w", F.col("w") * F.col(f"f_{d}")).drop("have")
             # a factor that applies to no weight (an empty value) says nothing
             off = F.greatest(off, F.when(F.col("w") > 0, F.abs(F.col(f"f_{d}") - 1)).otherwise(0.0))
         now = stage(now.withColumn("off", off).drop(*[f"f_{d}" for d in DIMS]))
@@ -93,7 +93,7 @@ def rake(cells: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = N
         now = now.drop("off")
         if worst is None or worst < tolerance:
             break
-    return now
+    return now.drop(*[f"goal_{d}" for d in DIMS])
 
 
 def probabilities(cells: DataFrame, fraction: float) -> DataFrame:

@@ -18,7 +18,7 @@ from functools import lru_cache
 import numpy as np
 from tokenizers import Tokenizer
 
-KEEP_PIECES = 400_000
+KEEP_PIECES = 300_000
 LONG_PIECE = 200
 LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 PLAIN = re.compile(f"[\\t\\n\\r -~{LETTER}]*")
