@@ -70,15 +70,15 @@ def scd2_merge(target: DataFrame, source: DataFrame, now, mode: str = "single",
     in_t, in_s = F.col("__t").isNotNull(), F.col("__s").isNotNull()
     close = in_t & in_s & changed
 
-    kept_or_closed = j.filter(in_t).select(
+    kept = F.struct(
         F.col(f"t_{key}").alias(key), F.col(f"t_{value}").alias(value), F.col("t_valid_from").alias("valid_from"),
         F.when(close, now).otherwise(F.col("t_valid_to")).alias("valid_to"),
         F.when(close, F.lit(False)).otherwise(F.col("t_is_current")).alias("is_current"))
     insert = (in_s & ~in_t) if mode == "single" else (in_s & (~in_t | changed))
-    inserted = j.filter(insert).select(
-        F.col("s_key").alias(key), F.col("s_val").alias(value), now.alias("valid_from"),
-        end.alias("valid_to"), F.lit(True).alias("is_current"))
-    out = history.unionByName(kept_or_closed).unionByName(inserted)
+    inserted = F.struct(F.col("s_key").alias(key), F.col("s_val").alias(value), now.alias("valid_from"),
+                        end.alias("valid_to"), F.lit(True).alias("is_current"))
+    both = F.filter(F.array(F.when(in_t, kept), F.when(insert, inserted)), lambda r: r.isNotNull())
+    out = history.unionByName(j.select(F.inline(both)))
     for extra in bypass:
         out = out.unionByName(extra)
     return out

@@ -45,19 +45,21 @@ def apply_hints(df: DataFrame, hints: str | Mapping[str, str], default: str = "s
     return df.select(*out)
 
 
-def rescue_column(df: DataFrame, hints: str | Mapping[str, str]) -> Column:
-    """S6 over string columns: JSON of the hinted fields that failed their cast."""
+def rescue_column(df: DataFrame, hints: str | Mapping[str, str], extra: Mapping[str, Column] | None = None) -> Column:
+    """S6 over string columns: JSON of the hinted fields that failed their cast, and of non-NULL ``extra`` values."""
     h = parse_hints(hints)
     checked = [c for c in df.columns if h.get(c, "string") != "string"]
     entries = F.array(*[
         F.when(F.col(ident(c)).isNotNull() & F.col(ident(c)).try_cast(h[c]).isNull(),
                F.struct(F.lit(c).alias("k"), F.col(ident(c)).alias("v")))
-        for c in checked])
+        for c in checked],
+        *[F.when(v.isNotNull(), F.struct(F.lit(k).alias("k"), v.alias("v"))) for k, v in (extra or {}).items()])
     failed = F.filter(entries, lambda e: e.isNotNull())
     return F.when(F.size(failed) > 0, F.to_json(F.map_from_entries(failed)))
 
 
-def with_rescue(df: DataFrame, hints: str | Mapping[str, str], rescue: str = "_rescued_data") -> DataFrame:
+def with_rescue(df: DataFrame, hints: str | Mapping[str, str], rescue: str = "_rescued_data",
+                extra: Mapping[str, Column] | None = None) -> DataFrame:
     """Typed columns plus the rescue JSON, one projection (no shuffle)."""
     h = parse_hints(hints)
     cols = []
@@ -65,7 +67,7 @@ def with_rescue(df: DataFrame, hints: str | Mapping[str, str], rescue: str = "_r
         t = h.get(c, "string")
         col = F.col(ident(c))
         cols.append((col if t == "string" else col.try_cast(t)).alias(c))
-    return df.select(*cols, rescue_column(df, hints).alias(rescue))
+    return df.select(*cols, rescue_column(df, hints, extra).alias(rescue))
 
 
 def rescue_json_lines(lines: DataFrame, schema: T.StructType, rescue: str = "_rescued_data",

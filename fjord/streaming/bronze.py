@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import csv
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
 
@@ -54,7 +54,9 @@ def observed_schema(spark: SparkSession, landing: str, hints: Mapping[str, str]
     keys = (entries.groupBy(F.col("e.key").alias("k"))
                    .agg(F.min("pos").alias("pos"), F.max(nested.cast("int")).alias("nested"))
                    .filter("nested = 0").orderBy("pos", "k"))
-    names = [r["k"] for r in keys.collect()]  # distinct field names only: tiny
+    names = [r["k"] for r in keys.limit(MAX_FIELDS + 1).collect()]  # distinct field names only
+    if len(names) > MAX_FIELDS:
+        raise ValueError(f"more than {MAX_FIELDS} distinct fields in {landing}: are values used as names?")
     return T.StructType([T.StructField(n, _TYPES.get(h.get(n, "string"), T.StringType())) for n in names])
 
 
@@ -118,42 +120,38 @@ def read_csv_stream(spark: SparkSession, landing: str, columns: list[str], hints
     return S.with_rescue(raw, hints)  # _source_file is unhinted: passes through
 
 
-def file_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names from the first line of one CSV file.
+EXTRA_FIELDS = 32  # fields beyond the header that are rescued one by one; a row with more keeps its raw line
+MAX_FIELDS = 10_000  # a feed with more distinct field names is taken for a mistake
 
-    Read through the Hadoop file system: one line per file reaches the
-    driver, no Spark job. Quoted names are parsed like CSV.
-    """
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    stream = fs.open(p)
-    try:
-        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
-    finally:
-        stream.close()
-    return next(csv.reader([(line or "").lstrip("\ufeff")]), [])
 
+def csv_by_header(lines: DataFrame, hints) -> DataFrame | None:
+    """CSV lines bound by the header of *their own* file, typed by hint, with rescue; None without rows.
 
-def read_csv_by_header(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
-    """CSV files bound by *their own* header, as strings, unioned by name.
-
-    Under an explicit schema Spark binds CSV columns by position and ignores
-    the header, so a file with swapped or added columns would load silently
-    wrong. Files are grouped by header; each group is one distributed read
-    with that header's names; groups are unioned by name (a column missing in
-    a file is NULL). Groups are few (one per header version).
+    ``lines`` has value, _source_file and _block (where the split of the line
+    starts in its file). Under an explicit schema Spark binds CSV columns by
+    position, so a file with swapped or added columns would load silently
+    wrong. Here the first line of every file is found by one grouped minimum
+    over the first splits; only distinct headers reach the driver (one per
+    version of the feed). Lines meet their header by a join on the file, are
+    parsed by it and unioned by name (a column missing in a file is NULL).
+    Fields beyond the header, and values that do not fit their hint, go to
+    ``_rescued_data``.
     """
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        groups.setdefault(tuple(file_header(spark, path)), []).append(path)
+    numbered = lines.withColumn("__n", F.monotonically_increasing_id())
+    headers = (numbered.filter("_block = 0").groupBy("_source_file").agg(F.min_by("value", "__n").alias("__header"))
+               .filter("trim(__header) <> ''"))
+    names = [r[0] for r in headers.select("__header").distinct().limit(MAX_FIELDS).collect()]
+    bound = lines.join(headers, "_source_file").filter("value <> __header and trim(value) <> ''")
     parts = []
-    for header, files in sorted(groups.items(), key=lambda kv: min(kv[1])):
-        if not header:
-            continue  # an empty file: no rows
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-        parts.append(spark.read.schema(schema).option("header", "true").option("enforceSchema", "false")
-                     .csv(files).withColumn("_source_file", F.col("_metadata.file_path")))
+    for header in sorted(names):
+        columns = next(csv.reader([header.lstrip("\ufeff")]), [])
+        extras = [f"__extra_{i + 1}" for i in range(EXTRA_FIELDS)]
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, *extras, "__raw"]])
+        row = F.from_csv("value", F.lit(schema.toDDL()), {"columnNameOfCorruptRecord": "__raw"})
+        parsed = bound.filter(F.col("__header") == header).select(row.alias("r"), "_source_file").select("r.*", "_source_file")
+        more = {f"_extra_{i + 1}": F.col(c) for i, c in enumerate(extras)}
+        more["_raw"] = F.when(F.col(extras[-1]).isNotNull(), F.col("__raw"))
+        parts.append(S.with_rescue(parsed, hints, extra=more).drop(*extras, "__raw"))
     return S.union_by_name(parts) if parts else None
 
 
@@ -162,31 +160,30 @@ def run_bronze_csv(spark: SparkSession, landing: str, table_path: str, checkpoin
                    timeout: float | None = None) -> StreamingQuery:
     """S4–S8 for a CSV feed whose header may drift between files.
 
-    The stream source lists files only (``binaryFile`` with just the path
-    selected never reads contents); its checkpoint remembers which files are
-    done. Each micro-batch reads its files by their own headers, applies the
-    hints with rescue, adds ingestion metadata and overwrites its own
+    The stream reads lines with their file; its checkpoint remembers which
+    files are done. Each micro-batch binds its lines by their files' headers
+    (``csv_by_header``), adds ingestion metadata and overwrites its own
     ``_bronze_batch_id=<id>`` directory, so a replayed batch replaces exactly
     itself (the name differs from silver's ``_batch_id`` directories, so the
-    column passes through silver as lineage).
-    New columns appear as new Parquet columns; ``read_bronze`` merges schemas.
+    column passes through silver as lineage). New columns appear as new
+    Parquet columns; ``read_bronze`` merges schemas. No file is opened on the
+    driver; compressed files are read like others. Quoted line breaks are not
+    supported.
     """
-    listing = "path string, modificationTime timestamp, length bigint, content binary"  # the format's fixed schema
-    reader = (spark.readStream.format("binaryFile").schema(listing).option("recursiveFileLookup", "true")
-                   .option("pathGlobFilter", "*.csv"))
+    reader = (spark.readStream.format("text").option("recursiveFileLookup", "true")
+                   .option("pathGlobFilter", "*.csv*"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    files = reader.load(landing).select("path")
+    lines = reader.load(landing).select("value", F.col("_metadata.file_path").alias("_source_file"),
+                                        F.col("_metadata.file_block_start").alias("_block"))
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        paths = sorted(r["path"] for r in df.collect())  # this batch's file names (≤ maxFilesPerTrigger)
-        data = read_csv_by_header(spark, paths)
-        if data is None:
-            return
-        out = with_ingest_metadata(S.with_rescue(data, hints), environment)
-        out.write.mode("overwrite").parquet(f"{table_path}/_bronze_batch_id={batch_id}")
-
-    q = (files.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+        data = csv_by_header(df, hints)
+        if data is not None:
+            out = with_ingest_metadata(data, environment)
+            out.write.mode("overwrite").parquet(f"{table_path}/_bronze_batch_id={batch_id}")
+
+    q = (lines.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
               .queryName("bronze_csv").foreachBatch(batch).start())
     q.awaitTermination(timeout)
     return q
