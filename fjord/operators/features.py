@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -70,6 +70,25 @@ def align_features(df: DataFrame, feature_columns: Sequence[str], keep: Sequence
                      *[dummy_expr(df.columns, f).alias(f) for f in feature_columns])
 
 
+HASHED = ["account_hash", "merchant_hash"]
+
+
+def frequency_table(df: DataFrame, column: str) -> DataFrame:
+    """M1: (value, share of the rows) of a hash column; one partially aggregated count, a scalar for the total."""
+    total = df.agg(F.count(F.lit(1))).scalar()
+    return df.groupBy(F.col(ident(column)).alias("value")).agg((F.count(F.lit(1)) / total).alias("share"))
+
+
+def with_frequencies(df: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """``df`` with ``<column>_freq`` for every table; a value the table lacks has frequency 0, NULL is a value."""
+    out = df
+    for c, t in tables.items():
+        t = t.select(F.col("value").alias("__v"), F.col("share").alias("__s"))
+        out = (out.join(t, F.col(ident(c)).eqNullSafe(F.col("__v")), "left")
+                  .withColumn(f"{c}_freq", F.coalesce("__s", F.lit(0.0))).drop("__v", "__s"))
+    return out
+
+
 def hash_unit(key: Column, seed: int = 42) -> Column:
     """Deterministic 48-bit pseudo-random integer per key (SHA-256 prefix)."""
     return F.conv(F.substring(F.sha2(F.concat(F.lit(f"{seed}:"), key.cast("string")), 256), 1, 12),

@@ -9,7 +9,7 @@ boosted trees. Training runs as distributed Spark jobs; nothing is collected.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fjord.operators import metrics
-from fjord.operators.features import CATEGORICAL, stratified_split
+from fjord.operators.features import CATEGORICAL, HASHED, frequency_table, stratified_split, with_frequencies
 from fjord.operators.quality import class_weight
 from fjord.session import reliable_checkpoint
 
@@ -44,16 +44,22 @@ def prepare(df: DataFrame, label: str, numeric: Sequence[str], weight: float | N
 
 def train(df: DataFrame, numeric: Sequence[str], label: str = "is_fraud",
           categorical: Sequence[str] = CATEGORICAL, max_iter: int = 300, step_size: float = 0.05,
-          max_depth: int = 5, seed: int = 42, key: str = "tr_id") -> tuple[PipelineModel, DataFrame, DataFrame]:
-    """M2 + M3: stratified split, class-weighted GBT; returns (model, scored test set, metrics row).
+          max_depth: int = 5, seed: int = 42, key: str = "tr_id", hashed: Sequence[str] = HASHED,
+          ) -> tuple[PipelineModel, DataFrame, DataFrame, dict[str, DataFrame]]:
+    """M1–M3: stratified split, class-weighted GBT; returns (model, scored test set, metrics row, frequencies).
 
     The weight is negatives / max(positives, 1) over the training split (A11).
+    Hash columns enter as their frequency in the training split; the tables
+    are part of the model.
     """
     # an iterative trainer reads its input many times: materialise it once (lineage cut)
     split = reliable_checkpoint(stratified_split(df, label=label, key=key, seed=seed))
     train_df = split.filter(F.col("split") == "train")
     test_df = split.filter(F.col("split") == "test")
     w = class_weight(train_df, label).first()["scale_pos_weight"]  # one scalar
+    tables = {c: reliable_checkpoint(frequency_table(train_df, c)) for c in hashed if c in df.columns}
+    train_df, test_df = with_frequencies(train_df, tables), with_frequencies(test_df, tables)
+    numeric = [*numeric, *[f"{c}_freq" for c in tables]]
     gbt = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=max_iter,
                         stepSize=step_size, maxDepth=max_depth, seed=seed)
     model = Pipeline(stages=[*feature_pipeline(categorical, numeric), gbt]).fit(
@@ -67,7 +73,7 @@ def train(df: DataFrame, numeric: Sequence[str], label: str = "is_fraud",
         best.select("f1").scalar().alias("best_f1"),
         F.lit(float(w)).alias("scale_pos_weight"),
         F.array(*[F.lit(c) for c in [*categorical, *numeric]]).alias("feature_columns"))
-    return model, scored, report
+    return model, scored, report, tables
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -75,9 +81,11 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df).withColumn("score", vector_to_array("probability")[1])
 
 
-def save_bundle(model: PipelineModel, report: DataFrame, path: str) -> None:
-    """M6: model + metrics (threshold included) side by side."""
+def save_bundle(model: PipelineModel, report: DataFrame, path: str, frequencies: Mapping[str, DataFrame] | None = None) -> None:
+    """M6: model, metrics (threshold included) and frequency tables side by side."""
     model.write().overwrite().save(f"{path}/model")
+    for c, t in (frequencies or {}).items():
+        t.write.mode("overwrite").parquet(f"{path}/frequencies/{c}")
     report.coalesce(1).write.mode("overwrite").json(f"{path}/metrics")
 
 
@@ -89,14 +97,15 @@ def log_run(report: DataFrame, runs_path: str, run_name: str, feature_count: int
            .write.mode("append").parquet(runs_path))
 
 
-def evaluate(model: PipelineModel, df: DataFrame, threshold: float, numeric: Sequence[str],
-             label: str = "is_fraud") -> dict[str, DataFrame]:
+def evaluate(model: PipelineModel, df: DataFrame, threshold: float, numeric: Sequence[str], label: str = "is_fraud",
+             frequencies: Mapping[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """M5: score with a saved model and its threshold; PR points, AP, matrix, report.
 
     Returns lazy DataFrames; ``save_evaluation`` writes them. The PR points
     replace the reference's plot.
     """
-    scored = reliable_checkpoint(score(model, prepare(df, label, numeric)))
+    encoded = with_frequencies(df, frequencies or {})
+    scored = reliable_checkpoint(score(model, prepare(encoded, label, [*numeric, *[f"{c}_freq" for c in frequencies or {}]])))
     curve = metrics.pr_curve(scored, "label", "score")
     return {
         "pr_curve": curve,

@@ -22,7 +22,7 @@ from fjord.config import Paths
 from fjord.functions.constants import BUSINESS_MAPPING, SCHEMA_HINTS
 from fjord.functions.exprs import ident, pii_hash
 from fjord.operators import gold, landing, merge, ml, quality, retrieve
-from fjord.operators.features import CATEGORICAL, NUMERIC
+from fjord.operators.features import CATEGORICAL, HASHED, NUMERIC
 from fjord.streaming import bronze, silver
 
 
@@ -280,9 +280,9 @@ def _partition_keys(spark: SparkSession, place: str) -> list[str]:
 def run_train(spark: SparkSession, paths: Paths, **options) -> DataFrame:
     """M1–M4, M6, M7: train on the gold features; the bundle and the run record go under the model folder."""
     features_table = spark.read.parquet(paths.gold("ml_features"))
-    model, _, report = ml.train(features_table, NUMERIC, **options)
-    ml.save_bundle(model, report, paths.gold("model"))
-    ml.log_run(report, paths.gold("model_runs"), "train", len(CATEGORICAL) + len(NUMERIC))
+    model, _, report, tables = ml.train(features_table, NUMERIC, **options)
+    ml.save_bundle(model, report, paths.gold("model"), tables)
+    ml.log_run(report, paths.gold("model_runs"), "train", len(CATEGORICAL) + len(NUMERIC) + len(tables))
     return report
 
 
@@ -290,7 +290,8 @@ def run_evaluate(spark: SparkSession, paths: Paths) -> dict[str, DataFrame]:
     """M5: the saved model and its threshold on the gold features, one output per artefact."""
     model = PipelineModel.load(f"{paths.gold('model')}/model")
     threshold = spark.read.json(f"{paths.gold('model')}/metrics").first()["best_threshold"]
-    results = ml.evaluate(model, spark.read.parquet(paths.gold("ml_features")), threshold, NUMERIC)
+    tables = {c: spark.read.parquet(f"{paths.gold('model')}/frequencies/{c}") for c in HASHED}
+    results = ml.evaluate(model, spark.read.parquet(paths.gold("ml_features")), threshold, NUMERIC, frequencies=tables)
     ml.save_evaluation(results, paths.gold("evaluation"))
     return results
 

@@ -457,6 +457,11 @@ nulls AS (SELECT source_column, CAST(NULL AS VARCHAR) AS category,
 SELECT *, source_column || '_' || coalesce(category, 'nan') AS feature
 FROM (SELECT * FROM seen UNION ALL SELECT * FROM nulls)""".replace("\n, cats AS", ", cats AS"))
 
+register("hash_frequencies", with_ctes(TXN_CTE) + """
+SELECT tr_id, round(count(*) OVER (PARTITION BY account_hash) / count(*) OVER (), 6) AS account_hash_freq,
+       round(count(*) OVER (PARTITION BY merchant_hash) / count(*) OVER (), 6) AS merchant_hash_freq
+FROM txn""")
+
 register("feature_align", with_ctes(TXN_CTE) + """
 SELECT tr_id, round(coalesce(amount, 0.0), 6) AS amount, round(coalesce(prev_amount, 0.0), 6) AS prev_amount,
        round(coalesce(rolling_avg_amount_7, 0.0), 6) AS rolling_avg_amount_7,

@@ -325,6 +325,14 @@ FEATURE_COLUMNS = ["amount", "prev_amount", "rolling_avg_amount_7", "transaction
                    "transaction_type_error", "transaction_type_refund", "location_LOC_0", "location_nan"]
 
 
+@query("hash_frequencies")
+def _hash_frequencies(spark, d):
+    """M1: the two hash columns as the share of rows that hold their value."""
+    t = txn(spark, d)
+    tables = {c: features.frequency_table(t, c) for c in features.HASHED}
+    return features.with_frequencies(t, tables).select("tr_id", *[f"{c}_freq" for c in features.HASHED])
+
+
 @query("feature_align")
 def _feature_align(spark, d):
     """Align ml_features to a training column list (missing → 0)."""

@@ -10,7 +10,7 @@ from fjord.config import Paths
 from fjord.operators import clean, merge
 from fjord.plans import jobs
 from fjord.sources import schema as S
-from fjord.sources.tables import raw_txn
+from fjord.sources.tables import raw_txn, txn
 from fjord.streaming import bronze, silver
 from tests.conftest import SF_SMALL
 
@@ -50,8 +50,8 @@ def test_jobs_chain(spark, tmp_path):
     assert {r[0] for r in good.select("TransactionAmount").collect()} <= {r[0] for r in feed.select("TransactionAmount").collect()}
     assert good.filter(F.date_format("TransactionTimestamp", "HH:mm:ss") != "00:00:00").count() > 0
 
-    txn = jobs.run_gold(spark, paths)
-    assert spark.read.parquet(paths.gold("ml_features")).count() == txn.count() == good.count()
+    gold_input = jobs.run_gold(spark, paths)
+    assert spark.read.parquet(paths.gold("ml_features")).count() == gold_input.count() == good.count()
     jobs.run_scd2(spark, paths, now="2024-02-01 00:00:00", mode="complete")
     jobs.run_scd2(spark, paths, now="2024-02-02 00:00:00", mode="complete")
     scd = jobs.read_scd2(spark, paths.gold("user_risk_scd2"))
@@ -133,3 +133,15 @@ def test_schema_memory_survives_a_crash(spark, tmp_path):
             open(f"{path}/{f}", "w").close()
     with pytest.raises(RuntimeError):
         S.load_schema(spark, path)
+
+
+def test_train_and_evaluate_jobs(spark, tmp_path):
+    paths = Paths(str(tmp_path / "lake"), "test")
+    jobs.write_gold(spark, txn(spark, SF_SMALL), paths)
+    report = jobs.run_train(spark, paths, max_iter=3).first()
+    assert {"account_hash_freq", "merchant_hash_freq"} <= set(report["feature_columns"])
+    results = jobs.run_evaluate(spark, paths)
+    n = spark.read.parquet(paths.gold("ml_features")).count()
+    assert sum(r["row_count"] for r in results["confusion_matrix"].collect()) == n
+    assert spark.read.json(paths.gold("evaluation") + "/pr_curve").count() == results["pr_curve"].count() > 0
+    assert spark.read.parquet(paths.gold("model_runs")).count() == 1
