@@ -25,3 +25,46 @@ ORACLE: dict[str, str] = {
                doc_id = max(doc_id) OVER w AS kept, sha256(n) AS text_sha256
         FROM t WINDOW w AS (PARTITION BY n)""",
 }
+
+
+def _mixing_sql(sweeps: int = 40, scalings: int = 15, fraction: float = 0.7, temper: float = 0.7, seed: str = "mix") -> str:
+    """The raking as a chain of windows, the budget's scale as a chain of scalars."""
+    steps = [f"""d AS MATERIALIZED (
+        SELECT *, CASE WHEN tokens = 0 THEN 'empty' WHEN contains(text, ' | ') THEN 'table'
+                       WHEN contains(text, '@') THEN 'contact' WHEN tokens < 60 THEN 'note'
+                       WHEN tokens < 400 THEN 'article' ELSE 'long' END AS topic
+        FROM (SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '(none)') AS source,
+                     coalesce(lang, '(none)') AS lang,
+                     len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\r]+')) AS tokens,
+                     ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), md5(coalesce(text, ''))) || ':{seed}'), 1, 13))::BIGINT
+                         / {1 << 52}::DOUBLE AS u
+              FROM documents)),
+        cells AS MATERIALIZED (SELECT source, lang, topic, sum(tokens)::DOUBLE AS n FROM d GROUP BY ALL)"""]
+    for c in ("source", "lang", "topic"):
+        steps.append(f"""goal_{c} AS MATERIALIZED (
+            SELECT {c}, p / sum(p) OVER () AS goal_{c}
+            FROM (SELECT {c}, CASE WHEN sum(n) > 0 THEN pow(sum(n), {temper}) ELSE 0 END AS p FROM cells GROUP BY {c}))""")
+    steps.append("r0 AS (SELECT *, n AS w FROM cells JOIN goal_source USING (source) JOIN goal_lang USING (lang) "
+                 "JOIN goal_topic USING (topic))")
+    last = "r0"
+    for i in range(sweeps):
+        for c in ("source", "lang", "topic"):
+            name = f"r{i}_{c}"
+            steps.append(f"{name} AS MATERIALIZED (SELECT * REPLACE (CASE WHEN sum(w) OVER (PARTITION BY {c}) > 0 "
+                         f"THEN w * goal_{c} / sum(w) OVER (PARTITION BY {c}) ELSE 0 END AS w) FROM {last})")
+            last = name
+    scale = "0.0"
+    for i in range(scalings):
+        steps.append(f"""s{i} AS MATERIALIZED (
+            SELECT greatest({scale}, coalesce(((SELECT sum(n) FROM cells) * {fraction} - coalesce(sum(n) FILTER (w * {scale} >= n), 0))
+                            / sum(w) FILTER (w * {scale} < n), {scale})) AS s FROM {last} WHERE w > 0)""")
+        scale = f"(SELECT s FROM s{i})"
+    return "WITH " + ",\n".join(steps) + f"""
+        SELECT doc_id, source, lang, topic, tokens,
+               round(CASE WHEN n > 0 THEN w * (SELECT sum(n) FROM cells) / n ELSE 1.0 END, 6) AS weight,
+               round(CASE WHEN n = 0 THEN 1.0 ELSE least(1.0, w * {scale} / n) END, 6) AS probability,
+               u < CASE WHEN n = 0 THEN 1.0 ELSE least(1.0, w * {scale} / n) END AS selected
+        FROM d JOIN {last} USING (source, lang, topic)"""
+
+
+ORACLE["op9_mixing"] = _mixing_sql()
