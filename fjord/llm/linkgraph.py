@@ -67,7 +67,7 @@ def host_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
 
 
 def propagate(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, rounds: int = 20,
-              tolerance: float = 1e-6) -> DataFrame:
+              tolerance: float = 0.0) -> DataFrame:
     """Rows (host, trust, distrust) from seeds (host, trusted, blocked: 0 to 1) over edges (src, dst, n).
 
     score = (1 - damping) * seed + damping * what the neighbours pass on, each in
@@ -92,7 +92,7 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, rounds:
                  .join(score.select("host", "kind", F.col("v").alias("y")), ["host", "kind"], "full")
                  .agg(F.max(F.abs(F.coalesce("x", F.lit(0.0)) - F.coalesce("y", F.lit(0.0))))).first()[0])
         score = new
-        if moved is None or moved < tolerance:
+        if moved is None or moved <= tolerance:
             break
     return score.groupBy("host").agg(
         F.sum(F.when(F.col("kind") == 0, F.col("v")).otherwise(0.0)).alias("trust"),

@@ -68,3 +68,106 @@ def _mixing_sql(sweeps: int = 40, scalings: int = 15, fraction: float = 0.7, tem
 
 
 ORACLE["op9_mixing"] = _mixing_sql()
+
+
+def _secrets_sql() -> str:
+    """Spans from the pieces between matches; the 40-character runs are cut out whole, as there is no look-around."""
+    given = r"""["']?\x20*[:=]\x20*["']?"""
+    patterns = {
+        "assign": f"(?i:password|passwd|secret|token|api_?key){given}([A-Za-z0-9+/_.=-]+)",
+        "access": "AKIA[A-Z0-9]{12,}", "hex": "[0-9a-f]{32,}",
+        "id": f"(?i:user(?:_?name)?|login|client_?id|account(?:_?id)?|access_?key_?id){given}[A-Za-z0-9_.@+-]{{3,}}",
+        "blob": "[A-Za-z0-9+/]{40,}=?",
+        "endpoint": r"""(?i:https?|ftps?|jdbc:[a-z0-9]+|amqps?|rediss?|mongodb|s3)://[^\t\n\x0B\f\r "'<>]+""",
+        "blank": r"\n[\x20\t\r]*\n"}
+    hits = []
+    for kind, pattern in patterns.items():
+        p = "'" + pattern.replace("'", "''") + "'"
+        value = f"regexp_extract_all(t, {p}, 1)[i]" if kind == "assign" else "''"
+        hits.append(f"""SELECT u, '{kind}' AS kind, i, length(string_split_regex(t, {p})[i]) AS gap,
+            regexp_extract_all(t, {p})[i] AS m, {value} AS v
+            FROM (SELECT u, t, unnest(range(1, len(regexp_extract_all(t, {p})) + 1)) AS i FROM d)""")
+    union = " UNION ALL ".join(hits)
+    return f"""
+        WITH d AS MATERIALIZED (SELECT row_number() OVER () AS u, doc_id, coalesce(text, '') AS t FROM documents),
+        hits AS ({union}),
+        placed AS (
+            SELECT u, sum(gap + length(m)) OVER w - length(m) AS a, sum(gap + length(m)) OVER w AS z,
+                   CASE WHEN kind = 'assign' AND length(v) < 8 OR kind = 'blob' THEN 'secret' ELSE kind END AS kind,
+                   kind <> 'blob' OR length(m) = 40 AND m NOT LIKE '%=' AND regexp_matches(m, '[0-9]')
+                       AND regexp_matches(m, '[a-z]') AND regexp_matches(m, '[A-Z]') AS good
+            FROM hits WINDOW w AS (PARTITION BY u, kind ORDER BY i)),
+        scoped AS (
+            SELECT *, kind IN ('assign', 'access', 'hex') AS strong,
+                   sum(CASE WHEN kind = 'blank' THEN 1 ELSE 0 END) OVER w AS scope,
+                   max(CASE WHEN kind IN ('assign', 'access', 'hex') THEN z END) OVER w AS covered
+            FROM placed WHERE good WINDOW w AS (PARTITION BY u ORDER BY a, z DESC ROWS UNBOUNDED PRECEDING)),
+        free AS (SELECT *, NOT strong AND coalesce(covered, 0) > a AS inside FROM scoped WHERE kind <> 'blank'),
+        near AS (
+            SELECT *, bool_or(kind IN ('access', 'id') AND NOT inside) OVER w AS who,
+                   bool_or(kind IN ('assign', 'hex', 'secret') AND NOT inside) OVER w AS what
+            FROM free WINDOW w AS (PARTITION BY u, scope ORDER BY a RANGE BETWEEN 200 PRECEDING AND 200 FOLLOWING)),
+        told AS (
+            SELECT u, kind, strong, a, list_position(['assign', 'access', 'hex', 'id', 'secret', 'endpoint'], kind) AS rank,
+                   kind || ':' || CAST(a AS VARCHAR) || ':' || CAST(z AS VARCHAR) AS span
+            FROM near WHERE strong OR NOT inside AND CASE kind WHEN 'id' THEN what WHEN 'secret' THEN who ELSE who AND what END)
+        SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+               count(*) FILTER (kind = 'hex') AS n_hex,
+               sha256(coalesce(string_agg(span, ',' ORDER BY a, rank) FILTER (strong), '')) AS base_sha256,
+               coalesce(string_agg(span, ',' ORDER BY a, rank), '') AS spans
+        FROM d LEFT JOIN told USING (u) GROUP BY d.u, doc_id"""
+
+
+ORACLE["op2_secrets"] = _secrets_sql()
+
+
+def _verdict_sql(rounds: int = 20, damping: float = 0.85, least: float = 0.01, share: float = 0.75) -> str:
+    """Rules by length, then the walks as a chain of joins."""
+    rules = [("block", "example.org", "/en/1"), ("block", "example.org", "/es/"), ("allow", "com", "/fr/"),
+             ("block", "com", "/de/"), ("allow", "org", "/")]  # longest first
+    fits = lambda h, p: f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')"
+    pick = lambda n: "CASE " + " ".join(f"WHEN {fits(h, p)} THEN '{(v, h + p)[n]}'" for v, h, p in rules) + " END"
+    low = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+    link = r"""(?i)<a\\s[^>]*?href\\s*=\\s*["'']?\\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"''\\s<>]+)""".replace("\\\\", "\\")
+    steps = [f"""p AS (
+            SELECT page_id, html, translate(regexp_extract(rest, '^[^/?#]*'), {low}) AS host,
+                   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+            FROM (SELECT page_id, html, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+                  FROM pages)),
+        judged AS MATERIALIZED (SELECT *, {pick(0)} AS ruled, {pick(1)} AS rule FROM p),
+        restart AS MATERIALIZED (
+            SELECT * FROM (
+                SELECT host, 0 AS kind, {1 - damping} * avg(CASE WHEN ruled = 'allow' THEN 1.0 ELSE 0.0 END) AS v
+                FROM judged WHERE host <> '' GROUP BY host
+                UNION ALL
+                SELECT host, 1, {1 - damping} * avg(CASE WHEN ruled = 'block' THEN 1.0 ELSE 0.0 END)
+                FROM judged WHERE host <> '' GROUP BY host)
+            WHERE v > 0),
+        edges AS (
+            SELECT host AS src, dst, count(*) AS n
+            FROM (SELECT host, unnest(list_distinct(list_transform(regexp_extract_all(html, '{link}', 1),
+                                                                   lambda h: translate(h, {low})))) AS dst
+                  FROM judged WHERE host <> '')
+            WHERE dst <> host GROUP BY ALL),
+        walk AS MATERIALIZED (
+            SELECT kind, a, b, n / sum(n) OVER (PARTITION BY kind, a) AS w
+            FROM (SELECT 0 AS kind, src AS a, dst AS b, n FROM edges UNION ALL SELECT 1, dst, src, n FROM edges)),
+        r0 AS (SELECT * FROM restart)"""]
+    for i in range(rounds):
+        steps.append(f"""r{i + 1} AS MATERIALIZED (
+            SELECT host, kind, sum(v) AS v
+            FROM (SELECT b AS host, kind, v * w * {damping} AS v
+                  FROM walk JOIN (SELECT host AS a, kind, v FROM r{i}) USING (kind, a)
+                  UNION ALL SELECT host, kind, v FROM restart)
+            GROUP BY host, kind)""")
+    return "WITH " + ",\n".join(steps) + f""",
+        score AS (SELECT host, coalesce(sum(v) FILTER (kind = 0), 0.0) AS trust, coalesce(sum(v) FILTER (kind = 1), 0.0) AS distrust
+                  FROM r{rounds} GROUP BY host)
+        SELECT page_id, j.host, path, rule,
+               coalesce(ruled, CASE WHEN distrust >= {least} AND distrust > {share} * (trust + distrust) THEN 'block' ELSE 'allow' END)
+                   AS verdict,
+               round(coalesce(trust, 0.0), 9) AS trust, round(coalesce(distrust, 0.0), 9) AS distrust
+        FROM judged AS j LEFT JOIN score USING (host)"""
+
+
+ORACLE["op4_url_verdicts"] = _verdict_sql()
