@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from fjord.functions.constants import ANSWER_PREFIX, ANSWER_SUFFIX
 from fjord.functions.exprs import ident
+from fjord.session import ship_package
 
 MAX_BROADCAST_QUERIES = 10_000
 
@@ -140,6 +141,7 @@ def nearest_vectors(vectors: DataFrame, queries: DataFrame, k: int = 3, qid: str
     so no query × vector pair is ever materialised or shuffled.
     """
     spark = vectors.sparkSession
+    ship_package(spark)
     batch = _query_matrix(queries, qid, vec, max_queries)
     if batch is None:
         return nearest_vectors_chunked(vectors, queries, k, qid, max_queries, vid=vid, vec=vec, metric=metric)
