@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
-import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fjord.session import ensure_checkpoint_dir
+from fjord.session import ensure_checkpoint_dir, ship_package
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -41,26 +38,14 @@ def stage(df: DataFrame) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the Python workers this package, once per Spark application, and rows in batches that fit them.
+    """Give the Python workers this package, and rows in batches that fit them.
 
     A row holds a whole text, so Arrow batches of 1,000 rows are used where the
     session does not say otherwise.
     """
-    sc = spark.sparkContext
+    ship_package(spark)
     if spark.conf.get(BATCH, None) is None:
         spark.conf.set(BATCH, "1000")
-    if getattr(sc, "_fjord_shipped", False):
-        return
-    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    target = os.path.join(tempfile.mkdtemp(prefix="fjord-zip-"), "fjord_package.zip")
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
-        for folder, _, names in os.walk(top):
-            for name in names:
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
-    sc.addPyFile(target)
-    sc._fjord_shipped = True
 
 
 def ascii_lower(c: Column) -> Column:
