@@ -14,6 +14,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # A bit set of 2^24 bits in 64-bit words: at most 262,144 rows of two longs,
 # whatever the size of the data, so it can always be broadcast.
 SKETCH_BITS = 1 << 24
+_STAGED: list[str] = []
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -34,9 +35,19 @@ def stage(df: DataFrame) -> DataFrame:
     """
     path = shared_folder(df.sparkSession)
     df.write.parquet(path)
+    _STAGED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sweep(spark: SparkSession) -> int:
+    """Delete the tables this process staged so far; for jobs, once their results are written."""
+    jvm, n = spark.sparkContext._jvm, 0
+    while _STAGED:
+        path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        n += path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return n
+
+
 def ship(spark: SparkSession) -> None:
     """Give the Python workers this package, and rows in batches that fit them.
 
