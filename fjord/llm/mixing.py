@@ -19,7 +19,9 @@ joins; documents are only joined with the finished cells.
 Defined cases: null or missing source and language are a value of their own
 (``(none)``); a null or empty text has no tokens and falls into the topic
 ``empty``; a cell without tokens gets probability 1 (it costs nothing); with explicit
-targets a value without a share gets probability 0; a null id is hashed by its
+targets a value without a share gets probability 0; targets that the cells
+cannot meet together (a value that stands in cells of others only) are met as
+far as the last round goes; a null id is hashed by its
 text; rows that share an id share their fate; an empty table gives no rows;
 columns of any name are left alone.
 """
@@ -79,7 +81,7 @@ def rake(cells: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = N
         goal = stage(size.select(d, F.when(F.col("have") > 0, share).otherwise(0.0).alias("p")))
         total = goal.agg(F.sum("p")).first()[0] or 1.0
         now = now.join(goal.select(d, (F.col("p") / total).alias(f"goal_{d}")), d)
-    now = stage(now)
+    now, before = stage(now), None
     for _ in range(rounds):
         off = F.lit(0.0)
         for d in DIMS:  # a marginal of few values reaches the cells by broadcast, which Spark decides by its size
@@ -91,8 +93,10 @@ def rake(cells: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = N
         now = stage(now.withColumn("off", off).drop(*[f"f_{d}" for d in DIMS]))
         worst = now.agg(F.max("off")).first()[0]
         now = now.drop("off")
-        if worst is None or worst < tolerance:
+        # targets that empty cells rule out are never met: then the factors go round in circles
+        if worst is None or worst < tolerance or before is not None and abs(before - worst) < tolerance:
             break
+        before = worst
     return now.drop(*[f"goal_{d}" for d in DIMS])
 
 
