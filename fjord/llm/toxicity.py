@@ -20,8 +20,9 @@ A text is as toxic as its worst words: a logistic fit turns the two largest
 margins into a probability. Spaced-out letters are joined to a word first.
 
 The fit uses at most ``fit_docs`` labelled rows, in order of a hash of the id;
-three quarters of them (one of each family of copies) train the machine, the
-others the logistic. Scoring covers whole texts; the model is one table of
+three quarters of them (one of each group of copies) train the machine, the
+others the logistic. Copies are texts of one label that share half of their runs
+of five words, as estimated by min-hashes. Scoring covers whole texts; the model is one table of
 fixed size.
 
 Defined cases: a null text counts as empty, and a text without words has the
@@ -55,6 +56,7 @@ SPACED = re.compile(r"(?<!\w)(?:[^\W\d_][\W_]{1,2}){3,}[^\W\d_](?!\w)")
 KEEP_WORDS = 400_000
 STEM = "\n"
 FLOOR = -3.0  # margin of a text without words
+HASHES, BAND, ALIKE = 126, 3, 0.5  # min-hashes of a text, those that stand for it in a look-up, the share copies agree in
 
 
 def words(text: str | None) -> list[str]:
@@ -206,6 +208,42 @@ def fit_words(toxic: list[str], seen: list[float], clean: list[str], landmarks:
     return np.bincount(slot, value * (root @ w)[who], SLOTS), constant
 
 
+def signature(text: str | None) -> np.ndarray:
+    """Least hashes of the text's runs of five words (of all its words where it has fewer); marks at word ends do not count."""
+    code = np.array([xxhash.xxh64_intdigest(EDGE.sub("", w)) for w in words(text)], np.uint64)
+    code = np.r_[code, np.zeros(max(0, 5 - len(code)), np.uint64)]
+    n = len(code) - 4
+    run = code[:n]
+    for i in range(1, 5):
+        run = (run ^ run >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) + code[i:n + i]
+    run = np.unique(run ^ run >> np.uint64(32))
+    factors = np.random.default_rng(7).integers(0, 1 << 63, HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
+    return np.array([(run * f >> np.uint64(32)).min() for f in factors], np.uint32)
+
+
+def one_of_each(rows: pd.DataFrame) -> pd.DataFrame:
+    """The rows (o, y, signature) without copies of an earlier one with the same label, in order of o."""
+    kept = []
+    for _, part in rows.sort_values(["y", "o"]).groupby("y"):
+        signs = np.frombuffer(b"".join(part["signature"]), np.uint32).reshape(-1, HASHES)
+        wide = signs.astype(np.uint64).reshape(len(signs), -1, BAND)
+        keys = wide @ np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
+        shared = np.empty(keys.shape, bool)
+        for b in range(keys.shape[1]):
+            _, group, size = np.unique(keys[:, b], return_inverse=True, return_counts=True)
+            shared[:, b] = size[group] > 1
+        first: dict[tuple[int, int], list[int]] = {}  # kept rows by band; only bands that meet another row
+        for i, s in enumerate(signs):
+            bands = [(b, int(keys[i, b])) for b in np.flatnonzero(shared[i])]
+            near = sorted(set().union(*(first.get(k, []) for k in bands)))
+            if near and (signs[near] == s).mean(axis=1).max() >= ALIKE:
+                continue
+            for k in bands:
+                first.setdefault(k, []).append(i)
+            kept.append(part.index[i])
+    return rows.loc[kept]
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text",
           fit_docs: int = 12_000, landmarks: int = 256, word_rows: int = 4_000) -> Model:
     """Fit the machine and the logistic weights on a bounded sample of labelled rows."""
@@ -215,10 +253,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
     share = rows.agg((F.coalesce(F.sum("y"), F.lit(0)) + 1) / (F.count("*") + 2)).first()[0]
     prior = Model(np.zeros(SLOTS), 0.0, np.array([0.0, 0.0, np.log(share / (1 - share))]))
 
-    def families(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:  # copies of a text mostly share the least hash of their words
-            least = [min((xxhash.xxh64_intdigest(EDGE.sub("", w)) >> 1 for w in words(t)), default=0) for t in b["text"]]
-            yield pd.DataFrame({"o": b["o"], "y": b["y"], "family": np.array(least, np.int64)})
+    def signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"o": b["o"], "y": b["y"], "signature": [signature(t).tobytes() for t in b["text"]]})
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -233,17 +270,20 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
 
     texts = stage(with_texts(docs, sample, id_col, text_col))
     learn = texts.filter(F.pmod("o", F.lit(4)) != 0)
-    one = stage(learn.mapInPandas(families, "o long, y int, family long").groupBy("y", "family")
-                .agg(F.min("o").alias("o")).select("o", "y"))
-    total = {r.y: float(r.n) for r in one.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    # at most fit_docs rows of half a kilobyte
+    kept = one_of_each(learn.mapInPandas(signatures, "o long, y int, signature binary").toPandas())
+    total = {int(y): float(n) for y, n in kept["y"].value_counts().items()}
     if len(total) < 2:
         return prior
+    one = stage(docs.sparkSession.createDataFrame(list(zip(kept["o"].tolist(), kept["y"].tolist(), strict=True)),
+                                                  "o long, y int"))
     # Chernoff's bound on the chance that something that tells nothing stands in so many toxic texts, against
     # the number of words and stems that were tried
     a, b, rate = F.col("a"), F.col("b"), total[1] / (total[0] + total[1])
     surprise = (F.when(a > 0, a * F.log(a / ((a + b) * rate))).otherwise(0.0)
                 + F.when(b > 0, b * F.log(b / ((a + b) * (1 - rate)))).otherwise(0.0))
-    counted = stage(learn.join(F.broadcast(one), ["o", "y"]).select("text", "y").mapInPandas(split, "w string, y int")
+    counted = stage(learn.join(F.broadcast(one), ["o", "y"]).dropDuplicates(["o", "y"]).select("text", "y")
+                    .mapInPandas(split, "w string, y int")
                     .groupBy("w").agg(F.sum("y").cast("double").alias("a"), F.sum(1 - F.col("y")).cast("double").alias("b"))
                     .withColumn("g", F.when(a > (a + b) * rate, surprise).otherwise(0.0)))
     tried = float(np.log(max(2, counted.count())))

@@ -3,7 +3,9 @@
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from fjord.llm import quality, toxicity
@@ -97,3 +99,20 @@ def test_spaced_and_altered_insults_are_caught(spark):
     tests = [clean, f"{clean} grobble", f"{clean} grob.ble", f"{clean} s n a r f l e", f"{clean} w-i-b-b-l-e-y", f"{clean} snarxfle"]
     out = toxicity.score(spark.createDataFrame(list(enumerate(tests)), "doc_id long, text string"), model).orderBy("doc_id").collect()
     assert [r.predicted for r in out] == [0, 1, 1, 1, 1, 1]
+
+
+def test_only_copies_are_learnt_from_once(spark):
+    """A word that every text holds does not make the texts copies; copies with a few words changed are."""
+    rng = np.random.default_rng(2)
+    vocabulary = ["".join(rng.choice(list("aeioulnrst"), 6)) for _ in range(400)]
+    least = min((f"q{i}" for i in range(100_000)), key=lambda w: xxhash.xxh64_intdigest(w) >> 1)
+    texts = [" ".join([least, *rng.choice(vocabulary, 40)]) for _ in range(600)]
+    texts = [t + " grobble" if i % 5 == 0 else t for i, t in enumerate(texts)]
+    marks = [int(i % 5 == 0) for i in range(600)]
+    rows = pd.DataFrame({"o": range(603), "y": [*marks, 0, 0, 1], "signature": [
+        toxicity.signature(t).tobytes() for t in [*texts, texts[1].replace(" ", ". ").upper(), texts[2] + " more", texts[3]]]})
+    assert sorted(toxicity.one_of_each(rows.sample(frac=1, random_state=1))["o"]) == [*range(600), 602]  # 602 has another label
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame(list(enumerate(marks)), "doc_id long, toxic int"))
+    tests = spark.createDataFrame([(0, texts[1]), (1, texts[1] + " grobble")], "doc_id long, text string")
+    assert [r.predicted for r in toxicity.score(tests, model).orderBy("doc_id").collect()] == [0, 1]
