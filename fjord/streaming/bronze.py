@@ -130,18 +130,24 @@ def csv_by_header(lines: DataFrame, hints) -> DataFrame | None:
     ``lines`` has value, _source_file and _block (where the split of the line
     starts in its file). Under an explicit schema Spark binds CSV columns by
     position, so a file with swapped or added columns would load silently
-    wrong. Here the first line of every file is found by one grouped minimum
-    over the first splits; only distinct headers reach the driver (one per
-    version of the feed). Lines meet their header by a join on the file, are
+    wrong. Here the first line of every file that is not blank is found by two
+    grouped minima, over its splits and over the lines of that split; only
+    distinct headers reach the driver (one per version of the feed; more than
+    ``MAX_FIELDS`` raise). Lines meet their header by a join on the file, are
     parsed by it and unioned by name (a column missing in a file is NULL).
     Fields beyond the header, and values that do not fit their hint, go to
     ``_rescued_data``.
     """
-    numbered = lines.withColumn("__n", F.monotonically_increasing_id())
-    headers = (numbered.filter("_block = 0").groupBy("_source_file").agg(F.min_by("value", "__n").alias("__header"))
-               .filter("trim(__header) <> ''"))
-    names = [r[0] for r in headers.select("__header").distinct().limit(MAX_FIELDS).collect()]
-    bound = lines.join(headers, "_source_file").filter("value <> __header and trim(value) <> ''")
+    told = F.col("value").rlike(r"[^\s\uFEFF]")  # other lines are blank, as for Spark's CSV reader
+    # the first splits of a file may be blank
+    first = lines.filter(told).groupBy("_source_file").agg(F.min("_block").alias("_block"))
+    numbered = lines.withColumn("__n", F.monotonically_increasing_id()).filter(told)
+    headers = (numbered.join(first, ["_source_file", "_block"])
+               .groupBy("_source_file").agg(F.min_by("value", "__n").alias("__header")))
+    names = [r[0] for r in headers.select("__header").distinct().limit(MAX_FIELDS + 1).collect()]
+    if len(names) > MAX_FIELDS:
+        raise ValueError(f"more than {MAX_FIELDS} distinct headers in one batch: do the files have headers?")
+    bound = lines.join(headers, "_source_file").filter(told & (F.col("value") != F.col("__header")))
     parts = []
     for header in sorted(names):
         columns = next(csv.reader([header.lstrip("\ufeff")]), [])

@@ -3,6 +3,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from fjord.operators import clean
@@ -151,6 +152,31 @@ def test_csv_extra_and_missing_fields(spark, tmp_path):
     assert kept["_extra_32"] == "x31" and kept["_raw"].endswith(",x39")
 
 
+def test_csv_header_after_blank_lines(spark, tmp_path):
+    landing, table = str(tmp_path / "landing"), str(tmp_path / "bronze")
+    _write_csv(f"{landing}/d1/a.csv", ["\ufeff", "  ", "\t", "TransactionID,Amount", "b-1,5.25", "", "b-2,6"])
+    _write_csv(f"{landing}/d2/b.csv", ["Amount,TransactionID", "7,b-3"])
+    # splits smaller than the run of blank lines
+    _write_csv(f"{landing}/d3/c.csv", [*[" " * 50] * 200, "Amount,TransactionID", "8,b-4"])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+    try:
+        bronze.run_bronze_csv(spark, landing, table, str(tmp_path / "ck"), HINTS)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    rows = {r["TransactionID"]: r["Amount"] for r in bronze.read_bronze(spark, table).collect()}
+    assert rows == {"b-1": 5.25, "b-2": 6.0, "b-3": 7.0, "b-4": 8.0}
+
+
+def test_csv_with_too_many_headers_raises(spark, monkeypatch):
+    monkeypatch.setattr(bronze, "MAX_FIELDS", 2)
+    rows = [(line, f"f{i}", 0) for i in range(3) for line in (f"TransactionID,c{i}", f"h-{i},x")]
+    lines = spark.createDataFrame(rows, "value string, _source_file string, _block long").coalesce(1)
+    assert bronze.csv_by_header(lines.filter("_source_file <> 'f2'"), HINTS).count() == 2
+    with pytest.raises(ValueError, match="distinct headers"):
+        bronze.csv_by_header(lines, HINTS)
+
+
 def test_json_batches_are_bounded(spark, tmp_path):
     landing, table, ckpt = str(tmp_path / "landing"), str(tmp_path / "bronze"), str(tmp_path / "ckpt")
     for i in range(5):
