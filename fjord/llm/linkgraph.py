@@ -5,7 +5,9 @@ page gets the verdict of its host: personalised PageRank spreads trust along
 links from hosts with allowed pages, and distrust against the links from hosts
 with blocked pages (a host that links to bad hosts is suspect). A host is
 blocked when its distrust reaches ``least`` and makes up more than ``share`` of
-its trust and distrust together.
+its trust and distrust together. The registered query goes on until no score
+can be further than ``within`` from its limit; without ``within`` the walks end
+after 20 rounds, as those of the DuckDB SQL do.
 
 Every round is one join of host edges with host scores and one grouped sum, all
 in Spark, over tables written to the shared folder; edges are counted with
@@ -34,6 +36,7 @@ RULES = [
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 ]
+MOST_ROUNDS = 1000  # scores that have not settled by then are an error
 LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
 
 
@@ -67,11 +70,14 @@ def host_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
 
 
 def propagate(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, rounds: int = 20,
-              tolerance: float = 0.0) -> DataFrame:
+              tolerance: float = 0.0, within: float | None = None) -> DataFrame:
     """Rows (host, trust, distrust) from seeds (host, trusted, blocked: 0 to 1) over edges (src, dst, n).
 
     score = (1 - damping) * seed + damping * what the neighbours pass on, each in
     proportion to its links; what a host without links would pass on is lost.
+    With ``within``, ``rounds`` and ``tolerance`` do not count: the sum of all
+    changes shrinks by ``damping`` every round at least, so what is still on its
+    way to any host is at most damping / (1 - damping) of the last sum.
     """
     edges = stage(edges)
     restart = stage(
@@ -82,18 +88,24 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, rounds:
         edges.select(F.lit(1).alias("kind"), F.col("dst").alias("a"), F.col("src").alias("b"), "n"))
     total = stage(steps.groupBy("kind", "a").agg(F.sum("n").alias("all")))
     steps = stage(stage(steps).join(total, ["kind", "a"]).select("kind", "a", "b", (F.col("n") / F.col("all")).alias("w")))
-    score = restart
-    for _ in range(0 if edges.isEmpty() else rounds):
+    score, most = restart, rounds if within is None else MOST_ROUNDS
+    for done in range(0 if edges.isEmpty() else most):
         passed = (steps.join(score.select("kind", F.col("host").alias("a"), "v"), ["kind", "a"])
                   .select(F.col("b").alias("host"), "kind", (F.col("v") * F.col("w") * damping).alias("v")))
         new = stage(passed.unionByName(restart.select("host", "kind", "v")).groupBy("host", "kind")
                     .agg(F.sum("v").alias("v")))
+        change = F.abs(F.coalesce("x", F.lit(0.0)) - F.coalesce("y", F.lit(0.0)))
         moved = (new.select("host", "kind", F.col("v").alias("x"))
                  .join(score.select("host", "kind", F.col("v").alias("y")), ["host", "kind"], "full")
-                 .agg(F.max(F.abs(F.coalesce("x", F.lit(0.0)) - F.coalesce("y", F.lit(0.0))))).first()[0])
+                 .agg(F.max(change).alias("most"), F.sum(change).alias("all")).first())
         score = new
-        if moved is None or moved <= tolerance:
+        if moved["most"] is None or within is None and moved["most"] <= tolerance:
             break
+        if within is not None:
+            if moved["all"] * damping / (1 - damping) <= within:
+                break
+            if done + 1 == most:
+                raise RuntimeError(f"scores have not settled after {most} rounds: {moved['all']} moved in the last one")
     return score.groupBy("host").agg(
         F.sum(F.when(F.col("kind") == 0, F.col("v")).otherwise(0.0)).alias("trust"),
         F.sum(F.when(F.col("kind") == 1, F.col("v")).otherwise(0.0)).alias("distrust"))
@@ -101,7 +113,7 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, rounds:
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, id_col: str = "page_id",
           url_col: str = "url", html_col: str = "html", least: float = 0.01, share: float = 0.75,
-          default: str = "allow") -> DataFrame:
+          default: str = "allow", within: float | None = None) -> DataFrame:
     """Per page row: id, host, path, rule (or null), verdict (allow or block), trust and distrust of its host."""
     host, path = split_url(F.col(url_col))
     judged = (pages.select(F.col(id_col).alias("__id"), host.alias("host"), path.alias("path"))
@@ -109,7 +121,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, id_co
     seeds = stage(judged.filter("host <> ''").groupBy("host").agg(
         F.avg((F.coalesce(F.col("__r.verdict"), F.lit("")) == "allow").cast("double")).alias("trusted"),
         F.avg((F.coalesce(F.col("__r.verdict"), F.lit("")) == "block").cast("double")).alias("blocked")))
-    scores = stage(propagate(seeds, host_edges(pages, url_col, html_col)))
+    scores = stage(propagate(seeds, host_edges(pages, url_col, html_col), within=within))
     trust, distrust = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
     by_host = (F.when(F.col("trust").isNull(), F.lit(default))
                .when((distrust >= least) & (distrust > share * (trust + distrust)), F.lit("block"))

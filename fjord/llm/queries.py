@@ -35,7 +35,7 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = linkgraph.judge(table(spark, sf_dir, "pages"))
+    out = linkgraph.judge(table(spark, sf_dir, "pages"), within=1e-6)
     return out.withColumns({c: F.round(c, 9) for c in ("trust", "distrust")})
 
 

@@ -127,6 +127,23 @@ def test_distrust_runs_against_links_and_trust_along(spark):
                    5: (None, "allow"), 6: (None, "allow")}
 
 
+def test_query_follows_links_to_the_end(spark, tmp_path, monkeypatch):
+    """Distrust reaches the start of a chain of 25 hosts before 30 blocked ones."""
+    page = lambda i, host, path, *to: (i, f"http://{host}{path}", "".join(f"<a href='http://{t}/'>" for t in to))
+    bad = [f"bad{i}.com" for i in range(30)]
+    pages = [page(100 + i, h, "/de/1") for i, h in enumerate(bad)]
+    pages += [page(i, f"a{i}.net", "/", *([f"a{i + 1}.net"] if i < 25 else bad)) for i in range(1, 26)]
+    pages += [page(200, "r1.com", "/de/1", "r2.net"), page(201, "r2.net", "/", "r1.com")]  # a ring never comes to rest
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: r for r in QUERIES["op4_url_verdicts"](spark, str(tmp_path)).collect()}
+    for i in range(1, 26):
+        assert got[i].verdict == "block" and got[i].distrust == pytest.approx(30 * 0.15 * 0.85 ** (26 - i), abs=1e-6)
+    assert got[200].distrust == pytest.approx(0.15 / (1 - 0.85**2), abs=1e-6)
+    monkeypatch.setattr(linkgraph, "MOST_ROUNDS", 3)
+    with pytest.raises(RuntimeError, match="not settled after 3 rounds"):
+        QUERIES["op4_url_verdicts"](spark, str(tmp_path))
+
+
 def test_verdict_query(spark):
     pages = [(r.page_id, r.url, r.html) for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect()]
     got = QUERIES["op4_url_verdicts"](spark, SF_SMALL).collect()
