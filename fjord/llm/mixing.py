@@ -21,13 +21,14 @@ Defined cases: null or missing source and language are a value of their own
 ``empty``; a cell without tokens gets probability 1 (it costs nothing); with explicit
 targets a value without a share gets probability 0; targets that the cells
 cannot meet together (a value that stands in cells of others only) are met as
-far as the last round goes; a null id is hashed by its
+far as the last round goes, which is logged as a warning; a null id is hashed by its
 text; rows that share an id share their fate; an empty table gives no rows;
 columns of any name are left alone.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -81,7 +82,7 @@ def rake(cells: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = N
         goal = stage(size.select(d, F.when(F.col("have") > 0, share).otherwise(0.0).alias("p")))
         total = goal.agg(F.sum("p")).first()[0] or 1.0
         now = now.join(goal.select(d, (F.col("p") / total).alias(f"goal_{d}")), d)
-    now, before = stage(now), None
+    now, before, worst = stage(now), None, None
     for _ in range(rounds):
         off = F.lit(0.0)
         for d in DIMS:  # a marginal of few values reaches the cells by broadcast, which Spark decides by its size
@@ -97,6 +98,8 @@ def rake(cells: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = N
         if worst is None or worst < tolerance or before is not None and abs(before - worst) < tolerance:
             break
         before = worst
+    if worst is not None and worst >= tolerance:
+        logging.getLogger(__name__).warning("raking ended with a marginal off its target by a share of %g", worst)
     return now.drop(*[f"goal_{d}" for d in DIMS])
 
 

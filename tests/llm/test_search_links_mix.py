@@ -212,6 +212,14 @@ def test_mixing(spark):
     assert all(g["__p"] == 0 for g in only if g["__lang"] != "de" and g["__tokens"])
 
 
+def test_raking_tells_of_targets_it_cannot_meet(spark, caplog):
+    cells = spark.createDataFrame([("a", "en", "note", 5), ("b", "de", "note", 5)], "source string, lang string, topic string, n long")
+    mixing.rake(cells, {"source": {"a": 0.9, "b": 0.1}, "lang": {"en": 0.9, "de": 0.1}})
+    assert not caplog.records
+    mixing.rake(cells, {"source": {"a": 0.9, "b": 0.1}, "lang": {"en": 0.1, "de": 0.9}})
+    assert [r.name for r in caplog.records if "off its target" in r.message] == ["fjord.llm.mixing"]
+
+
 def test_mixing_query(spark):
     rows = [(r.doc_id, r.text, r.source, r.lang) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
     want = {x[0]: x for x in brute_mix(rows, 0.7)[0]}
