@@ -15,7 +15,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # whatever the size of the data, so it can always be broadcast.
 SKETCH_BITS = 1 << 24
 _STAGED: list[str] = []
-BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,12 +51,13 @@ def sweep(spark: SparkSession) -> int:
 def ship(spark: SparkSession) -> None:
     """Give the Python workers this package, and rows in batches that fit them.
 
-    A row holds a whole text, so Arrow batches of 1,000 rows are used where the
-    session does not say otherwise.
+    A row holds a whole text, so Arrow batches of 1,000 rows and 32 MB (or one
+    longer row) are used where the session does not say otherwise.
     """
     ship_package(spark)
-    if spark.conf.get(BATCH, None) is None:
-        spark.conf.set(BATCH, "1000")
+    for key, value in ((BATCH, "1000"), (BATCH_BYTES, str(32 << 20))):
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
 
 
 def ascii_lower(c: Column) -> Column:

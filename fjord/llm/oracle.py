@@ -171,3 +171,71 @@ def _verdict_sql(rounds: int = 20, damping: float = 0.85, least: float = 0.01, s
 
 
 ORACLE["op4_url_verdicts"] = _verdict_sql()
+
+
+def _host_rules_sql(limit: float = 0.5, margin: float = 2.0) -> str:
+    """Measures from unnested words and lines, then moments of the hosts' failures per rule."""
+    word, blanks = r"[^\x20\x09-\x0D]+", r"[^\x20\x09-\x0D]"
+    rules = ["n_words < 10", "100 * n_repeat_words > 20 * n_words", "100 * n_dup_lines > 30 * n_lines",
+             "100 * n_symbols > 10 * n_words", "word_chars < 3 * n_words OR word_chars > 12 * n_words"]
+    fails = " UNION ALL ".join(
+        f"SELECT host, {i} AS rule, count(*)::DOUBLE AS n, count(*) FILTER ({r})::DOUBLE AS k FROM m GROUP BY host"
+        for i, r in enumerate(rules))
+    return f"""
+        WITH d AS MATERIALIZED (
+            SELECT row_number() OVER () AS u, doc_id, coalesce(source, '(none)') AS host, coalesce(text, '') AS t FROM documents),
+        w AS MATERIALIZED (
+            SELECT u, i, words[i] AS word, array_to_string(words[i:i + 4], ' ') AS run, i + 4 <= len(words) AS whole
+            FROM (SELECT u, words, unnest(range(1, len(words) + 1)) AS i
+                  FROM (SELECT u, regexp_extract_all(t, '{word}') AS words FROM d))),
+        marked AS (SELECT *, whole AND count(*) OVER (PARTITION BY u, run, whole) > 1 AS twice FROM w),
+        covered AS (SELECT u, length(word) AS chars, bool_or(twice) OVER (
+                        PARTITION BY u ORDER BY i ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS hit FROM marked),
+        by_word AS (SELECT u, count(*) AS n_words, sum(chars)::BIGINT AS word_chars, count(*) FILTER (hit) AS n_repeat_words
+                    FROM covered GROUP BY u),
+        lines AS (SELECT u, unnest(string_split(t, chr(10))) AS line FROM d),
+        by_line AS (SELECT u, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+                    FROM lines WHERE regexp_matches(line, '{blanks}') GROUP BY u),
+        m AS MATERIALIZED (
+            SELECT doc_id, host, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+                   len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+                   coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines
+            FROM d LEFT JOIN by_word USING (u) LEFT JOIN by_line USING (u)),
+        fails AS MATERIALIZED ({fails}),
+        moments AS (SELECT rule, sum(n) AS total, count(*) AS hosts, sum(k) / sum(n) AS mean, sum(k * k / n) AS squares,
+                           sum(n * n) AS sizes FROM fails GROUP BY rule),
+        spread AS (SELECT rule, mean, (squares - total * mean * mean) / nullif(mean * (1 - mean), 0) - (hosts - 1) AS between_hosts,
+                          total - sizes / total - (hosts - 1) AS room, total FROM moments),
+        alike AS (SELECT rule, mean, least(greatest(coalesce(
+                      CASE WHEN room > 1e-9 * total THEN between_hosts / room END, 0), 1e-6), 1 - 1e-6) AS c FROM spread),
+        rates AS (SELECT host, n, (1 - c) / c AS s, (mean * (1 - c) / c + k) / ((1 - c) / c + n) AS rate
+                  FROM fails JOIN alike USING (rule)),
+        hosts AS (SELECT host, max(rate) AS host_rate,
+                         bool_or(rate - {margin} * sqrt(rate * (1 - rate) / (s + n + 1)) > {limit}) AS host_failed
+                  FROM rates GROUP BY host)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {rules[0]} OR {rules[1]} AS base_failed,
+               NOT ({rules[0]} OR {rules[1]}) AND NOT host_failed AS kept, host, round(host_rate, 9) AS host_rate
+        FROM m JOIN hosts USING (host)"""
+
+
+ORACLE["op11_host_rules"] = _host_rules_sql()
+
+ORACLE["op12_hard_negatives"] = """
+    WITH v AS MATERIALIZED (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    p AS MATERIALIZED (
+        SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.e, b.e)::BIGINT AS score
+        FROM v AS a JOIN v AS b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+    positive AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM p WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT anchor_id, positive_id,
+           (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+           vec_id AS negative_id, positive_score, score AS negative_score
+    FROM positive JOIN p USING (anchor_id)
+    WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    QUALIFY rank <= 10"""

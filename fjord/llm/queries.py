@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fjord.llm import blockann, chunkbpe, credentials, exactdup, linkgraph, mixing, quality, simhash, tokenfiles, toxicity
+from fjord.llm import (
+    blockann, chunkbpe, credentials, exactdup, hardneg, hostrules, linkgraph, mixing, quality, simhash, tokenfiles, toxicity,
+    whitening,
+)
 from fjord.llm.common import ascii_lower, shared_folder, table
 
 
@@ -79,6 +82,21 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = hostrules.judge(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+                      "host", F.round("host_rate", 9).alias("host_rate"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, moved)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_secrets": op2_secrets,
@@ -90,4 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_mixing": op9_mixing,
     "op10_simhash": op10_simhash,
+    "op11_host_rules": op11_host_rules,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_whitening": op13_whitening,
 }
