@@ -12,16 +12,19 @@ Weak kinds are parts that mean little alone:
 * ``secret``    an assign of fewer than 8 characters, or 40 characters of mixed base64
 * ``endpoint``  a url of a service
 
-They are reported only where complementary parts co-occur within ``REACH`` code
-points, from start to start, in the same paragraph (text between blank lines):
+They are reported only where complementary parts co-occur in the same paragraph
+(text between blank lines) with at most ``REACH`` code points between them, from
+the end of the part that starts first to the start of the other:
 an ``id`` with a secret (assign, hex or secret), a ``secret`` with an identifier
 (access or id), an ``endpoint`` with both. A weak part inside a strong span is
 that span's and not reported again.
 
 The positions of a pattern's matches follow from the lengths of what ``split``
-leaves between them. The interval join is a window over a row range of each
-document's parts, ordered by place, so it needs no pairs: its work is n log n in
-the parts of a document, and documents without parts cost one narrow row.
+leaves between them. The interval join needs no pairs: of the complementary parts
+that start no later than a part the one that ends last is nearest, of those that
+start no earlier the first one, so a running maximum forwards and a running
+minimum backwards over a document's parts decide it. The work is n log n in the
+parts of a document, and documents without parts cost one narrow row.
 
 Defined cases: a null text counts as empty; texts without spans have an empty
 list, whose digest is that of the empty string; repeated rows and null ids each
@@ -94,11 +97,18 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach
         F.max(F.when(strong, F.col("end"))).over(before).alias("covered"))
     placed = placed.filter("kind is null or kind <> 'blank'")
 
-    near = Window.partitionBy("u", "scope").orderBy("start").rangeBetween(-reach, reach)
+    up_to = Window.partitionBy("u", "scope").orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
+    from_ = Window.partitionBy("u", "scope").orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, 0)
     inside = ~strong & (F.coalesce("covered", F.lit(0)) > F.col("start"))
-    who = F.max(F.col("kind").isin("access", "id") & ~inside).over(near)
-    what = F.max(F.col("kind").isin("assign", "hex", "secret") & ~inside).over(near)
-    placed = placed.select("*", inside.alias("inside"), who.alias("who"), what.alias("what"))
+
+    def near(*kinds: str) -> Column:
+        part = F.col("kind").isin(*kinds) & ~F.col("inside")
+        last_end, next_start = F.max(F.when(part, F.col("end"))).over(up_to), F.min(F.when(part, F.col("start"))).over(from_)
+        return F.coalesce(F.col("start") - last_end <= reach, F.lit(False)) | F.coalesce(
+            next_start - F.col("end") <= reach, F.lit(False))
+
+    placed = placed.withColumn("inside", inside).select(
+        "*", near("access", "id").alias("who"), near("assign", "hex", "secret").alias("what"))
     told = strong | ~F.col("inside") & (
         F.when(F.col("kind") == "id", F.col("what")).when(F.col("kind") == "secret", F.col("who"))
         .otherwise(F.col("who") & F.col("what")))

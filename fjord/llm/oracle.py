@@ -11,7 +11,7 @@ ORACLE: dict[str, str] = {
               AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
         p AS (
             SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.e, v.e) AS score
-            FROM v AS q JOIN v ON q.vec_id <> v.vec_id
+            FROM v AS q JOIN v ON NOT (q.vec_id = v.vec_id AND q.e = v.e)
             WHERE q.vec_id % 20 = 0),
         r AS (
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
@@ -88,6 +88,9 @@ def _secrets_sql() -> str:
             regexp_extract_all(t, {p})[i] AS m, {value} AS v
             FROM (SELECT u, t, unnest(range(1, len(regexp_extract_all(t, {p})) + 1)) AS i FROM d)""")
     union = " UNION ALL ".join(hits)
+    nearby = lambda kinds: (
+        f"coalesce(a - max(z) FILTER (kind IN ({kinds}) AND NOT inside) OVER up_to <= 200, false)"
+        f" OR coalesce(min(a) FILTER (kind IN ({kinds}) AND NOT inside) OVER onward - z <= 200, false)")
     return f"""
         WITH d AS MATERIALIZED (SELECT row_number() OVER () AS u, doc_id, coalesce(text, '') AS t FROM documents),
         hits AS ({union}),
@@ -104,9 +107,9 @@ def _secrets_sql() -> str:
             FROM placed WHERE good WINDOW w AS (PARTITION BY u ORDER BY a, z DESC ROWS UNBOUNDED PRECEDING)),
         free AS (SELECT *, NOT strong AND coalesce(covered, 0) > a AS inside FROM scoped WHERE kind <> 'blank'),
         near AS (
-            SELECT *, bool_or(kind IN ('access', 'id') AND NOT inside) OVER w AS who,
-                   bool_or(kind IN ('assign', 'hex', 'secret') AND NOT inside) OVER w AS what
-            FROM free WINDOW w AS (PARTITION BY u, scope ORDER BY a RANGE BETWEEN 200 PRECEDING AND 200 FOLLOWING)),
+            SELECT *, {nearby("'access', 'id'")} AS who, {nearby("'assign', 'hex', 'secret'")} AS what
+            FROM free WINDOW up_to AS (PARTITION BY u, scope ORDER BY a RANGE UNBOUNDED PRECEDING),
+                             onward AS (PARTITION BY u, scope ORDER BY a RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
         told AS (
             SELECT u, kind, strong, a, list_position(['assign', 'access', 'hex', 'id', 'secret', 'endpoint'], kind) AS rank,
                    kind || ':' || CAST(a AS VARCHAR) || ':' || CAST(z AS VARCHAR) AS span

@@ -4,9 +4,12 @@ import hashlib
 import random
 import re
 
+import duckdb
+import pandas as pd
 from pyspark.sql import functions as F
 
 from fjord.llm import credentials as C
+from fjord.llm.oracle import ORACLE
 from fjord.llm.queries import QUERIES
 from tests.conftest import SF_SMALL
 
@@ -33,8 +36,9 @@ def plain(text):
     scope = lambda at: sum(b < at for b in blanks)
     weak = [w for w in weak if not any(s[0] <= w[0] < s[1] for s in strong)]
     parts = strong + weak
+    between = lambda w, p: p[0] - w[1] if p[0] >= w[0] else w[0] - p[1]
     near = lambda w, kinds: any(
-        p[2] in kinds and abs(p[0] - w[0]) <= C.REACH and scope(p[0]) == scope(w[0]) for p in parts)
+        p[2] in kinds and between(w, p) <= C.REACH and scope(p[0]) == scope(w[0]) for p in parts)
     found = list(strong)
     for w in weak:
         who, what = near(w, ("access", "id")), near(w, ("assign", "hex", "secret"))
@@ -66,6 +70,26 @@ def test_weak_parts_need_their_complement(spark):
     assert out == {1: [], 2: ["id", "secret"], 3: [], 4: [], 5: ["endpoint", "id", "secret"], 6: []}
 
 
+def test_long_parts_keep_their_neighbours(spark):
+    url = "https://db.example.com/" + "p" * 220
+    rows = [(1, "token=" + "j" * 230 + "\nuser: bob"), (2, url + "\nuser=bob password=hunter2"),
+            (3, "user=bob" + " " * 200 + "password=hunter2"), (4, "user=bob" + " " * 201 + "password=hunter2"),
+            (5, "user: bob\n" + url + "\npassword=hunter2")]
+    out = C.spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: [s.kind for s in r.spans] for r in out} == {
+        1: ["assign", "id"], 2: ["endpoint", "id", "secret"], 3: ["id", "secret"], 4: [], 5: ["endpoint"]}
+    assert all([tuple(s) for s in r.spans] == plain(dict(rows)[r.doc_id]) for r in out)
+
+
+def test_sql_agrees():
+    r = random.Random(11)
+    texts = ["".join(r.choice(BITS) for _ in range(r.randint(0, 25))) for _ in range(600)] + ["token=" + "j" * 230 + "\nuser: bob"]
+    rows = duckdb.connect()
+    rows.register("documents", pd.DataFrame({"doc_id": range(len(texts)), "text": texts}))
+    for doc_id, _, _, _, _, spans in rows.sql(ORACLE["op2_secrets"]).fetchall():
+        assert spans == ",".join(f"{k}:{a}:{b}" for a, _, k, b in plain(texts[doc_id])), repr(texts[doc_id])
+
+
 def test_odd_tables(spark):
     rows = [(None, "token=abcdefgh"), (None, None), (3, ""), (4, "token=abcdefgh"), (4, "token=abcdefgh"),
             (5, "x " * 200_000 + "token=abcdefgh " * 500)]
