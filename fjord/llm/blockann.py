@@ -42,7 +42,7 @@ class Cell:
         self.ints, self.scale, self.err, self.norm = quantise(vectors)
         self.best: list[list[tuple[float, int]]] = [[] for _ in ids]
 
-    def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+    def add(self, ids: np.ndarray, keys: np.ndarray, vectors: np.ndarray) -> None:
         """Merge a tile of candidates into the heaps."""
         ints, scale, err, norm = quantise(vectors)
         for at in range(0, len(self.ids), QUERY_TILE):
@@ -51,7 +51,7 @@ class Cell:
             near = (self.ints[part] @ ints.T).astype(np.float64) * self.scale[part, None] * scale[None, :]
             bound = self.norm[part, None] * err + self.err[part, None] * (norm + err)
             bound += SLACK * (self.norm[part, None] + self.err[part, None]) * (norm + err) + np.finfo(float).tiny
-            near[self.ids[part, None] == ids[None, :]] = -np.inf
+            near[(self.ids[part, None] == ids[None, :]) & (self.keys[part, None] == keys[None, :])] = -np.inf
             least = np.array([-b[-1][0] if len(b) == self.k else -np.inf for b in self.best[part]])
             if len(ids) > self.k:
                 least = np.maximum(least, np.partition(near - bound, -self.k, axis=1)[:, -self.k])
@@ -102,11 +102,12 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
 
     Defined cases: rows with a null id, and vectors that are null, empty, zero
     or hold a null, NaN or infinite component take no part; vectors are only
-    compared with those of the same length; candidates are all rows with
-    another id than the query's; ties go to the smaller id; repeated query
-    rows (same id and vector) are searched once, rows that share an id but not
-    the vector each get their own ranks; repeated candidate rows each count;
-    an empty table gives no rows; other columns are ignored.
+    compared with those of the same length; candidates are all rows but the
+    query's own; ties go to the smaller id; repeated query rows (same id and
+    vector) are one row, searched once and not a neighbour of itself, rows that
+    share an id but not the vector each get their own ranks and can be each
+    other's neighbours; repeated candidate rows each count; an empty table
+    gives no rows; other columns are ignored.
     """
     spark = vectors.sparkSession
     ship(spark)
@@ -150,7 +151,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
                     continue
                 ready = ready or start()
                 for at in range(0, len(ids) if ready else 0, TILE):
-                    ready.add(ids[at:at + TILE], v[at:at + TILE])
+                    ready.add(ids[at:at + TILE], keys[at:at + TILE], v[at:at + TILE])
         if ready is not None:
             yield ready.result()
 

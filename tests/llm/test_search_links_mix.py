@@ -22,7 +22,7 @@ def brute_nearest(rows, k, is_query):
     for i, v in sorted(set((i, tuple(v)) for i, v in good if is_query(i))):
         found = []
         for j, w in good:
-            if j != i and len(w) == len(v):
+            if (j, tuple(w)) != (i, v) and len(w) == len(v):
                 s = 0.0
                 for a, b in zip(v, w, strict=True):
                     s += a * b
