@@ -45,15 +45,27 @@ def scd2_merge(target: DataFrame, source: DataFrame, now, mode: str = "single",
     with the source; history rows and, in single mode, NULL-key rows (which
     can never match) bypass the join through unions.
     """
+    history = target.filter(~F.col("is_current"))
+    current = target.filter(F.col("is_current"))
+    return history.unionByName(_scd2_step(current, source, now, mode, key, value, keep=True))
+
+
+def scd2_changes(current: DataFrame, source: DataFrame, now, mode: str = "single",
+                 key: str = "account_hash", value: str = "risk_score") -> DataFrame:
+    """Only what a merge of ``source`` changes: the current rows it closes, as closed, and the rows it inserts."""
+    return _scd2_step(current, source, now, mode, key, value, keep=False)
+
+
+def _scd2_step(current: DataFrame, source: DataFrame, now, mode: str, key: str, value: str, keep: bool) -> DataFrame:
+    """Current rows after the merge, with those it closes; without ``keep`` unchanged ones are left out."""
     if mode not in ("single", "complete"):
         raise ValueError(f"unknown SCD2 mode {mode!r}")
     now = _ts(now)
     end = F.lit(OPEN_END).cast("timestamp")
-    history = target.filter(~F.col("is_current"))
-    current = target.filter(F.col("is_current"))
     bypass = []
     if mode == "single":
-        bypass.append(current.filter(F.col(key).isNull()))
+        if keep:
+            bypass.append(current.filter(F.col(key).isNull()))
         bypass.append(source.filter(F.col(key).isNull()).select(
             key, value, now.alias("valid_from"), end.alias("valid_to"), F.lit(True).alias("is_current")))
         current, source = current.filter(F.col(key).isNotNull()), source.filter(F.col(key).isNotNull())
@@ -77,8 +89,8 @@ def scd2_merge(target: DataFrame, source: DataFrame, now, mode: str = "single",
     insert = (in_s & ~in_t) if mode == "single" else (in_s & (~in_t | changed))
     inserted = F.struct(F.col("s_key").alias(key), F.col("s_val").alias(value), now.alias("valid_from"),
                         end.alias("valid_to"), F.lit(True).alias("is_current"))
-    both = F.filter(F.array(F.when(in_t, kept), F.when(insert, inserted)), lambda r: r.isNotNull())
-    out = history.unionByName(j.select(F.inline(both)))
+    both = F.filter(F.array(F.when(in_t if keep else close, kept), F.when(insert, inserted)), lambda r: r.isNotNull())
+    out = j.select(F.inline(both))
     for extra in bypass:
         out = out.unionByName(extra)
     return out

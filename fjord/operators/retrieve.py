@@ -4,8 +4,7 @@
   every vector partition; each task computes distances with numpy and keeps
   its own top k per query, then the candidates (queries × k × partitions) are
   ranked once;
-* TF-IDF cosine top-k: terms exploded and counted once, weighed with common
-  terms broadcast, scored per document;
+* TF-IDF cosine top-k against a stored inverted index (``textindex``);
 * documents: gold tables rendered as JSON text (first 50 rows each).
 """
 
@@ -15,13 +14,15 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fjord.functions.constants import ANSWER_PREFIX, ANSWER_SUFFIX
 from fjord.functions.exprs import ident
+from fjord.operators import textindex
+from fjord.operators.kbest import KBest, tile_rows, top_k_per_group
+from fjord.operators.textindex import term_counts  # noqa: F401  (part of this module's interface)
 from fjord.session import ship_package
 
 MAX_BROADCAST_QUERIES = 10_000
@@ -35,29 +36,6 @@ def centroids(vectors: DataFrame, group: str = "label", vec: str = "embedding")
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "x"))), lambda e: e["x"]).alias(vec))
 
 
-def top_k_per_group(cands: DataFrame, group: Sequence[str], order: Sequence[Column], k: int,
-                    buckets: int = 64) -> DataFrame:
-    """Top-k rows per group (``rank`` = 1..k) without putting a whole group in one task.
-
-    A ``row_number() <= k`` filter over a window is planned by Spark with a
-    partial ``WindowGroupLimit`` before the shuffle: every map task keeps only
-    its best k rows per group, so a hot group costs k rows per task, never the
-    group (asserted in the plan tests). Spark inserts that limit only for k up
-    to ``spark.sql.optimizer.windowGroupLimitThreshold``; above it the cut is
-    taken in two steps — best k per (group, row-hash bucket), then over the at
-    most k × buckets survivors — which is exact, since a global top-k row is in
-    the top k of its own bucket.
-    """
-    group = list(group)
-    limit = int(cands.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if k > limit:
-        b = cands.withColumn("__b", F.pmod(F.xxhash64(*[F.col(c) for c in cands.columns]), F.lit(buckets)))
-        w1 = Window.partitionBy(*group, "__b").orderBy(*order)
-        cands = b.withColumn("__r", F.row_number().over(w1)).filter(F.col("__r") <= k).drop("__r", "__b")
-    w = Window.partitionBy(*group).orderBy(*order)
-    return cands.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-
-
 def _query_matrix(queries: DataFrame, qid: str, vec: str, limit: int):
     """The query batch as (ids, float64 matrix), or None when it has more than ``limit`` rows.
 
@@ -73,58 +51,51 @@ def _query_matrix(queries: DataFrame, qid: str, vec: str, limit: int):
     return ids, mat
 
 
-_BLOCK_ELEMENTS = 4_000_000  # bound on one numpy temporary (rows × queries × dims), ~32 MB
+_BLOCK_ELEMENTS = 2_000_000  # bound on one numpy temporary (rows × queries × dims), 16 MB
 
 
 def _distances(vm: np.ndarray, qm: np.ndarray, metric: str) -> np.ndarray:
-    """rows × queries distances: squared L2 (exact differences, in row blocks) or −cosine."""
+    """rows × queries distances: squared L2 (exact differences, in blocks of both) or −cosine."""
     if metric != "l2":
         vn = np.linalg.norm(vm, axis=1)[:, None]
         qn = np.linalg.norm(qm, axis=1)[None, :]
         with np.errstate(invalid="ignore", divide="ignore"):
             return -(vm @ qm.T) / np.where(vn * qn == 0, np.nan, vn * qn)
-    step = max(1, _BLOCK_ELEMENTS // max(1, qm.shape[0] * qm.shape[1]))
+    some = max(1, min(qm.shape[0], _BLOCK_ELEMENTS // max(1, qm.shape[1])))
+    step = max(1, _BLOCK_ELEMENTS // max(1, some * qm.shape[1]))
     out = np.empty((vm.shape[0], qm.shape[0]))
     for i in range(0, vm.shape[0], step):
-        diff = vm[i:i + step, None, :] - qm[None, :, :]
-        out[i:i + step] = np.einsum("vqd,vqd->vq", diff, diff)
+        for j in range(0, qm.shape[0], some):
+            diff = vm[i:i + step, None, :] - qm[None, j:j + some, :]
+            out[i:i + step, j:j + some] = np.einsum("vqd,vqd->vq", diff, diff)
     return out
 
 
 def _partition_top_k(q_bc, k: int, vid: str, vec: str, keep: list[str], metric: str):
     """A ``mapInPandas`` function: this task's k best vectors per query.
 
-    Distances are computed with numpy in row blocks; after every Arrow batch
-    only the running best k per query survive, in the final order
-    (distance, vector id), so a task emits at most queries × k rows,
-    never queries × vectors. The global top k of a query is always inside the
+    Vectors meet the query batch a tile at a time, so a task holds one tile of
+    distances and the running k best per query, in the final order (distance,
+    vector id), whatever the size of the batch or of the Arrow batches. It emits
+    at most queries × k rows. The global top k of a query is always inside the
     top k of the task that holds it, so the cut is exact.
     """
 
     def run(batches):
         ids, qm = q_bc.value
-        best = None  # DataFrame of running candidates
-        for pdf in batches:
-            if len(pdf) == 0 or len(ids) == 0:
-                continue
-            vm = np.stack(pdf[vec].map(lambda a: np.asarray(a, dtype=np.float64)).to_numpy())
-            dist = _distances(vm, qm, metric)
-            key = np.where(np.isnan(dist), np.inf, dist)
-            if len(key) > k:  # per query: everything at or below its k-th key (ties included)
-                kth = np.partition(key, k - 1, axis=0)[k - 1]
-                rows, qs = np.nonzero(key <= kth[None, :])
-            else:
-                rows, qs = np.nonzero(np.ones_like(key, dtype=bool))
-            part = pdf.iloc[rows][keep].reset_index(drop=True)
-            part.insert(0, "__qid", ids[qs])
-            part["distance"] = dist[rows, qs]
-            part["__key"] = key[rows, qs]
-            parts = [part]
-            cand = pd.concat(parts + ([best] if best is not None else []), ignore_index=True)
-            cand = cand.sort_values(["__qid", "__key", vid], na_position="last", kind="mergesort")
-            best = cand.groupby("__qid", sort=False).head(k)
-        if best is not None and len(best):
-            yield best.drop(columns="__key")
+        best, step = KBest(len(ids), k, vid), tile_rows(len(ids))
+        for pdf in batches if len(ids) else []:
+            for at in range(0, len(pdf), step):
+                part = pdf.iloc[at:at + step]
+                vm = np.stack(part[vec].map(lambda a: np.asarray(a, dtype=np.float64)).to_numpy())
+                dist = _distances(vm, qm, metric)
+                best.add(np.where(np.isnan(dist), np.inf, dist), part[keep])
+        if best.frame is not None:
+            out = best.frame
+            key = out.pop("__key")
+            out.insert(0, "__qid", ids[out.pop("__q").to_numpy()])
+            out["distance"] = key.where(np.isfinite(key))
+            yield out
 
     return run
 
@@ -173,76 +144,15 @@ def nearest_vectors_chunked(vectors: DataFrame, queries: DataFrame, k: int = 3,
 
 
 # ------------------------------------------------------------------ text
-TOKEN = r"[\p{L}\p{N}]+"  # a term: a maximal run of letters / digits
-_SEPARATOR = r"[^\p{L}\p{N}]+"
-
-
-def tokens(text: Column) -> Column:
-    """Lower-cased letter/digit runs of the whole text.
-
-    Splitting on the separator class yields exactly the runs of ``TOKEN`` plus
-    an empty string where the text starts or ends with a separator (filtered
-    by ``term_counts``); it is ~2.5× faster than ``regexp_extract_all``.
-    """
-    return F.split(F.lower(text), _SEPARATOR)
-
-
-def term_counts(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, term, tf) — a partially aggregated count, so hot terms cost one row per task."""
-    return (docs.select(F.col(key).alias("__key"), F.explode(tokens(F.col(text))).alias("term"))
-                .filter(F.col("term") != "")
-                .groupBy("__key", "term").agg(F.count(F.lit(1)).alias("tf"))
-                .withColumnRenamed("__key", key))
-
-
 def tfidf_top_k(docs: DataFrame, questions: DataFrame, k: int = 3, doc_key: str = "doc_id",
-                text: str = "text", q_key: str = "question_id", q_text: str = "question",
-                common: float = 0.001) -> DataFrame:
-    """R2 + R3: cosine similarity of TF-IDF vectors, top-k documents per question.
-
-    idf = ln((N + 1) / (df + 1)). Each term's row carries its idf and the
-    questions that ask for it. Terms that stand in more than ``common`` of the
-    documents (at most 1 / ``common`` times the mean number of terms of a
-    document) meet the document terms in a broadcast join; the others, none of
-    which is hot, in a shuffled one. A document's weighted terms then come
-    together once: norm and dot products are sums over one array in order of
-    the term, so equal texts score exactly equal, whatever the partitioning.
-    Documents and questions pair up inside a task, where each question's best
-    k survive, before anything is shuffled again.
-
-    The corpus is the documents with an id (a document without one cannot be
-    returned).
+                text: str = "text", q_key: str = "question_id", q_text: str = "question") -> DataFrame:
+    """R2 + R3 in one go: an index of ``docs`` in a scratch folder, and the questions against it.
+
+    For more than one question batch build the index once (``textindex.build``) and ask it (``textindex.search``).
     """
-    docs = docs.filter(F.col(doc_key).isNotNull())
-    dt = term_counts(docs, doc_key, text)
-    n_docs = docs.agg(F.count(F.lit(1))).scalar()  # evaluated once, no join
-    # count_if(tf > 0) equals count(*) (tf >= 1), but keeps tf in use: this
-    # branch's doc-term aggregate stays identical to the others, so its shuffle is reused
-    idf = (dt.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
-             .select("term", "df", F.log((n_docs + 1) / (F.col("df") + 1)).alias("idf")))
-
-    qw = term_counts(questions, q_key, q_text).join(idf, "term").select(
-        q_key, "term", (F.col("tf") * F.col("idf")).alias("qw"))
-    qnorm = qw.groupBy(q_key).agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("qnorm"))
-    asked = (qw.join(qnorm, q_key).groupBy("term")
-               .agg(F.collect_list(F.struct(F.col(q_key).alias("q"), "qw", "qnorm")).alias("asked")))
-    terms = idf.join(asked, "term", "left")
-    hot = F.col("df") > F.lit(common) * n_docs
-    weigh = lambda t: dt.join(t, "term").select(
-        doc_key, "term", (F.col("tf") * F.col("idf")).alias("w"), "asked")
-    weighed = weigh(F.broadcast(terms.filter(hot))).unionByName(weigh(terms.filter(~hot)))
-
-    per_doc = weighed.groupBy(doc_key).agg(F.array_sort(F.collect_list(F.struct("term", "w", "asked"))).alias("ts"))
-    squares = F.aggregate("ts", F.lit(0.0), lambda acc, t: acc + t["w"] * t["w"])
-    hits = F.filter("ts", lambda t: t["asked"].isNotNull())
-    pairs = (per_doc.select(doc_key, F.sqrt(squares).alias("dnorm"), F.explode(hits).alias("t"))
-             .select(doc_key, "dnorm", F.col("t.w").alias("w"), F.explode("t.asked").alias("a")))
-    # already together by document: no shuffle, and rows arrive in order of the term
-    scored = (pairs.groupBy(doc_key, F.col("a.q").alias(q_key))
-              .agg(F.sum(F.col("w") * F.col("a.qw")).alias("dot"), F.first("a.qnorm").alias("qnorm"),
-                   F.first("dnorm").alias("dnorm"))
-              .select(q_key, doc_key, (F.col("dot") / F.nullif(F.col("qnorm") * F.col("dnorm"), F.lit(0.0))).alias("score")))
-    return top_k_per_group(scored, [q_key], [F.col("score").desc(), F.col(doc_key).asc()], k)
+    spark = docs.sparkSession
+    path = textindex.build(docs, textindex.scratch_folder(spark), doc_key, text)
+    return textindex.search(spark, path, questions, k, doc_key, q_key, q_text)
 
 
 def answer_context(ranked: DataFrame, docs: DataFrame, questions: DataFrame | None = None,

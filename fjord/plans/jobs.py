@@ -4,25 +4,30 @@
 
 Every job takes a ``Paths`` object (one environment, one root) so the
 stages agree on locations (SURVEY D10). Gold snapshots are idempotent
-overwrites; the SCD2 table and the document store are rewritten into a new
-version directory each time, and the newest complete one is current — nothing
-that is read is overwritten, and the written version is what cuts the lineage.
+overwrites; the SCD2 table and the document store are bucketed by key, and a
+run writes the buckets it touches into a folder of its own
+(``fjord.sources.keyed``) — nothing that is read is overwritten.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fjord.config import Paths
 from fjord.functions.constants import BUSINESS_MAPPING, SCHEMA_HINTS
 from fjord.functions.exprs import ident, pii_hash
-from fjord.operators import gold, landing, merge, ml, quality, retrieve
+from fjord.operators import gold, landing, merge, ml, quality, retrieve, textindex
 from fjord.operators.features import CATEGORICAL, HASHED, NUMERIC
+from fjord.sources import keyed
+from fjord.sources import schema as S
+from fjord.sources.keyed import read_scd2  # noqa: F401  (part of this module's interface)
 from fjord.streaming import bronze, silver
 
 
@@ -85,12 +90,15 @@ def run_bronze(spark: SparkSession, paths: Paths, hints=None, fmt: str = "json",
     """
     ckpt = paths.checkpoint("bronze_stream")
     if fmt == "csv":
-        return bronze.run_bronze_csv(spark, paths.landing, paths.bronze, ckpt, hints or SCHEMA_HINTS,
-                                     paths.environment, max_files_per_trigger)
-    if fmt != "json":
+        out = bronze.run_bronze_csv(spark, paths.landing, paths.bronze, ckpt, hints or SCHEMA_HINTS,
+                                    paths.environment, max_files_per_trigger)
+    elif fmt == "json":
+        out = bronze.run_bronze(spark, paths.landing, paths.bronze, paths.schema_memory, ckpt, hints or LANDING_HINTS,
+                                paths.environment, max_files_per_trigger=max_files_per_trigger)
+    else:
         raise ValueError(f"unknown landing format {fmt!r}")
-    return bronze.run_bronze(spark, paths.landing, paths.bronze, paths.schema_memory, ckpt, hints or LANDING_HINTS,
-                             paths.environment, max_files_per_trigger=max_files_per_trigger)
+    register_tables(spark, paths, only=["bronze_transactions"])  # readers see the new rows at once
+    return out
 
 
 def run_silver(spark: SparkSession, paths: Paths, as_of=None, strict: bool = False,
@@ -140,70 +148,47 @@ def run_gold(spark: SparkSession, paths: Paths, salt: str | None = None) -> Data
     return txn
 
 
-def current_version(spark: SparkSession, table_root: str) -> str | None:
-    """The newest complete version directory (``v=...`` with a ``_SUCCESS`` file), or None without any version.
-
-    Nothing is ever overwritten: a version counts from the moment its write
-    committed, so a job that dies leaves the previous one current. Versions
-    without a complete one mean damage and raise.
-    """
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(table_root)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return None
-    versions = sorted(n for n in list_names(spark, table_root) if n.startswith("v="))
-    done = [v for v in versions if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{table_root}/{v}/_SUCCESS"))]
-    if versions and not done:
-        raise RuntimeError(f"{table_root} has versions, but none was completely written")
-    return done[-1] if done else None
-
-
-def _new_version() -> str:
-    return "v=" + dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
-
-
-def read_scd2(spark: SparkSession, table_root: str) -> DataFrame:
-    v = current_version(spark, table_root)
-    if v is None:
-        return spark.createDataFrame([], merge.SCD2_SCHEMA)
-    return spark.read.schema(merge.SCD2_SCHEMA).parquet(f"{table_root}/{v}")
-
-
 def run_scd2(spark: SparkSession, paths: Paths, now=None, mode: str = "single") -> str:
-    """Merge the latest user risk into the SCD2 table, written as a new version."""
+    """Merge the latest user risk into the SCD2 table; only the buckets of changed accounts are rewritten."""
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
-    root = paths.gold("user_risk_scd2")
-    target = read_scd2(spark, root)
     source = gold.user_risk_score(spark.read.parquet(paths.gold("user_summary")))
-    merged = merge.scd2_merge(target, source, now, mode)
-    version = _new_version()
-    merged.write.mode("errorifexists").parquet(f"{root}/{version}")
-    return version
+    return keyed.scd2(spark, paths.gold("user_risk_scd2"), source, now, mode)
 
 
 def upsert_documents(spark: SparkSession, store: str, new_docs: DataFrame, key: str = "id") -> str:
-    """K9: keyed upsert into a Parquet document store, staged like the SCD2 table."""
-    old = current_version(spark, store)
-    before = spark.createDataFrame([], new_docs.schema) if old is None else spark.read.parquet(f"{store}/{old}")
-    version = _new_version()
-    merge.upsert(before, new_docs, key).write.mode("errorifexists").parquet(f"{store}/{version}")
-    return version
+    """K9: keyed upsert into a Parquet document store; only the buckets of the given documents are rewritten."""
+    return keyed.upsert(spark, store, new_docs, key)
 
 
-def list_names(spark: SparkSession, folder: str) -> list[str]:
-    """Entry names of one folder (Hadoop file system listing: names only), hidden ones left out."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = [st.getPath().getName() for st in fs.listStatus(p)]
-    return sorted(n for n in names if not n.startswith(("_", ".")))
+def current_version(spark: SparkSession, table_root: str) -> str | None:
+    """The newest complete run of a SCD2 table or document store; None without any, damage raises."""
+    now = keyed.state(spark, table_root)
+    return now.version if now else None
+
+
+def read_documents(spark: SparkSession, store: str) -> DataFrame:
+    """The current documents of a store."""
+    now = keyed.state(spark, store)
+    if now is None:
+        raise FileNotFoundError(f"no document store at {store}")
+    schema = next(iter(spark.read.parquet(p).schema for p in now.live.values()), None)
+    return spark.createDataFrame([], "id string, text string, source string") if schema is None \
+        else keyed.read_current(spark, now, schema)
+
+
+def run_index(spark: SparkSession, store: str, key: str = "id") -> str:
+    """R2: the text index of the store's current documents; an index that is still theirs is kept."""
+    version, root = keyed.state(spark, store).version, f"{store.rstrip('/')}_index"
+    have = [v for v in keyed.list_names(spark, root) if keyed.exists(spark, f"{root}/{v}/stats/_SUCCESS")] \
+        if keyed.exists(spark, root) else []
+    if have and spark.read.parquet(f"{root}/{have[-1]}/stats").first()["source"] == version:
+        return f"{root}/{have[-1]}"
+    return textindex.build(read_documents(spark, store), f"{root}/{keyed.new_version()}", key, source=version)
 
 
 def _is_dir(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
+    p, fs = keyed.file_system(spark, path)
+    return fs.getFileStatus(p).isDirectory()
 
 
 def gold_documents(spark: SparkSession, gold_dir: str, names: list[str] | None = None) -> DataFrame | None:
@@ -221,7 +206,7 @@ def gold_documents(spark: SparkSession, gold_dir: str, names: list[str] | None =
                                else spark.read.option("multiLine", True).json(path)),
     }
     parts = []
-    for name in sorted(names if names is not None else list_names(spark, gold_dir)):
+    for name in sorted(names if names is not None else keyed.list_names(spark, gold_dir)):
         stem, dot, suffix = name.rpartition(".")
         if not dot or f".{suffix}" not in readers:
             continue
@@ -236,44 +221,102 @@ def gold_documents(spark: SparkSession, gold_dir: str, names: list[str] | None =
     return out
 
 
-def register_tables(spark: SparkSession, paths: Paths) -> None:
-    """K8: database + external Parquet tables over the layer paths (drop + create = replace).
+BATCH_PROPERTY = "fjord.last_batch"
+
 
-    Partitions are recovered, so the tables have the rows of their files. The
-    SCD2 table points at its current version.
+def register_tables(spark: SparkSession, paths: Paths, only: list[str] | None = None) -> None:
+    """K8: database + external Parquet tables over the layer paths.
+
+    A table is created once and from then on only added to: the partitions of
+    batches that came since the last run (its number is a table property; the
+    last one is looked at again, as it may have been replayed), and columns
+    these brought. So a run costs what is new, and readers never miss a table.
+    The SCD2 table has a partition per bucket, whose location moves when the
+    bucket is rewritten, and one per run for closed rows.
     """
     db = paths.database
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
     places = {"bronze_transactions": paths.bronze, "silver_transactions": paths.silver_good,
               "silver_quarantine": paths.silver_quarantine,
               **{name: paths.gold(name) for name in ("ml_features", "user_summary", "merchant_summary", "daily_metrics")}}
-    scd2 = current_version(spark, paths.gold("user_risk_scd2"))
-    if scd2 is not None:
-        places["user_risk_scd2"] = f"{paths.gold('user_risk_scd2')}/{scd2}"
     for name, place in places.items():
-        found = spark.read.option("mergeSchema", "true").parquet(place)
-        keys = _partition_keys(spark, place)
-        columns = ", ".join(f"{ident(f.name)} {f.dataType.simpleString()}" for f in found.schema.fields)
+        if (only is None or name in only) and keyed.exists(spark, place):
+            memory = S.load_schema(spark, f"{paths.schema_memory}/schema") if place == paths.bronze else None
+            _register(spark, f"{db}.{name}", place, bronze.stored_schema(memory))
+    risk = keyed.state(spark, paths.gold("user_risk_scd2")) if only is None or "user_risk_scd2" in only else None
+    if risk is not None:
+        _register_scd2(spark, f"{db}.user_risk_scd2", risk)
+
+
+def _register(spark: SparkSession, table: str, place: str, expected: T.StructType | None = None) -> None:
+    """A table over one folder, with the ``key=value`` folders of new batches as partitions.
+
+    ``expected`` names columns that files may have beyond those of the one looked at.
+    """
+    batches = sorted((int(n.split("=", 1)[1]), n) for n in keyed.list_dirs(spark, place) if n.rpartition("=")[2].isdigit())
+    new, known = batches, spark.catalog.tableExists(table)
+    if known and batches:
+        done = spark.sql(f"SHOW TBLPROPERTIES {table}").filter(F.col("key") == BATCH_PROPERTY).first()
+        new = [b for b in batches if done is None or b[0] >= int(done["value"])]
+    partitions = [p for _, n in new for p in _partitions(spark, f"{place}/{n}", [n])]
+    if batches and not partitions:
+        return  # no new rows
+    if partitions:
+        folders = sorted({f"{place}/{p[0]}" for p in partitions})
+        found = spark.read.option("mergeSchema", "true").option("basePath", place).parquet(*folders).schema
+    else:
+        found = S.merge_schemas(spark.read.parquet(place).schema, expected or T.StructType([]))
+    keys = list(dict.fromkeys(k.split("=", 1)[0] for p in partitions for k in p))
+    columns = lambda fields: ", ".join(f"{ident(f.name)} {f.dataType.simpleString()}" for f in fields)
+    if not known:
         by = f" PARTITIONED BY ({', '.join(map(ident, keys))})" if keys else ""
-        spark.sql(f"DROP TABLE IF EXISTS {db}.{name}")  # external: the data stays
-        spark.sql(f"CREATE TABLE {db}.{name} ({columns}) USING PARQUET{by} LOCATION '{place}'")
-        if keys:
-            spark.sql(f"MSCK REPAIR TABLE {db}.{name}")
-
-
-def _partition_keys(spark: SparkSession, place: str) -> list[str]:
-    """Names of the ``key=value`` directories below a table, outermost first."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(place)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    keys = []
-    while True:
-        inner = [s.getPath() for s in fs.listStatus(path) if s.isDirectory() and "=" in s.getPath().getName()]
-        if not inner:
-            return keys
-        keys.append(inner[0].getName().split("=", 1)[0])
-        # an empty side of a batch has no directories of its own: take the deepest sibling
-        path = next((p for p in inner if any(s.isDirectory() for s in fs.listStatus(p))), inner[0])
+        spark.sql(f"CREATE TABLE {table} ({columns(found.fields)}) USING PARQUET{by} LOCATION '{place}'")
+    else:
+        have = {c.lower() for c in spark.table(table).columns}
+        fresh = [f for f in found.fields if f.name.lower() not in have]
+        if fresh:
+            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns(fresh)})")
+    for at in range(0, len(partitions), 500):
+        specs = " ".join(f"PARTITION ({_spec(p)}) LOCATION '{place}/{'/'.join(p)}'" for p in partitions[at:at + 500])
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
+    if batches:
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{BATCH_PROPERTY}' = '{batches[-1][0]}')")
+    spark.catalog.refreshTable(table)
+
+
+def _partitions(spark: SparkSession, folder: str, names: list[str]) -> list[list[str]]:
+    """The innermost ``key=value`` folders below one batch that hold files, as lists of folder names."""
+    inner = [n for n in keyed.list_dirs(spark, folder) if "=" in n]
+    if inner:
+        return [p for n in inner for p in _partitions(spark, f"{folder}/{n}", [*names, n])]
+    return [names] if keyed.list_names(spark, folder) else []
+
+
+def _spec(names: list[str]) -> str:
+    parts = (n.split("=", 1) for n in names)
+    return ", ".join(f"{ident(k)} = " + ("NULL" if v == "__HIVE_DEFAULT_PARTITION__" else f"'{unquote(v)}'") for k, v in parts)
+
+
+def _register_scd2(spark: SparkSession, table: str, risk: keyed.State) -> None:
+    """The live buckets and the closed rows of a SCD2 store, as partitions with locations of their own."""
+    where = {f"bucket-{b}": place for b, place in risk.live.items()}
+    where |= {f"closed-{v}": p for v in risk.runs if keyed.exists(spark, p := f"{risk.root}/{v}/closed")}
+    if not spark.catalog.tableExists(table):
+        columns = ", ".join(f"{ident(f.name)} {f.dataType.simpleString()}" for f in merge.SCD2_SCHEMA.fields)
+        spark.sql(f"CREATE TABLE {table} ({columns}, piece string) USING PARQUET PARTITIONED BY (piece) LOCATION '{risk.root}'")
+    done = spark.sql(f"SHOW TBLPROPERTIES {table}").filter(F.col("key") == BATCH_PROPERTY).first()
+    seen = done["value"] if done else ""
+    have = {r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}  # buckets and runs: few
+    have = {unquote(h) for h in have}
+    for piece in sorted(have - set(where)):
+        spark.sql(f"ALTER TABLE {table} DROP PARTITION (piece = '{piece}')")
+    for piece, place in sorted(where.items()):
+        if piece not in have:
+            spark.sql(f"ALTER TABLE {table} ADD PARTITION (piece = '{piece}') LOCATION '{place}'")
+        elif piece.startswith("bucket-") and place.split("/")[-3] > seen:
+            spark.sql(f"ALTER TABLE {table} PARTITION (piece = '{piece}') SET LOCATION '{place}'")
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{BATCH_PROPERTY}' = '{risk.version}')")
+    spark.catalog.refreshTable(table)
 
 
 # ------------------------------------------------------------------ model, alerts, answers
@@ -305,9 +348,9 @@ def run_alerts(spark: SparkSession, paths: Paths) -> DataFrame:
 
 
 def run_answers(spark: SparkSession, paths: Paths, questions: DataFrame, store: str, k: int = 3) -> DataFrame:
-    """Answers of a question batch from the current document store."""
-    docs = spark.read.parquet(f"{store}/{current_version(spark, store)}")
-    ranked = retrieve.tfidf_top_k(docs, questions, k=k, doc_key="id")
+    """Answers of a question batch from the current document store and its index."""
+    docs = read_documents(spark, store)
+    ranked = textindex.search(spark, run_index(spark, store), questions, k=k, doc_key="id")
     answers = retrieve.answer_context(ranked, docs, questions=questions, doc_key="id")
     answers.write.mode("overwrite").json(paths.gold("answers"))
     return answers

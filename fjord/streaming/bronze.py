@@ -81,6 +81,12 @@ def _last_scan(spark: SparkSession, memory: str) -> str | None:
         return None
 
 
+def stored_schema(memory: T.StructType | None) -> T.StructType | None:
+    """The remembered fields under the names they are stored by."""
+    return None if memory is None else T.StructType(
+        [T.StructField("IP_Address" if f.name == "IP Address" else f.name, f.dataType) for f in memory.fields])
+
+
 def with_ingest_metadata(df: DataFrame, environment: str, version: str = PIPELINE_VERSION,
                          source_col: str = "_source_file") -> DataFrame:
     """S8 + P3: ingestion time/date, source file, environment, pipeline version."""

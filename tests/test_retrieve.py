@@ -1,11 +1,20 @@
 """Retrieval: exact vector top-k against brute force, bounded plans, no all-pairs joins."""
 
+import math
+import os
+import re
+import shutil
+import tracemalloc
+from collections import Counter
+
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from fjord.operators import retrieve
+from fjord.operators import retrieve, textindex
+from fjord.operators.kbest import KBest
 from fjord.plans.queries import QUERIES
 from tests.conftest import SF_SMALL
 
@@ -116,12 +125,16 @@ def test_no_registered_query_plans_all_pairs(spark):
     assert not bad, bad
 
 
-def test_term_table_is_tokenised_once(spark):
+def test_term_table_is_tokenised_once(spark, monkeypatch):
+    """Building the index tokenises the documents once; asking it reads only what is stored."""
+    tokenised, counted = [], textindex.term_counts
+    monkeypatch.setattr(textindex, "term_counts", lambda d, *a: tokenised.append(d.columns) or counted(d, *a))
     df = E.queries()["tfidf_topk"](spark, SF_SMALL)
     df.collect()
+    assert [("text" in c, "question" in c) for c in tokenised] == [(True, False), (False, True)]
     final = df._jdf.queryExecution().executedPlan().toString()
     final = final.split("== Initial Plan ==")[0]
-    assert final.count("Generate explode(split(lower(text") == 1
+    assert "Generate explode(split(lower(text" not in final and re.search(r"PartitionFilters: \[[^\]]*bucket#\d+ IN", final)
 
 
 def test_text_rendering_survives_large_amounts(spark):
@@ -156,3 +169,116 @@ def test_top_k_above_the_group_limit_threshold_is_exact(spark):
         ranked = sorted((r for r in rows if r[0] == g), key=lambda r: (-r[2], r[1]))[:50]
         want |= {(g, r[1], n + 1) for n, r in enumerate(ranked)}
     assert got == want
+
+
+def _brute_tfidf(docs, questions, k):
+    """Rows (question, doc, score to 9 digits, rank) by definition."""
+    count = lambda t: Counter(re.findall(r"[^\W_]+", (t or "").lower()))
+    tf, n = {}, len({d for d, _ in docs if d is not None})
+    for d, t in docs:
+        if d is not None:
+            tf.setdefault(d, Counter()).update(count(t))
+    df = Counter(t for c in tf.values() for t in c)
+    idf = {t: math.log((n + 1) / (f + 1)) for t, f in df.items()}
+    out = []
+    for q, text in questions:
+        qw = {t: c * idf[t] for t, c in sorted(count(text).items()) if t in idf}
+        qn = math.sqrt(sum(w * w for w in qw.values()))
+        scored = []
+        for d, c in tf.items():
+            shared = sorted(t for t in c if t in qw)
+            if shared:
+                dn = math.sqrt(sum((c[t] * idf[t]) ** 2 for t in sorted(c)))
+                score = sum(c[t] * idf[t] * qw[t] for t in shared) / (qn * dn) if qn * dn else None
+                scored.append((-1e-13 if score is None else -round(score, 12), d, score))
+        out += [(q, d, None if s is None else round(s, 9), i + 1) for i, (_, d, s) in enumerate(sorted(scored, key=lambda x: x[:2])[:k])]
+    return sorted(out)
+
+
+def _found(df):
+    return sorted((r[0], r[1], None if r[2] is None else round(r[2], 9), r[3]) for r in df.collect())
+
+
+DOCS = [(i, f"the stop word the {'common' if i % 2 else 'other'} word{i % 7} " + ("same text " if i % 3 == 0 else f"own{i} ") * 3)
+        for i in range(200)] + [(1000, "the"), (1001, None), (1002, ""), (None, "the lost one"), (1003, "the"), (1003, "twice here")]
+ASKED = [(1, "the same word3"), (2, "the"), (3, "absent"), (4, "Own5 OWN5 common, twice?"), (5, None), (6, "")]
+
+
+def test_index_equals_brute_force(spark, tmp_path):
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string").repartition(5)
+    qs = spark.createDataFrame(ASKED, "question_id int, question string")
+    path = textindex.build(docs, str(tmp_path / "index"), buckets=16)
+    want = _brute_tfidf(DOCS, ASKED, 4)
+    assert _found(textindex.search(spark, path, qs, k=4)) == want
+    assert _found(textindex.search(spark, path, qs, k=4, max_questions=1)) == want  # several parts
+    assert textindex.search(spark, path, qs.filter("question_id in (3, 5, 6)"), k=4).count() == 0
+    names = spark.createDataFrame([(str(d), t) for d, t in DOCS if d is not None], "id string, text string")
+    by_name = textindex.build(names, str(tmp_path / "names"), doc_key="id", buckets=3)
+    got = textindex.search(spark, by_name, qs, k=4, doc_key="id").filter("question_id = 4").collect()
+    assert [r["id"] for r in sorted(got, key=lambda r: r["rank"])][:1] == ["5"]
+    empty = textindex.build(docs.limit(0), str(tmp_path / "empty"), buckets=2)
+    assert textindex.search(spark, empty, qs).count() == 0
+
+
+def test_only_the_asked_partitions_are_read(spark, tmp_path):
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string")
+    qs = spark.createDataFrame(ASKED[:1], "question_id int, question string")
+    path = textindex.build(docs, str(tmp_path / "index"), buckets=32)
+    want = _found(textindex.search(spark, path, qs, k=4))
+    asked = {r[0] for r in spark.read.parquet(f"{path}/terms").filter("term in ('the', 'same', 'word3')").select("bucket").collect()}
+    plan = _plan(textindex.search(spark, path, qs, k=4))
+    assert re.search(r"PartitionFilters: \[[^\]]*bucket#\d+ IN", plan) and "PushedFilters: [In(term" in plan
+    gone = 0
+    for name in ("postings", "terms"):
+        for d in os.listdir(f"{path}/{name}"):
+            if d.startswith("bucket=") and int(d[7:]) not in asked:
+                shutil.rmtree(f"{path}/{name}/{d}")  # files of this test only
+                gone += 1
+    assert gone > 40 and _found(textindex.search(spark, path, qs, k=4)) == want
+
+
+def test_many_questions_share_a_stop_word(spark, tmp_path):
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string")
+    path = textindex.build(docs, str(tmp_path / "index"), buckets=8)
+    qs = spark.createDataFrame([(i, f"the word{i % 7}") for i in range(10_000)], "question_id int, question string")
+    got = {}
+    for q, d, s, r in _found(textindex.search(spark, path, qs, k=2)):
+        got.setdefault(q, []).append((d, s, r))
+    one = {}
+    for q, d, s, r in _brute_tfidf(DOCS, [(i, f"the word{i}") for i in range(7)], 2):
+        one.setdefault(q, []).append((d, s, r))
+    assert len(got) == 10_000 and all(got[i] == one[i % 7] for i in got)
+
+
+def test_k_best_memory_is_bounded():
+    rng = np.random.default_rng(9)
+    vectors, asked = rng.normal(size=(4000, 64)), rng.normal(size=(10_000, 64))
+
+    class Sent:
+        value = (np.arange(10_000), asked)
+
+    run = retrieve._partition_top_k(Sent, 3, "vec_id", "embedding", ["vec_id"], "l2")
+    batch = pd.DataFrame({"vec_id": np.arange(600), "embedding": list(vectors[:600])})
+    tracemalloc.start()
+    out = pd.concat(run(iter([batch, batch.assign(vec_id=batch["vec_id"] + 600)])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(out) == 30_000 and peak < 200 << 20
+    q = out[out["__qid"] == 17].sort_values(["distance", "vec_id"])
+    want = sorted((float(((asked[17] - v) ** 2).sum()), i) for i, v in enumerate(vectors[:600]))[:2]
+    assert q["vec_id"].tolist()[:2] == [want[0][1], want[0][1] + 600]  # equal rows: the smaller id first
+
+
+def test_k_best_over_tiles():
+    rng = np.random.default_rng(10)
+    keys = rng.integers(0, 5, size=(90, 7)).astype(float)
+    keys[rng.random(keys.shape) < 0.2] = np.inf
+    known = rng.random(keys.shape) < 0.8
+    best = KBest(7, 4, "id")
+    for at in range(0, 90, 13):
+        part = slice(at, at + 13)
+        best.add(keys[part], pd.DataFrame({"id": 1000 - np.arange(90)[part]}), known[part])
+    for q in range(7):
+        want = sorted((keys[i, q], 1000 - i) for i in range(90) if known[i, q])[:4]
+        got = best.frame[best.frame["__q"] == q]
+        assert list(zip(got["__key"], got["id"], strict=True)) == want
