@@ -102,11 +102,14 @@ def run_bronze(spark: SparkSession, paths: Paths, hints=None, fmt: str = "json",
 
 
 def run_silver(spark: SparkSession, paths: Paths, as_of=None, strict: bool = False,
-               max_files_per_trigger: int | None = 10_000):
-    """Bronze into silver's two tables, under the raw feed's names (landed names are turned back)."""
+               max_files_per_trigger: int | None = 10_000, across_batches: bool = False):
+    """Bronze into silver's two tables, under the raw feed's names (landed names are turned back).
+
+    ``across_batches`` drops rows whose business key an earlier batch has stored (D6).
+    """
     return silver.run_silver(spark, paths.bronze, paths.silver_good, paths.silver_quarantine,
                              paths.checkpoint("silver_stream"), as_of=as_of, strict=strict, names=RAW_NAMES,
-                             max_files_per_trigger=max_files_per_trigger)
+                             max_files_per_trigger=max_files_per_trigger, across_batches=across_batches)
 
 
 # ------------------------------------------------------------------ gold

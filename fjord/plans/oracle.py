@@ -194,6 +194,20 @@ SELECT * EXCLUDE (rn) FROM (
   FROM (SELECT {_typed_select(SILVER_TYPES)} FROM raw WHERE {GOOD_COND}))
 WHERE rn = 1""")
 
+def _good_once(where: str) -> str:
+    """Good rows of a part of the feed, one per business key; rows with a NULL in the key all stay."""
+    return f"""SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY "TransactionID", "AccountID"
+                               ORDER BY {", ".join(_q(c) + " NULLS FIRST" for c in RAW_COLS)}) AS rn
+  FROM (SELECT {_typed_select(SILVER_TYPES)} FROM raw WHERE {GOOD_COND} AND {where}))
+WHERE rn = 1 OR "TransactionID" IS NULL OR "AccountID" IS NULL"""
+
+
+register("dedup_across_batches", with_ctes(RAW_CTE, f"""first AS ({_good_once('CAST("CustomerAge" AS INTEGER) % 3 < 2')}),
+second AS ({_good_once('CAST("CustomerAge" AS INTEGER) % 3 > 0')})""") + """
+SELECT * FROM second WHERE NOT EXISTS (
+  SELECT 1 FROM first WHERE first."TransactionID" = second."TransactionID" AND first."AccountID" = second."AccountID")""")
+
 register("silver_quarantine", with_ctes(RAW_CTE) + f"SELECT * FROM raw WHERE {BAD_COND}")
 
 register("silver_quarantine_strict", with_ctes(RAW_CTE) + f"""

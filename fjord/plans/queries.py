@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from fjord.functions.constants import DEMO_QUESTIONS, GOLD_SUMMARY_FALLBACK, QUARANTINE_RULES, SCHEMA_HINTS
 from fjord.functions.exprs import pii_hash
-from fjord.operators import clean, features, gold, landing, merge, metrics, quality, retrieve
+from fjord.operators import clean, features, gold, landing, merge, metrics, quality, retrieve, seen
 from fjord.plans.normalize import rounded
 from fjord.sources import schema
 from fjord.sources.tables import TABLES, raw_txn, table, txn
@@ -127,6 +127,16 @@ def _silver_reconcile(spark, d):
     return clean.reconcile(raw_txn(spark, d), as_of=AS_OF)
 
 
+@query("dedup_across_batches")
+def _dedup_across_batches(spark, d):
+    """Good rows of a second delivery whose key the first one (which it overlaps) has not stored; NULL ids stay."""
+    raw, third = raw_txn(spark, d), F.col("CustomerAge").cast("int") % 3
+    good = lambda rows: seen.dedup_known(clean.defensive_cast(rows.filter(clean.good_condition(rows, AS_OF))))
+    first, second = good(raw.filter(third < 2)), good(raw.filter(third > 0))
+    return seen.unseen(second, first.select(*clean.BUSINESS_KEY, "TransactionDate"), seen.key_filter(first),
+                       seen.key_filter(first, ["TransactionDate"]), ["TransactionDate"])
+
+
 @query("dedup_business_key")
 def _dedup_business_key(spark, d):
     """L1 on lineitem (l_orderkey, l_linenumber), smallest row survives."""
