@@ -25,8 +25,7 @@ from fjord.functions.constants import BUSINESS_MAPPING, SCHEMA_HINTS
 from fjord.functions.exprs import ident, pii_hash
 from fjord.operators import gold, landing, merge, ml, quality, retrieve, textindex
 from fjord.operators.features import CATEGORICAL, HASHED, NUMERIC
-from fjord.sources import keyed
-from fjord.sources import schema as S
+from fjord.sources import inference, keyed
 from fjord.sources.keyed import read_scd2  # noqa: F401  (part of this module's interface)
 from fjord.streaming import bronze, silver
 
@@ -91,7 +90,7 @@ def run_bronze(spark: SparkSession, paths: Paths, hints=None, fmt: str = "json",
     ckpt = paths.checkpoint("bronze_stream")
     if fmt == "csv":
         out = bronze.run_bronze_csv(spark, paths.landing, paths.bronze, ckpt, hints or SCHEMA_HINTS,
-                                    paths.environment, max_files_per_trigger)
+                                    paths.environment, max_files_per_trigger, memory=paths.schema_memory)
     elif fmt == "json":
         out = bronze.run_bronze(spark, paths.landing, paths.bronze, paths.schema_memory, ckpt, hints or LANDING_HINTS,
                                 paths.environment, max_files_per_trigger=max_files_per_trigger)
@@ -244,18 +243,16 @@ def register_tables(spark: SparkSession, paths: Paths, only: list[str] | None =
               **{name: paths.gold(name) for name in ("ml_features", "user_summary", "merchant_summary", "daily_metrics")}}
     for name, place in places.items():
         if (only is None or name in only) and keyed.exists(spark, place):
-            memory = S.load_schema(spark, f"{paths.schema_memory}/schema") if place == paths.bronze else None
-            _register(spark, f"{db}.{name}", place, bronze.stored_schema(memory))
+            _register(spark, f"{db}.{name}", place)
+    if only is None or "bronze_transactions" in only:
+        _register_typed(spark, f"{db}.bronze_transactions", paths)
     risk = keyed.state(spark, paths.gold("user_risk_scd2")) if only is None or "user_risk_scd2" in only else None
     if risk is not None:
         _register_scd2(spark, f"{db}.user_risk_scd2", risk)
 
 
-def _register(spark: SparkSession, table: str, place: str, expected: T.StructType | None = None) -> None:
-    """A table over one folder, with the ``key=value`` folders of new batches as partitions.
-
-    ``expected`` names columns that files may have beyond those of the one looked at.
-    """
+def _register(spark: SparkSession, table: str, place: str) -> None:
+    """A table over one folder, with the ``key=value`` folders of new batches as partitions."""
     batches = sorted((int(n.split("=", 1)[1]), n) for n in keyed.list_dirs(spark, place) if n.rpartition("=")[2].isdigit())
     new, known = batches, spark.catalog.tableExists(table)
     if known and batches:
@@ -268,7 +265,7 @@ def _register(spark: SparkSession, table: str, place: str, expected: T.StructTyp
         folders = sorted({f"{place}/{p[0]}" for p in partitions})
         found = spark.read.option("mergeSchema", "true").option("basePath", place).parquet(*folders).schema
     else:
-        found = S.merge_schemas(spark.read.parquet(place).schema, expected or T.StructType([]))
+        found = spark.read.parquet(place).schema
     keys = list(dict.fromkeys(k.split("=", 1)[0] for p in partitions for k in p))
     columns = lambda fields: ", ".join(f"{ident(f.name)} {f.dataType.simpleString()}" for f in fields)
     if not known:
@@ -287,6 +284,17 @@ def _register(spark: SparkSession, table: str, place: str, expected: T.StructTyp
     spark.catalog.refreshTable(table)
 
 
+def _register_typed(spark: SparkSession, table: str, paths: Paths) -> None:
+    """``<table>_typed``: a view of a bronze table under the types remembered for its unhinted columns."""
+    if spark.catalog.tableExists(table):
+        sets = inference.load_sets(spark, f"{paths.schema_memory}/types")
+        columns = ", ".join(
+            f"CAST({ident(f.name)} AS {t}) AS {ident(f.name)}" if f.dataType == T.StringType() and f.name in sets
+            and (t := inference.narrowest(sets[f.name])) not in ("string", "void") else ident(f.name)
+            for f in spark.table(table).schema.fields)
+        spark.sql(f"CREATE OR REPLACE VIEW {table}_typed AS SELECT {columns} FROM {table}")
+
+
 def _partitions(spark: SparkSession, folder: str, names: list[str]) -> list[list[str]]:
     """The innermost ``key=value`` folders below one batch that hold files, as lists of folder names."""
     inner = [n for n in keyed.list_dirs(spark, folder) if "=" in n]

@@ -324,6 +324,31 @@ SELECT "TransactionID", "AccountID", round(TRY_CAST("TransactionAmount" AS DOUBL
        END AS _rescued_data
 FROM raw""")
 
+_DRIFT = """feed AS (
+  SELECT *, CASE run WHEN 1 THEN "CustomerAge" WHEN 2 THEN "CustomerAge" || '.5' ELSE "CustomerAge" || ' years' END AS "Drift",
+         lpad("CustomerAge", 5, '0') AS "Zip", CAST(CAST("CustomerAge" AS INTEGER) > 40 AS VARCHAR) AS "Flag",
+         substr("PreviousTransactionDate", 1, 10) AS "Day", CAST(NULL AS VARCHAR) AS "Empty"
+  FROM (SELECT *, CASE WHEN TRY_CAST("PreviousTransactionDate" AS DATE) < DATE '2024-01-11' THEN 1
+                       WHEN TRY_CAST("PreviousTransactionDate" AS DATE) < DATE '2024-01-21' THEN 2 ELSE 3 END AS run FROM raw))"""
+_FITS = {
+    "int": "regexp_matches(v, '^(0|-?[1-9][0-9]{0,18})$') AND TRY_CAST(v AS INTEGER) IS NOT NULL",
+    "bigint": "regexp_matches(v, '^(0|-?[1-9][0-9]{0,18})$') AND TRY_CAST(v AS BIGINT) IS NOT NULL",
+    "double": "regexp_matches(v, '^-?(0|[1-9][0-9]*)([.][0-9]+)?$') AND length(regexp_replace(v, '[^0-9]', '', 'g')) <= 15",
+    "boolean": "v IN ('true', 'false')",
+    "date": "regexp_matches(v, '^[0-9]{4}-[0-9]{2}-[0-9]{2}$') AND TRY_CAST(v AS DATE) IS NOT NULL",
+    "timestamp": "regexp_matches(v, '^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,6})?)?$')"
+                 " AND TRY_CAST(v AS TIMESTAMP) IS NOT NULL",
+}
+register("schema_infer_types", with_ctes(RAW_CTE, _DRIFT) + f"""
+, long AS (SELECT run, "column", v FROM (SELECT COLUMNS(*) FROM feed)
+           UNPIVOT INCLUDE NULLS (v FOR "column" IN ({", ".join(_q(c) for c in [*RAW_COLS, "Drift", "Zip", "Flag", "Day", "Empty"])}))),
+per_run AS (SELECT run, "column", count(v) AS n, {", ".join(f"coalesce(bool_and({e}), true) AS {_q(t)}" for t, e in _FITS.items())}
+            FROM long GROUP BY ALL),
+so_far AS (SELECT run, "column", sum(n) OVER w AS n, {", ".join(f"bool_and({_q(t)}) OVER w AS {_q(t)}" for t in _FITS)}
+           FROM per_run WINDOW w AS (PARTITION BY "column" ORDER BY run))
+SELECT run, "column", CASE WHEN n = 0 THEN 'void' {" ".join(f"WHEN {_q(t)} THEN '{t}'" for t in _FITS)} ELSE 'string' END AS type
+FROM so_far""".replace("\n, long", ", long"))
+
 register("schema_merge_union", """
 SELECT event_id, ts, user_id, round(value, 6) AS value FROM events WHERE ts < TIMESTAMP '2024-01-16'
 UNION ALL BY NAME

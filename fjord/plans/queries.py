@@ -9,14 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fjord.functions.constants import DEMO_QUESTIONS, GOLD_SUMMARY_FALLBACK, QUARANTINE_RULES, SCHEMA_HINTS
 from fjord.functions.exprs import pii_hash
 from fjord.operators import clean, features, gold, landing, merge, metrics, quality, retrieve, seen
 from fjord.plans.normalize import rounded
-from fjord.sources import schema
+from fjord.sources import inference, schema
 from fjord.sources.tables import TABLES, raw_txn, table, txn
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -227,6 +227,22 @@ def _rescue_type_drift(spark, d):
     return typed.select("TransactionID", "AccountID", "TransactionAmount", "TransactionDate", "_rescued_data")
 
 
+@query("schema_infer_types")
+def _schema_infer_types(spark, d):
+    """Types of unhinted columns after each of three runs over the feed; Drift is whole, then decimal, then text."""
+    day = F.col("PreviousTransactionDate").try_cast("date")
+    run = F.when(day < F.lit("2024-01-11"), 1).when(day < F.lit("2024-01-21"), 2).otherwise(3)
+    age = F.col("CustomerAge")
+    drift = F.when(run == 1, age).when(run == 2, F.concat(age, F.lit(".5"))).otherwise(F.concat(age, F.lit(" years")))
+    feed = raw_txn(spark, d).withColumns({"run": run, "Drift": drift, "Zip": F.lpad(age, 5, "0"),
+                                          "Flag": (age.cast("int") > 40).cast("string"),
+                                          "Day": F.substring("PreviousTransactionDate", 1, 10),
+                                          "Empty": F.lit(None).cast("string")})
+    sets = inference.column_sets(feed, [c for c in feed.columns if c != "run"], by=["run"])
+    so_far = Window.partitionBy("column").orderBy("run")  # columns x runs rows
+    return sets.select("run", "column", inference.type_name(F.bit_and("types").over(so_far)).alias("type"))
+
+
 @query("schema_merge_union")
 def _schema_merge_union(spark, d):
     """An older feed and a newer one with an extra column, unioned by name."""

@@ -80,7 +80,11 @@ def rescue_json_lines(lines: DataFrame, schema: T.StructType, rescue: str = "_re
     that is not a JSON object is rescued whole as ``{"_raw": line}``.
     """
     m = F.from_json(F.col(value), T.MapType(T.StringType(), T.StringType()))
-    parsed = lines.select("*", m.alias("__m"))
+    return rescue_json_maps(lines.withColumn("__m", m), schema, rescue, value)
+
+
+def rescue_json_maps(parsed: DataFrame, schema: T.StructType, rescue: str = "_rescued_data", value: str = "value") -> DataFrame:
+    """:func:`rescue_json_lines` of lines that have been parsed into the map ``__m``."""
     known = {f.name: f.dataType.simpleString() for f in schema.fields}
     typed = []
     for f in schema.fields:
@@ -99,7 +103,7 @@ def rescue_json_lines(lines: DataFrame, schema: T.StructType, rescue: str = "_re
     rescued = (F.when(F.col("__m").isNull() & F.col(value).isNotNull(),
                       F.to_json(F.create_map(F.lit("_raw"), F.col(value))))
                .when(F.size(rescued_map) > 0, F.to_json(rescued_map)))
-    keep = [c for c in lines.columns if c != value]
+    keep = [c for c in parsed.columns if c not in (value, "__m")]
     return parsed.select(*[F.col(ident(c)) for c in keep], *typed, rescued.alias(rescue))
 
 

@@ -1,54 +1,46 @@
 """Bronze: incremental file ingestion into an append-only Parquet table.
 
 A Structured Streaming file source remembers, in its checkpoint, which files
-it has processed, so each run (``availableNow``) ingests only new files.
-
-JSON landing files are read as text lines and parsed with the remembered
-schema plus rescue (``fjord.sources.schema.rescue_json_lines``): unknown or
-ill-typed fields go to ``_rescued_data`` instead of being dropped (plain
-Spark JSON silently drops unknown fields). Before a run the schema memory is
-evolved additively from the keys actually present in the landing folder —
-found with a distributed key scan, never by loading files on the driver.
-
-CSV feeds whose header drifts between files go through ``run_bronze_csv``:
-each micro-batch binds every file by its own header.
+it has processed, so each run (``availableNow``) ingests only new files. Every
+micro-batch writes with plain overwrite into its own ``_bronze_batch_id=<id>``
+directory, so a replay replaces exactly its own attempt (the name differs from
+silver's ``_batch_id`` directories: it passes through silver as lineage).
+
+The schema grows inside the micro-batch. A JSON batch is parsed once into maps,
+kept while its field names are gathered and folded into the schema memory; then
+the maps become columns, unknown or ill-typed fields go to ``_rescued_data``. A
+CSV batch binds every record by the header of its own file
+(``fjord.sources.csvrecords``). Fields without a hint are stored as text; the
+types their values share are kept beside the schema memory and applied by
+``read_bronze`` (``fjord.sources.inference``).
 """
 
 from __future__ import annotations
 
-import csv
-import datetime as dt
-from collections.abc import Mapping
-
-from pyspark.errors import AnalysisException
+from collections.abc import Callable, Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from fjord.functions.constants import PIPELINE_VERSION
+from fjord.sources import inference
 from fjord.sources import schema as S
+from fjord.sources.csvrecords import MAX_FIELDS, csv_by_header
 
 _TYPES = {"string": T.StringType(), "double": T.DoubleType(), "int": T.IntegerType(),
           "integer": T.IntegerType(), "bigint": T.LongType(), "timestamp": T.TimestampType(),
           "date": T.DateType(), "boolean": T.BooleanType()}
+BATCH = "_bronze_batch_id"
+METADATA = ["_ingestion_timestamp", "_ingestion_date", "_source_file", "_environment", "_pipeline_version", "_rescued_data", BATCH]
 
 
-def observed_schema(spark: SparkSession, landing: str, hints: Mapping[str, str] | str,
-                    modified_after: str | None = None) -> T.StructType:
-    """Keys present in the landing JSON files, typed by hint (else string), in first-seen order.
-
-    ``modified_after`` limits the scan to files changed since the previous run,
-    so each run reads only the new part of the landing folder.
-    """
+def observed_fields(maps: DataFrame, hints: Mapping[str, str] | str, column: str = "__m") -> T.StructType:
+    """Keys present in a column of maps, typed by hint (else text), in first-seen order."""
     h = S.parse_hints(hints)
-    reader = spark.read.option("recursiveFileLookup", "true")
-    if modified_after:
-        reader = reader.option("modifiedAfter", modified_after).option("timeZone", "UTC")
-    lines = reader.text(landing)
-    m = F.from_json("value", "map<string,string>")
-    entries = lines.select(F.posexplode(F.map_entries(m)).alias("pos", "e"))
+    entries = maps.select(F.posexplode(F.map_entries(column)).alias("pos", "e"))
     # nested objects / arrays never become columns: they stay in the rescue
     nested = F.col("e.value").startswith("{") | F.col("e.value").startswith("[")
     keys = (entries.groupBy(F.col("e.key").alias("k"))
@@ -56,37 +48,10 @@ def observed_schema(spark: SparkSession, landing: str, hints: Mapping[str, str]
                    .filter("nested = 0").orderBy("pos", "k"))
     names = [r["k"] for r in keys.limit(MAX_FIELDS + 1).collect()]  # distinct field names only
     if len(names) > MAX_FIELDS:
-        raise ValueError(f"more than {MAX_FIELDS} distinct fields in {landing}: are values used as names?")
+        raise ValueError(f"more than {MAX_FIELDS} distinct fields in one batch: are values used as names?")
     return T.StructType([T.StructField(n, _TYPES.get(h.get(n, "string"), T.StringType())) for n in names])
 
 
-def evolve(spark: SparkSession, landing: str, memory: str, hints) -> T.StructType:
-    """Merge newly seen fields into the schema memory before the stream starts.
-
-    The memory keeps the start time of the last scan; the next scan reads only
-    files modified after it. A file landing during a run is scanned next time
-    (its new keys meanwhile go to the rescue column, never lost).
-    """
-    started = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
-    last = _last_scan(spark, memory)
-    schema = S.evolve_schema(spark, f"{memory}/schema", observed_schema(spark, landing, hints, last))
-    spark.createDataFrame([(started,)], "value string").coalesce(1).write.mode("append").text(f"{memory}/scanned")
-    return schema
-
-
-def _last_scan(spark: SparkSession, memory: str) -> str | None:
-    try:
-        return spark.read.text(f"{memory}/scanned").agg(F.max("value")).first()[0]  # nothing is overwritten
-    except AnalysisException:
-        return None
-
-
-def stored_schema(memory: T.StructType | None) -> T.StructType | None:
-    """The remembered fields under the names they are stored by."""
-    return None if memory is None else T.StructType(
-        [T.StructField("IP_Address" if f.name == "IP Address" else f.name, f.dataType) for f in memory.fields])
-
-
 def with_ingest_metadata(df: DataFrame, environment: str, version: str = PIPELINE_VERSION,
                          source_col: str = "_source_file") -> DataFrame:
     """S8 + P3: ingestion time/date, source file, environment, pipeline version."""
@@ -99,16 +64,6 @@ def with_ingest_metadata(df: DataFrame, environment: str, version: str = PIPELIN
     return out
 
 
-def read_json_stream(spark: SparkSession, landing: str, schema: T.StructType,
-                     max_files_per_trigger: int | None = None) -> DataFrame:
-    """S4 + S6 + S8: JSON text lines → typed columns + rescue + source file."""
-    reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    lines = reader.load(landing).select("value", F.col("_metadata.file_path").alias("_source_file"))
-    return S.rescue_json_lines(lines, schema)
-
-
 def read_csv_stream(spark: SparkSession, landing: str, columns: list[str], hints,
                     max_files_per_trigger: int | None = None) -> DataFrame:
     """S4 for a fixed-header CSV feed: strings by header, then hints and rescue.
@@ -126,102 +81,82 @@ def read_csv_stream(spark: SparkSession, landing: str, columns: list[str], hints
     return S.with_rescue(raw, hints)  # _source_file is unhinted: passes through
 
 
-EXTRA_FIELDS = 32  # fields beyond the header that are rescued one by one; a row with more keeps its raw line
-MAX_FIELDS = 10_000  # a feed with more distinct field names is taken for a mistake
-
-
-def csv_by_header(lines: DataFrame, hints) -> DataFrame | None:
-    """CSV lines bound by the header of *their own* file, typed by hint, with rescue; None without rows.
-
-    ``lines`` has value, _source_file and _block (where the split of the line
-    starts in its file). Under an explicit schema Spark binds CSV columns by
-    position, so a file with swapped or added columns would load silently
-    wrong. Here the first line of every file that is not blank is found by two
-    grouped minima, over its splits and over the lines of that split; only
-    distinct headers reach the driver (one per version of the feed; more than
-    ``MAX_FIELDS`` raise). Lines meet their header by a join on the file, are
-    parsed by it and unioned by name (a column missing in a file is NULL).
-    Fields beyond the header, and values that do not fit their hint, go to
-    ``_rescued_data``.
-    """
-    told = F.col("value").rlike(r"[^\s\uFEFF]")  # other lines are blank, as for Spark's CSV reader
-    # the first splits of a file may be blank
-    first = lines.filter(told).groupBy("_source_file").agg(F.min("_block").alias("_block"))
-    numbered = lines.withColumn("__n", F.monotonically_increasing_id()).filter(told)
-    headers = (numbered.join(first, ["_source_file", "_block"])
-               .groupBy("_source_file").agg(F.min_by("value", "__n").alias("__header")))
-    names = [r[0] for r in headers.select("__header").distinct().limit(MAX_FIELDS + 1).collect()]
-    if len(names) > MAX_FIELDS:
-        raise ValueError(f"more than {MAX_FIELDS} distinct headers in one batch: do the files have headers?")
-    bound = lines.join(headers, "_source_file").filter(told & (F.col("value") != F.col("__header")))
-    parts = []
-    for header in sorted(names):
-        columns = next(csv.reader([header.lstrip("\ufeff")]), [])
-        extras = [f"__extra_{i + 1}" for i in range(EXTRA_FIELDS)]
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, *extras, "__raw"]])
-        row = F.from_csv("value", F.lit(schema.toDDL()), {"columnNameOfCorruptRecord": "__raw"})
-        parsed = bound.filter(F.col("__header") == header).select(row.alias("r"), "_source_file").select("r.*", "_source_file")
-        more = {f"_extra_{i + 1}": F.col(c) for i, c in enumerate(extras)}
-        more["_raw"] = F.when(F.col(extras[-1]).isNotNull(), F.col("__raw"))
-        parts.append(S.with_rescue(parsed, hints, extra=more).drop(*extras, "__raw"))
-    return S.union_by_name(parts) if parts else None
-
-
-def run_bronze_csv(spark: SparkSession, landing: str, table_path: str, checkpoint: str, hints,
-                   environment: str = "test", max_files_per_trigger: int | None = None,
-                   timeout: float | None = None) -> StreamingQuery:
-    """S4–S8 for a CSV feed whose header may drift between files.
-
-    The stream reads lines with their file; its checkpoint remembers which
-    files are done. Each micro-batch binds its lines by their files' headers
-    (``csv_by_header``), adds ingestion metadata and overwrites its own
-    ``_bronze_batch_id=<id>`` directory, so a replayed batch replaces exactly
-    itself (the name differs from silver's ``_batch_id`` directories, so the
-    column passes through silver as lineage). New columns appear as new
-    Parquet columns; ``read_bronze`` merges schemas. No file is opened on the
-    driver; compressed files are read like others. Quoted line breaks are not
-    supported.
-    """
-    reader = (spark.readStream.format("text").option("recursiveFileLookup", "true")
-                   .option("pathGlobFilter", "*.csv*"))
+def _run(spark: SparkSession, landing: str, pattern: str, table_path: str, checkpoint: str, name: str,
+         bind: Callable[[DataFrame], DataFrame | None], memory: str | None, hints, environment: str,
+         max_files_per_trigger: int | None, timeout: float | None) -> StreamingQuery:
+    """K1 + T1–T3 + T5: new files as lines, micro-batch by micro-batch into the table, then stop."""
+    reader = spark.readStream.format("text").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     lines = reader.load(landing).select("value", F.col("_metadata.file_path").alias("_source_file"),
                                         F.col("_metadata.file_block_start").alias("_block"))
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        data = csv_by_header(df, hints)
+        data = bind(df)
         if data is not None:
-            out = with_ingest_metadata(data, environment)
-            out.write.mode("overwrite").parquet(f"{table_path}/_bronze_batch_id={batch_id}")
+            path = f"{table_path}/{BATCH}={batch_id}"
+            with_ingest_metadata(data, environment).write.mode("overwrite").parquet(path)
+            if memory is not None:
+                remember_types(df.sparkSession, path, memory, hints)
 
     q = (lines.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-              .queryName("bronze_csv").foreachBatch(batch).start())
+              .queryName(name).foreachBatch(batch).start())
     q.awaitTermination(timeout)
     return q
 
 
-def write_bronze(df: DataFrame, table_path: str, checkpoint: str, query_name: str = "bronze") -> StreamingQuery:
-    """K1 + T1–T3 + T5: append to Parquet, own checkpoint, process what exists then stop."""
-    return (df.writeStream.format("parquet")
-              .option("checkpointLocation", checkpoint)
-              .outputMode("append")
-              .trigger(availableNow=True)
-              .queryName(query_name)
-              .start(table_path))
+def remember_types(spark: SparkSession, path: str, memory: str, hints) -> dict[str, int]:
+    """Fold the types of a written batch's unhinted text columns into the memory; reads only those columns."""
+    h = S.parse_hints(hints)
+    stored = spark.read.parquet(path)
+    names = {"IP_Address" if c == "IP Address" else c for c in h}
+    asked = [c for c, t in stored.dtypes if t == "string" and c not in names and c not in METADATA]
+    if not asked:
+        return inference.load_sets(spark, f"{memory}/types")
+    found = {r["column"]: r["types"] for r in inference.column_sets(stored, asked).collect() if r["types"] is not None}
+    return inference.remember(spark, f"{memory}/types", found)
+
+
+def run_bronze_csv(spark: SparkSession, landing: str, table_path: str, checkpoint: str, hints,
+                   environment: str = "test", max_files_per_trigger: int | None = None,
+                   timeout: float | None = None, memory: str | None = None) -> StreamingQuery:
+    """S4–S8 for a CSV feed whose header may drift between files.
+
+    New columns appear as new Parquet columns; ``read_bronze`` merges schemas.
+    No file is opened on the driver; compressed files are read like others.
+    """
+    return _run(spark, landing, "*.csv*", table_path, checkpoint, "bronze_csv", lambda df: csv_by_header(df, hints),
+                memory, hints, environment, max_files_per_trigger, timeout)
 
 
 def run_bronze(spark: SparkSession, landing: str, table_path: str, memory: str, checkpoint: str,
                hints, environment: str = "test", timeout: float | None = None,
                max_files_per_trigger: int | None = None) -> T.StructType:
-    """One bronze run: evolve schema memory, ingest new files, wait for the end."""
-    schema = evolve(spark, landing, memory, hints)
-    stream = with_ingest_metadata(read_json_stream(spark, landing, schema, max_files_per_trigger), environment)
-    q = write_bronze(stream, table_path, checkpoint)
-    q.awaitTermination(timeout)
-    return schema
+    """One JSON bronze run; returns the schema memory it leaves."""
 
+    def bind(df: DataFrame) -> DataFrame:
+        while kept:
+            kept.pop().unpersist()
+        parsed = df.withColumn("__m", F.from_json("value", T.MapType(T.StringType(), T.StringType())))
+        kept.append(parsed.persist(StorageLevel.MEMORY_AND_DISK))  # the lines are parsed once, not for names and values
+        schema = S.evolve_schema(spark, f"{memory}/schema", observed_fields(kept[-1], hints))
+        return S.rescue_json_maps(kept[-1].drop("_block"), schema)
 
-def read_bronze(spark: SparkSession, table_path: str) -> DataFrame:
-    """Batch read of the bronze table; files written before an evolution lack new columns."""
-    return spark.read.option("mergeSchema", "true").parquet(table_path)
+    kept: list[DataFrame] = []
+    try:
+        _run(spark, landing, "*", table_path, checkpoint, "bronze", bind, memory, hints, environment,
+             max_files_per_trigger, timeout)
+    finally:
+        for df in kept:
+            df.unpersist()
+    return S.load_schema(spark, f"{memory}/schema") or T.StructType([])
+
+
+def read_bronze(spark: SparkSession, table_path: str, memory: str | None = None) -> DataFrame:
+    """Batch read of the bronze table; files written before an evolution lack new columns.
+
+    With ``memory`` unhinted columns have the types remembered there, whatever
+    they were when a file was written.
+    """
+    found = spark.read.option("mergeSchema", "true").parquet(table_path)
+    return found if memory is None else inference.typed(found, inference.load_sets(spark, f"{memory}/types"))

@@ -1,12 +1,16 @@
 """Bronze file stream with schema memory / rescue (the four evolution scenarios) and silver replay."""
 
+import csv
 import json
 import os
+import random
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
 
 from fjord.operators import clean
+from fjord.sources import csvrecords
 from fjord.sources.tables import raw_txn
 from fjord.streaming import bronze, silver
 from tests.conftest import SF_SMALL
@@ -169,12 +173,12 @@ def test_csv_header_after_blank_lines(spark, tmp_path):
 
 
 def test_csv_with_too_many_headers_raises(spark, monkeypatch):
-    monkeypatch.setattr(bronze, "MAX_FIELDS", 2)
+    monkeypatch.setattr(csvrecords, "MAX_FIELDS", 2)
     rows = [(line, f"f{i}", 0) for i in range(3) for line in (f"TransactionID,c{i}", f"h-{i},x")]
     lines = spark.createDataFrame(rows, "value string, _source_file string, _block long").coalesce(1)
-    assert bronze.csv_by_header(lines.filter("_source_file <> 'f2'"), HINTS).count() == 2
+    assert csvrecords.csv_by_header(lines.filter("_source_file <> 'f2'"), HINTS).count() == 2
     with pytest.raises(ValueError, match="distinct headers"):
-        bronze.csv_by_header(lines, HINTS)
+        csvrecords.csv_by_header(lines, HINTS)
 
 
 def test_json_batches_are_bounded(spark, tmp_path):
@@ -251,3 +255,120 @@ def test_silver_stream_across_batches(spark, tmp_path):
     known = silver.read_silver(spark, good).filter("TransactionID is not null and AccountID is not null")
     want = clean.silver_good(raw, as_of="2026-12-01").filter("TransactionID is not null and AccountID is not null").count()
     assert known.count() == known.select("TransactionID", "AccountID").distinct().count() == want
+
+
+@contextmanager
+def _splits(spark, size):
+    """Input splits of so many bytes."""
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def _lines(spark, path):
+    return spark.read.option("recursiveFileLookup", "true").text(path).select(
+        "value", F.col("_metadata.file_path").alias("_source_file"), F.col("_metadata.file_block_start").alias("_block"))
+
+
+@pytest.mark.parametrize("size", [16, 64, 1 << 20])
+def test_csv_records_equal_the_csv_module(spark, tmp_path, size):
+    """Quoted breaks, quotes and commas, also across splits, as Python's csv module reads them."""
+    r, want = random.Random(size), []
+    for f in range(4):
+        path = tmp_path / f"f{f}.csv"
+        names = [["id", "a", "b"], ["b", "id", "a"], ["id", "a"], ["a", "id", "b c"]][f]
+        with open(path, "w", encoding="utf-8", newline="") as fh:
+            out = csv.writer(fh, lineterminator="\n")
+            out.writerow(names)
+            for i in range(60):
+                row = {n: "".join(r.choice(["x", "yy", ",", '"', "\n", "\n\n", " ", "é"] if f != 2 else ["x", ",", " "]) for _ in range(r.randint(1, 9)))
+                       for n in names} | {"id": f"{f}-{i}"}
+                out.writerow([row[n] for n in names])
+        with open(path, encoding="utf-8", newline="") as fh:
+            want += [dict(x) for x in csv.DictReader(fh)]
+    with _splits(spark, size):
+        out = csvrecords.csv_by_header(_lines(spark, str(tmp_path)), HINTS)
+        got = {x["id"]: x for x in out.collect()}
+    assert len(got) == len(want) == 240
+    for w in want:
+        row = got[w["id"]].asDict()
+        assert row["_rescued_data"] is None
+        assert {k: (row[k] or "").strip() for k in w} == {k: v.strip() for k, v in w.items()}, w
+
+
+@pytest.mark.parametrize("size", [16, 1 << 20])
+def test_unclosed_quotes_are_rescued_whole(spark, tmp_path, size):
+    files = {"good": ["id,a", '1,"two', 'lines"', "2,x"],
+             "open": ["id,a", "3,x", '4,"never closed', "5,y", "6,z,extra", '7,"q,r"', "8"],
+             "crossed": ["id,a", '9,"stray', '10,"two', 'lines"', "11,w"],
+             "header": ['id,"a', "12,x"]}
+    for name, lines in files.items():
+        _write_csv(str(tmp_path / f"{name}.csv"), lines)
+    with _splits(spark, size):
+        rows = csvrecords.csv_by_header(_lines(spark, str(tmp_path)), HINTS).collect()
+    found = {x["id"]: x["a"] for x in rows if x["id"] is not None}
+    assert found == {"1": "two\nlines", "2": "x", "3": "x", "5": "y", "7": "q,r", "11": "w"}
+    raw = sorted(json.loads(x["_rescued_data"])["_raw"] for x in rows if x["id"] is None)
+    assert raw == sorted(['4,"never closed', "6,z,extra", "8", '9,"stray', '10,"two', 'lines"', "12,x"])
+
+
+def test_a_record_that_never_ends_is_not_collected(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(csvrecords, "MAX_RECORD", 100)
+    _write_csv(str(tmp_path / "a.csv"), ["id,a", "1,x", '2,"stray', *[f"{i},y" for i in range(3, 40)], '40,"stray', "41,z"])
+    rows = csvrecords.csv_by_header(_lines(spark, str(tmp_path)), HINTS).collect()
+    assert {int(x["id"]) for x in rows if x["id"] is not None} == {1, *range(3, 40), 41}
+    assert sorted(json.loads(x["_rescued_data"])["_raw"] for x in rows if x["id"] is None) == ['2,"stray', '40,"stray']
+
+
+def test_one_scan_whatever_the_number_of_headers(spark, tmp_path):
+    scans = {}
+    for n in (1, 6):
+        for i in range(n):
+            _write_csv(str(tmp_path / f"{n}" / f"{i}.csv"), [f"id,c{i}", f"{i},x"])
+        out = csvrecords.csv_by_header(_lines(spark, str(tmp_path / f"{n}")), HINTS)
+        assert out.count() == n
+        plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        scans[n] = plan.count("FileScan text")
+    assert scans == {1: 1, 6: 1}
+
+
+def test_types_widen_over_runs(spark, tmp_path):
+    """Whole numbers, then decimals, then text: every value stays as it came, old files are not touched."""
+    for fmt in ("csv", "json"):
+        landing, table, ckpt, mem = (str(tmp_path / fmt / x) for x in ("landing", "table", "ckpt", "memory"))
+        kinds, seen_files = [], set()
+        for i, values in enumerate((["7", "0"], ["2.50", "8"], ["n/a", "9", "007"])):
+            if fmt == "csv":
+                _write_csv(f"{landing}/{i}.csv", ["TransactionID,Qty,Zip,When,Amount", *[f"r{i}{j},{v},0{j},2024-01-0{i + 1},{j}.5" for j, v in enumerate(values)]])
+                bronze.run_bronze_csv(spark, landing, table, ckpt, HINTS, memory=mem)
+            else:
+                _write(f"{landing}/{i}.jsonl", [{"TransactionID": f"r{i}{j}", "Qty": v, "Zip": f"0{j}", "When": f"2024-01-0{i + 1}", "Amount": j + .5}
+                                                for j, v in enumerate(values)])
+                bronze.run_bronze(spark, landing, table, mem, ckpt, HINTS)
+            now = {os.path.join(d, f) for d, _, names in os.walk(table) for f in names if f.endswith(".parquet")}
+            assert seen_files <= now
+            seen_files = now
+            typed = bronze.read_bronze(spark, table, mem)
+            kinds.append(dict(typed.dtypes)["Qty"])
+            assert dict(typed.dtypes)["Zip"] == "string" and dict(typed.dtypes)["When"] == "date" and dict(typed.dtypes)["Amount"] == "double"
+        assert kinds == ["int", "double", "string"]
+        got = sorted((r["TransactionID"], r["Qty"]) for r in typed.collect())
+        assert got == [("r00", "7"), ("r01", "0"), ("r10", "2.50"), ("r11", "8"), ("r20", "n/a"), ("r21", "9"), ("r22", "007")]
+        assert typed.filter("_rescued_data is not null").count() == 0
+
+
+def test_type_sets(spark):
+    from fjord.sources import inference
+
+    cases = {"int": ["0", "-5", "2147483647"], "bigint": ["1", "2147483648", "-9223372036854775808"], "double": ["1", "2.5", "-0.125"],
+             "boolean": ["true", "false"], "date": ["2024-02-29"], "timestamp": ["2024-02-29", "2024-01-01 10:00:00", "2024-01-01T10:00:00.5"],
+             "string": ["1", "1234567890123456.5"], "void": [None]}
+    cases |= {f"s{i}": [v] for i, v in enumerate(["", " 1", "+1", "01", "1.", ".5", "1e5", "NaN", "True", "2024-02-30", "2024-1-1", "9223372036854775808",
+                                                "2024-01-01 25:00:00"])}
+    for kind, values in cases.items():
+        df = spark.createDataFrame([(v,) for v in values], "`a.b` string")
+        got = inference.column_sets(df, ["a.b"]).select(inference.type_name(F.col("types"))).first()[0]
+        assert got == (kind if not kind[1:].isdigit() else "string"), (kind, values, got)
