@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fjord.functions.exprs import ident
-from fjord.operators.prefix import group_rank
+from fjord.operators.prefix import bucket_count
 
 LABEL = "is_fraud"
 DROPPED = ["is_fraud", "tr_id", "tr_date"]  # label, id and date never enter the features
@@ -99,12 +99,28 @@ def stratified_split(df: DataFrame, label: str = LABEL, key: str = "tr_id", test
                      seed: int = 42) -> DataFrame:
     """M2: exact per-class split — the first ceil(test_size·n_c) rows of each class by hash order.
 
-    A class is a hot group by definition (the negative class can be most of
-    the table), so the per-class rank comes from ``group_rank``'s bucketed
-    prefix counts instead of a window over the whole class.
+    A class is a hot group by definition (the negative class can be most of the
+    table), so no class is sorted. The hash is uniform, so equal ranges of it
+    hold like numbers of rows: one count per class and range finds the range in
+    which a class's cut falls, rows of other ranges are decided where they stand,
+    and only that range's rows are ranked.
     """
-    h = df.withColumn("__u", hash_unit(F.col(key), seed))
-    ranked = group_rank(h, [label], [("__u", True), (key, True)], {"__rank": "rank", "__n": "count"})
-    return ranked.withColumn(
-        "split", F.when(F.col("__rank") <= F.ceil(F.col("__n") * F.lit(str(test_size)).cast("decimal(10,6)")), F.lit("test"))
-        .otherwise(F.lit("train"))).drop("__u", "__rank", "__n")
+    ranges = 4 * bucket_count(df)
+    u = F.col("__u")
+    place = F.coalesce(F.floor(u * F.lit(ranges) / F.lit(1 << 48)) + 1, F.lit(0))  # a row without a key comes first
+    h = df.withColumn("__u", hash_unit(F.col(key), seed)).withColumn("__range", place)
+    counts = h.groupBy(label, "__range").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy(label)  # classes x ranges rows
+    counts = counts.select(F.col(label).alias("__label"), F.col("__range").alias("__cut"), "n",
+                           F.sum("n").over(w.orderBy("__range")).alias("through"), F.sum("n").over(w).alias("all"))
+    wanted = F.ceil(F.col("all") * F.lit(str(test_size)).cast("decimal(10,6)"))
+    before = F.col("through") - F.col("n")
+    cuts = counts.filter((before < wanted) & (wanted <= F.col("through"))).select(
+        "__label", "__cut", (wanted - before).alias("__take"))  # one row per class
+    tagged = h.join(cuts, F.col(label).eqNullSafe(F.col("__label")), "left")
+    sure = tagged.filter(~F.col("__range").eqNullSafe(F.col("__cut"))).withColumn(
+        "split", F.when(F.col("__range") < F.col("__cut"), F.lit("test")).otherwise(F.lit("train")))
+    order = Window.partitionBy("__label").orderBy(u.asc_nulls_first(), F.col(key).asc_nulls_first())
+    close = tagged.filter(F.col("__range").eqNullSafe(F.col("__cut"))).withColumn(
+        "split", F.when(F.rank().over(order) <= F.col("__take"), F.lit("test")).otherwise(F.lit("train")))
+    return sure.unionByName(close).select(*df.columns, "split")

@@ -5,10 +5,13 @@ single task. When the group is a calendar day (W3/W4), the whole table (W5, PR
 curve) or a heavy account, that task holds a large share of the data. Here
 the same numbers come from three bounded steps:
 
-1. split each group's order values into ``buckets`` ranges with
-   ``percentile_approx`` (one small row per group);
+1. split the order values into ranges: a uniform sample of about ``PER_POINT``
+   rows for each of ``buckets`` split points over all groups, of which every
+   ``PER_POINT``-th of a group becomes a split point. So points are dealt over
+   groups in proportion to their rows, a small group has none, and the split
+   table is bounded by ``buckets``, however many groups there are;
 2. total the weights per (group, bucket) and prefix-sum those totals — a table
-   of at most groups × buckets rows;
+   of at most groups + buckets rows;
 3. prefix-sum inside each (group, bucket) with an ordinary window, and add the
    bucket offset.
 
@@ -28,10 +31,12 @@ from pyspark.sql import types as T
 
 _BUCKET = "__bucket"
 STEP = 64
+PER_POINT = 50  # sampled rows per split point: a range holds this often its share of the rows, give or take a seventh
+_HASHES = 1 << 40
 
 
 def bucket_count(df: DataFrame) -> int:
-    """As many ranges per group as a shuffle has partitions: the cluster's own measure of how finely to deal work."""
+    """As many ranges as a shuffle has partitions: the cluster's own measure of how finely to deal work."""
     return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
@@ -53,6 +58,24 @@ def _as_number(df: DataFrame, name: str) -> Column:
     return c.cast("double")
 
 
+def split_points(df: DataFrame, keys: Sequence[str], lead: Column, order: Sequence[str], weights: Sequence[str],
+                 buckets: int) -> DataFrame:
+    """(keys, __splits): a group's split points of ``lead``, sorted; about ``buckets`` over all groups, none for small ones.
+
+    Any points give right sums; these make ranges of like size. The count and
+    the sample read the weights too, so that both share the shuffle ``df`` ends with.
+    """
+    some = F.col(weights[0]).cast("double") > float("-inf")
+    rows = df.agg(F.count_if(some)).scalar()
+    hashed = F.pmod(F.xxhash64(*[F.col(c) for c in [*keys, *order, *weights]]), F.lit(_HASHES))
+    sample = df.filter(lead.isNotNull() & (hashed < F.lit(float(PER_POINT) * buckets * _HASHES) / rows))
+    values = F.array_sort(F.collect_list(lead))  # at most about PER_POINT x buckets over all groups
+    points = sample.groupBy(*keys).agg(values.alias("__v"))
+    thinned = F.transform(F.filter(F.transform("__v", lambda v, i: F.struct(v.alias("v"), i.alias("i"))),
+                                   lambda e: e["i"] % PER_POINT == PER_POINT - 1), lambda e: e["v"])
+    return points.select(*keys, thinned.alias("__splits")).filter(F.size("__splits") > 0)
+
+
 def ordered_prefix(
     df: DataFrame,
     keys: Sequence[str],
@@ -69,18 +92,13 @@ def ordered_prefix(
 
     Shuffles: one small one for the split points, one on (keys, bucket) for the
     local prefix; bucket totals come out of that same window, and the offsets
-    table (groups × buckets rows) is broadcast by AQE once its size is known.
+    table (groups + buckets rows) is broadcast by AQE once its size is known.
     """
     keys = list(keys)
     lead, lead_asc = order[0]
     lead_d = _as_number(df, lead)
     buckets = buckets or bucket_count(df)
-    none = F.array().cast("array<double>")
-    points = F.lit(None).cast("array<double>")
-    if buckets > 1:
-        points = F.percentile_approx(lead_d, [i / buckets for i in range(1, buckets)], max(10_000, 10 * buckets))
-    # a group whose order values are all NULL has no split points: everything in bucket 0
-    splits = df.groupBy(*keys).agg(F.coalesce(points, none).alias("__splits"))
+    splits = split_points(df, keys, lead_d, [c for c, _ in order], weights, buckets)
     # sorted the way the bucket numbers run, and every STEP-th point apart: a row looks at two short lists
     splits = splits.withColumn("__splits", F.sort_array("__splits", asc=lead_asc))
     coarse = F.transform(F.filter(F.transform("__splits", lambda s, i: F.struct(s.alias("s"), i.alias("i"))),
@@ -92,11 +110,12 @@ def ordered_prefix(
 
     first = passed(F.col("__splits.__coarse")) * STEP
     below = first + passed(F.slice(F.col("__splits.__splits"), first + 1, F.lit(STEP)))
-    bucket = F.when(lead_d.isNull(), F.lit(0 if lead_asc else buckets)).otherwise(below)
-    # One row per key group (small); with no keys it is a single scalar.
+    last = F.size(F.col("__splits.__splits"))
+    bucket = F.when(F.col("__splits").isNull(), F.lit(0)).when(lead_d.isNull(), F.lit(0) if lead_asc else last).otherwise(below)
+    # One row per group that has split points; with no keys it is a single scalar.
     if keys:  # NULL is a group too: join NULL-safely
         splits = splits.select(*[F.col(k).alias(f"__s_{k}") for k in keys], "__splits")
-        joined = df.join(splits, [F.col(k).eqNullSafe(F.col(f"__s_{k}")) for k in keys], "inner") \
+        joined = df.join(splits, [F.col(k).eqNullSafe(F.col(f"__s_{k}")) for k in keys], "left") \
             .drop(*[f"__s_{k}" for k in keys])
     else:  # one global row: a scalar subquery, no join
         joined = df.withColumn("__splits", splits.scalar())

@@ -5,6 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from fjord.operators import features, prefix
 from fjord.operators.prefix import group_rank
 
 
@@ -49,4 +50,38 @@ def test_many_buckets_and_plan(spark):
     plan = group_rank(df, ["g"], [("v", True)], {"r": "rank"})._jdf.queryExecution().executedPlan().toString()
     ranked = [line for line in plan.splitlines() if "Window [sum" in line and "specifiedwindowframe(RowFrame" in line]
     assert any("__bucket" in line for line in ranked)  # every window over rows runs per (group, bucket)
-    assert "SinglePartition" not in plan
+    # what meets in one partition are partial counts, one row per task
+    lines = plan.splitlines()
+    assert all("HashAggregate" in lines[i + 1] and "partial_count" in lines[i + 1]
+               for i, line in enumerate(lines) if "Exchange SinglePartition" in line)
+
+
+def test_split_points_are_dealt_by_size(spark):
+    """The split table is bounded by the ranges asked for, not by groups times ranges, and a hot group gets its share."""
+    rows = spark.range(40_000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 2000).alias("g"),
+                                      F.xxhash64("id").cast("double").alias("v"), F.lit(1).alias("n"))
+    points = {r["g"]: r["__splits"] for r in prefix.split_points(rows, ["g"], F.col("v"), ["v"], ["n"], 100).collect()}
+    assert set(points) == {-1} and 20 <= len(points[-1]) <= 50  # a third of the rows; the other groups have 13 or so each
+    two = prefix.split_points(rows.withColumn("g", F.col("v") > 0),
+                              ["g"], F.col("v"), ["v"], ["n"], 100).collect()
+    assert len(two) == 2 and 80 <= sum(len(r["__splits"]) for r in two) <= 120
+    assert all(p == sorted(p) for p in points.values())
+    got = prefix.group_rank(rows, ["g"], [("v", True)], {"r": "rank"}, buckets=100)
+    ref = rows.select("g", "v", F.rank().over(Window.partitionBy("g").orderBy("v")).alias("r"))
+    assert got.select("g", "v", "r").exceptAll(ref).count() == 0 and got.count() == 40_000
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from([0, 1, 1, 1, None]), st.one_of(st.none(), st.integers(0, 30))), min_size=1, max_size=60),
+       st.sampled_from([0.2, 0.5, 0.01]))
+def test_stratified_split_equals_the_rank(spark, rows, share):
+    """Repeated and NULL keys, NULL classes: rows are the test set up to their rank by hash."""
+    df = spark.createDataFrame(rows, "is_fraud int, tr_id int")
+    got = features.stratified_split(df, test_size=share)
+    u = features.hash_unit(F.col("tr_id"))
+    w = Window.partitionBy("is_fraud")
+    rank = F.rank().over(w.orderBy(u.asc_nulls_first(), F.col("tr_id").asc_nulls_first()))
+    size = F.ceil(F.count(F.lit(1)).over(w) * F.lit(str(share)).cast("decimal(10,6)"))
+    ref = df.withColumn("split", F.when(rank <= size, "test").otherwise("train"))
+    key = lambda r: str(tuple(r))
+    assert sorted(got.collect(), key=key) == sorted(ref.collect(), key=key)

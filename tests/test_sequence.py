@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from fjord.operators import gold
+from fjord.operators import gold, prefix, sequence
 from fjord.operators.sequence import sequential_features
 from fjord.sources.tables import txn
 from tests.conftest import SF_SMALL
@@ -43,6 +43,27 @@ def test_tied_and_null_order_keys(spark, rows, chunk):
     assert sorted(map(str, _rows(got, cols))) == sorted(map(str, _rows(ref, cols)))
 
 
+def test_equal_rows_meet_in_no_task(spark):
+    """A key of which nine in ten rows agree in everything that orders them, half of those in everything."""
+    rows = [(i if i % 2 else -1, "hot", 5 if i % 10 else i, 2.0 if i % 10 else float(i)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "id long, k string, t long, v double")
+    placed = sequence.positions(df, "k", ["t", "v"])
+    assert sorted(r["__pos"] for r in placed.collect()) == list(range(4000))
+    ordered = [(r["t"], r["v"]) for r in placed.orderBy("__pos").collect()]
+    assert ordered == sorted(ordered)
+    counted = df.groupBy(*df.columns).count()
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(prefix.bucket_count(df)))
+    assert counted.groupBy("k", "t", "v", salt).count().agg(F.max("count")).first()[0] < 4000 / 10
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    windows = [x for x in plan.splitlines() if "Window [sum(__n" in x]
+    assert windows and all("__salt" in x or "__bucket" in x for x in windows)
+    got = sequential_features(df, "k", ["t"], "v", "lag", "roll", "lead", heavy_threshold=100, chunk_rows=50)
+    w = Window.partitionBy("k").orderBy("t", "v")
+    ref = df.select("*", F.lag("v").over(w).alias("lag"), F.avg("v").over(w.rowsBetween(-6, 0)).alias("roll"), F.lead("v").over(w).alias("lead"))
+    cols = ["k", "t", "v", "lag", "roll", "lead"]
+    assert sorted(map(str, _rows(got, cols))) == sorted(map(str, _rows(ref, cols)))
+
+
 def test_ml_features_with_forced_split(spark):
     t = txn(spark, SF_SMALL)
     a = gold.account_features(t, heavy_threshold=5, chunk_rows=8)  # every account is "heavy"
