@@ -1,8 +1,8 @@
 """Fixed values that must equal the reference pipeline's for the same results.
 
 They are the raw feed's type hints, its PII column list, its quarantine rule
-list, the default rule list used to preview quarantine reasons, the bronze
-stream's schema hints, and the text templates of the deterministic fallbacks.
+list, the default rule list used to preview quarantine reasons, silver's casts,
+and the text templates of the deterministic fallbacks.
 """
 
 # --- fixed values (kept as the reference states them) -----------------------
@@ -38,10 +38,16 @@ QUARANTINE_RULES = [
 
 DEFAULT_REASON_RULES = ["amount IS NULL", "transaction_date IS NULL", "is_fraud NOT IN (0, 1)"]
 
-BRONZE_SCHEMA_HINTS = (
-    "TransactionAmount double, CustomerAge int, AccountBalance double, "
-    "LoginAttempts int, TransactionDuration int"
-)
+# Silver's defensive casts (column → target type); every other column passes through.
+SILVER_CASTS = {
+    "TransactionAmount": "double",
+    "TransactionDate": "date",
+    "CustomerAge": "int",
+    "LoginAttempts": "int",
+    "AccountBalance": "double",
+    "TransactionDuration": "int",
+    "PreviousTransactionDate": "date",
+}
 
 PIPELINE_VERSION = "1.0"
 
@@ -63,17 +69,6 @@ BUSINESS_MAPPING = {
     "merchantid": "merchant_id",
 }
 
-# Silver's defensive casts (column → target type); every other column passes through.
-SILVER_CASTS = {
-    "TransactionAmount": "double",
-    "TransactionDate": "date",
-    "CustomerAge": "int",
-    "LoginAttempts": "int",
-    "AccountBalance": "double",
-    "TransactionDuration": "int",
-    "PreviousTransactionDate": "date",
-}
-
 # --- fixed values: the three demo questions asked of the retrieval stage ------
 DEMO_QUESTIONS = [
     "Which merchant has the most fraud?",

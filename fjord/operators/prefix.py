@@ -65,7 +65,9 @@ def split_points(df: DataFrame, keys: Sequence[str], lead: Column, order: Sequen
     Any points give right sums; these make ranges of like size. The count and
     the sample read the weights too, so that both share the shuffle ``df`` ends with.
     """
-    some = F.col(weights[0]).cast("double") > float("-inf")
+    some = F.lit(True)
+    for w in weights:
+        some = some & (F.col(w).cast("double") > float("-inf"))
     rows = df.agg(F.count_if(some)).scalar()
     hashed = F.pmod(F.xxhash64(*[F.col(c) for c in [*keys, *order, *weights]]), F.lit(_HASHES))
     sample = df.filter(lead.isNotNull() & (hashed < F.lit(float(PER_POINT) * buckets * _HASHES) / rows))
@@ -112,6 +114,7 @@ def ordered_prefix(
     below = first + passed(F.slice(F.col("__splits.__splits"), first + 1, F.lit(STEP)))
     last = F.size(F.col("__splits.__splits"))
     bucket = F.when(F.col("__splits").isNull(), F.lit(0)).when(lead_d.isNull(), F.lit(0) if lead_asc else last).otherwise(below)
+    bucket = F.coalesce(bucket, F.lit(0))  # never NULL, and the planner knows: no filter on it is pushed to the scan
     # One row per group that has split points; with no keys it is a single scalar.
     if keys:  # NULL is a group too: join NULL-safely
         splits = splits.select(*[F.col(k).alias(f"__s_{k}") for k in keys], "__splits")
