@@ -98,10 +98,12 @@ def keep_rows(docs: DataFrame, keep: DataFrame, id_col: str = "doc_id", text_col
     Id and text hash find a row again whatever else its columns hold; ids may be
     null. Of rows that agree in both (repeated rows) one stays.
     """
-    same = F.col(id_col).eqNullSafe(F.col("__i")) & (row_key(text_col) == F.col("__x"))
-    out = docs.join(keep.filter("__n = 1").select("__i", "__x"), same, "left_semi")
+    # the row travels as one struct, so its columns may have any names
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.col(f"`{id_col}`").alias("id"), row_key(f"`{text_col}`").alias("key"))
+    same = F.col("id").eqNullSafe(F.col("__i")) & (F.col("key") == F.col("__x"))
+    out = rows.join(keep.filter("__n = 1").select("__i", "__x"), same, "left_semi")
     twins = keep.filter("__n > 1").select("__i", "__x")
-    if twins.isEmpty():
-        return out
-    odd = docs.join(twins, same, "left_semi").withColumn("__x", row_key(text_col))
-    return out.unionByName(odd.dropDuplicates([id_col, "__x"]).drop("__x"))
+    if not twins.isEmpty():
+        out = out.unionByName(rows.join(twins, same, "left_semi").dropDuplicates(["id", "key"]))
+    return out.select("row.*")

@@ -5,9 +5,8 @@ page gets the verdict of its host: personalised PageRank spreads trust along
 links from hosts with allowed pages, and distrust against the links from hosts
 with blocked pages (a host that links to bad hosts is suspect). A host is
 blocked when its distrust reaches ``least`` and makes up more than ``share`` of
-its trust and distrust together. The registered query goes on until no score
-can be further than ``within`` from its limit; without ``within`` the walks end
-after 20 rounds, as those of the DuckDB SQL do.
+its trust and distrust together. The walks go on until no score can be further
+than ``within`` from its limit.
 
 Every round is one join of host edges with host scores and one grouped sum, all
 in Spark, over tables written to the shared folder; edges are counted with
@@ -22,6 +21,7 @@ once per page row; links of a host to itself are ignored; an unknown host gets
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +37,7 @@ RULES = [
     ("block", "com", "/de/"),
 ]
 MOST_ROUNDS = 1000  # scores that have not settled by then are an error
+ROUNDS_PER_SUM = 8  # rounds whose additions are summed up together
 LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
 
 
@@ -69,43 +70,37 @@ def host_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
             .filter("src <> dst and src <> ''").groupBy("src", "dst").agg(F.count("*").alias("n")))
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, rounds: int = 20,
-              tolerance: float = 0.0, within: float | None = None) -> DataFrame:
+def propagate(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, within: float = 1e-6) -> DataFrame:
     """Rows (host, trust, distrust) from seeds (host, trusted, blocked: 0 to 1) over edges (src, dst, n).
 
     score = (1 - damping) * seed + damping * what the neighbours pass on, each in
     proportion to its links; what a host without links would pass on is lost.
-    With ``within``, ``rounds`` and ``tolerance`` do not count: the sum of all
-    changes shrinks by ``damping`` every round at least, so what is still on its
-    way to any host is at most damping / (1 - damping) of the last sum.
+    A round passes on only what the last one added, and the score is the sum of
+    all rounds. What is on its way shrinks by ``damping`` a round at least, so
+    what is still missing anywhere is at most damping / (1 - damping) of it: the
+    walks end when that is ``within``.
     """
     edges = stage(edges)
-    restart = stage(
-        seeds.select("host", F.lit(0).alias("kind"), (F.col("trusted") * (1 - damping)).alias("v"))
-        .unionByName(seeds.select("host", F.lit(1).alias("kind"), (F.col("blocked") * (1 - damping)).alias("v")))
-        .filter("v > 0"))
+    kinds = [seeds.select("host", F.lit(k).alias("kind"), (F.col(c) * (1 - damping)).alias("v"))
+             for k, c in enumerate(("trusted", "blocked"))]
+    moving = stage(kinds[0].unionByName(kinds[1]).filter("v > 0"))
     steps = edges.select(F.lit(0).alias("kind"), F.col("src").alias("a"), F.col("dst").alias("b"), "n").unionByName(
         edges.select(F.lit(1).alias("kind"), F.col("dst").alias("a"), F.col("src").alias("b"), "n"))
-    total = stage(steps.groupBy("kind", "a").agg(F.sum("n").alias("all")))
-    steps = stage(stage(steps).join(total, ["kind", "a"]).select("kind", "a", "b", (F.col("n") / F.col("all")).alias("w")))
-    score, most = restart, rounds if within is None else MOST_ROUNDS
-    for done in range(0 if edges.isEmpty() else most):
-        passed = (steps.join(score.select("kind", F.col("host").alias("a"), "v"), ["kind", "a"])
-                  .select(F.col("b").alias("host"), "kind", (F.col("v") * F.col("w") * damping).alias("v")))
-        new = stage(passed.unionByName(restart.select("host", "kind", "v")).groupBy("host", "kind")
-                    .agg(F.sum("v").alias("v")))
-        change = F.abs(F.coalesce("x", F.lit(0.0)) - F.coalesce("y", F.lit(0.0)))
-        moved = (new.select("host", "kind", F.col("v").alias("x"))
-                 .join(score.select("host", "kind", F.col("v").alias("y")), ["host", "kind"], "full")
-                 .agg(F.max(change).alias("most"), F.sum(change).alias("all")).first())
-        score = new
-        if moved["most"] is None or within is None and moved["most"] <= tolerance:
-            break
-        if within is not None:
-            if moved["all"] * damping / (1 - damping) <= within:
+    total = steps.groupBy("kind", "a").agg(F.sum("n").alias("all"))
+    steps = stage(steps.join(total, ["kind", "a"]).select("kind", "a", "b", (F.col("n") / F.col("all") * damping).alias("w")))
+    score, added, left = moving, [], 0 if edges.isEmpty() else MOST_ROUNDS
+    while left:
+        left -= 1
+        moving = stage(steps.join(moving.select("kind", F.col("host").alias("a"), "v"), ["kind", "a"])
+                       .groupBy(F.col("b").alias("host"), "kind").agg(F.sum(F.col("v") * F.col("w")).alias("v")))
+        added.append(moving)
+        if len(added) == ROUNDS_PER_SUM or not left:
+            score = stage(reduce(DataFrame.unionByName, added, score).groupBy("host", "kind").agg(F.sum("v").alias("v")))
+            added, way = [], moving.agg(F.sum("v")).first()[0] or 0.0
+            if way * damping / (1 - damping) <= within:
                 break
-            if done + 1 == most:
-                raise RuntimeError(f"scores have not settled after {most} rounds: {moved['all']} moved in the last one")
+            if not left:
+                raise RuntimeError(f"scores have not settled after {MOST_ROUNDS} rounds: {way} moved in the last one")
     return score.groupBy("host").agg(
         F.sum(F.when(F.col("kind") == 0, F.col("v")).otherwise(0.0)).alias("trust"),
         F.sum(F.when(F.col("kind") == 1, F.col("v")).otherwise(0.0)).alias("distrust"))
@@ -113,7 +108,7 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, rounds:
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, id_col: str = "page_id",
           url_col: str = "url", html_col: str = "html", least: float = 0.01, share: float = 0.75,
-          default: str = "allow", within: float | None = None) -> DataFrame:
+          default: str = "allow", within: float = 1e-6) -> DataFrame:
     """Per page row: id, host, path, rule (or null), verdict (allow or block), trust and distrust of its host."""
     host, path = split_url(F.col(url_col))
     judged = (pages.select(F.col(id_col).alias("__id"), host.alias("host"), path.alias("path"))

@@ -1,20 +1,31 @@
-"""Mixing sources to target weights: iterative proportional fitting, then sampling.
-
-Documents fall into cells (source, language, topic). Token counts of the cells
-are raked: in turn, the weights of all cells with one source (language, topic)
-are scaled so that they sum to its target share, until all three sets of
-marginals agree with their targets. A cell's inclusion probability is its raked
-share of the token budget over the tokens it has; where that exceeds 1 the cell
-is taken whole and the others are scaled up, so the budget is still met.
-Documents are then sampled by a hash of their id.
-
-Targets are tempered by default: a source's share is proportional to its tokens
+"""Mixing sources to target weights: bounded iterative proportional fitting, then sampling.
+
+Documents fall into cells (source, language, topic). A sample of ``fraction`` of
+all tokens is wanted in which every source, language and topic has its target
+share. The tokens to take from each cell are raked: in turn, the cells of each
+source (language, topic) are scaled so that they sum to its target. No cell gives
+more than it has: a full cell is taken whole, and the cells of a value that are
+still open are raked to what is left of its target, until all three sets of
+marginals agree with their targets. A cell's inclusion probability is what it
+gives over what it has, and documents are sampled by a hash of their id, so the
+expected sample has the target shares.
+
+*Topics* come from the words: the ``KEYWORDS`` words of a language that stand in
+most of its documents, of those in 1 to 20 % of them; a document's topic is the
+keyword it uses most (of equally used ones the rarer, then by name), else
+``other``. Topics are counted within their language, a corpus of documents in
+several languages having no words in common.
+
+*Targets* are tempered by default: a source's share is proportional to its tokens
 to the power ``temper`` (1 keeps the shares, 0 makes them equal), so small
-sources gain weight and a hot one loses it. Explicit shares can be given.
+sources gain weight and a hot one loses it; a topic's share is tempered within
+its language. Explicit shares can be given. A target that no sample of that size
+can reach (the value has fewer tokens) is lowered to what the value has, the
+others of its kind share the rest, and :func:`plan` reports it.
 
 Cells are counted with map-side aggregation, one row per cell and task; raking
-works on cell tables in the shared folder, each round three grouped sums and
-joins; documents are only joined with the finished cells.
+works on cell tables in the shared folder; documents are only joined with the
+finished cells.
 
 Defined cases: null or missing source and language are a value of their own
 (``(none)``); a null or empty text has no tokens and falls into the topic
@@ -30,15 +41,19 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fjord.llm.common import stage
+from fjord.llm.common import ascii_lower, stage
 
 DIMS = ("source", "lang", "topic")
 WORD = r"[^ \t\n\r]+"
+TERM = "[a-z]{4,}"
+KEYWORDS = 4
 NONE = "(none)"
+SWEEPS_PER_TABLE, CELLS_PER_TASK = 2, 200_000
 
 
 def token_count(text: Column) -> Column:
@@ -46,11 +61,29 @@ def token_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 
 
-def topic(text: Column, tokens: Column) -> Column:
-    """A topic by form: tables and contact pages, else by length."""
-    return (F.when(tokens == 0, "empty").when(F.contains(text, F.lit(" | ")), "table")
-            .when(F.contains(text, F.lit("@")), "contact")
-            .when(tokens < 60, "note").when(tokens < 400, "article").otherwise("long"))
+def terms(text: Column) -> Column:
+    """Runs of four or more letters a-z, A-Z lower-cased."""
+    return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(TERM), F.lit(0))
+
+
+def keywords(rows: DataFrame, per_lang: int = KEYWORDS) -> DataFrame:
+    """(lang, keywords: array of (word, df)) from rows (lang, text); counted over all documents."""
+    found = (rows.select("lang", F.explode(F.array_distinct(terms(F.col("text")))).alias("word"))
+             .groupBy("lang", "word").agg(F.count("*").alias("df")))
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("docs"))
+    band = found.join(sizes, "lang").filter("100 * df >= docs and 5 * df <= docs")
+    best = Window.partitionBy("lang").orderBy(F.desc("df"), "word")  # each task keeps its best per language
+    top = band.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= per_lang)
+    return top.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("word", "df"))).alias("keywords"))
+
+
+def topic(found: Column, tokens: Column, words: Column) -> Column:
+    """The keyword of ``words`` (array of (word, df)) that stands most often among the terms ``found``."""
+    used = F.transform(words, lambda k: F.struct(
+        (-F.size(F.filter(found, lambda t: t == k["word"]))).alias("n"), k["df"].alias("df"), k["word"].alias("word")))
+    best = F.array_min(F.filter(used, lambda u: u["n"] < 0))["word"]
+    # the size is a second use of the terms, so the planner computes them once a row and not once a keyword
+    return F.when(tokens == 0, F.lit("empty")).when(F.size(found) == 0, F.lit("other")).otherwise(F.coalesce(best, F.lit("other")))
 
 
 def uniform(id_: Column, text: Column, seed: str) -> Column:
@@ -60,80 +93,150 @@ def uniform(id_: Column, text: Column, seed: str) -> Column:
 
 
 def described(docs: DataFrame, id_col: str, text_col: str, source_col: str, lang_col: str, seed: str) -> DataFrame:
-    """``docs`` with __source, __lang, __topic, __tokens and __u."""
-    text, tokens = F.col(text_col), F.col("__tokens")
-    value = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(NONE)) if c in docs.columns else F.lit(NONE)
-    return (docs.withColumns({"__source": value(source_col), "__lang": value(lang_col), "__tokens": token_count(text),
-                              "__u": uniform(F.col(id_col), text, seed)})
-            .withColumn("__topic", topic(F.coalesce(text, F.lit("")), tokens)))
-
-
-def rake(cells: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, temper: float = 0.7,
-         rounds: int = 100, tolerance: float = 1e-8) -> DataFrame:
-    """Cells (source, lang, topic, n) with w: shares of the total that meet the target marginals."""
-    now = cells.withColumn("w", F.col("n").cast("double"))
+    """Rows (doc: the document as one struct, source, lang, topic, tokens, u)."""
+    value = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(NONE)) if c in docs.columns else F.lit(NONE)
+    text = F.col(f"`{text_col}`")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), value(source_col).alias("source"),
+                       value(lang_col).alias("lang"), text.alias("text"), token_count(text).alias("tokens"),
+                       uniform(F.col(f"`{id_col}`"), text, seed).alias("u"))
+    known = stage(keywords(rows))
+    rows = rows.join(known, "lang", "left").withColumn("terms", terms(F.col("text")))
+    return rows.select("doc", "source", "lang", topic(F.col("terms"), F.col("tokens"), F.col("keywords")).alias("topic"), "tokens", "u")
+
+
+def _fill(values: DataFrame, totals: DataFrame) -> DataFrame:
+    """``values`` (dim, within, value, have, share) with ``target``: the totals (dim, within, total) dealt by share, none above have.
+
+    ``full`` marks the values whose share of the total they do not have.
+    """
+    now = stage(values.join(totals, ["dim", "within"]).withColumn("full", F.lit(False)))
+    while True:  # each round fills at least one more value, or ends
+        open_ = ~F.col("full")
+        level = now.groupBy("dim", "within").agg(
+            ((F.max("total") - F.coalesce(F.sum(F.when(F.col("full"), F.col("have"))), F.lit(0.0)))
+             / F.nullif(F.sum(F.when(open_, F.col("share"))), F.lit(0.0))).alias("level"))
+        now = now.join(level, ["dim", "within"])
+        over = open_ & (F.col("share") > 0) & (F.col("level") * F.col("share") >= F.col("have"))
+        if now.filter(over).isEmpty():
+            target = F.when(F.col("full"), F.col("have")).otherwise(F.coalesce(F.col("level") * F.col("share"), F.lit(0.0)))
+            return stage(now.withColumn("target", target).drop("level"))
+        now = stage(now.withColumn("full", F.col("full") | F.coalesce(over, F.lit(False))).drop("level"))
+
+
+def goals(cells: DataFrame, fraction: float, targets: Mapping[str, Mapping[str, float]] | None = None,
+          temper: float = 0.7) -> DataFrame:
+    """(dim, within, value, have, share, total, full, target): the tokens to take of every source, language and topic.
+
+    ``within`` is the language of a topic; topics with explicit targets are not told apart by language.
+    """
+    targets = targets or {}
+    budget = (cells.agg(F.sum("n")).first()[0] or 0) * fraction
+    nested = "topic" not in targets
+    parts = []
     for d in DIMS:
-        size = cells.groupBy(d).agg(F.sum("n").cast("double").alias("have"))
-        if targets and d in targets:
-            share = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in targets[d].items() for x in kv]), F.col(d)),
-                               F.lit(0.0))
+        within = F.col("lang") if d == "topic" and nested else F.lit("")
+        if d in targets:
+            pairs = [F.lit(x) for kv in targets[d].items() for x in kv]
+            share = F.coalesce(F.element_at(F.create_map(*pairs), F.col("value")).cast("double"), F.lit(0.0))
         else:
-            share = F.pow("have", temper)
-        goal = stage(size.select(d, F.when(F.col("have") > 0, share).otherwise(0.0).alias("p")))
-        total = goal.agg(F.sum("p")).first()[0] or 1.0
-        now = now.join(goal.select(d, (F.col("p") / total).alias(f"goal_{d}")), d)
-    now, before, worst = stage(now), None, None
-    for _ in range(rounds):
-        off = F.lit(0.0)
-        for d in DIMS:  # a marginal of few values reaches the cells by broadcast, which Spark decides by its size
-            now = now.join(now.groupBy(d).agg(F.sum("w").alias("have")), d)
-            factor = F.when(F.col("have") > 0, F.col(f"goal_{d}") / F.col("have")).otherwise(0.0)
-            now = now.withColumn(f"f_{d}", factor).withColumn("w", F.col("w") * F.col(f"f_{d}")).drop("have")
-            # a factor that applies to no weight (an empty value) says nothing
-            off = F.greatest(off, F.when(F.col("w") > 0, F.abs(F.col(f"f_{d}") - 1)).otherwise(0.0))
-        now = stage(now.withColumn("off", off).drop(*[f"f_{d}" for d in DIMS]))
+            share = F.pow("have", F.lit(temper))
+        have = cells.groupBy(F.lit(d).alias("dim"), within.alias("within"), F.col(d).alias("value")).agg(F.sum("n").cast("double").alias("have"))
+        parts.append(have.withColumn("share", F.when(F.col("have") > 0, share).otherwise(0.0)))
+    spark, flat = cells.sparkSession, parts[:2] if nested else parts
+    top = _fill(reduce(DataFrame.unionByName, flat),
+                spark.createDataFrame([(d, "", float(budget)) for d in DIMS], "dim string, within string, total double"))
+    if not nested:
+        return top
+    by_lang = top.filter("dim = 'lang'").select(F.lit("topic").alias("dim"), F.col("value").alias("within"), F.col("target").alias("total"))
+    return top.unionByName(_fill(parts[2], by_lang))
+
+
+def rake(cells: DataFrame, wanted: DataFrame, fraction: float, rounds: int = 200, tolerance: float = 1e-11,
+         cells_per_task: int = CELLS_PER_TASK) -> DataFrame:
+    """Cells (source, lang, topic, n) with x: the tokens to take, at most n, that sum to the targets of ``wanted``."""
+    n, y = F.col("n"), F.col("y")
+    nested = not wanted.filter("dim = 'topic' and within <> ''").isEmpty()
+    keys = {"source": ["source"], "lang": ["lang"], "topic": ["lang", "topic"] if nested else ["topic"]}
+    now, whole = cells.withColumn("n", F.col("n").cast("double")), F.lit(False)
+    for d in DIMS:
+        t = wanted.filter(F.col("dim") == d).select(
+            *([F.col("within").alias("lang")] if len(keys[d]) > 1 else []), F.col("value").alias(d),
+            F.col("target").alias(f"t_{d}"), F.col("full").alias(f"full_{d}"))
+        now, whole = now.join(t, keys[d]), whole | F.col(f"full_{d}")
+    # a value that is taken whole takes its cells whole
+    now = stage(now.withColumn("y", n * fraction).withColumn("whole", whole).drop(*[f"full_{d}" for d in DIMS]))
+    # few cells are raked in one task, by windows; many by grouped sums that are joined back, so no value's cells meet
+    parts = 1 + now.count() // cells_per_task
+    columns, worst, best, stuck = now.columns, None, None, 0
+    for done in range(0, rounds, SWEEPS_PER_TABLE):
+        now = now.coalesce(1) if parts == 1 else now
+        for _ in range(SWEEPS_PER_TABLE):
+            off = F.lit(0.0)
+            for d in DIMS:
+                shut = F.col("whole") | (y >= n)
+                sums = {"shut": F.sum(F.when(shut, n).otherwise(0.0)), "open": F.sum(F.when(shut, 0.0).otherwise(y))}
+                if parts == 1:
+                    now = now.withColumns({c: v.over(Window.partitionBy(*keys[d])) for c, v in sums.items()})
+                else:
+                    now = now.join(now.groupBy(*keys[d]).agg(*[v.alias(c) for c, v in sums.items()]), keys[d])
+                goal, took = F.col(f"t_{d}"), F.col("shut") + F.col("open")
+                factor = (F.when((F.col("open") > 0) & (goal > F.col("shut")), (goal - F.col("shut")) / F.col("open"))
+                          .when(took > 0, goal / took).otherwise(0.0))
+                off = F.greatest(off, F.when(goal > 0, F.abs(took - goal) / goal).otherwise(0.0))
+                now = now.withColumn("y", y * factor).withColumn(f"off_{d}", off).drop("shut", "open")
+                off = F.col(f"off_{d}")
+            now = now.withColumn("off", off).drop(*[f"off_{d}" for d in DIMS])
+        now = stage(now)
         worst = now.agg(F.max("off")).first()[0]
-        now = now.drop("off")
-        # targets that empty cells rule out are never met: then the factors go round in circles
-        if worst is None or worst < tolerance or before is not None and abs(before - worst) < tolerance:
+        now = now.select(*columns)
+        stuck = 0 if best is None or worst is None or worst < 0.99 * best else stuck + 1
+        best = worst if best is None else min(best, worst)
+        if worst is None or worst < tolerance or stuck >= 10:
             break
-        before = worst
-    if worst is not None and worst >= tolerance:
+    if worst is not None and worst >= 1e-6:
         logging.getLogger(__name__).warning("raking ended with a marginal off its target by a share of %g", worst)
-    return now.drop(*[f"goal_{d}" for d in DIMS])
+    return now.select(*DIMS, "n", F.when(F.col("whole") | (y >= n), n).otherwise(y).alias("x"))
 
 
-def probabilities(cells: DataFrame, fraction: float) -> DataFrame:
-    """Raked cells with p: the share of a cell's documents to take, so that ``fraction`` of all tokens is taken."""
-    budget = (cells.agg(F.sum("n")).first()[0] or 0) * fraction
-    scale = 0.0
-    for _ in range(100):  # each round takes at least one more cell whole, or ends
-        whole = F.col("w") * scale >= F.col("n")
-        left = cells.filter("w > 0").agg(F.sum(F.when(whole, F.col("n"))).alias("taken"),
-                                         F.sum(F.when(~whole, F.col("w"))).alias("rest")).first()
-        if not left.rest:
-            break
-        new = (budget - (left.taken or 0)) / left.rest
-        if new <= scale * (1 + 1e-12):
-            break
-        scale = new
-    return cells.withColumn("p", F.when(F.col("n") == 0, 1.0).otherwise(F.least(F.lit(1.0), F.col("w") * scale / F.col("n"))))
+def _planned(rows: DataFrame, fraction: float, targets: Mapping[str, Mapping[str, float]] | None,
+             temper: float) -> tuple[DataFrame, DataFrame]:
+    """(targets, raked cells) of described rows; logs the targets out of reach."""
+    cells = stage(rows.groupBy(*DIMS).agg(F.sum("tokens").alias("n")))
+    wanted = goals(cells, fraction, targets, temper)
+    lowered = wanted.filter("full").count()
+    if lowered:
+        logging.getLogger(__name__).warning("%d targets are out of reach of any sample of this size; see mixing.plan", lowered)
+    return wanted, stage(rake(cells, wanted, fraction))
+
+
+def plan(docs: DataFrame, fraction: float = 0.7, targets: Mapping[str, Mapping[str, float]] | None = None,
+         temper: float = 0.7, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text",
+         source_col: str = "source", lang_col: str = "lang") -> DataFrame:
+    """Every target as shares of the sample: dim, lang (of a topic), value, wanted, target (what can be reached), reached, full."""
+    rows = described(docs, id_col, text_col, source_col, lang_col, seed)
+    wanted, cells = _planned(rows, fraction, targets, temper)
+    budget = F.lit(cells.agg(F.sum("n")).first()[0] or 0.0) * fraction
+    shares = Window.partitionBy("dim", "within")  # values of one kind
+    free = F.col("total") * F.col("share") / F.nullif(F.sum("share").over(shares), F.lit(0.0))
+    out = wanted.select("dim", "within", "value", (free / budget).alias("wanted"), (F.col("target") / budget).alias("target"), "full")
+    nested = out.filter("dim = 'topic' and within <> ''").isEmpty()
+    parts = [cells.groupBy(F.lit(d).alias("dim"), (F.lit("") if d != "topic" or nested else F.col("lang")).alias("within"),
+                           F.col(d).alias("value")).agg((F.sum("x") / budget).alias("reached")) for d in DIMS]
+    return (out.join(reduce(DataFrame.unionByName, parts), ["dim", "within", "value"])
+            .select("dim", F.col("within").alias("lang"), "value", "wanted", "target", "reached", "full"))
 
 
 def mix(docs: DataFrame, fraction: float = 0.7, targets: Mapping[str, Mapping[str, float]] | None = None,
         temper: float = 0.7, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source", lang_col: str = "lang") -> DataFrame:
-    """``docs`` with __source, __lang, __topic, __tokens, __weight (per token), __p and __selected."""
+    """Rows (doc: the document as one struct, source, lang, topic, tokens, weight of a token, p, selected)."""
     rows = described(docs, id_col, text_col, source_col, lang_col, seed)
-    cells = stage(rows.groupBy(*[F.col(f"__{d}").alias(d) for d in DIMS]).agg(F.sum("__tokens").alias("n")))
-    total = float(cells.agg(F.sum("n")).first()[0] or 0)
-    done = stage(probabilities(rake(cells, targets, temper), fraction).select(
-        *[F.col(d).alias(f"__{d}") for d in DIMS], F.col("p").alias("__p"),
-        F.when(F.col("n") > 0, F.col("w") * total / F.col("n")).otherwise(1.0).alias("__weight")))
-    out = rows.join(done, [f"__{d}" for d in DIMS])
-    return out.withColumn("__selected", F.col("__u") < F.col("__p"))
+    cells = _planned(rows, fraction, targets, temper)[1]
+    p = F.when(F.col("n") > 0, F.least(F.lit(1.0), F.col("x") / F.col("n"))).otherwise(1.0)
+    done = cells.select(*DIMS, p.alias("p"), F.when(F.col("n") > 0, p / fraction).otherwise(1.0).alias("weight"))
+    return rows.join(done, list(DIMS)).select("doc", *DIMS, "tokens", "weight", "p", (F.col("u") < F.col("p")).alias("selected"))
 
 
 def sample(docs: DataFrame, **options) -> DataFrame:
     """The documents that :func:`mix` selects, with the columns of ``docs``."""
-    return mix(docs, **options).filter("__selected").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return mix(docs, **options).filter("selected").select("doc.*")

@@ -27,44 +27,68 @@ ORACLE: dict[str, str] = {
 }
 
 
-def _mixing_sql(sweeps: int = 40, scalings: int = 15, fraction: float = 0.7, temper: float = 0.7, seed: str = "mix") -> str:
-    """The raking as a chain of windows, the budget's scale as a chain of scalars."""
+def _fill_sql(name: str, values: str, total: str, within: str = "''", rounds: int = 12) -> list[str]:
+    """A total dealt by share in a chain of rounds: values below their share are filled first."""
+    steps = [f"{name}_0 AS MATERIALIZED (SELECT *, {within} AS within, {total} AS total, false AS taken FROM ({values}))"]
+    level = ("(total - coalesce(sum(have) FILTER (taken) OVER w, 0)) / nullif(sum(share) FILTER (NOT taken) OVER w, 0)")
+    for i in range(rounds):
+        steps.append(f"""{name}_{i + 1} AS MATERIALIZED (
+            SELECT * EXCLUDE (level) REPLACE (taken OR share > 0 AND coalesce(level * share >= have, false) AS taken)
+            FROM (SELECT *, {level} AS level FROM {name}_{i} WINDOW w AS (PARTITION BY within)))""")
+    steps.append(f"""{name} AS MATERIALIZED (
+        SELECT *, CASE WHEN taken THEN have ELSE coalesce({level} * share, 0) END AS target
+        FROM {name}_{rounds} WINDOW w AS (PARTITION BY within))""")
+    return steps
+
+
+def _mixing_sql(sweeps: int = 70, fraction: float = 0.7, temper: float = 0.7, seed: str = "mix") -> str:
+    """Keywords from unnested words, targets filled in rounds, the raking as a chain of windows."""
     steps = [f"""d AS MATERIALIZED (
-        SELECT *, CASE WHEN tokens = 0 THEN 'empty' WHEN contains(text, ' | ') THEN 'table'
-                       WHEN contains(text, '@') THEN 'contact' WHEN tokens < 60 THEN 'note'
-                       WHEN tokens < 400 THEN 'article' ELSE 'long' END AS topic
-        FROM (SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '(none)') AS source,
-                     coalesce(lang, '(none)') AS lang,
-                     len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\r]+')) AS tokens,
-                     ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), md5(coalesce(text, ''))) || ':{seed}'), 1, 13))::BIGINT
-                         / {1 << 52}::DOUBLE AS u
-              FROM documents)),
-        cells AS MATERIALIZED (SELECT source, lang, topic, sum(tokens)::DOUBLE AS n FROM d GROUP BY ALL)"""]
-    for c in ("source", "lang", "topic"):
-        steps.append(f"""goal_{c} AS MATERIALIZED (
-            SELECT {c}, p / sum(p) OVER () AS goal_{c}
-            FROM (SELECT {c}, CASE WHEN sum(n) > 0 THEN pow(sum(n), {temper}) ELSE 0 END AS p FROM cells GROUP BY {c}))""")
-    steps.append("r0 AS (SELECT *, n AS w FROM cells JOIN goal_source USING (source) JOIN goal_lang USING (lang) "
-                 "JOIN goal_topic USING (topic))")
+        SELECT row_number() OVER () AS u, doc_id, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang,
+               len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\r]+')) AS tokens,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[a-z]{{4,}}') AS words,
+               ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), md5(coalesce(text, ''))) || ':{seed}'), 1, 13))::BIGINT
+                   / {1 << 52}::DOUBLE AS r
+        FROM documents)""",
+             """kw AS MATERIALIZED (
+        SELECT lang, word, df FROM (SELECT lang, word, count(*) AS df FROM (SELECT lang, unnest(list_distinct(words)) AS word FROM d) GROUP BY ALL)
+        JOIN (SELECT lang, count(*) AS docs FROM d GROUP BY lang) USING (lang)
+        WHERE 100 * df >= docs AND 5 * df <= docs QUALIFY row_number() OVER (PARTITION BY lang ORDER BY df DESC, word) <= 4)""",
+             """used AS (
+        SELECT u, word FROM (SELECT u, lang, word, df, count(*) AS n FROM (SELECT u, lang, unnest(words) AS word FROM d)
+                             JOIN kw USING (lang, word) GROUP BY ALL)
+        QUALIFY row_number() OVER (PARTITION BY u ORDER BY n DESC, df, word) = 1)""",
+             """rows_ AS MATERIALIZED (
+        SELECT d.*, CASE WHEN tokens = 0 THEN 'empty' ELSE coalesce(word, 'other') END AS topic FROM d LEFT JOIN used USING (u))""",
+             "cells AS MATERIALIZED (SELECT source, lang, topic, sum(tokens)::DOUBLE AS n FROM rows_ GROUP BY ALL)",
+             f"budget AS MATERIALIZED (SELECT sum(n) * {fraction} AS b FROM cells)"]
+    value = lambda by, more="": (f"SELECT {by}, sum(n) AS have, CASE WHEN sum(n) > 0 THEN pow(sum(n), {temper}) ELSE 0 END AS share"
+                                 f"{more} FROM cells GROUP BY {by}")
+    steps += _fill_sql("g_source", value("source"), "(SELECT b FROM budget)")
+    steps += _fill_sql("g_lang", value("lang"), "(SELECT b FROM budget)")
+    steps += _fill_sql("g_topic", f"SELECT * FROM ({value('lang, topic')}) JOIN (SELECT lang, target AS goal FROM g_lang) USING (lang)",
+                       "goal", "lang")
+    steps.append(f"""r0 AS MATERIALIZED (
+        SELECT c.source, c.lang, c.topic, c.n, c.n * {fraction} AS y, s.taken OR l.taken OR t.taken AS shut,
+               s.target AS t_source, l.target AS t_lang, t.target AS t_topic
+        FROM cells AS c JOIN g_source AS s USING (source) JOIN g_lang AS l USING (lang)
+             JOIN g_topic AS t ON t.lang = c.lang AND t.topic = c.topic)""")
     last = "r0"
     for i in range(sweeps):
-        for c in ("source", "lang", "topic"):
+        for c, by in (("source", "source"), ("lang", "lang"), ("topic", "lang, topic")):
             name = f"r{i}_{c}"
-            steps.append(f"{name} AS MATERIALIZED (SELECT * REPLACE (CASE WHEN sum(w) OVER (PARTITION BY {c}) > 0 "
-                         f"THEN w * goal_{c} / sum(w) OVER (PARTITION BY {c}) ELSE 0 END AS w) FROM {last})")
+            steps.append(f"""{name} AS MATERIALIZED (
+            SELECT * EXCLUDE (a, o) REPLACE (y * CASE WHEN o > 0 AND t_{c} > a THEN (t_{c} - a) / o WHEN a + o > 0 THEN t_{c} / (a + o) ELSE 0 END AS y)
+            FROM (SELECT *, sum(CASE WHEN shut OR y >= n THEN n ELSE 0 END) OVER w AS a,
+                         sum(CASE WHEN shut OR y >= n THEN 0 ELSE y END) OVER w AS o
+                  FROM {last} WINDOW w AS (PARTITION BY {by})))""")
             last = name
-    scale = "0.0"
-    for i in range(scalings):
-        steps.append(f"""s{i} AS MATERIALIZED (
-            SELECT greatest({scale}, coalesce(((SELECT sum(n) FROM cells) * {fraction} - coalesce(sum(n) FILTER (w * {scale} >= n), 0))
-                            / sum(w) FILTER (w * {scale} < n), {scale})) AS s FROM {last} WHERE w > 0)""")
-        scale = f"(SELECT s FROM s{i})"
+    p = "CASE WHEN n = 0 THEN 1.0 WHEN shut OR y >= n THEN 1.0 ELSE y / n END"
     return "WITH " + ",\n".join(steps) + f"""
-        SELECT doc_id, source, lang, topic, tokens,
-               round(CASE WHEN n > 0 THEN w * (SELECT sum(n) FROM cells) / n ELSE 1.0 END, 6) AS weight,
-               round(CASE WHEN n = 0 THEN 1.0 ELSE least(1.0, w * {scale} / n) END, 6) AS probability,
-               u < CASE WHEN n = 0 THEN 1.0 ELSE least(1.0, w * {scale} / n) END AS selected
-        FROM d JOIN {last} USING (source, lang, topic)"""
+        SELECT doc_id, source, lang, topic, tokens, round(CASE WHEN n > 0 THEN {p} / {fraction} ELSE 1.0 END, 6) AS weight,
+               round({p}, 6) AS probability, r < {p} AS selected
+        FROM rows_ JOIN {last} USING (source, lang, topic)"""
 
 
 ORACLE["op9_mixing"] = _mixing_sql()
@@ -124,8 +148,8 @@ def _secrets_sql() -> str:
 ORACLE["op2_secrets"] = _secrets_sql()
 
 
-def _verdict_sql(rounds: int = 20, damping: float = 0.85, least: float = 0.01, share: float = 0.75) -> str:
-    """Rules by length, then the walks as a chain of joins."""
+def _verdict_sql(rounds: int = 160, damping: float = 0.85, least: float = 0.01, share: float = 0.75) -> str:
+    """Rules by length, then the walks as a chain of joins, long enough for scores to stand still (0.85 ** 160 = 5e-12)."""
     rules = [("block", "example.org", "/en/1"), ("block", "example.org", "/es/"), ("allow", "com", "/fr/"),
              ("block", "com", "/de/"), ("allow", "org", "/")]  # longest first
     fits = lambda h, p: f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')"
@@ -169,7 +193,7 @@ def _verdict_sql(rounds: int = 20, damping: float = 0.85, least: float = 0.01, s
         SELECT page_id, j.host, path, rule,
                coalesce(ruled, CASE WHEN distrust >= {least} AND distrust > {share} * (trust + distrust) THEN 'block' ELSE 'allow' END)
                    AS verdict,
-               round(coalesce(trust, 0.0), 9) AS trust, round(coalesce(distrust, 0.0), 9) AS distrust
+               round(coalesce(trust, 0.0), 6) AS trust, round(coalesce(distrust, 0.0), 6) AS distrust
         FROM judged AS j LEFT JOIN score USING (host)"""
 
 

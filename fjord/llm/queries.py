@@ -38,8 +38,8 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = linkgraph.judge(table(spark, sf_dir, "pages"), within=1e-6)
-    return out.withColumns({c: F.round(c, 9) for c in ("trust", "distrust")})
+    out = linkgraph.judge(table(spark, sf_dir, "pages"), within=1e-10)
+    return out.withColumns({c: F.round(c, 6) for c in ("trust", "distrust")})
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,10 +71,8 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", F.col("__source").alias("source"), F.col("__lang").alias("lang"),
-                      F.col("__topic").alias("topic"), F.col("__tokens").alias("tokens"),
-                      F.round("__weight", 6).alias("weight"), F.round("__p", 6).alias("probability"),
-                      F.col("__selected").alias("selected"))
+    return out.select("doc.doc_id", "source", "lang", "topic", "tokens", F.round("weight", 6).alias("weight"),
+                      F.round("p", 6).alias("probability"), "selected")
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -133,3 +133,13 @@ def test_simhash_query(spark):
     prints = [brute_print(t) for _, t in rows]
     want = list(zip([i for i, _ in rows], [f"{p:016x}" for p in prints], brute_components([i for i, _ in rows], prints), strict=True))
     assert sorted(map(tuple, QUERIES["op10_simhash"](spark, SF_SMALL).collect())) == want
+
+
+def test_columns_of_any_name_are_left_alone(spark):
+    rows = [(1, "One text", 7), (2, "one TEXT", 8), (3, "another one entirely, with more words", 9), (3, "another one entirely, with more words", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, v int").withColumns(
+        {c: F.col("v") + 1 for c in ("__x", "__i", "__n", "__h", "id", "key", "row", "fp", "a.b")})
+    for drop, kept in ((exactdup.drop_exact_copies, [2, 3]), (simhash.drop_near_copies, [1, 3])):
+        out = drop(docs)
+        assert out.columns == docs.columns
+        assert sorted(r["doc_id"] for r in out.collect()) == kept and all(r["__x"] == r["v"] + 1 for r in out.collect())
