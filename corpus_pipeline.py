@@ -15,7 +15,7 @@ from fjord.llm.queries import bpe_digest
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the compression classifier rejects (score below 0.3) go."""
+    """Documents that the compression classifier rejects (score below 0.3) go; empty and null texts are scored too."""
     model = quality.train(docs, table(spark, sf_dir, "labels"))
     return quality.keep_good(docs, model)
 
