@@ -15,7 +15,9 @@ piece finds junk in the middle of good text.
 
 The fit uses a bounded sample of labelled rows: at most ``dict_bytes`` of text
 per class for the dictionaries and ``fit_rows`` rows for the logistic fit, both
-taken in order of a hash of the id, from disjoint parts (three quarters and one). Scoring covers whole
+taken in order of a hash of the id, from disjoint parts (three quarters and one). Texts longer than
+a 64th of ``dict_bytes`` (128 KB) are not put into a dictionary, so no text fills
+it alone; they are fitted and scored like all others. Scoring covers whole
 texts of all rows; the model is two dictionaries of at most ``dict_size`` bytes
 and a few numbers, whatever the size of the data.
 

@@ -17,7 +17,11 @@ machine folds into one weight per table place: scoring a word is a table lookup
 per subsequence.
 
 A text is as toxic as its worst words: a logistic fit turns the two largest
-margins into a probability. Spaced-out letters are joined to a word first.
+margins into a probability; a margin below ``FLOOR`` (that of a text without
+words) counts as ``FLOOR``, as nothing is cleaner than no words at all.
+Spaced-out letters are joined to a word first. Words of 3 to 64 characters are
+learnt from (shorter ones have no subsequence of their own but the marks',
+longer ones are no words); every word of any length is scored.
 
 The fit uses at most ``fit_docs`` labelled rows, in order of a hash of the id;
 three quarters of them (one of each group of copies) train the machine, the
@@ -53,7 +57,8 @@ DECAY = 0.6
 STEPS = [(i, j) for j in range(2, 5) for i in range(1, j)]  # places of the 2nd and 3rd character after the 1st
 EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 SPACED = re.compile(r"(?<!\w)(?:[^\W\d_][\W_]{1,2}){3,}[^\W\d_](?!\w)")
-KEEP_WORDS = 400_000
+KEEP_WORDS, KEEP_CHARS = 400_000, 1000  # words whose margins are remembered, and how long one of them may be
+PIECE = 200_000  # characters whose subsequences are held at once
 STEM = "\n"
 FLOOR = -3.0  # margin of a text without words
 HASHES, BAND, ALIKE = 126, 3, 0.5  # min-hashes of a text, those that stand for it in a look-up, the share copies agree in
@@ -67,23 +72,36 @@ def words(text: str | None) -> list[str]:
     return low.split()
 
 
-def occurrences(batch: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word number, table place, weight) of every subsequence; weights are normalised per word."""
-    marked = ["^" + EDGE.sub("", w) + "$" for w in batch]
-    chars = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    length = np.fromiter(map(len, marked), np.int64, len(marked))
-    end = np.repeat(np.cumsum(length), length)
-    owner = np.repeat(np.arange(len(marked)), length)
+def marked(word: str) -> str:
+    """The word between its marks, without what stands around it."""
+    return "^" + EDGE.sub("", word) + "$"
+
+
+def places(text: str, owner_ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
+    """(positions of the first character, table place, weight) of every subsequence, one shape after the other.
+
+    ``owner_ends`` holds, for every character, where its word ends.
+    """
+    chars = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     place = np.arange(len(chars))
-    who, slot, weight = [], [], []
     for i, j in STEPS:
-        at = place[place + j < end]
+        at = place[place + j < owner_ends]
         code = chars[at] * np.uint64(0x9E3779B97F4A7C15) ^ chars[at + i] * np.uint64(0xC2B2AE3D27D4EB4F)
         code = (code ^ code >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) ^ chars[at + j] * np.uint64(0x165667B19E3779F9)
         code = (code ^ code >> np.uint64(32)) * np.uint64(0x94D049BB133111EB)
+        yield at, (code >> np.uint64(64 - SLOT_BITS)).astype(np.int64), DECAY ** (j - 2)
+
+
+def occurrences(batch: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word number, table place, weight) of every subsequence; weights are normalised per word."""
+    texts = [marked(w) for w in batch]
+    length = np.fromiter(map(len, texts), np.int64, len(texts))
+    owner = np.repeat(np.arange(len(texts)), length)
+    who, slot, weight = [], [], []
+    for at, s, w in places("".join(texts), np.repeat(np.cumsum(length), length)):
         who.append(owner[at])
-        slot.append((code >> np.uint64(64 - SLOT_BITS)).astype(np.int64))
-        weight.append(np.full(len(at), DECAY ** (j - 2), np.float64))
+        slot.append(s)
+        weight.append(np.full(len(at), w, np.float64))
     who, slot, weight = np.concatenate(who), np.concatenate(slot), np.concatenate(weight)
     norm = np.sqrt(np.bincount(who, weight * weight, len(batch)))
     return who, slot, weight / norm[who]
@@ -111,10 +129,30 @@ class Model:
     weights: np.ndarray  # logistic: two largest margins, constant
 
     def margins(self, batch: list[str]) -> np.ndarray:
-        if not batch:
-            return np.zeros(0)
-        who, slot, weight = occurrences(batch)
-        return np.bincount(who, weight * self.table[slot], len(batch)) + self.constant
+        """Margins of words, as many of them at a time as hold PIECE characters."""
+        out, at = np.empty(len(batch)), 0
+        ends = np.cumsum([len(w) for w in batch])
+        while at < len(batch):
+            if len(batch[at]) > PIECE:
+                out[at] = self.long_margin(batch[at])
+                at += 1
+                continue
+            to = max(at + 1, int(np.searchsorted(ends, ends[at] - len(batch[at]) + PIECE, side="right")))
+            who, slot, weight = occurrences(batch[at:to])
+            out[at:to] = np.bincount(who, weight * self.table[slot], to - at) + self.constant
+            at = to
+        return out
+
+    def long_margin(self, word: str) -> float:
+        """The margin of one long word, summed in slices that share the characters a subsequence may span."""
+        text, total, squares, reach = marked(word), 0.0, 0.0, max(j for _, j in STEPS)
+        for start in range(0, len(text), PIECE):
+            part = text[start:start + PIECE + reach]
+            for at, slot, weight in places(part, np.full(len(part), len(part))):
+                own = slot[at < PIECE]
+                total += weight * self.table[own].sum()
+                squares += weight * weight * len(own)
+        return total / squares**0.5 + self.constant
 
     def score(self, top: np.ndarray) -> np.ndarray:
         return sigmoid(top @ self.weights[:2] + self.weights[2])
@@ -132,13 +170,13 @@ class Reader:
         if len(self.known) > KEEP_WORDS:
             self.known.clear()
         new = list(set().union(*bags).difference(self.known)) if bags else []
-        for at in range(0, len(new), 20_000):
-            part = new[at:at + 20_000]
-            self.known.update(zip(part, self.model.margins(part).tolist(), strict=True))
+        fresh = dict(zip(new, self.model.margins(new).tolist(), strict=True))
+        self.known.update((w, m) for w, m in fresh.items() if len(w) <= KEEP_CHARS)
+        margin = lambda w: fresh[w] if w in fresh else self.known[w]
         out = np.full((len(texts), 2), FLOOR)
         for row, bag in zip(out, bags, strict=True):
             if bag:
-                m = np.fromiter(map(self.known.__getitem__, bag), np.float64, len(bag))
+                m = np.fromiter(map(margin, bag), np.float64, len(bag))
                 row[0] = m.max()
                 if len(m) > 1:
                     row[1] = np.partition(m, -2)[-2]

@@ -1,16 +1,19 @@
 """Classifiers: held-out accuracy on the given tables, defined results on odd ones."""
 
+import math
+import tracemalloc
 import zlib
 
 import numpy as np
 import pandas as pd
 import pytest
 import xxhash
+import zstandard
 from pyspark.sql import functions as F
 
 from fjord.llm import quality, toxicity
 from fjord.llm.queries import QUERIES
-from tests.conftest import SF_MID
+from tests.conftest import SF_MID, SF_SMALL
 
 LARGER = "/root/testdata/sf0.1"
 
@@ -116,3 +119,77 @@ def test_only_copies_are_learnt_from_once(spark):
     model = toxicity.train(docs, spark.createDataFrame(list(enumerate(marks)), "doc_id long, toxic int"))
     tests = spark.createDataFrame([(0, texts[1]), (1, texts[1] + " grobble")], "doc_id long, text string")
     assert [r.predicted for r in toxicity.score(tests, model).orderBy("doc_id").collect()] == [0, 1]
+
+
+def test_quality_scores_by_definition(spark):
+    """Scores of whole texts from the fitted model's dictionaries and weights, with zstandard alone."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    model = quality.train(docs, spark.read.parquet(f"{SF_SMALL}/labels.parquet"))
+    made = {}
+    for name, d in (("good", model.good), ("bad", model.bad), ("plain", b"")):
+        known = {"dict_data": zstandard.ZstdCompressionDict(d)} if d else {}
+        if d:
+            known["dict_data"].precompute_compress(level=quality.LEVEL)
+        made[name] = zstandard.ZstdCompressor(level=quality.LEVEL, **known)
+    size = lambda name, data: len(made[name].compress(data))
+    got = {r.doc_id: r for r in quality.score(docs, model).collect()}
+    for r in docs.collect():
+        raw = (r.text or "").encode()
+        good, bad, n = size("good", raw), size("bad", raw), len(raw) + 1
+        count = max(1, round(len(raw) / quality.WINDOW))
+        step = max(1, math.ceil(len(raw) / count))
+        pieces = [raw[i:i + step] for i in range(0, len(raw), step)] or [b""]
+        gain = [(size("bad", p) - size("good", p)) / (len(p) + 1) for p in pieces]
+        own = [size("good", p) / (len(p) + 1) for p in pieces]
+        f = [(bad - good) / n, (bad - good) / (bad + good), size("plain", raw) / n, math.log(n), min(gain), sum(gain) / len(gain), sum(own) / len(own)]
+        z = sum((x - c) / s * w for x, c, s, w in zip(f, model.centre, model.spread, model.weights[:-1], strict=True)) + model.weights[-1]
+        assert got[r.doc_id].score == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-9)
+        assert got[r.doc_id].predicted == int(got[r.doc_id].score >= 0.3)
+
+
+def plain_margin(model, word):
+    """The margin of a word, subsequence by subsequence."""
+    chars, mask = [ord(c) for c in "^" + toxicity.EDGE.sub("", word) + "$"], (1 << 64) - 1
+    total = squares = 0.0
+    for a in range(len(chars)):
+        for i, j in toxicity.STEPS:
+            if a + j < len(chars):
+                code = (chars[a] * 0x9E3779B97F4A7C15 & mask) ^ (chars[a + i] * 0xC2B2AE3D27D4EB4F & mask)
+                code = ((code ^ code >> 29) * 0xBF58476D1CE4E5B9 & mask) ^ (chars[a + j] * 0x165667B19E3779F9 & mask)
+                code = (code ^ code >> 32) * 0x94D049BB133111EB & mask
+                w = toxicity.DECAY ** (j - 2)
+                total += w * model.table[code >> 64 - toxicity.SLOT_BITS]
+                squares += w * w
+    return total / math.sqrt(squares) + model.constant if squares else model.constant
+
+
+def test_toxicity_scores_by_definition(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    model = toxicity.train(docs, spark.read.parquet(f"{SF_SMALL}/labels.parquet"))
+    got, margins = {r.doc_id: r for r in toxicity.score(docs, model).collect()}, {}
+    for r in docs.collect():
+        found = []
+        for w in set(toxicity.words(r.text)):
+            if w not in margins:
+                margins[w] = plain_margin(model, w)
+            found.append(margins[w])
+        top = [max(toxicity.FLOOR, m) for m in [*sorted(found, reverse=True)[:2], toxicity.FLOOR, toxicity.FLOOR][:2]]
+        z = top[0] * model.weights[0] + top[1] * model.weights[1] + model.weights[2]
+        assert got[r.doc_id].score == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-9)
+        assert got[r.doc_id].predicted == int(got[r.doc_id].score >= 0.5)
+
+
+def test_one_very_long_word_stays_in_memory(monkeypatch):
+    rng = np.random.default_rng(1)
+    model = toxicity.Model(rng.normal(size=toxicity.SLOTS), 0.1, np.array([1.0, 0.5, 0.0]))
+    word = "".join(rng.choice(list("abcdefgh"), size=2_000))
+    whole = model.margins([word])[0]
+    monkeypatch.setattr(toxicity, "PIECE", 300)
+    assert model.margins(["x", word, "insult", "y" * 301])[[1, 3]] == pytest.approx([whole, plain_margin(model, "y" * 301)])
+    assert whole == pytest.approx(plain_margin(model, word))
+    monkeypatch.undo()
+    tracemalloc.start()
+    toxicity.Reader(model).top(["clean words " + "QUJD" * 2_500_000, None])  # ten million characters
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500 << 20
