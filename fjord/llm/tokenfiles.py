@@ -1,7 +1,10 @@
 """Token ids as flat binary files with 64-bit document offsets.
 
-Documents are range-partitioned by id, so partition k holds smaller ids than
-partition k + 1. Each task encodes its documents in order and appends to
+Documents are encoded where they lie. Their ids, which take a third of the room
+of the texts, are written once to the shared folder and then range-partitioned
+by document id, so partition k holds smaller ids than partition k + 1; there are
+at least as many partitions as keep a file within ``FILE_BYTES``. Each task
+appends its documents in order to
 
 * ``part-k.bin``  ids of all documents, little-endian unsigned integers (16 bits
   where the vocabulary allows, else 32), nothing between them
@@ -13,7 +16,8 @@ partition k + 1. Each task encodes its documents in order and appends to
 under a name of its own attempt and renames it when complete, so a task that is
 tried again, or twice at once, leaves one good file. What a task reports is its
 counts: prefix sums over partitions give each file's base, and a document's
-global start is base + offset. :func:`read_back` maps the files into memory.
+global start is base + offset. :func:`read_back` maps the files into memory; where a
+folder is no local path and cannot be mapped, it reads ranges by offset.
 
 Only one document at a time is held besides Arrow's batch. Files are written
 with plain file calls where the folder is a ``file:`` URI or a path, and with
@@ -42,6 +46,21 @@ from fjord.llm.common import ship, stage
 from fjord.llm.tokens import encoder
 
 PIECE = 1 << 20  # ids turned into 32 bits at once
+FILE_BYTES = 1 << 29
+
+
+class Ranges:
+    """Ids of a file that cannot be mapped: a slice is read when it is asked for."""
+
+    def __init__(self, file, dtype: str):
+        self.file, self.dtype = file, np.dtype(dtype)
+
+    def __len__(self) -> int:
+        return self.file.size() // self.dtype.itemsize
+
+    def __getitem__(self, part: slice) -> np.ndarray:
+        width = self.dtype.itemsize
+        return np.frombuffer(self.file.read_at((part.stop - part.start) * width, part.start * width), self.dtype)
 
 
 class Folder:
@@ -64,11 +83,10 @@ class Folder:
         old, new = f"{self.path}/{old}", f"{self.path}/{new}"
         os.replace(old, new) if self.local else self.fs.move(old, new)
 
-    def read(self, name: str, dtype: str) -> np.ndarray:
+    def read(self, name: str, dtype: str) -> np.ndarray | Ranges:
         full = f"{self.path}/{name}"
         if not self.local:
-            with self.fs.open_input_file(full) as f:
-                return np.frombuffer(f.read(), dtype)
+            return Ranges(self.fs.open_input_file(full), dtype)
         return np.memmap(full, dtype, "r") if os.path.getsize(full) else np.zeros(0, dtype)
 
 
@@ -78,25 +96,30 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_col: str
     spark = docs.sparkSession
     ship(spark)
 
+    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        enc = encoder(tokenizer)
+        end = np.array([end_id], enc.dtype).tobytes()
+        for b in batches:
+            yield pd.DataFrame({"i": b["i"], "u": b["u"], "width": np.full(len(b), enc.dtype.itemsize, np.int32),
+                                "ids": [bytes(enc.encode(t or "")) + end for t in b["t"]]})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc, part, out = encoder(tokenizer), TaskContext.get().partitionId(), Folder(folder)
+        part, out = TaskContext.get().partitionId(), Folder(folder)
         attempt = uuid.uuid4().hex
         names = {k: f"_tmp-{part:05d}-{attempt}.{k}" for k in ("bin", "idx", "doc", "nul")}
-        end, width = np.array([end_id], enc.dtype).tobytes(), enc.dtype.itemsize
-        n, at, files = 0, 0, None
+        n, at, width, files = 0, 0, 0, None
         for b in batches:
+            if not len(b):
+                continue
             if files is None:
-                files = {k: out.open(v) for k, v in names.items()}
+                files, width = {k: out.open(v) for k, v in names.items()}, int(b["width"].iloc[0])
                 files["idx"].write(np.zeros(1, "<u8").tobytes())
-            offsets = np.zeros(len(b), "<u8")
-            for i, text in enumerate(b["t"]):
-                ids = enc.encode(text or "")
+            for ids in b["ids"]:
                 files["bin"].write(ids)
-                files["bin"].write(end)
-                at += len(ids) // width + 1
-                offsets[i] = at
+            offsets = at + np.cumsum([len(ids) // width for ids in b["ids"]]).astype("<u8")
+            at = int(offsets[-1])
             missing = b["i"].isna().to_numpy()
-            files["idx"].write(offsets.tobytes())
+            files["idx"].write(offsets.astype("<u8").tobytes())
             files["doc"].write(np.array([int(x) if x is not None else 0 for x in b["i"]], "<i8").tobytes())
             files["nul"].write(missing.astype("u1").tobytes())
             n += len(b)
@@ -107,12 +130,14 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_col: str
             out.rename(names[k], f"part-{part:05d}.{k}")
         yield pd.DataFrame({"part": [part], "docs": [n], "tokens": [at], "width": [width]})
 
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col(id_col).cast("long").alias("k"), F.coalesce(F.col(text_col), F.lit("")).alias("t"),
+    rows = docs.select(F.col(id_col).cast("string").alias("i"), F.coalesce(F.col(text_col), F.lit("")).alias("t"),
                        F.monotonically_increasing_id().alias("u"))
-    ordered = rows.repartitionByRange(parts, "k", "u").sortWithinPartitions("k", "u")
-    written = stage(ordered.select(F.col("k").cast("string").alias("i"), "t")
-                    .mapInPandas(run, "part int, docs long, tokens long, width int"))
+    encoded = stage(rows.mapInPandas(encode, "i string, u long, width int, ids binary"))
+    size = encoded.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
+    parts = max(partitions or int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // FILE_BYTES))
+    ordered = (encoded.withColumn("k", F.col("i").cast("long")).repartitionByRange(parts, "k", "u")
+               .sortWithinPartitions("k", "u"))
+    written = stage(ordered.select("i", "width", "ids").mapInPandas(run, "part int, docs long, tokens long, width int"))
     # one row per file: as few as there are partitions
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return written.withColumn("base", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
@@ -128,8 +153,9 @@ def read_back(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFram
             for r in b.itertuples():
                 stem = f"part-{r.part:05d}"
                 ids = files.read(f"{stem}.bin", f"<u{r.width}")
-                offsets = files.read(f"{stem}.idx", "<u8").astype(np.int64)
-                docs, null = files.read(f"{stem}.doc", "<i8"), files.read(f"{stem}.nul", "u1")
+                offsets, docs, null = (x[0:len(x)] for x in (
+                    files.read(f"{stem}.idx", "<u8"), files.read(f"{stem}.doc", "<i8"), files.read(f"{stem}.nul", "u1")))
+                offsets = offsets.astype(np.int64)
                 if not (len(docs) == len(null) == len(offsets) - 1 == r.docs and len(ids) == offsets[-1] == r.tokens):
                     raise ValueError(f"{stem} does not have what its task reported")
                 for at in range(0, r.docs, 10_000):
@@ -137,8 +163,8 @@ def read_back(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFram
                     sums = np.zeros(to - at, np.int64)
                     for i in range(at, to):
                         crc = 0
-                        for j in range(offsets[i], offsets[i + 1], PIECE):
-                            crc = zlib.crc32(ids[j:min(j + PIECE, offsets[i + 1])].astype("<u4"), crc)
+                        for j in range(int(offsets[i]), int(offsets[i + 1]), PIECE):
+                            crc = zlib.crc32(ids[j:min(j + PIECE, int(offsets[i + 1]))].astype("<u4"), crc)
                         sums[i - at] = crc
                     yield pd.DataFrame({
                         "doc_id": [None if z else str(d) for d, z in zip(docs[at:to].tolist(), null[at:to], strict=True)],

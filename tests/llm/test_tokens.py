@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyarrow import fs as arrow_fs
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -96,6 +97,30 @@ def test_odd_documents(spark):
     assert tokenfiles.read_back(spark, folder, empty).count() == 0
 
 
+def test_files_that_cannot_be_mapped_are_read_by_ranges(tmp_path):
+    folder = tokenfiles.Folder(str(tmp_path))
+    folder.local, folder.fs = False, arrow_fs.LocalFileSystem()  # as for a folder on another system
+    ids = np.arange(5000, dtype="<u2")
+    with folder.open("_tmp") as f:
+        f.write(ids.tobytes())
+    folder.rename("_tmp", "part.bin")
+    back = folder.read("part.bin", "<u2")
+    assert isinstance(back, tokenfiles.Ranges) and len(back) == 5000
+    assert (back[0:5000] == ids).all() and (back[77:1234] == ids[77:1234]).all() and len(back[10:10]) == 0
+    folder.local = True
+    assert isinstance(folder.read("part.bin", "<u2"), np.memmap)
+
+
+def test_files_are_sized_by_tokens(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "some words " * 50) for i in range(200)], "doc_id long, text string")
+    monkeypatch.setattr(tokenfiles, "FILE_BYTES", 4000)
+    folder = shared_folder(spark)
+    written = tokenfiles.write(docs, folder, WORD, end_id=2, partitions=2)
+    assert written.count() >= 8 and written.agg(F.max(F.col("tokens") * F.col("width"))).first()[0] < 10_000
+    starts = sorted((r.start, r.n_tokens, r.doc_id) for r in tokenfiles.read_back(spark, folder, written).collect())
+    assert [x[2] for x in starts] == list(range(200)) and [x[0] for x in starts] == [101 * i for i in range(200)]
+
+
 def test_queries_against_the_library(spark):
     docs = sorted(spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect())
     word, byte = Tokenizer.from_file(WORD), Tokenizer.from_file(BYTE)
