@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from fjord.llm.common import ship
 
 TILE, QUERY_TILE = 4096, 512
+BLOCK_BYTES = 32 << 20  # of a block of queries, in doubles; a cell holds about twice that
 SLACK = 1e-9  # relative: rounding of the bound's own arithmetic, in doubles
 
 
@@ -97,7 +98,7 @@ def valid(vec: Column) -> Column:
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding",
-           query_rows: int = 65_536, stripe_rows: int = 4_000_000) -> DataFrame:
+           query_rows: int | None = None, stripe_rows: int = 4_000_000) -> DataFrame:
     """The k rows with the largest inner product of every query row: query_id, rank, vec_id, score.
 
     Defined cases: rows with a null id, and vectors that are null, empty, zero
@@ -112,9 +113,10 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
     spark = vectors.sparkSession
     ship(spark)
     good = vectors.filter(valid(F.col(vec_col)) & F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"),
+        F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"),  # as stored: a task widens its own rows
         F.xxhash64(vec_col).alias("key"), F.coalesce(is_query, F.lit(False)).alias("q"))
-    counts = good.agg(F.count("*"), F.coalesce(F.sum(F.col("q").cast("long")), F.lit(0))).first()
+    counts = good.agg(F.count("*"), F.coalesce(F.sum(F.col("q").cast("long")), F.lit(0)), F.max(F.size("v"))).first()
+    query_rows = query_rows or max(1, BLOCK_BYTES // (8 * (counts[2] or 1)))
     blocks = max(1, math.ceil(counts[1] / query_rows))
     wanted = math.ceil(2 * spark.sparkContext.defaultParallelism / blocks)
     stripes = max(math.ceil(counts[0] / stripe_rows), min(wanted, math.ceil(counts[0] / TILE)), 1)
@@ -145,7 +147,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
                         yield ready.result()
                     current, ready, asked = c, None, []
                 ids, keys = rows["id"].to_numpy(), rows["key"].to_numpy()
-                v = np.stack(rows["v"].to_list())
+                v = np.stack(rows["v"].to_list()).astype(np.float64)
                 if side == 0:
                     asked.append((ids, keys, v))
                     continue
