@@ -46,12 +46,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fjord.llm.common import ascii_lower, stage
+from fjord.llm.common import stage
 
 DIMS = ("source", "lang", "topic")
 WORD = r"[^ \t\n\r]+"
-TERM = "[a-z]{4,}"
-KEYWORDS = 4
+KEYWORDS, LETTERS = 4, 4
 NONE = "(none)"
 SWEEPS_PER_TABLE, CELLS_PER_TASK = 2, 200_000
 
@@ -62,18 +61,21 @@ def token_count(text: Column) -> Column:
 
 
 def terms(text: Column) -> Column:
-    """Runs of four or more letters a-z, A-Z lower-cased."""
-    return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(TERM), F.lit(0))
+    """Runs of letters a-z, A-Z lower-cased, and maybe empty ones at the ends; keywords are those of four letters or more."""
+    # what is not a letter goes first: then the rest is ASCII, and quick to lower and to split
+    return F.split(F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), "[^A-Za-z]+", " ")), " ")
 
 
 def keywords(rows: DataFrame, per_lang: int = KEYWORDS) -> DataFrame:
     """(lang, keywords: array of (word, df)) from rows (lang, text); counted over all documents."""
     found = (rows.select("lang", F.explode(F.array_distinct(terms(F.col("text")))).alias("word"))
-             .groupBy("lang", "word").agg(F.count("*").alias("df")))
+             .filter(F.length("word") >= LETTERS).groupBy("lang", "word").agg(F.count("*").alias("df")))
     sizes = rows.groupBy("lang").agg(F.count("*").alias("docs"))
     band = found.join(sizes, "lang").filter("100 * df >= docs and 5 * df <= docs")
-    best = Window.partitionBy("lang").orderBy(F.desc("df"), "word")  # each task keeps its best per language
-    top = band.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= per_lang)
+    top = band.withColumn("part", F.pmod(F.xxhash64("word"), F.lit(64)))
+    for by in (["lang", "part"], ["lang"]):  # the best of every part, then of these: no language's words meet in one task
+        best = Window.partitionBy(*by).orderBy(F.desc("df"), "word")
+        top = top.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= per_lang)
     return top.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("word", "df"))).alias("keywords"))
 
 
@@ -83,7 +85,7 @@ def topic(found: Column, tokens: Column, words: Column) -> Column:
         (-F.size(F.filter(found, lambda t: t == k["word"]))).alias("n"), k["df"].alias("df"), k["word"].alias("word")))
     best = F.array_min(F.filter(used, lambda u: u["n"] < 0))["word"]
     # the size is a second use of the terms, so the planner computes them once a row and not once a keyword
-    return F.when(tokens == 0, F.lit("empty")).when(F.size(found) == 0, F.lit("other")).otherwise(F.coalesce(best, F.lit("other")))
+    return F.when(tokens == 0, F.lit("empty")).when(F.size(found) < 1, F.lit("other")).otherwise(F.coalesce(best, F.lit("other")))
 
 
 def uniform(id_: Column, text: Column, seed: str) -> Column:
@@ -93,7 +95,7 @@ def uniform(id_: Column, text: Column, seed: str) -> Column:
 
 
 def described(docs: DataFrame, id_col: str, text_col: str, source_col: str, lang_col: str, seed: str) -> DataFrame:
-    """Rows (doc: the document as one struct, source, lang, topic, tokens, u)."""
+    """Staged rows (doc: the document as one struct, source, lang, topic, tokens, u); read for the cells and the sample."""
     value = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(NONE)) if c in docs.columns else F.lit(NONE)
     text = F.col(f"`{text_col}`")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), value(source_col).alias("source"),
@@ -101,7 +103,8 @@ def described(docs: DataFrame, id_col: str, text_col: str, source_col: str, lang
                        uniform(F.col(f"`{id_col}`"), text, seed).alias("u"))
     known = stage(keywords(rows))
     rows = rows.join(known, "lang", "left").withColumn("terms", terms(F.col("text")))
-    return rows.select("doc", "source", "lang", topic(F.col("terms"), F.col("tokens"), F.col("keywords")).alias("topic"), "tokens", "u")
+    return stage(rows.select("doc", "source", "lang", topic(F.col("terms"), F.col("tokens"), F.col("keywords")).alias("topic"),
+                             "tokens", "u"))
 
 
 def _fill(values: DataFrame, totals: DataFrame) -> DataFrame:

@@ -1,10 +1,9 @@
 """Token ids as flat binary files with 64-bit document offsets.
 
-Documents are encoded where they lie. Their ids, which take a third of the room
-of the texts, are written once to the shared folder and then range-partitioned
-by document id, so partition k holds smaller ids than partition k + 1; there are
-at least as many partitions as keep a file within ``FILE_BYTES``. Each task
-appends its documents in order to
+Documents are range-partitioned by id, so partition k holds smaller ids than
+partition k + 1; there are at least as many partitions as keep the texts of a
+file within ``FILE_BYTES``. Each task encodes its documents in order and appends
+to
 
 * ``part-k.bin``  ids of all documents, little-endian unsigned integers (16 bits
   where the vocabulary allows, else 32), nothing between them
@@ -96,30 +95,25 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_col: str
     spark = docs.sparkSession
     ship(spark)
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = encoder(tokenizer)
-        end = np.array([end_id], enc.dtype).tobytes()
-        for b in batches:
-            yield pd.DataFrame({"i": b["i"], "u": b["u"], "width": np.full(len(b), enc.dtype.itemsize, np.int32),
-                                "ids": [bytes(enc.encode(t or "")) + end for t in b["t"]]})
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, out = TaskContext.get().partitionId(), Folder(folder)
+        enc, part, out = encoder(tokenizer), TaskContext.get().partitionId(), Folder(folder)
         attempt = uuid.uuid4().hex
         names = {k: f"_tmp-{part:05d}-{attempt}.{k}" for k in ("bin", "idx", "doc", "nul")}
-        n, at, width, files = 0, 0, 0, None
+        end, width = np.array([end_id], enc.dtype).tobytes(), enc.dtype.itemsize
+        n, at, files = 0, 0, None
         for b in batches:
-            if not len(b):
-                continue
             if files is None:
-                files, width = {k: out.open(v) for k, v in names.items()}, int(b["width"].iloc[0])
+                files = {k: out.open(v) for k, v in names.items()}
                 files["idx"].write(np.zeros(1, "<u8").tobytes())
-            for ids in b["ids"]:
+            offsets = np.zeros(len(b), "<u8")
+            for i, text in enumerate(b["t"]):
+                ids = enc.encode(text or "")
                 files["bin"].write(ids)
-            offsets = at + np.cumsum([len(ids) // width for ids in b["ids"]]).astype("<u8")
-            at = int(offsets[-1])
+                files["bin"].write(end)
+                at += len(ids) // width + 1
+                offsets[i] = at
             missing = b["i"].isna().to_numpy()
-            files["idx"].write(offsets.astype("<u8").tobytes())
+            files["idx"].write(offsets.tobytes())
             files["doc"].write(np.array([int(x) if x is not None else 0 for x in b["i"]], "<i8").tobytes())
             files["nul"].write(missing.astype("u1").tobytes())
             n += len(b)
@@ -130,14 +124,13 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_col: str
             out.rename(names[k], f"part-{part:05d}.{k}")
         yield pd.DataFrame({"part": [part], "docs": [n], "tokens": [at], "width": [width]})
 
-    rows = docs.select(F.col(id_col).cast("string").alias("i"), F.coalesce(F.col(text_col), F.lit("")).alias("t"),
-                       F.monotonically_increasing_id().alias("u"))
-    encoded = stage(rows.mapInPandas(encode, "i string, u long, width int, ids binary"))
-    size = encoded.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
+    size = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
     parts = max(partitions or int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // FILE_BYTES))
-    ordered = (encoded.withColumn("k", F.col("i").cast("long")).repartitionByRange(parts, "k", "u")
-               .sortWithinPartitions("k", "u"))
-    written = stage(ordered.select("i", "width", "ids").mapInPandas(run, "part int, docs long, tokens long, width int"))
+    rows = docs.select(F.col(id_col).cast("long").alias("k"), F.coalesce(F.col(text_col), F.lit("")).alias("t"),
+                       F.monotonically_increasing_id().alias("u"))
+    ordered = rows.repartitionByRange(parts, "k", "u").sortWithinPartitions("k", "u")
+    written = stage(ordered.select(F.col("k").cast("string").alias("i"), "t")
+                    .mapInPandas(run, "part int, docs long, tokens long, width int"))
     # one row per file: as few as there are partitions
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return written.withColumn("base", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
