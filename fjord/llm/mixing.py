@@ -51,6 +51,7 @@ from fjord.llm.common import stage
 DIMS = ("source", "lang", "topic")
 WORD = r"[^ \t\n\r]+"
 KEYWORDS, LETTERS = 4, 4
+PARTS = 64  # a language's words are dealt over so many
 NONE = "(none)"
 SWEEPS_PER_TABLE, CELLS_PER_TASK = 2, 200_000
 
@@ -69,10 +70,10 @@ def terms(text: Column) -> Column:
 def keywords(rows: DataFrame, per_lang: int = KEYWORDS) -> DataFrame:
     """(lang, keywords: array of (word, df)) from rows (lang, text); counted over all documents."""
     found = (rows.select("lang", F.explode(F.array_distinct(terms(F.col("text")))).alias("word"))
-             .filter(F.length("word") >= LETTERS).groupBy("lang", "word").agg(F.count("*").alias("df")))
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("docs"))
-    band = found.join(sizes, "lang").filter("100 * df >= docs and 5 * df <= docs")
-    top = band.withColumn("part", F.pmod(F.xxhash64("word"), F.lit(64)))
+             .filter(F.length("word") >= LETTERS).groupBy("lang", "word").agg(F.count("*").alias("df"))
+             .withColumn("part", F.pmod(F.xxhash64("word"), F.lit(PARTS))))
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("docs")).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)).cast("array<long>")))
+    top = found.join(sizes, ["lang", "part"]).filter("100 * df >= docs and 5 * df <= docs")
     for by in (["lang", "part"], ["lang"]):  # the best of every part, then of these: no language's words meet in one task
         best = Window.partitionBy(*by).orderBy(F.desc("df"), "word")
         top = top.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= per_lang)
@@ -82,7 +83,7 @@ def keywords(rows: DataFrame, per_lang: int = KEYWORDS) -> DataFrame:
 def topic(found: Column, tokens: Column, words: Column) -> Column:
     """The keyword of ``words`` (array of (word, df)) that stands most often among the terms ``found``."""
     used = F.transform(words, lambda k: F.struct(
-        (-F.size(F.filter(found, lambda t: t == k["word"]))).alias("n"), k["df"].alias("df"), k["word"].alias("word")))
+        (F.size(F.array_remove(found, k["word"])) - F.size(found)).alias("n"), k["df"].alias("df"), k["word"].alias("word")))
     best = F.array_min(F.filter(used, lambda u: u["n"] < 0))["word"]
     # the size is a second use of the terms, so the planner computes them once a row and not once a keyword
     return F.when(tokens == 0, F.lit("empty")).when(F.size(found) < 1, F.lit("other")).otherwise(F.coalesce(best, F.lit("other")))
