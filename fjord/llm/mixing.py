@@ -23,8 +23,9 @@ its language. Explicit shares can be given. A target that no sample of that size
 can reach (the value has fewer tokens) is lowered to what the value has, the
 others of its kind share the rest, and :func:`plan` reports it.
 
-Cells are counted with map-side aggregation, one row per cell and task; raking
-works on cell tables in the shared folder; documents are only joined with the
+Cells are counted with map-side aggregation, one row per cell and task; fewer
+than ``CELLS_PER_TASK`` cells are raked by numpy in one task, more by grouped sums
+over tables in the shared folder; documents are only joined with the
 finished cells.
 
 Defined cases: null or missing source and language are a value of their own
@@ -40,13 +41,15 @@ columns of any name are left alone.
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fjord.llm.common import stage
+from fjord.llm.common import ship, stage
 
 DIMS = ("source", "lang", "topic")
 WORD = r"[^ \t\n\r]+"
@@ -155,34 +158,46 @@ def goals(cells: DataFrame, fraction: float, targets: Mapping[str, Mapping[str,
     return top.unionByName(_fill(parts[2], by_lang))
 
 
-def rake(cells: DataFrame, wanted: DataFrame, fraction: float, rounds: int = 200, tolerance: float = 1e-11,
-         cells_per_task: int = CELLS_PER_TASK) -> DataFrame:
-    """Cells (source, lang, topic, n) with x: the tokens to take, at most n, that sum to the targets of ``wanted``."""
+def _progress(worst: float | None, best: float | None, stuck: int) -> tuple[float | None, int]:
+    """(best miss so far, tables in a row that were hardly better)."""
+    stuck = 0 if best is None or worst is None or worst < 0.99 * best else stuck + 1
+    return worst if best is None else min(best, worst), stuck
+
+
+def swept(n: np.ndarray, y: np.ndarray, whole: np.ndarray, sides: list[tuple[np.ndarray, np.ndarray]], rounds: int,
+          tolerance: float) -> tuple[np.ndarray, float]:
+    """(tokens to take, largest miss) of cells; ``sides`` holds (number of the cell's value, that value's target) per kind."""
+    worst, best, stuck = 0.0, None, 0
+    for done in range(1, rounds + 1):
+        worst = 0.0
+        for value, goal in sides:
+            shut = whole | (y >= n)
+            closed = np.bincount(value, np.where(shut, n, 0.0))[value]
+            left = np.bincount(value, np.where(shut, 0.0, y))[value]
+            took = closed + left
+            with np.errstate(divide="ignore", invalid="ignore"):
+                factor = np.where((left > 0) & (goal > closed), (goal - closed) / left, np.where(took > 0, goal / took, 0.0))
+                miss = np.where(goal > 0, np.abs(took - goal) / goal, 0.0)
+            worst = max(worst, float(miss.max(initial=0.0)))
+            y = y * factor
+        if done % SWEEPS_PER_TABLE == 0:
+            best, stuck = _progress(worst, best, stuck)
+            if worst < tolerance or stuck >= 10:
+                break
+    return y, worst
+
+
+def _rake_apart(now: DataFrame, keys: Mapping[str, list[str]], rounds: int, tolerance: float) -> tuple[DataFrame, float | None]:
+    """(cells, largest miss) after the sweeps of :func:`swept` as grouped sums over staged tables."""
     n, y = F.col("n"), F.col("y")
-    nested = not wanted.filter("dim = 'topic' and within <> ''").isEmpty()
-    keys = {"source": ["source"], "lang": ["lang"], "topic": ["lang", "topic"] if nested else ["topic"]}
-    now, whole = cells.withColumn("n", F.col("n").cast("double")), F.lit(False)
-    for d in DIMS:
-        t = wanted.filter(F.col("dim") == d).select(
-            *([F.col("within").alias("lang")] if len(keys[d]) > 1 else []), F.col("value").alias(d),
-            F.col("target").alias(f"t_{d}"), F.col("full").alias(f"full_{d}"))
-        now, whole = now.join(t, keys[d]), whole | F.col(f"full_{d}")
-    # a value that is taken whole takes its cells whole
-    now = stage(now.withColumn("y", n * fraction).withColumn("whole", whole).drop(*[f"full_{d}" for d in DIMS]))
-    # few cells are raked in one task, by windows; many by grouped sums that are joined back, so no value's cells meet
-    parts = 1 + now.count() // cells_per_task
     columns, worst, best, stuck = now.columns, None, None, 0
-    for done in range(0, rounds, SWEEPS_PER_TABLE):
-        now = now.coalesce(1) if parts == 1 else now
+    for _ in range(0, rounds, SWEEPS_PER_TABLE):
         for _ in range(SWEEPS_PER_TABLE):
             off = F.lit(0.0)
             for d in DIMS:
                 shut = F.col("whole") | (y >= n)
                 sums = {"shut": F.sum(F.when(shut, n).otherwise(0.0)), "open": F.sum(F.when(shut, 0.0).otherwise(y))}
-                if parts == 1:
-                    now = now.withColumns({c: v.over(Window.partitionBy(*keys[d])) for c, v in sums.items()})
-                else:
-                    now = now.join(now.groupBy(*keys[d]).agg(*[v.alias(c) for c, v in sums.items()]), keys[d])
+                now = now.join(now.groupBy(*keys[d]).agg(*[v.alias(c) for c, v in sums.items()]), keys[d])
                 goal, took = F.col(f"t_{d}"), F.col("shut") + F.col("open")
                 factor = (F.when((F.col("open") > 0) & (goal > F.col("shut")), (goal - F.col("shut")) / F.col("open"))
                           .when(took > 0, goal / took).otherwise(0.0))
@@ -193,10 +208,43 @@ def rake(cells: DataFrame, wanted: DataFrame, fraction: float, rounds: int = 200
         now = stage(now)
         worst = now.agg(F.max("off")).first()[0]
         now = now.select(*columns)
-        stuck = 0 if best is None or worst is None or worst < 0.99 * best else stuck + 1
-        best = worst if best is None else min(best, worst)
+        best, stuck = _progress(worst, best, stuck)
         if worst is None or worst < tolerance or stuck >= 10:
             break
+    return now, worst
+
+
+def rake(cells: DataFrame, wanted: DataFrame, fraction: float, rounds: int = 200, tolerance: float = 1e-11,
+         cells_per_task: int = CELLS_PER_TASK) -> DataFrame:
+    """Cells (source, lang, topic, n) with x: the tokens to take, at most n, that sum to the targets of ``wanted``."""
+    n, y = F.col("n"), F.col("y")
+    nested = not wanted.filter("dim = 'topic' and within <> ''").isEmpty()
+    keys = {"source": ["source"], "lang": ["lang"], "topic": ["lang", "topic"] if nested else ["topic"]}
+    now, whole = cells.withColumn("n", F.col("n").cast("double")), F.lit(False)
+    for d in DIMS:
+        t = wanted.filter(F.col("dim") == d).select(
+            *([F.col("within").alias("lang")] if len(keys[d]) > 1 else []), F.col("value").alias(d),
+            F.col("target").alias(f"t_{d}"), F.col("full").alias(f"full_{d}"))
+        now, whole = now.join(t, keys[d]), whole | F.col(f"full_{d}")
+    # a value that is taken whole takes its cells whole
+    now = stage(now.withColumn("y", n * fraction).withColumn("whole", whole).drop(*[f"full_{d}" for d in DIMS]))
+    # few cells are raked in one task; many by grouped sums that are joined back, so no value's cells meet
+    if now.count() < cells_per_task:
+        ship(cells.sparkSession)
+
+        def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            parts = list(batches)
+            if not parts:
+                return
+            rows = pd.concat(parts, ignore_index=True)
+            sides = [(rows.groupby(keys[d], sort=False).ngroup().to_numpy(), rows[f"t_{d}"].to_numpy()) for d in DIMS]
+            took, miss = swept(rows["n"].to_numpy(), rows["y"].to_numpy(), rows["whole"].to_numpy(bool), sides, rounds, tolerance)
+            yield rows.assign(y=took, off=miss)
+
+        now = stage(now.coalesce(1).mapInPandas(settle, now.withColumn("off", F.lit(0.0)).schema))
+        worst = now.agg(F.max("off")).first()[0]
+    else:
+        now, worst = _rake_apart(now, keys, rounds, tolerance)
     if worst is not None and worst >= 1e-6:
         logging.getLogger(__name__).warning("raking ended with a marginal off its target by a share of %g", worst)
     return now.select(*DIMS, "n", F.when(F.col("whole") | (y >= n), n).otherwise(y).alias("x"))
