@@ -15,8 +15,9 @@ ask for them. The questions are a flat index (offsets per term number, question
 numbers, weights), bounded per batch and sent to the tasks, where each document
 meets it once and every question's k best survive.
 
-Sums run in order of the term, so equal texts score equal to the last bit,
-whatever the partitioning.
+Products are summed in order of the term and squares in order of their size, so
+equal texts score equal to the last bit, whatever the partitioning. A posting is
+shuffled once to its bucket and once, as document and square, to its document.
 """
 
 from __future__ import annotations
@@ -51,8 +52,27 @@ def tokens(text: Column) -> Column:
     return F.split(F.lower(text), _SEPARATOR)
 
 
-def term_counts(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, term, tf) — a partially aggregated count, so hot terms cost one row per task."""
+def term_counts(docs: DataFrame, key: str, text: str, repeated: DataFrame | None = None) -> DataFrame:
+    """(key, term, tf) — a partially aggregated count, so hot terms cost one row per task.
+
+    With ``repeated`` (the keys that stand in several rows) the terms of all other
+    rows are counted where they are: sorted in the row, a term's count is the
+    distance to where the next one starts. Only those of repeated keys are shuffled.
+    """
+    if repeated is not None:
+        once = docs.join(repeated, key, "left_anti") if not repeated.isEmpty() else docs
+        words, starts = F.col("__words"), F.col("__starts")  # used more than once each, so computed once a row
+        last = F.greatest(F.size(words) - 1, F.lit(0))
+        changes = F.filter(F.sequence(F.lit(0), last), lambda i: ~F.get(words, i).eqNullSafe(F.get(words, i - 1)))
+        runs = F.transform(starts, lambda s, j: F.struct(
+            F.get(words, s).alias("term"), (F.coalesce(F.get(starts, j + 1), F.size(words)) - s).cast("long").alias("tf")))
+        counted = (once.select(F.col(key).alias("__key"), F.array_sort(tokens(F.col(text))).alias("__words"))
+                       .withColumn("__starts", changes)
+                       .select("__key", F.inline(runs)).filter(F.col("term") != "")
+                       .withColumnRenamed("__key", key))
+        if once is docs:
+            return counted
+        return counted.unionByName(term_counts(docs.join(repeated, key, "left_semi"), key, text))
     return (docs.select(F.col(key).alias("__key"), F.explode(tokens(F.col(text))).alias("term"))
                 .filter(F.col("term") != "")
                 .groupBy("__key", "term").agg(F.count(F.lit(1)).alias("tf"))
@@ -72,6 +92,7 @@ def build(docs: DataFrame, path: str, doc_key: str = "doc_id", text: str = "text
           source: str = "") -> str:
     """Write the index of ``docs`` to the new folder ``path``; documents without an id are not indexed.
 
+    Terms are counted in the document's row, but for ids that stand in several rows.
     A bucket with a hot term is written by several tasks. A term's postings meet
     its one row of document frequency, so a hot term is a skewed side of that
     join only, which adaptive execution splits.
@@ -79,7 +100,9 @@ def build(docs: DataFrame, path: str, doc_key: str = "doc_id", text: str = "text
     spark = docs.sparkSession
     buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.filter(F.col(doc_key).isNotNull())
-    counted = term_counts(docs, doc_key, text).select(
+    ids = docs.groupBy(doc_key).agg(F.count(F.lit(1)).alias("rows"))
+    n_docs = ids.count()
+    counted = term_counts(docs, doc_key, text, ids.filter("rows > 1").select(doc_key)).select(
         _bucket(F.col("term"), buckets).alias("bucket"), "term", F.col(doc_key).alias("doc"), "tf")
     (counted.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term")
             .write.partitionBy("bucket").parquet(f"{path}/postings"))
@@ -88,13 +111,13 @@ def build(docs: DataFrame, path: str, doc_key: str = "doc_id", text: str = "text
     terms = postings.groupBy("bucket", "term").agg(F.count(F.lit(1)).alias("df"))
     (terms.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term")
           .write.partitionBy("bucket").parquet(f"{path}/terms"))
-    n_docs = docs.agg(F.countDistinct(doc_key)).first()[0]
 
     idf = _read(spark, path, "terms", doc_type).select("bucket", "term", "df", _idf(F.lit(n_docs)).alias("idf"))
-    weighed = postings.join(idf, ["bucket", "term"]).select("doc", "term", (F.col("tf") * F.col("idf")).alias("w"))
-    per_doc = weighed.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("term", "w"))).alias("ts"))
-    squares = F.aggregate("ts", F.lit(0.0), lambda acc, t: acc + t["w"] * t["w"])
-    per_doc.select("doc", F.sqrt(squares).alias("norm")).write.parquet(f"{path}/docs")
+    w = F.col("tf") * F.col("idf")
+    # rows meet by document before they are collected: a map task would have to sort all of its own for a list of few
+    squares = postings.join(idf, ["bucket", "term"]).select("doc", (w * w).alias("s")).repartition("doc")
+    norm = F.sqrt(F.aggregate(F.array_sort(F.collect_list("s")), F.lit(0.0), lambda acc, s: acc + s))
+    squares.groupBy("doc").agg(norm.alias("norm")).write.parquet(f"{path}/docs")
     stats = spark.createDataFrame([(n_docs, buckets, doc_type, source)], STATS)
     stats.coalesce(1).write.parquet(f"{path}/stats")
     return path

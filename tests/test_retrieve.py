@@ -282,3 +282,32 @@ def test_k_best_over_tiles():
         want = sorted((keys[i, q], 1000 - i) for i in range(90) if known[i, q])[:4]
         got = best.frame[best.frame["__q"] == q]
         assert list(zip(got["__key"], got["id"], strict=True)) == want
+
+
+def test_index_shuffles_a_posting_once_to_its_bucket_and_once_to_its_document(spark, tmp_path, monkeypatch):
+    """Terms are counted in the row, and only (document, square) goes to the document."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    plans, write = {}, DataFrameWriter.parquet
+
+    def noted(self, path, *a, **kw):
+        plans[os.path.basename(path)] = self._df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+        return write(self, path, *a, **kw)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    docs = spark.createDataFrame([r for r in DOCS if r[0] not in (None, 1003)], "doc_id long, text string").repartition(3)
+    textindex.build(docs.select("doc_id", "text"), str(tmp_path / "index"), buckets=8)
+    before, after = plans["postings"].split("Generate", 1)
+    assert before.count("Exchange") == 1 and "Aggregate" not in plans["postings"] and after.count("Exchange") <= 1  # the test's own
+    assert re.search(r"Exchange hashpartitioning\(doc#\d+L?, \d+\), REPARTITION_BY_COL", plans["docs"])
+    assert "collect_list(s#" in plans["docs"]
+
+
+def test_terms_of_repeated_keys_are_counted_together(spark):
+    rows = [(1, "b a  b!"), (2, "é É x"), (1, "a c"), (3, ""), (4, None), (5, "..."), (2, None), (6, "one")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    repeated = df.groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    want = [(1, "a", 2), (1, "b", 2), (1, "c", 1), (2, "x", 1), (2, "é", 2), (6, "one", 1)]
+    assert sorted(tuple(r) for r in textindex.term_counts(df, "doc_id", "text", repeated).collect()) == want
+    once = textindex.term_counts(df.filter("doc_id in (3, 4, 5, 6)"), "doc_id", "text", repeated.limit(0))
+    assert [tuple(r) for r in once.collect()] == [(6, "one", 1)]
