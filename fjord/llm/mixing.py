@@ -41,7 +41,7 @@ columns of any name are left alone.
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
 import numpy as np
@@ -98,11 +98,15 @@ def uniform(id_: Column, text: Column, seed: str) -> Column:
     return F.conv(F.substring(F.md5(F.concat(key, F.lit(":" + seed))), 1, 13), 16, 10).cast("double") / float(1 << 52)
 
 
-def described(docs: DataFrame, id_col: str, text_col: str, source_col: str, lang_col: str, seed: str) -> DataFrame:
-    """Staged rows (doc: the document as one struct, source, lang, topic, tokens, u); read for the cells and the sample."""
+def described(docs: DataFrame, id_col: str, text_col: str, source_col: str, lang_col: str, seed: str,
+              columns: Sequence[str] | None = None) -> DataFrame:
+    """Staged rows (doc: the document as one struct, source, lang, topic, tokens, u); read for the cells and the sample.
+
+    ``columns`` are those of ``doc`` (all): a text that nobody asks for is read, but not written again.
+    """
     value = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(NONE)) if c in docs.columns else F.lit(NONE)
     text = F.col(f"`{text_col}`")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), value(source_col).alias("source"),
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in (columns or docs.columns)]).alias("doc"), value(source_col).alias("source"),
                        value(lang_col).alias("lang"), text.alias("text"), token_count(text).alias("tokens"),
                        uniform(F.col(f"`{id_col}`"), text, seed).alias("u"))
     known = stage(keywords(rows))
@@ -265,7 +269,7 @@ def plan(docs: DataFrame, fraction: float = 0.7, targets: Mapping[str, Mapping[s
          temper: float = 0.7, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text",
          source_col: str = "source", lang_col: str = "lang") -> DataFrame:
     """Every target as shares of the sample: dim, lang (of a topic), value, wanted, target (what can be reached), reached, full."""
-    rows = described(docs, id_col, text_col, source_col, lang_col, seed)
+    rows = described(docs, id_col, text_col, source_col, lang_col, seed, [id_col])
     wanted, cells = _planned(rows, fraction, targets, temper)
     budget = F.lit(cells.agg(F.sum("n")).first()[0] or 0.0) * fraction
     shares = Window.partitionBy("dim", "within")  # values of one kind
@@ -280,9 +284,9 @@ def plan(docs: DataFrame, fraction: float = 0.7, targets: Mapping[str, Mapping[s
 
 def mix(docs: DataFrame, fraction: float = 0.7, targets: Mapping[str, Mapping[str, float]] | None = None,
         temper: float = 0.7, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text",
-        source_col: str = "source", lang_col: str = "lang") -> DataFrame:
-    """Rows (doc: the document as one struct, source, lang, topic, tokens, weight of a token, p, selected)."""
-    rows = described(docs, id_col, text_col, source_col, lang_col, seed)
+        source_col: str = "source", lang_col: str = "lang", columns: Sequence[str] | None = None) -> DataFrame:
+    """Rows (doc: ``columns`` of the document, or all, as one struct, source, lang, topic, tokens, weight of a token, p, selected)."""
+    rows = described(docs, id_col, text_col, source_col, lang_col, seed, columns)
     cells = _planned(rows, fraction, targets, temper)[1]
     p = F.when(F.col("n") > 0, F.least(F.lit(1.0), F.col("x") / F.col("n"))).otherwise(1.0)
     done = cells.select(*DIMS, p.alias("p"), F.when(F.col("n") > 0, p / fraction).otherwise(1.0).alias("weight"))

@@ -256,6 +256,15 @@ def test_mixing(spark):
     assert all(g.p == 0 for g in only if g.lang != "de" and g.tokens)
 
 
+def test_op9_stages_no_text(spark, monkeypatch):
+    """Described rows hold the asked columns only, so no text goes through the writer of the staged table."""
+    staged, stage = [], mixing.stage
+    monkeypatch.setattr(mixing, "stage", lambda df: staged.append(df.schema) or stage(df))
+    out = QUERIES["op9_mixing"](spark, SF_SMALL)
+    held = [s["doc"].dataType.names for s in staged if "doc" in s.names]
+    assert held == [["doc_id"]] and out.count() > 0
+
+
 def test_the_sample_meets_its_targets(spark):
     """Expected shares of every source, language and topic, to 1e-6, or named as out of reach."""
     rows = mixed_rows()
