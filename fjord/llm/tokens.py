@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 import re
 from array import array
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -34,6 +35,20 @@ def byte_chars() -> list[str]:
     return [chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)]
 
 
+class Pieces[T: (bytes, str)](dict[T, bytes]):
+    """Ids of pieces; one that is not known yet is encoded, and kept unless it is long."""
+
+    def __init__(self, encode: Callable[[T], bytes]):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, piece: T) -> bytes:
+        ids = self.encode(piece)
+        if len(piece) <= LONG_PIECE:
+            self[piece] = ids
+        return ids
+
+
 class Encoder:
     """Ids of texts, as ``Tokenizer.encode(text, add_special_tokens=False)`` gives them."""
 
@@ -44,7 +59,7 @@ class Encoder:
         self.full.no_truncation()
         self.full.no_padding()
         self.dtype = np.dtype("<u2") if self.full.get_vocab_size(True) <= 1 << 16 else np.dtype("<u4")
-        self.known: dict[bytes, bytes] = {}
+        self.known = Pieces(self.piece)
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.chars = byte_chars()
         self.mapped = dict(enumerate(self.chars))
@@ -69,15 +84,7 @@ class Encoder:
         known, parts = self.known, self.pieces(text.encode("utf-8"))
         if len(known) > KEEP_PIECES:
             known.clear()
-        out = []
-        for p in parts:
-            ids = known.get(p)
-            if ids is None:
-                ids = self.piece(p)
-                if len(p) <= LONG_PIECE:
-                    known[p] = ids
-            out.append(ids)
-        return b"".join(out)
+        return b"".join(map(known.__getitem__, parts))
 
     def ids(self, text: str) -> np.ndarray:
         return np.frombuffer(self.encode(text), self.dtype)
@@ -95,6 +102,11 @@ class WordEncoder(Encoder):
 
     parts = re.compile(f"{ENDINGS}|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
+    def __init__(self, path: str):
+        super().__init__(path)
+        # words come with many marks and capitals around them: their parts are remembered as well
+        self.known_parts = Pieces(lambda part: self.model_ids([part]))
+
     def free(self, text: str) -> bool:
         return True
 
@@ -106,7 +118,10 @@ class WordEncoder(Encoder):
         if not PLAIN.fullmatch(text) or "<|" in text:
             return self.whole(text)
         low = text.lower()
-        return self.model_ids([low] if low.isalpha() else self.parts.findall(low))
+        known = self.known_parts
+        if len(known) > KEEP_PIECES:
+            known.clear()
+        return known[low] if low.isalpha() else b"".join(map(known.__getitem__, self.parts.findall(low)))
 
 
 class ByteEncoder(Encoder):

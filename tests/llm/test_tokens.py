@@ -11,7 +11,7 @@ from pyarrow import fs as arrow_fs
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from fjord.llm import chunkbpe, tokenfiles
+from fjord.llm import chunkbpe, tokenfiles, tokens
 from fjord.llm.common import shared_folder
 from fjord.llm.queries import QUERIES
 from fjord.llm.tokens import ByteEncoder, WordEncoder, encoder
@@ -134,3 +134,15 @@ def test_queries_against_the_library(spark):
         want5.append((r.doc_id, len(ids), *sha))
     assert sorted(map(tuple, QUERIES["op3_token_files"](spark, SF_SMALL).collect())) == want3
     assert sorted(map(tuple, QUERIES["op5_bpe"](spark, SF_SMALL).collect())) == want5
+
+
+def test_a_word_is_encoded_once_whatever_stands_around_it(monkeypatch):
+    enc, asked = WordEncoder(WORD), []
+    encode = enc.model_ids
+    monkeypatch.setattr(enc, "model_ids", lambda parts: asked.extend(parts) or encode(parts))
+    text = "Zorblat, zorblat; (ZORBLAT) zorblat's 'zorblat' zorblat 7zorblat7 Été, été."
+    want = Tokenizer.from_file(WORD).encode(text, add_special_tokens=False).ids
+    assert enc.ids(text).tolist() == want == enc.ids(text).tolist()
+    assert asked.count("zorblat") == 1 and asked.count("été") == 1 and len(asked) == len(set(asked))
+    monkeypatch.setattr(tokens, "KEEP_PIECES", 2)
+    assert enc.ids(text + " once more, zorblat").tolist()[:len(want)] == want and len(enc.known_parts) < 20
