@@ -2,11 +2,16 @@
 
 An index is a folder of four Parquet tables, built once per version of the documents:
 
-* ``postings/bucket=<b>``  term, doc, tf; a bucket holds the terms of one hash range, its files are sorted by term
+* ``postings/bucket=<b>``  term, df, block, chunk, at, tf; a bucket holds the terms of one hash range, sorted by term
 * ``terms/bucket=<b>``     term, df: the number of documents that hold the term
-* ``docs``                 doc, norm: length of the document's TF-IDF vector, idf = ln((N + 1) / (df + 1))
+* ``docs``                 doc, norm, chunk, at; norm: length of its TF-IDF vector, idf = ln((N + 1) / (df + 1))
 * ``stats``                n_docs, buckets, and what the index was built from; written last, it makes the index whole
 
+A chunk is a bounded run of whole documents, as a task met them; a document is
+named by its chunk and its place ``at`` in it. A row of the postings is a block:
+all documents of one chunk that hold one term, as the two lists ``at`` and ``tf``.
+``block`` numbers a term's rows, and one row of each chunk lists its ``docs``.
+
 A question batch reads the buckets of its own terms only (partition pruning) and
 in them, for a batch of few terms, the row groups that can hold these. The
 postings it reads come together by document as (term number, weight), so what is
@@ -17,7 +22,9 @@ meets it once and every question's k best survive.
 
 Products are summed in order of the term and squares in order of their size, so
 equal texts score equal to the last bit, whatever the partitioning. A posting is
-shuffled once to its bucket and once, as document and square, to its document.
+shuffled once to its bucket and once back to its chunk, both times within a
+block; frequencies are counted where a bucket's blocks are, so no join of all
+postings with all terms is needed, however many terms there are.
 """
 
 from __future__ import annotations
@@ -28,7 +35,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fjord.operators.kbest import KBest, tile_rows, top_k_per_group
@@ -38,7 +47,12 @@ TOKEN = r"[\p{L}\p{N}]+"  # a term: a maximal run of letters / digits
 _SEPARATOR = r"[^\p{L}\p{N}]+"
 MAX_QUESTIONS = 10_000  # questions that meet the postings at once
 MAX_ENTRIES = 2_000_000  # (question, term) pairs that do: 32 MB in every task
-STATS = "n_docs long, buckets int, doc_type string, source string"
+CHUNK_POSTINGS = 2_000_000  # a chunk is closed at the document that reaches them: some 100 MB in a task
+CHUNK_BYTES = 256 << 20  # or these, where terms are long
+CHUNK_DOCS = 1 << 15  # or at so many documents: places are 16 bits
+MAX_REPEATED = 500_000  # ids in several rows that are sent to the texts; beyond that both are shuffled
+LAYOUT = 2  # of the folder; an index of another one is built anew
+STATS = "n_docs long, buckets int, doc_type string, source string, layout int"
 PUSHED_TERMS = 1_000  # up to here the asked terms themselves are pushed to the scan
 
 
@@ -57,10 +71,13 @@ def term_counts(docs: DataFrame, key: str, text: str, repeated: DataFrame | None
 
     With ``repeated`` (the keys that stand in several rows) the terms of all other
     rows are counted where they are: sorted in the row, a term's count is the
-    distance to where the next one starts. Only those of repeated keys are shuffled.
+    distance to where the next one starts. Only those of repeated keys are shuffled,
+    and then brought together, so that a key's terms always follow each other in one task.
     """
     if repeated is not None:
-        once = docs.join(repeated, key, "left_anti") if not repeated.isEmpty() else docs
+        known = repeated.limit(MAX_REPEATED + 1).count()
+        repeated = F.broadcast(repeated) if known <= MAX_REPEATED else repeated
+        once = docs.join(repeated, key, "left_anti") if known else docs
         words, starts = F.col("__words"), F.col("__starts")  # used more than once each, so computed once a row
         last = F.greatest(F.size(words) - 1, F.lit(0))
         changes = F.filter(F.sequence(F.lit(0), last), lambda i: ~F.get(words, i).eqNullSafe(F.get(words, i - 1)))
@@ -72,7 +89,8 @@ def term_counts(docs: DataFrame, key: str, text: str, repeated: DataFrame | None
                        .withColumnRenamed("__key", key))
         if once is docs:
             return counted
-        return counted.unionByName(term_counts(docs.join(repeated, key, "left_semi"), key, text))
+        several = term_counts(docs.join(repeated, key, "left_semi"), key, text)
+        return counted.unionByName(several.repartition(key).sortWithinPartitions(key, "term"))
     return (docs.select(F.col(key).alias("__key"), F.explode(tokens(F.col(text))).alias("term"))
                 .filter(F.col("term") != "")
                 .groupBy("__key", "term").agg(F.count(F.lit(1)).alias("tf"))
@@ -93,43 +111,111 @@ def build(docs: DataFrame, path: str, doc_key: str = "doc_id", text: str = "text
     """Write the index of ``docs`` to the new folder ``path``; documents without an id are not indexed.
 
     Terms are counted in the document's row, but for ids that stand in several rows.
-    A bucket with a hot term is written by several tasks. A term's postings meet
-    its one row of document frequency, so a hot term is a skewed side of that
-    join only, which adaptive execution splits.
+    A task packs them to blocks before they go to their bucket, so a hot term is a
+    row per chunk there, and its frequency is the sum over these rows.
     """
     spark = docs.sparkSession
+    ship_package(spark)
     buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.filter(F.col(doc_key).isNotNull())
+    doc_type = docs.schema[doc_key].dataType.simpleString()
     ids = docs.groupBy(doc_key).agg(F.count(F.lit(1)).alias("rows"))
     n_docs = ids.count()
     counted = term_counts(docs, doc_key, text, ids.filter("rows > 1").select(doc_key)).select(
         _bucket(F.col("term"), buckets).alias("bucket"), "term", F.col(doc_key).alias("doc"), "tf")
-    (counted.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term")
-            .write.partitionBy("bucket").parquet(f"{path}/postings"))
-    doc_type = docs.schema[doc_key].dataType.simpleString()
+    blocks = counted.mapInArrow(_blocks, f"bucket int, term string, chunk long, at array<short>, tf array<long>, docs array<{doc_type}>")
+    of_term = Window.partitionBy("bucket", "term").orderBy("chunk")
+    df = F.sum(F.size("at").cast("long")).over(of_term.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    (blocks.repartition("bucket").withColumns({"df": df, "block": F.row_number().over(of_term)})
+           .sortWithinPartitions("bucket", "term").write.partitionBy("bucket").parquet(f"{path}/postings"))
     postings = _read(spark, path, "postings", doc_type)
-    terms = postings.groupBy("bucket", "term").agg(F.count(F.lit(1)).alias("df"))
-    (terms.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term")
-          .write.partitionBy("bucket").parquet(f"{path}/terms"))
-
-    idf = _read(spark, path, "terms", doc_type).select("bucket", "term", "df", _idf(F.lit(n_docs)).alias("idf"))
-    w = F.col("tf") * F.col("idf")
-    # rows meet by document before they are collected: a map task would have to sort all of its own for a list of few
-    squares = postings.join(idf, ["bucket", "term"]).select("doc", (w * w).alias("s")).repartition("doc")
-    norm = F.sqrt(F.aggregate(F.array_sort(F.collect_list("s")), F.lit(0.0), lambda acc, s: acc + s))
-    squares.groupBy("doc").agg(norm.alias("norm")).write.parquet(f"{path}/docs")
-    stats = spark.createDataFrame([(n_docs, buckets, doc_type, source)], STATS)
+    (postings.filter("block = 1").select("bucket", "term", "df").hint("rebalance", "bucket").sortWithinPartitions("bucket", "term")
+             .write.partitionBy("bucket").parquet(f"{path}/terms"))
+
+    squares = postings.select("chunk", "docs", "at", "tf", _idf(F.lit(n_docs)).alias("idf")).groupBy("chunk").applyInArrow(
+        _chunk_squares, f"doc {doc_type}, s double, chunk long, at short").repartition("doc")
+    whole = F.when(F.count(F.lit(1)) == 1, F.array_sort(F.collect_list("s"))).otherwise(
+        F.raise_error(F.lit("a document lies in two chunks: the documents changed while they were read")))
+    norm = F.sqrt(F.aggregate(whole, F.lit(0.0), lambda acc, s: acc + s))
+    (squares.groupBy("doc").agg(norm.alias("norm"), F.min("chunk").alias("chunk"), F.min("at").alias("at"))
+            .write.parquet(f"{path}/docs"))
+    stats = spark.createDataFrame([(n_docs, buckets, doc_type, source, LAYOUT)], STATS)
     stats.coalesce(1).write.parquet(f"{path}/stats")
     return path
 
 
+def is_of(spark: SparkSession, path: str, source: str) -> bool:
+    """Whether the index at ``path`` was built from ``source``, in the layout that is read here."""
+    stats = spark.read.schema(STATS).parquet(f"{path}/stats").first()
+    return stats.source == source and stats.layout == LAYOUT
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (bucket, term, doc, tf), a document's together, as blocks of chunks of whole documents."""
+    task, made, held, rows, size = TaskContext.get().partitionId(), 0, [], 0, 0
+    full, wide = CHUNK_POSTINGS, CHUNK_BYTES
+
+    def chunks(counted: pa.Table, starts: np.ndarray):
+        nonlocal made
+        for i in range(0, len(starts) - 1, CHUNK_DOCS):
+            of = starts[i:i + CHUNK_DOCS + 1]
+            yield from _chunk_blocks(counted.slice(of[0], of[-1] - of[0]), of - of[0], (task << 33) + made)
+            made += 1
+
+    for b in batches:
+        held.append(b)
+        rows, size = rows + b.num_rows, size + b.nbytes
+        if rows >= full or size >= wide:
+            counted = pa.Table.from_batches(held).combine_chunks()
+            starts = _starts(counted["doc"])
+            yield from chunks(counted, starts)  # the last document may go on
+            held = counted.slice(starts[-1]).to_batches()
+            rows, size = sum(h.num_rows for h in held), sum(h.nbytes for h in held)
+            full, wide = max(CHUNK_POSTINGS, 2 * rows), max(CHUNK_BYTES, 2 * size)
+    if rows:
+        counted = pa.Table.from_batches(held).combine_chunks()
+        yield from chunks(counted, np.append(_starts(counted["doc"]), rows))
+
+
+def _starts(doc: pa.ChunkedArray) -> np.ndarray:
+    return np.append(0, 1 + np.flatnonzero(pc.not_equal(doc.slice(1), doc.slice(0, len(doc) - 1)).to_numpy()))
+
+
+def _chunk_blocks(counted: pa.Table, starts: np.ndarray, chunk: int) -> Iterator[pa.RecordBatch]:
+    """One row per term of a chunk, whose documents begin at ``starts`` (the end included); the first one lists them."""
+    coded = counted["term"].combine_chunks().dictionary_encode()
+    of_term, n = coded.indices.to_numpy(), len(coded.dictionary)
+    order = np.argsort(of_term, kind="stable")
+    ends = np.append(0, np.cumsum(np.bincount(of_term, minlength=n))).astype(np.int32)
+    at = np.arange(len(starts) - 1, dtype=np.int16).repeat(np.diff(starts))
+    docs = pa.ListArray.from_arrays(np.append(0, np.full(n, len(starts) - 1)).astype(np.int32),
+                                    counted["doc"].take(pa.array(starts[:-1])).combine_chunks(), mask=pa.array(np.arange(n) > 0))
+    yield from pa.table({
+        "bucket": pa.array(counted["bucket"].to_numpy()[order[ends[:-1]]], pa.int32()), "term": coded.dictionary,
+        "chunk": pa.array(np.full(n, chunk)), "at": pa.ListArray.from_arrays(ends, at[order]),
+        "tf": pa.ListArray.from_arrays(ends, counted["tf"].to_numpy()[order]), "docs": docs,
+    }).to_batches(10_000)
+
+
+def _chunk_squares(blocks: pa.Table) -> pa.Table:
+    """(doc, sum of the squares of its weights, smallest first) of all blocks (docs, at, tf, idf) of a chunk."""
+    at = pc.list_flatten(blocks["at"]).to_numpy()
+    w = pc.list_flatten(blocks["tf"]).to_numpy() * blocks["idf"].to_numpy().repeat(pc.list_value_length(blocks["at"]).to_numpy())
+    docs = pc.list_flatten(blocks["docs"])
+    s = w * w
+    order = np.lexsort((s, at))
+    total = np.bincount(at[order], weights=s[order], minlength=len(docs))  # one after the other: in order
+    return pa.table({"doc": docs, "s": total, "chunk": pa.repeat(blocks["chunk"][0], len(docs)),
+                     "at": pa.array(np.arange(len(docs)), pa.int16())})
+
+
 def _idf(n_docs: Column) -> Column:
     return F.log((n_docs + 1) / (F.col("df") + 1))
 
 
 def _read(spark: SparkSession, path: str, name: str, doc_type: str) -> DataFrame:
-    columns = {"postings": f"term string, doc {doc_type}, tf long, bucket int", "terms": "term string, df long, bucket int",
-               "docs": f"doc {doc_type}, norm double"}
+    columns = {"postings": f"term string, df long, block int, chunk long, at array<short>, tf array<long>, docs array<{doc_type}>, bucket int",
+               "terms": "term string, df long, bucket int", "docs": f"doc {doc_type}, norm double, chunk long, at short"}
     return spark.read.schema(columns[name]).parquet(f"{path}/{name}")
 
 
@@ -233,9 +319,10 @@ def asked_postings(spark: SparkSession, path: str, doc_type: str, wanted: list[t
         postings = postings.filter(F.col("term").isin(names))
     terms = spark.createDataFrame(wanted, "bucket int, term string, number int, idf double")
     hits = (postings.join(F.broadcast(terms), ["bucket", "term"])  # at most the terms of a bounded batch
-            .select("doc", "number", (F.col("tf") * F.col("idf")).alias("w"))
-            .groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("number", "w"))).alias("ts")))
-    return hits.join(_read(spark, path, "docs", doc_type), "doc").select(
+            .select("chunk", "number", "idf", F.inline(F.arrays_zip("at", "tf")))
+            .select("chunk", "at", "number", (F.col("tf") * F.col("idf")).alias("w"))
+            .groupBy("chunk", "at").agg(F.array_sort(F.collect_list(F.struct("number", "w"))).alias("ts")))
+    return hits.join(_read(spark, path, "docs", doc_type), ["chunk", "at"]).select(
         "doc", "norm", F.col("ts.number").alias("terms"), F.col("ts.w").alias("weights"))
 
 

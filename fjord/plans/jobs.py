@@ -183,7 +183,7 @@ def run_index(spark: SparkSession, store: str, key: str = "id") -> str:
     version, root = keyed.state(spark, store).version, f"{store.rstrip('/')}_index"
     have = [v for v in keyed.list_names(spark, root) if keyed.exists(spark, f"{root}/{v}/stats/_SUCCESS")] \
         if keyed.exists(spark, root) else []
-    if have and spark.read.parquet(f"{root}/{have[-1]}/stats").first()["source"] == version:
+    if have and textindex.is_of(spark, f"{root}/{have[-1]}", version):
         return f"{root}/{have[-1]}"
     return textindex.build(read_documents(spark, store), f"{root}/{keyed.new_version()}", key, source=version)
 

@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -311,3 +312,71 @@ def test_terms_of_repeated_keys_are_counted_together(spark):
     assert sorted(tuple(r) for r in textindex.term_counts(df, "doc_id", "text", repeated).collect()) == want
     once = textindex.term_counts(df.filter("doc_id in (3, 4, 5, 6)"), "doc_id", "text", repeated.limit(0))
     assert [tuple(r) for r in once.collect()] == [(6, "one", 1)]
+
+
+def test_index_joins_no_postings_with_terms_and_moves_blocks(spark, tmp_path, monkeypatch):
+    """However large the term table is: frequencies are counted in the bucket, and a chunk's postings of a term are one row."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    plans, write = {}, DataFrameWriter.parquet
+
+    def noted(self, path, *a, **kw):
+        plans[os.path.basename(path)] = self._df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+        return write(self, path, *a, **kw)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    docs = spark.createDataFrame([r for r in DOCS if r[0] not in (None, 1003)], "doc_id long, text string").coalesce(1)
+    path = textindex.build(docs, str(tmp_path / "index"), buckets=8)
+    assert not [name for name, plan in plans.items() if "Join" in plan]
+    terms = spark.read.parquet(f"{path}/terms")
+    assert spark.read.parquet(f"{path}/postings").count() == terms.count() < terms.agg(F.sum("df")).first()[0] / 2
+
+
+@pytest.mark.parametrize(("postings", "size", "most"), [(7, 1 << 30, 1 << 15), (1 << 30, 100, 1 << 15), (1 << 30, 1 << 30, 2), (1, 1, 1)])
+def test_chunks_hold_whole_documents(monkeypatch, postings, size, most):
+    monkeypatch.setattr(textindex, "CHUNK_POSTINGS", postings)
+    monkeypatch.setattr(textindex, "CHUNK_BYTES", size)
+    monkeypatch.setattr(textindex, "CHUNK_DOCS", most)
+    monkeypatch.setattr(textindex.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 3})())
+    rng = np.random.default_rng(2)
+    rows = [(t % 3, f"t{t}", f"d{d}", int(rng.integers(1, 9))) for d in rng.permutation(20)
+            for t in rng.choice(40, size=30 if d == 5 else int(rng.integers(1, 6)), replace=False).tolist()]
+    table = pa.table(dict(zip(("bucket", "term", "doc", "tf"), map(list, zip(*rows, strict=True)), strict=True)))
+    blocks = [r for b in textindex._blocks(iter(table.to_batches(4))) for r in b.to_pylist()]
+    docs = {b["chunk"]: b["docs"] for b in blocks if b["docs"] is not None}
+    assert sorted(sum(docs.values(), [])) == sorted({r[2] for r in rows}) and max(map(len, docs.values())) <= most
+    assert sorted((b["bucket"], b["term"], docs[b["chunk"]][at], tf) for b in blocks for at, tf in zip(b["at"], b["tf"], strict=True)) == sorted(rows)
+    assert len({(b["chunk"], b["term"]) for b in blocks}) == len(blocks) and {b["chunk"] >> 33 for b in blocks} == {3}
+    idf = {f"t{t}": 0.1 + t / 7 for t in range(40)}
+    for chunk, names in docs.items():
+        of = pa.Table.from_pylist([{"chunk": chunk, "docs": b["docs"], "at": b["at"], "tf": b["tf"], "idf": idf[b["term"]]}
+                                   for b in blocks if b["chunk"] == chunk])
+        want = {d: sum(sorted((tf * idf[t]) ** 2 for _, t, e, tf in rows if e == d)) for d in names}
+        got = textindex._chunk_squares(of).to_pylist()
+        assert {r["doc"]: r["s"] for r in got} == pytest.approx(want, rel=1e-15) and [names[r["at"]] for r in got] == names
+
+
+def test_an_index_of_an_older_layout_is_not_kept(spark, tmp_path):
+    path = textindex.build(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), str(tmp_path / "index"), buckets=2, source="v1")
+    assert textindex.is_of(spark, path, "v1") and not textindex.is_of(spark, path, "v2")
+    old = str(tmp_path / "old")
+    spark.createDataFrame([(1, 2, "bigint", "v1")], "n_docs long, buckets int, doc_type string, source string").write.parquet(f"{old}/stats")
+    assert not textindex.is_of(spark, old, "v1")
+
+
+def test_few_repeated_keys_shuffle_no_text(spark, monkeypatch):
+    rows = [(i % 90, f"own{i} same") for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    repeated = df.groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    monkeypatch.setattr(textindex, "MAX_REPEATED", 10)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few = textindex.term_counts(df, "doc_id", "text", repeated)
+        assert "SortMergeJoin" not in _plan(few)
+        monkeypatch.setattr(textindex, "MAX_REPEATED", 9)
+        many = textindex.term_counts(df, "doc_id", "text", repeated)
+        assert "SortMergeJoin" in _plan(many)
+        assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
