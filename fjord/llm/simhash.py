@@ -131,8 +131,10 @@ def forest(fp: np.ndarray, group: np.ndarray, max_bits: int) -> tuple[np.ndarray
 
     ``group`` is sorted. Small groups report each of their pairs that links;
     of a large one every fingerprint is compared with those not reached yet,
-    and only the links of the search tree are reported.
+    and only the links of the search tree are reported. No rows give no links.
     """
+    if not len(fp):
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     out_u, out_v = [], []
     edge = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1], [True])))
     size = np.diff(edge)
@@ -180,10 +182,12 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, cell_rows: int = 5000)
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fp, key = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        for b in batches:  # sorted by cell; the last cell may go on in the next batch
+        for b in batches:  # sorted by cell; the last cell may go on in the next batch, and in several
             fp = np.concatenate([fp, b["fp"].to_numpy().view(np.uint64)])
             key = np.concatenate([key, b["cell"].to_numpy()])
             done = int(np.searchsorted(key, key[-1])) if len(key) else 0
+            if not done:
+                continue
             u, v = forest(fp[:done], key[:done], max_bits)
             yield pd.DataFrame({"u": u.view(np.int64), "v": v.view(np.int64)})
             fp, key = fp[done:], key[done:]

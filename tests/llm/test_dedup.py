@@ -8,6 +8,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from fjord.llm import exactdup, simhash
+from fjord.llm.common import BATCH, ship
 from fjord.llm.components import components
 from fjord.llm.queries import QUERIES
 from tests.conftest import SF_SMALL
@@ -112,6 +113,24 @@ def test_links_join_all_within_three_bits(spark):
         assert len(set(zip(roots, want, strict=True))) == len(set(roots)) == len(set(want))
 
 
+def test_near_copies_in_small_batches(spark):
+    """Copies with a word changed meet at anchors that go on over many batches of two rows."""
+    base = [f"word{i}" for i in range(400)]
+    rows = [(i, " ".join([*base[:7 * i], f"other{i}", *base[7 * i + 1:]])) for i in range(40)] + [(50, "quite another text")]
+    want = brute_components([i for i, _ in rows], [brute_print(t) for _, t in rows])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ship(spark)
+    before = spark.conf.get(BATCH)
+    spark.conf.set(BATCH, "2")
+    try:
+        got = {r.doc_id: r.component_id for r in simhash.near_groups(docs).collect()}
+        left = sorted(r.doc_id for r in simhash.drop_near_copies(docs).collect())
+    finally:
+        spark.conf.set(BATCH, before)
+    assert [got[i] for i, _ in rows] == want
+    assert left == sorted(set(want)) and len(left) < 30
+
+
 def test_near_groups(spark):
     base = " ".join(f"word{i}" for i in range(400))
     rows = [(4, base), (2, base + " tail"), (9, base.upper()), (5, None), (6, ""), (7, " \t\n"), (8, "one"), (11, "ONE"),
