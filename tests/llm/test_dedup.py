@@ -113,6 +113,21 @@ def test_links_join_all_within_three_bits(spark):
         assert len(set(zip(roots, want, strict=True))) == len(set(roots)) == len(set(want))
 
 
+def test_an_anchor_may_fill_several_batches(spark):
+    """2,731 fingerprints share all their anchors; only pairs that differ in bit 62 are within 3 bits."""
+    code = [x for x in range(1 << 16) if all((x & c).bit_count() % 2 == 0 for c in (0xffff, 0xaaaa, 0xcccc, 0xf0f0, 0xff00))]
+    prints = [0x2b5c_9d03_11e7 | c << 46 for c in code] + [0x2b5c_9d03_11e7 | c << 46 | 1 << 62 for c in code[::3]]
+    assert len(code) == 2048 and min((code[0] ^ c).bit_count() for c in code[1:]) == 4
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    df = spark.createDataFrame([(s,) for s in signed], "fp long").repartition(3)
+    ship(spark)  # batches of 1,000 rows
+    for cell_rows in (5000, 1500):
+        got = {tuple(sorted((r.u, r.v))) for r in simhash.links(df, cell_rows=cell_rows).collect()}
+        assert got == {tuple(sorted((signed[3 * i], s))) for i, s in enumerate(signed[2048:])}
+    none = simhash.forest(np.zeros(0, np.uint64), np.zeros(0, np.int64), 3)
+    assert [len(x) for x in none] == [0, 0]
+
+
 def test_near_copies_in_small_batches(spark):
     """Copies with a word changed meet at anchors that go on over many batches of two rows."""
     base = [f"word{i}" for i in range(400)]
